@@ -1,0 +1,4 @@
+"""The registered queries by name, and the SQL that gives the same rows."""
+
+QUERIES: dict = {}
+ORACLES: dict = {}
