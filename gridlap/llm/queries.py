@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridlap.llm import sharding
+from gridlap.llm import sharding, simhash
 from gridlap.llm.common import table
 
 SHARDS = 40
@@ -14,4 +14,9 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"), "doc_id", "text", SHARDS)
 
 
-QUERIES = {"op1_sharding": op1_sharding}
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.as_hex(found.fp).alias("fingerprint"), "component_id")
+
+
+QUERIES = {"op1_sharding": op1_sharding, "op2_simhash": op2_simhash}
