@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridlap.llm import sharding, simhash
+from gridlap.llm import bpe, sharding, simhash
 from gridlap.llm.common import table
 
 SHARDS = 40
@@ -19,4 +19,14 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(found.fp).alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op2_simhash": op2_simhash}
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
+QUERIES = {"op1_sharding": op1_sharding, "op2_simhash": op2_simhash, "op4_bpe": op4_bpe}
