@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridlap.llm import bpe, sharding, simhash
+from gridlap.llm import bpe, lm_ctw, sharding, simhash
 from gridlap.llm.common import table
 
 SHARDS = 40
@@ -29,4 +29,8 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op2_simhash": op2_simhash, "op4_bpe": op4_bpe}
+def op9_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_ctw.score(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_sharding": op1_sharding, "op2_simhash": op2_simhash, "op4_bpe": op4_bpe, "op9_ctw": op9_ctw}
