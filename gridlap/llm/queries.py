@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridlap.llm import bpe, lm_ctw, sharding, simhash
+from gridlap.llm import bpe, lm_ctw, quality_rules, sharding, simhash
 from gridlap.llm.common import table
 
 SHARDS = 40
@@ -19,6 +19,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(found.fp).alias("fingerprint"), "component_id")
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.apply_rules(table(spark, sf_dir, "documents"))
+
+
 def vocabulary_path() -> str:
     import public_tokenizers
 
@@ -33,4 +37,4 @@ def op9_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_ctw.score(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op2_simhash": op2_simhash, "op4_bpe": op4_bpe, "op9_ctw": op9_ctw}
+QUERIES = {"op1_sharding": op1_sharding, "op2_simhash": op2_simhash, "op3_quality_rules": op3_quality_rules, "op4_bpe": op4_bpe, "op9_ctw": op9_ctw}
