@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gridlap.llm import bpe, lm_ctw, quality_rules, sharding, simhash
+from gridlap.llm import bpe, lm_ctw, quality_rules, secrets, sharding, simhash, toxicity, url_filter
 from gridlap.llm.common import table
 
 SHARDS = 40
+URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
+
+
+def fold(folds: int) -> Column:
+    """The fold of a doc_id: crc32 of its decimal text, by remainder; null counts as an empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % folds
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,8 +40,22 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(toxicity.training_rows(docs, labels, "toxic", fold(5) != 0))
+    return toxicity.score(docs, model).select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op9_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_ctw.score(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op2_simhash": op2_simhash, "op3_quality_rules": op3_quality_rules, "op4_bpe": op4_bpe, "op9_ctw": op9_ctw}
+QUERIES = {"op1_sharding": op1_sharding, "op2_simhash": op2_simhash, "op3_quality_rules": op3_quality_rules, "op4_bpe": op4_bpe, "op6_secrets": op6_secrets, "op7_toxicity": op7_toxicity, "op8_url_filter": op8_url_filter, "op9_ctw": op9_ctw}
