@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlap.llm import bpe, lm_ctw, quality_rules, secrets, sharding, simhash, toxicity, url_filter
+from gridlap.llm import bpe, lm_ctw, quality_classifier, quality_rules, secrets, sharding, simhash, toxicity, url_filter
 from gridlap.llm.common import table
 
 SHARDS = 40
@@ -58,4 +58,10 @@ def op9_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_ctw.score(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op2_simhash": op2_simhash, "op3_quality_rules": op3_quality_rules, "op4_bpe": op4_bpe, "op6_secrets": op6_secrets, "op7_toxicity": op7_toxicity, "op8_url_filter": op8_url_filter, "op9_ctw": op9_ctw}
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality_classifier.fit(toxicity.training_rows(docs, labels, "quality", fold(3) != 1, quality_classifier.TRAIN_ROWS))
+    return quality_classifier.score(docs, model).select("doc_id", (fold(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+QUERIES = {"op1_sharding": op1_sharding, "op2_simhash": op2_simhash, "op3_quality_rules": op3_quality_rules, "op4_bpe": op4_bpe, "op6_secrets": op6_secrets, "op7_toxicity": op7_toxicity, "op8_url_filter": op8_url_filter, "op9_ctw": op9_ctw, "op10_quality_classifier": op10_quality_classifier}
