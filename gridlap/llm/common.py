@@ -41,11 +41,17 @@ def utf8(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
-def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str) -> DataFrame:
-    """Apply make()'s function to each Arrow batch; it returns columns by name. make() runs once in each task."""
+def arrow_schema(ddl: str) -> pa.Schema:
+    """The Arrow form of a schema; made on the driver, tasks get it ready."""
     from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
 
-    out = to_arrow_schema(_struct(df.sparkSession, schema))
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
+
+def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str) -> DataFrame:
+    """Apply make()'s function to each Arrow batch; it returns columns by name. make() runs once in each task."""
+    out = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = make()
@@ -55,9 +61,3 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dic
                 yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) for f in out], schema=out)
 
     return df.mapInArrow(run, schema)
-
-
-def _struct(spark: SparkSession, schema: str):
-    from pyspark.sql.types import StructType
-
-    return StructType.fromDDL(schema)

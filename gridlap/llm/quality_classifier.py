@@ -26,7 +26,7 @@ from gridlap.llm.common import SPACES, cut
 from gridlap.llm.quality_rules import STOP_WORDS, SYMBOLS, without, words
 
 TRAIN_ROWS, TREES, DEPTH, LASSO = 20_000, 12, 3, 2e-3
-FEATURES = ("log_words", "mean_word_chars", "symbol_share", "upper_share", "mark_share", "digit_share", "stop_share", "distinct_pair_share", "distinct_line_share", "words_a_line")
+FEATURES = ("log_words", "mean_word_chars", "symbol_share", "upper_share", "mark_share", "digit_share", "stop_share", "distinct_pair_share", "echo_share", "distinct_line_share", "words_a_line")
 UPPER_CASE = "ABCDEFGHIJKLMNOPQRSTUVWXYZÀÁÂÄÇÈÉÊËÍÑÓÔÖÚÜ"
 
 #: A rule: (feature, whether at most, threshold) for each condition.
@@ -53,6 +53,7 @@ def statistics(docs: DataFrame, *keep: str) -> DataFrame:
         share(removed("0123456789"), F.col("_c")).alias("digit_share"),
         share(F.size(F.filter("_w", lambda x: x.isin(STOP_WORDS))), n).alias("stop_share"),
         F.when(n < 2, F.lit(1.0)).otherwise(F.size(F.array_distinct(pairs)) / (n - 1)).alias("distinct_pair_share"),
+        share(F.size(F.filter("_w", lambda x, i: x == F.get(F.col("_w"), i - 1))), n).alias("echo_share"),
         share(F.size(F.array_distinct(lines)), F.size(lines)).alias("distinct_line_share"),
         share(n, F.size(lines)).alias("words_a_line"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlap.llm import bpe, lm_ctw, quality_classifier, quality_rules, secrets, sharding, simhash, toxicity, url_filter
+from gridlap.llm import bpe, decontaminate, lm_ctw, quality_classifier, quality_rules, secrets, sharding, simhash, toxicity, url_filter
 from gridlap.llm.common import table
 
 SHARDS = 40
@@ -40,6 +40,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -64,4 +68,4 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(docs, model).select("doc_id", (fold(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op2_simhash": op2_simhash, "op3_quality_rules": op3_quality_rules, "op4_bpe": op4_bpe, "op6_secrets": op6_secrets, "op7_toxicity": op7_toxicity, "op8_url_filter": op8_url_filter, "op9_ctw": op9_ctw, "op10_quality_classifier": op10_quality_classifier}
+QUERIES = {"op1_sharding": op1_sharding, "op2_simhash": op2_simhash, "op3_quality_rules": op3_quality_rules, "op4_bpe": op4_bpe, "op5_decontaminate": op5_decontaminate, "op6_secrets": op6_secrets, "op7_toxicity": op7_toxicity, "op8_url_filter": op8_url_filter, "op9_ctw": op9_ctw, "op10_quality_classifier": op10_quality_classifier}
