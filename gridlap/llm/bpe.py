@@ -23,6 +23,7 @@ import unicodedata
 from itertools import accumulate
 
 import ahocorasick
+import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
@@ -225,24 +226,36 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def digests(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each text, encoded and decoded with the vocabulary at path."""
-
+def _digested(docs: DataFrame, path: str, with_ids: bool) -> DataFrame:
     def make():
         coder = Encoder(path)
 
         def one(batch):
-            out = {"doc_id": batch.column("doc_id"), "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
+            out = {"doc_id": batch.column("doc_id"), "n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": []}
             for text in batch.column("text").to_pylist():
                 found = coder.parts(text or "")
+                ids = b" ".join([ids for ids, _, _ in found])
                 out["n_tokens"].append(sum([n for _, n, _ in found]))
-                out["ids_sha256"].append(hashlib.sha256(b" ".join([ids for ids, _, _ in found])).hexdigest())
+                out["ids_sha256"].append(hashlib.sha256(ids).hexdigest())
                 out["decoded_sha256"].append(hashlib.sha256(b" ".join([said for _, _, said in found])).hexdigest())
+                if with_ids:
+                    out["ids"].append(np.array(ids.split(), dtype=np.int32))
             return out
 
         return one
 
-    return map_batches(docs.selectExpr("cast(doc_id as long) doc_id", "text"), make, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
+    return map_batches(docs.selectExpr("cast(doc_id as long) doc_id", "text"), make, schema)
+
+
+def digests(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each text, encoded and decoded with the vocabulary at path."""
+    return _digested(docs, path, False)
+
+
+def encoded(docs: DataFrame, path: str) -> DataFrame:
+    """The digests and the token ids themselves."""
+    return _digested(docs, path, True)
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
