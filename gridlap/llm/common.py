@@ -7,7 +7,8 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: ASCII white space as the word rule has it: space and \x09 to \x0D.
 SPACES = " \t\n\x0b\x0c\r"
@@ -61,3 +62,12 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dic
                 yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) for f in out], schema=out)
 
     return df.mapInArrow(run, schema)
+
+
+def keep(df: DataFrame, condition: Column) -> DataFrame:
+    """The rows where the condition holds.
+
+    A plain filter would be moved below the projection that made its inputs, and these computed anew at each use in
+    it; an explode isn't.
+    """
+    return df.withColumn("_keep", F.explode(F.when(condition, F.array(F.lit(True))))).drop("_keep")
