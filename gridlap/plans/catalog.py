@@ -1,4 +1,512 @@
-"""The registered queries by name, and the SQL that gives the same rows."""
+"""The registered queries by name, and the SQL that gives the same rows.
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+Doubles are rounded to six digits on both sides; instants are given as microseconds since 1970.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gridlap.functions import coerce
+from gridlap.operators import aggregates, cleaning, features, joins, quality, rolling, rows
+from gridlap.plans.views import Tables, sql
+from gridlap.streaming import resample
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+K = ["session_key", "driver_number"]
+L = [*K, "lap_number"]
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    """Doubles to six digits, instants to microseconds."""
+    made = {c: F.round(c, 6) for c, t in df.dtypes if t in ("double", "float") or t.startswith("decimal")}
+    made |= {c: F.unix_micros(F.col(c).cast("timestamp")) for c, t in df.dtypes if t.startswith("timestamp")}
+    return df.withColumns(made) if made else df
+
+
+def query(name: str, views: tuple[str, ...], oracle: str | None):
+    def register(build: Callable[[Tables], DataFrame]):
+        QUERIES[name] = lambda spark, sf_dir: rounded(build(Tables(spark, sf_dir)))
+        if oracle:
+            ORACLES[name] = sql(views, oracle)
+        return build
+
+    return register
+
+
+_ROLLING = ", ".join(
+    f"round(avg(lap_duration) OVER (w ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING), 6) AS rolling_avg_lap_{n}, round(stddev_samp(lap_duration) OVER (w ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING), 6) AS rolling_std_lap_{n}, "
+    f"round(min(lap_duration) OVER (w ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING), 6) AS rolling_best_lap_{n}"
+    for n in rolling.WINDOWS
+)
+
+
+@query("rolling_features", ("laps",), f"""SELECT session_key, driver_number, lap_number, {_ROLLING}, round(lap_duration - lag(lap_duration) OVER w, 6) AS lap_delta_prev,
+    greatest(max(lap_number) OVER (PARTITION BY session_key, driver_number) - lap_number, 0) AS laps_to_go,
+    round(round(lap_number / max(lap_number) OVER (PARTITION BY session_key, driver_number), 4), 6) AS race_completion_pct
+    FROM laps WINDOW w AS (PARTITION BY session_key, driver_number ORDER BY lap_number)""")
+def _rolling(t: Tables) -> DataFrame:
+    return rolling.rolling_features(t.laps).drop("date_start", "lap_duration", "i1_speed", "is_pit_out_lap")
+
+
+# Cleaning ------------------------------------------------------------------------------------------------------------
+
+_CLEAN_LAPS = """WITH a AS (SELECT * FROM laps WHERE lap_duration BETWEEN 30 AND 600),
+    b AS (SELECT *, coalesce(abs((lap_duration - avg(lap_duration) OVER p) / nullif(stddev_samp(lap_duration) OVER p, 0)) > 3, false) AS is_outlier_lap,
+      CASE WHEN i1_speed BETWEEN 0 AND 400 THEN i1_speed END AS s FROM a WINDOW p AS (PARTITION BY session_key, driver_number)),
+    clean AS (SELECT session_key, driver_number, lap_number, date_start, lap_duration, is_outlier_lap, is_pit_out_lap,
+      coalesce(s, median(s) OVER (PARTITION BY session_key, driver_number), median(s) OVER (PARTITION BY session_key)) AS i1_speed FROM b)"""
+
+
+@query("clean_laps", ("laps",), f"{_CLEAN_LAPS} SELECT session_key, driver_number, lap_number, epoch_us(date_start) AS date_start, round(lap_duration, 6) AS lap_duration, round(i1_speed, 6) AS i1_speed, is_outlier_lap, is_pit_out_lap FROM clean")
+def _clean_laps(t: Tables) -> DataFrame:
+    return cleaning.clean_laps(t.laps)
+
+
+@query("clean_weather", ("weather",), """WITH b AS (SELECT session_key, date, CASE WHEN humidity * 1.5 BETWEEN 0 AND 100 THEN humidity * 1.5 END AS humidity, CASE WHEN air_temperature - 46 BETWEEN -30 AND 60 THEN air_temperature - 46 END AS air_temperature FROM weather)
+    SELECT session_key, epoch_us(date) AS date, round(coalesce(humidity, (SELECT median(humidity) FROM b)), 6) AS humidity, round(coalesce(air_temperature, (SELECT median(air_temperature) FROM b)), 6) AS air_temperature FROM b""")
+def _clean_weather(t: Tables) -> DataFrame:
+    return cleaning.clean_weather(t.weather.select("session_key", "date", (F.col("humidity") * 1.5).alias("humidity"), (F.col("air_temperature") - 46).alias("air_temperature")))
+
+
+@query("clean_stints", ("stints",), """SELECT session_key, driver_number, stint_number, lap_start, lap_end, CASE WHEN compound IN ('SOFT', 'MEDIUM', 'WET') THEN compound ELSE 'UNKNOWN' END AS compound, tyre_age_at_start FROM stints WHERE lap_end >= lap_start""")
+def _clean_stints(t: Tables) -> DataFrame:
+    dirty = F.when(F.col("compound") == "HARD", "hyper").otherwise(F.concat(F.lit(" "), F.lower("compound")))
+    return cleaning.clean_stints(t.stints.withColumn("compound", dirty))
+
+
+@query("clean_intervals", ("intervals",), """SELECT session_key, driver_number, epoch_us(date) AS date, gap_to_leader LIKE '%LAP%' AS gap_to_leader_lapped, CASE WHEN try_cast(trim(gap_to_leader) AS DOUBLE) <= 300 THEN try_cast(trim(gap_to_leader) AS DOUBLE) END AS gap_to_leader FROM intervals""")
+def _clean_intervals(t: Tables) -> DataFrame:
+    return cleaning.clean_intervals(t.intervals)
+
+
+@query("clean_position", ("position",), "SELECT session_key, driver_number, epoch_us(date) AS date, position * 2 AS position FROM position WHERE position * 2 <= 25")
+def _clean_position(t: Tables) -> DataFrame:
+    return cleaning.clean_position(t.position.withColumn("position", F.col("position") * 2))
+
+
+@query("clean_sessions", ("sessions",), "SELECT session_key, year, session_type, circuit_key, 'Unknown' AS location FROM sessions WHERE session_type = 'Race'")
+def _clean_sessions(t: Tables) -> DataFrame:
+    dirty = F.when(F.col("session_type") == "Race", "Race").otherwise("Practice")
+    return cleaning.clean_sessions(t.sessions.withColumns({"session_type": dirty, "location": F.when(F.col("session_key") < 0, "x").when(F.col("session_key") == 0, "Unknown"), "gmt_offset": F.lit(None).cast("string")}))
+
+
+@query("clean_drivers", ("drivers",), f"SELECT session_key, driver_number, CASE WHEN driver_number % 3 = 0 THEN 'Unknown' ELSE full_name END AS full_name, team_name, '{cleaning.DEFAULT_HEADSHOT}' AS headshot_url FROM drivers")
+def _clean_drivers(t: Tables) -> DataFrame:
+    return cleaning.clean_drivers(t.drivers.withColumns({"full_name": F.when(F.col("driver_number") % 3 == 0, "nan").otherwise(F.concat(F.lit("  "), F.col("full_name"))), "headshot_url": F.lit("")}))
+
+
+@query("clean_results", ("results",), "SELECT session_key, driver_number, position, 'Unknown' AS status FROM results WHERE position <= 25")
+def _clean_results(t: Tables) -> DataFrame:
+    both = t.results.withColumn("status", F.lit(""))
+    return cleaning.clean_session_results(both.unionByName(both))
+
+
+@query("clean_starting_grid", ("grid",), "SELECT session_key, driver_number, position + 20 AS position FROM grid WHERE position + 20 <= 25")
+def _clean_grid(t: Tables) -> DataFrame:
+    return cleaning.clean_starting_grid(t.grid.withColumn("position", F.col("position") + 20))
+
+
+@query("clean_car_data", ("car_data",), """SELECT session_key, driver_number, lap_number, round(Speed, 6) AS "Speed", CASE WHEN Throttle BETWEEN 0 AND 100 THEN round(Throttle, 6) END AS "Throttle", CASE WHEN RPM BETWEEN 0 AND 20000 THEN round(RPM, 6) END AS "RPM", CAST(Brake AS DOUBLE) AS "Brake", CAST(nGear AS DOUBLE) AS "nGear" FROM car_data WHERE Speed BETWEEN 0 AND 400""")
+def _clean_car(t: Tables) -> DataFrame:
+    return cleaning.clean_car_data(t.car_data)
+
+
+@query("clean_location", ("samples",), """SELECT session_key, driver_number, epoch_us(date) AS "Date", round(X, 6) AS "X" FROM samples""")
+def _clean_location(t: Tables) -> DataFrame:
+    return cleaning.clean_location(t.samples.select(*K, F.col("date").alias("Date"), F.col("X").cast("string").alias("X")))
+
+
+@query("derived_results", ("position",), "SELECT session_key, driver_number, epoch_us(max(date)) AS date, arg_max(position, date) AS position FROM position GROUP BY ALL")
+def _derived_results(t: Tables) -> DataFrame:
+    return cleaning.derive_from_position(t.position, last=True)
+
+
+@query("derived_grid", ("position",), "SELECT session_key, driver_number, epoch_us(min(date)) AS date, arg_min(position, date) AS position FROM position GROUP BY ALL")
+def _derived_grid(t: Tables) -> DataFrame:
+    return cleaning.derive_from_position(t.position, last=False)
+
+
+@query("cleaning_summary", ("laps", "position"), """WITH s AS (SELECT 'laps' AS file, (SELECT count(*) FROM laps) AS raw_rows, (SELECT count(*) FROM laps WHERE lap_duration BETWEEN 30 AND 600) AS clean_rows UNION ALL SELECT 'position', (SELECT count(*) FROM position), (SELECT count(*) FROM position))
+    SELECT file, raw_rows, clean_rows, raw_rows - clean_rows AS dropped, 'ok' AS status FROM s""")
+def _summary(t: Tables) -> DataFrame:
+    raw = {"laps": t.laps, "position": t.position}
+    return cleaning.cleaning_summary(raw, {k: cleaning.CLEANERS[k](v) for k, v in raw.items()})
+
+
+# Joins ---------------------------------------------------------------------------------------------------------------
+
+
+@query("laps_with_session", ("laps", "sessions"), "SELECT l.session_key, driver_number, lap_number, year, session_type, circuit_key FROM laps l LEFT JOIN sessions s USING (session_key)")
+def _laps_session(t: Tables) -> DataFrame:
+    return joins.look_up(t.laps.select(*L), t.sessions, ["session_key"])
+
+
+@query("laps_with_driver", ("laps", "drivers"), "SELECT session_key, driver_number, lap_number, full_name, team_name FROM laps LEFT JOIN drivers USING (session_key, driver_number)")
+def _laps_driver(t: Tables) -> DataFrame:
+    return joins.look_up(t.laps.select(*L), t.drivers, K)
+
+
+@query("orphan_laps", ("laps", "sessions"), "SELECT session_key, count(*) AS n FROM laps WHERE session_key NOT IN (SELECT session_key FROM sessions WHERE year = 2024) GROUP BY 1")
+def _orphans(t: Tables) -> DataFrame:
+    return joins.orphans(t.laps, t.sessions.where("year = 2024"), ["session_key"]).groupBy("session_key").agg(F.count("*").alias("n"))
+
+
+_TYRE = """tyre AS (SELECT l.session_key, l.driver_number, l.lap_number, l.lap_duration, s.stint_number, s.compound, l.lap_number - s.lap_start + coalesce(s.tyre_age_at_start, 0) AS tyre_age FROM laps l LEFT JOIN stints s USING (session_key, driver_number)
+    WHERE l.lap_number >= coalesce(s.lap_start, -1) AND l.lap_number <= coalesce(s.lap_end, 9999))"""
+
+
+@query("stint_range_join", ("laps", "stints"), f"WITH {_TYRE} SELECT session_key, driver_number, lap_number, stint_number, compound, tyre_age FROM tyre")
+def _range(t: Tables) -> DataFrame:
+    return features.tyre_laps(t.laps, t.stints).select(*L, "stint_number", "compound", "tyre_age")
+
+
+_PACE = f"""{_TYRE}, aged AS (SELECT compound, lap_duration, CASE WHEN tyre_age > 0 AND tyre_age <= 60 THEN CAST((ceil(tyre_age / 2.0) - 1) * 2 AS BIGINT) END AS bin FROM tyre WHERE compound IS NOT NULL),
+    med AS (SELECT compound, bin, median(lap_duration) AS median_lap FROM aged WHERE bin IS NOT NULL GROUP BY ALL HAVING median(lap_duration) IS NOT NULL),
+    pace AS (SELECT *, median_lap / lag(median_lap) OVER (PARTITION BY compound ORDER BY bin) - 1 AS change FROM med)"""
+
+
+@query("pace_by_tyre_age", ("laps", "stints"), f"WITH {_PACE} SELECT compound, bin, round(median_lap, 6) AS median_lap, round(change, 6) AS change FROM pace")
+def _pace(t: Tables) -> DataFrame:
+    return features.pace_by_age(features.tyre_laps(t.laps, t.stints))
+
+
+_CLIFFS = f"""{_PACE}, dom(compound, domain) AS (VALUES {', '.join(f"('{c}', {n})" for c, n in features.CLIFF_DEFAULTS.items())}),
+    enough AS (SELECT compound FROM tyre WHERE compound IS NOT NULL AND lap_duration IS NOT NULL GROUP BY 1 HAVING count(*) >= 50),
+    learned AS (SELECT compound, min(CASE WHEN change > 0.01 THEN bin END) AS bin FROM pace WHERE compound IN (SELECT compound FROM enough) GROUP BY 1 HAVING count(*) >= 5),
+    cliffs AS (SELECT compound, CAST(CASE WHEN bin IS NULL THEN domain ELSE greatest(5, floor(CAST(0.6 AS DOUBLE) * bin + CAST(0.4 AS DOUBLE) * domain)) END AS BIGINT) AS cliff FROM dom LEFT JOIN learned USING (compound))"""
+
+
+@query("tyre_cliffs", ("laps", "stints"), f"WITH {_CLIFFS} SELECT compound, cliff FROM cliffs")
+def _cliffs(t: Tables) -> DataFrame:
+    return features.learn_cliffs(t.laps, t.stints)
+
+
+@query("stint_features", ("laps", "stints"), f"""WITH {_CLIFFS} SELECT session_key, driver_number, lap_number, stint_number, compound, CASE WHEN tyre_age IS NOT NULL THEN greatest(tyre_age, 0) END AS current_tyre_age, coalesce(cliff, 30) AS compound_cliff,
+    CASE WHEN tyre_age IS NOT NULL THEN greatest(coalesce(cliff, 30) - greatest(tyre_age, 0), 0) END AS laps_until_cliff, CAST(coalesce(greatest(tyre_age, 0) > coalesce(cliff, 30), false) AND tyre_age IS NOT NULL AS INT) AS is_past_cliff FROM tyre LEFT JOIN cliffs USING (compound)""")
+def _stint_features(t: Tables) -> DataFrame:
+    return features.stint_features(t.laps, t.stints, features.learn_cliffs(t.laps, t.stints)).select(*L, "stint_number", "compound", "current_tyre_age", "compound_cliff", "laps_until_cliff", "is_past_cliff")
+
+
+_NEAR = """b AS (SELECT l.session_key, driver_number, lap_number, date_start, w.date AS bd, w.air_temperature AS ba, w.track_temperature AS bt, w.humidity AS bh, w.rainfall AS br, w.wind_speed AS bw FROM laps l ASOF LEFT JOIN weather w ON l.session_key = w.session_key AND l.date_start >= w.date),
+    n AS (SELECT b.*, w.date AS nd, w.air_temperature AS na, w.track_temperature AS nt, w.humidity AS nh, w.rainfall AS nr, w.wind_speed AS nw FROM b ASOF LEFT JOIN weather w ON b.session_key = w.session_key AND b.date_start <= w.date),
+    near AS (SELECT *, bd IS NULL OR coalesce(epoch_us(nd) - epoch_us(date_start) < epoch_us(date_start) - epoch_us(bd), false) AS after FROM n),
+    first AS (SELECT session_key, arg_min(track_temperature, date) AS base FROM weather GROUP BY 1),
+    wx AS (SELECT session_key, driver_number, lap_number, CASE WHEN after THEN na ELSE ba END AS air_temperature, CASE WHEN after THEN nt ELSE bt END AS track_temperature, CASE WHEN after THEN nh ELSE bh END AS humidity, CASE WHEN after THEN nr ELSE br END AS rainfall, CASE WHEN after THEN nw ELSE bw END AS wind_speed, base FROM near LEFT JOIN first USING (session_key))"""
+
+
+@query("weather_as_of", ("laps", "weather"), f"""WITH {_NEAR} SELECT session_key, driver_number, lap_number, round(air_temperature, 6) AS air_temperature, round(track_temperature, 6) AS track_temperature, round(humidity, 6) AS humidity, round(rainfall, 6) AS rainfall, round(wind_speed, 6) AS wind_speed,
+    round(round(track_temperature - base, 2), 6) AS track_temp_evolution FROM wx""")
+def _weather(t: Tables) -> DataFrame:
+    return features.weather_features(t.laps, t.weather).select(*L, *features.WEATHER, "track_temp_evolution")
+
+
+_POSITION = """pos AS (SELECT l.session_key, l.driver_number, lap_number, date_start, p.position AS current_position FROM laps l ASOF LEFT JOIN position p ON l.session_key = p.session_key AND l.driver_number = p.driver_number AND l.date_start >= p.date)"""
+
+
+@query("position_as_of", ("laps", "position"), f"""WITH {_POSITION} SELECT session_key, driver_number, lap_number, current_position, CAST(coalesce(current_position = 1, false) AS INT) AS is_leading, CAST(coalesce(current_position <= 3, false) AS INT) AS is_top3, CAST(coalesce(current_position <= 10, false) AS INT) AS is_top10,
+    lag(current_position) OVER (PARTITION BY session_key, driver_number ORDER BY date_start, lap_number) - current_position AS position_gain_lap FROM pos""")
+def _position(t: Tables) -> DataFrame:
+    return features.position_features(t.laps, t.position).select(*L, "current_position", "is_leading", "is_top3", "is_top10", "position_gain_lap")
+
+
+@query("telemetry_near_intervals", ("samples", "position"), """WITH b AS (SELECT s.session_key, s.driver_number, s.date AS t, p.date AS bd, p.position AS bp FROM samples s ASOF LEFT JOIN position p ON s.session_key = p.session_key AND s.driver_number = p.driver_number AND s.date >= p.date),
+    n AS (SELECT b.*, p.date AS nd, p.position AS np FROM b ASOF LEFT JOIN position p ON b.session_key = p.session_key AND b.driver_number = p.driver_number AND b.t <= p.date),
+    c AS (SELECT *, CASE WHEN bd IS NULL OR coalesce(epoch_us(nd) - epoch_us(t) < epoch_us(t) - epoch_us(bd), false) THEN nd ELSE bd END AS d, CASE WHEN bd IS NULL OR coalesce(epoch_us(nd) - epoch_us(t) < epoch_us(t) - epoch_us(bd), false) THEN np ELSE bp END AS p FROM n)
+    SELECT session_key, driver_number, epoch_us(t) AS date, CASE WHEN abs(epoch_us(d) - epoch_us(t)) <= 86400000000 THEN p END AS position FROM c""")
+def _near(t: Tables) -> DataFrame:
+    return joins.as_of(t.samples.select(*K, "date"), t.position.withColumnRenamed("date", "at"), K, "date", "at", ["position"], "nearest", tolerance=86400, tie=["position"])
+
+
+@query("tagged_samples", ("samples", "laps"), "SELECT s.session_key, s.driver_number, epoch_us(s.date) AS date, l.lap_number FROM samples s ASOF LEFT JOIN laps l ON s.session_key = l.session_key AND s.driver_number = l.driver_number AND s.date >= l.date_start")
+def _tagged(t: Tables) -> DataFrame:
+    return joins.tag_samples(t.samples.select(*K, "date"), t.laps, K, "date", "date_start", "lap_number")
+
+
+@query("merged_telemetry", ("samples", "position"), "SELECT session_key, driver_number, epoch_us(coalesce(s.date, p.date)) AS date, round(Speed, 6) AS \"Speed\", position FROM samples s FULL JOIN position p USING (session_key, driver_number, date)")
+def _merged(t: Tables) -> DataFrame:
+    return t.samples.select(*K, "date", "Speed").join(t.position, [*K, "date"], "full")
+
+
+_TARGETS = "final_position, CAST(coalesce(final_position = 1, false) AS INT) AS target_win, CAST(coalesce(final_position BETWEEN 1 AND 3, false) AS INT) AS target_podium, CAST(coalesce(final_position BETWEEN 1 AND 10, false) AS INT) AS target_top10"
+
+
+@query("lap_targets", ("laps", "results"), f"SELECT session_key, driver_number, lap_number, {_TARGETS} FROM laps LEFT JOIN (SELECT session_key, driver_number, position AS final_position FROM results) r USING (session_key, driver_number)")
+def _targets(t: Tables) -> DataFrame:
+    return features.targets(t.laps.select(*L), t.results)
+
+
+# Aggregates ----------------------------------------------------------------------------------------------------------
+
+_WEATHER_SUMMARY = "SELECT session_key, round(avg(air_temperature), 6) AS air_temperature_mean, round(avg(track_temperature), 6) AS track_temperature_mean, round(avg(humidity), 6) AS humidity_mean, round(avg(pressure), 6) AS pressure_mean, round(avg(wind_speed), 6) AS wind_speed_mean, max(rainfall) AS rainfall_max FROM weather GROUP BY 1"
+_LAP_SUMMARY = "SELECT session_key, driver_number, count(lap_duration) AS lap_count, round(avg(lap_duration), 6) AS avg_lap_duration, round(min(lap_duration), 6) AS best_lap_duration, round(median(lap_duration), 6) AS median_lap_duration, round(stddev_samp(lap_duration), 6) AS lap_duration_std FROM laps GROUP BY 1, 2"
+_STINT_SUMMARY = "SELECT session_key, driver_number, count(DISTINCT stint_number) AS stint_count, max(tyre_age_at_start) AS max_tyre_age_at_start, arg_min(compound, stint_number) AS first_compound, arg_max(compound, stint_number) AS last_compound, count(DISTINCT compound) AS compound_count FROM stints GROUP BY 1, 2"
+
+
+@query("weather_summary", ("weather",), _WEATHER_SUMMARY)
+def _a1(t: Tables) -> DataFrame:
+    return aggregates.weather_by_session(t.weather)
+
+
+@query("lap_summary", ("laps",), _LAP_SUMMARY)
+def _a2(t: Tables) -> DataFrame:
+    return aggregates.laps_by_driver(t.laps)
+
+
+@query("stint_summary", ("stints",), _STINT_SUMMARY)
+def _a3(t: Tables) -> DataFrame:
+    return aggregates.stints_by_driver(t.stints)
+
+
+_BASE = f"""w AS ({_WEATHER_SUMMARY}), la AS ({_LAP_SUMMARY}), st AS ({_STINT_SUMMARY}), base AS (SELECT session_key, driver_number, full_name, team_name, year, session_type, circuit_key, g.position AS grid_position, r.position AS final_position, air_temperature_mean, track_temperature_mean, humidity_mean, pressure_mean, wind_speed_mean, rainfall_max,
+    lap_count, avg_lap_duration, best_lap_duration, median_lap_duration, lap_duration_std, stint_count, max_tyre_age_at_start, first_compound, last_compound, compound_count
+    FROM drivers LEFT JOIN sessions USING (session_key) LEFT JOIN grid g USING (session_key, driver_number) LEFT JOIN results r USING (session_key, driver_number) LEFT JOIN w USING (session_key) LEFT JOIN la USING (session_key, driver_number) LEFT JOIN st USING (session_key, driver_number))"""
+_BASE_VIEWS = ("drivers", "sessions", "grid", "results", "weather", "laps", "stints")
+
+
+def base_of(t: Tables) -> DataFrame:
+    return features.base_table(t.drivers, t.sessions, t.grid, t.results, t.weather, t.laps, t.stints)
+
+
+@query("driver_session_base", _BASE_VIEWS, f"WITH {_BASE} SELECT * EXCLUDE (final_position), {_TARGETS} FROM base")
+def _c24(t: Tables) -> DataFrame:
+    return base_of(t)
+
+
+@query("telemetry_by_lap", ("car_data",), "SELECT session_key, driver_number, lap_number, round(max(Speed), 6) AS speed_max, round(min(Speed), 6) AS speed_min, round(avg(Speed), 6) AS speed_mean, round(stddev_samp(Speed), 6) AS speed_std, round(avg(Throttle), 6) AS throttle_mean, round(quantile_cont(Throttle, 0.9), 6) AS throttle_q90, round(avg(Brake), 6) AS brake_mean, CAST(sum(Brake) AS DOUBLE) AS brake_sum, round(avg(RPM), 6) AS rpm_mean, round(stddev_samp(RPM), 6) AS rpm_std, round(avg(nGear), 6) AS ngear_mean, CAST(max(nGear) AS DOUBLE) AS ngear_max FROM car_data GROUP BY ALL")
+def _a5(t: Tables) -> DataFrame:
+    return aggregates.telemetry_by_lap(t.car_data)
+
+
+@query("lagged_telemetry", ("car_data",), "WITH a AS (SELECT session_key, driver_number, lap_number, max(Speed) AS m, quantile_cont(Throttle, 0.9) AS q FROM car_data GROUP BY ALL) SELECT session_key, driver_number, lap_number, round(lag(m) OVER w, 6) AS tele_prev_speed_max, round(lag(q) OVER w, 6) AS tele_prev_throttle_q90 FROM a WINDOW w AS (PARTITION BY session_key, driver_number ORDER BY lap_number)")
+def _c22(t: Tables) -> DataFrame:
+    return features.lagged_telemetry(t.car_data).select(*L, "tele_prev_speed_max", "tele_prev_throttle_q90")
+
+
+@query("winsorized_laps", ("laps",), "WITH q AS (SELECT quantile_cont(lap_duration, 0.01) AS a, quantile_cont(lap_duration, 0.99) AS b, quantile_cont(i1_speed, 0.01) AS c, quantile_cont(i1_speed, 0.99) AS d FROM laps) SELECT session_key, driver_number, lap_number, CASE WHEN lap_duration IS NOT NULL THEN round(least(greatest(lap_duration, a), b), 6) END AS lap_duration, CASE WHEN i1_speed IS NOT NULL THEN round(least(greatest(i1_speed, c), d), 6) END AS i1_speed FROM laps, q")
+def _c21(t: Tables) -> DataFrame:
+    return features.winsorize(t.laps.select(*L, "lap_duration", "i1_speed"))
+
+
+@query("lap_master", ("laps", "sessions", "drivers", "stints", "weather", "position", "results"), None)
+def _c23(t: Tables) -> DataFrame:
+    return features.lap_master(t.laps, t.sessions, t.drivers, t.stints, t.weather, t.position, t.results, t.car_data)
+
+
+@query("target_rate", _BASE_VIEWS, f"WITH {_BASE} SELECT round(avg(w), 6) AS win_rate, CAST(sum(w) AS BIGINT) AS wins FROM (SELECT CAST(coalesce(final_position = 1, false) AS INT) AS w FROM base)")
+def _a9(t: Tables) -> DataFrame:
+    return base_of(t).agg(F.avg("target_win").alias("win_rate"), F.sum("target_win").alias("wins"))
+
+
+@query("lap_coverage", ("laps",), "SELECT 'lap_duration' AS \"column\", round(avg(CAST(lap_duration IS NOT NULL AS INT)), 6) AS share, 'ok' AS status FROM laps UNION ALL SELECT 'i1_speed', round(avg(CAST(i1_speed IS NOT NULL AS INT)), 6), 'ok' FROM laps")
+def _a10(t: Tables) -> DataFrame:
+    return aggregates.coverage(t.laps, ["lap_duration", "i1_speed"])
+
+
+@query("dashboard_kpis", _BASE_VIEWS, f"WITH {_BASE} SELECT count(DISTINCT session_key) AS sessions, count(DISTINCT driver_number) AS drivers, round(avg(track_temperature_mean), 6) AS track_temperature, count(DISTINCT CASE WHEN rainfall_max > 0 THEN session_key END) AS wet_sessions FROM base")
+def _a11(t: Tables) -> DataFrame:
+    return base_of(t).agg(F.count_distinct("session_key").alias("sessions"), F.count_distinct("driver_number").alias("drivers"), F.avg("track_temperature_mean").alias("track_temperature"), F.count_distinct(F.when(F.col("rainfall_max") > 0, F.col("session_key"))).alias("wet_sessions"))
+
+
+@query("wins_by_team", _BASE_VIEWS, f"WITH {_BASE} SELECT team_name, count(*) AS wins FROM base WHERE final_position = 1 GROUP BY 1 ORDER BY 2 DESC, 1")
+def _a12(t: Tables) -> DataFrame:
+    return base_of(t).groupBy("team_name").agg(F.sum("target_win").alias("wins")).where("wins > 0").orderBy(F.desc("wins"), "team_name")
+
+
+@query("max_lap_by_driver", ("laps",), "SELECT driver_number, max(lap_number) AS max_lap FROM laps GROUP BY 1 ORDER BY 2 DESC, 1")
+def _a13(t: Tables) -> DataFrame:
+    return t.laps.groupBy("driver_number").agg(F.max("lap_number").alias("max_lap")).orderBy(F.desc("max_lap"), "driver_number")
+
+
+@query("position_counts", ("position",), "SELECT position, count(*) AS n FROM position GROUP BY 1 ORDER BY 1")
+def _a14(t: Tables) -> DataFrame:
+    return t.position.groupBy("position").agg(F.count("*").alias("n")).orderBy("position")
+
+
+@query("win_rate", ("results",), "SELECT count(*) FILTER (position = 1) AS wins, count(position) AS total, round(count(*) FILTER (position = 1) / count(position), 6) AS win_rate, round(count(position) / count(*) FILTER (position = 1), 6) AS class_weight FROM results")
+def _a15(t: Tables) -> DataFrame:
+    return aggregates.win_rate(t.results)
+
+
+@query("degradation_curve", ("laps", "stints"), f"WITH {_TYRE}, a AS (SELECT compound, greatest(tyre_age, 0) AS age, lap_duration FROM tyre WHERE compound IS NOT NULL AND lap_duration IS NOT NULL), big AS (SELECT compound FROM a WHERE age <= 55 GROUP BY 1 HAVING count(*) >= 20) SELECT compound, age, round(median(lap_duration), 6) AS median_lap FROM a WHERE age <= 55 AND compound IN (SELECT compound FROM big) GROUP BY 1, 2")
+def _a16(t: Tables) -> DataFrame:
+    aged = features.tyre_laps(t.laps, t.stints).where("compound is not null and lap_duration is not null").withColumn("age", F.greatest("tyre_age", F.lit(0))).where("age <= 55")
+    big = aged.groupBy("compound").agg(F.count("*").alias("n")).where("n >= 20").select("compound")
+    return aged.join(big, "compound", "left_semi").groupBy("compound", "age").agg(F.median("lap_duration").alias("median_lap"))
+
+
+@query("pace_by_temperature", ("laps", "stints", "weather"), f"WITH {_TYRE}, m AS (SELECT session_key, avg(track_temperature) AS temp FROM weather GROUP BY 1), j AS (SELECT compound, lap_duration, temp FROM tyre JOIN m USING (session_key) WHERE temp > 20 AND temp <= 60) SELECT compound, round(median(CASE WHEN temp <= 30 THEN lap_duration END), 6) AS bin_20_30, round(median(CASE WHEN temp > 30 AND temp <= 40 THEN lap_duration END), 6) AS bin_30_40, round(median(CASE WHEN temp > 40 AND temp <= 50 THEN lap_duration END), 6) AS bin_40_50, round(median(CASE WHEN temp > 50 THEN lap_duration END), 6) AS bin_50_60 FROM j GROUP BY 1")
+def _a17(t: Tables) -> DataFrame:
+    mean = t.weather.groupBy("session_key").agg(F.avg("track_temperature").alias("temp"))
+    return aggregates.pivot_median(features.tyre_laps(t.laps, t.stints).join(mean, "session_key", "left"), "compound", "temp", [20, 30, 40, 50, 60], "lap_duration")
+
+
+@query("lap_histogram", ("laps",), "WITH x AS (SELECT least(lap_duration, 200) AS x FROM laps WHERE lap_duration IS NOT NULL), e AS (SELECT min(x) AS a, max(x) AS b FROM x) SELECT CAST(least(80, greatest(1, floor((x - a) / (b - a) * 80) + 1)) AS BIGINT) AS bin, count(*) AS n FROM x, e GROUP BY 1")
+def _a18(t: Tables) -> DataFrame:
+    return aggregates.histogram(t.laps, "lap_duration", 80, 200.0)
+
+
+@query("lap_box_plot", ("laps",), "WITH q AS (SELECT session_key, quantile_cont(lap_duration, 0.25) AS q1, quantile_cont(lap_duration, 0.5) AS q2, quantile_cont(lap_duration, 0.75) AS q3 FROM laps GROUP BY 1), j AS (SELECT *, lap_duration BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS ok FROM laps JOIN q USING (session_key) WHERE lap_duration IS NOT NULL) SELECT session_key, round(q1, 6) AS q1, round(q2, 6) AS q2, round(q3, 6) AS q3, round(min(CASE WHEN ok THEN lap_duration END), 6) AS low, round(max(CASE WHEN ok THEN lap_duration END), 6) AS high, count(*) FILTER (NOT ok) AS outliers FROM j GROUP BY session_key, q1, q2, q3")
+def _a19(t: Tables) -> DataFrame:
+    return aggregates.box_plot(t.laps, "lap_duration", ["session_key"])
+
+
+@query("lap_spearman", ("laps",), "WITH x AS (SELECT lap_number, lap_duration, i1_speed FROM laps WHERE lap_duration IS NOT NULL AND i1_speed IS NOT NULL), r AS (SELECT rank() OVER (ORDER BY lap_number) + (count(*) OVER (PARTITION BY lap_number) - 1) / 2 AS a, rank() OVER (ORDER BY lap_duration) + (count(*) OVER (PARTITION BY lap_duration) - 1) / 2 AS b, rank() OVER (ORDER BY i1_speed) + (count(*) OVER (PARTITION BY i1_speed) - 1) / 2 AS c FROM x) SELECT 'lap_number' AS a, 'lap_number' AS b, round(corr(a, a), 6) AS correlation FROM r UNION ALL SELECT 'lap_number', 'lap_duration', round(corr(a, b), 6) FROM r UNION ALL SELECT 'lap_number', 'i1_speed', round(corr(a, c), 6) FROM r UNION ALL SELECT 'lap_duration', 'lap_duration', round(corr(b, b), 6) FROM r UNION ALL SELECT 'lap_duration', 'i1_speed', round(corr(b, c), 6) FROM r UNION ALL SELECT 'i1_speed', 'i1_speed', round(corr(c, c), 6) FROM r")
+def _a20(t: Tables) -> DataFrame:
+    return aggregates.spearman(t.laps, ["lap_number", "lap_duration", "i1_speed"])
+
+
+@query("weather_vif", ("weather",), "WITH g AS (SELECT sum(air_temperature * air_temperature) AS a, sum(air_temperature * humidity) AS b, sum(humidity * humidity) AS c FROM weather), v AS (SELECT a * c / (a * c - b * b) AS v FROM g), n AS (SELECT unnest(['air_temperature', 'humidity']) AS \"column\") SELECT \"column\", round(v, 6) AS vif, CASE WHEN v > 10 THEN 'HIGH' WHEN v > 5 THEN 'MEDIUM' ELSE 'OK' END AS risk FROM v, n")
+def _a21(t: Tables) -> DataFrame:
+    return aggregates.vif(t.weather, ["air_temperature", "humidity"])
+
+
+@query("grid_trend_by_team", _BASE_VIEWS, f"WITH {_BASE} SELECT team_name, round(regr_slope(final_position, grid_position), 6) AS slope, round(regr_intercept(final_position, grid_position), 6) AS intercept, round(regr_r2(final_position, grid_position), 6) AS r2 FROM base GROUP BY 1")
+def _a22(t: Tables) -> DataFrame:
+    return aggregates.trend_lines(base_of(t), "final_position", "grid_position", ["team_name"])
+
+
+@query("rows_by_table", ("laps", "weather", "position"), "SELECT 'laps' AS file, count(*) AS n FROM laps UNION ALL SELECT 'weather', count(*) FROM weather UNION ALL SELECT 'position', count(*) FROM position")
+def _a23(t: Tables) -> DataFrame:
+    return rows.union_by_name([getattr(t, n).agg(F.count("*").alias("n")).select(F.lit(n).alias("file"), "n") for n in ("laps", "weather", "position")])
+
+
+@query("sessions_without_weather", ("laps", "weather"), "SELECT session_key, count(*) AS laps FROM laps WHERE session_key NOT IN (SELECT session_key FROM weather) GROUP BY 1")
+def _a24(t: Tables) -> DataFrame:
+    return t.laps.join(t.weather.select("session_key").distinct(), "session_key", "left_anti").groupBy("session_key").agg(F.count("*").alias("laps"))
+
+
+@query("median_lap_by_outlier", ("laps",), f"{_CLEAN_LAPS} SELECT is_outlier_lap, count(*) AS n, round(median(lap_duration), 6) AS median_lap FROM clean GROUP BY 1")
+def _a25(t: Tables) -> DataFrame:
+    return cleaning.clean_laps(t.laps).groupBy("is_outlier_lap").agg(F.count("*").alias("n"), F.median("lap_duration").alias("median_lap"))
+
+
+# Filters, limits, windows ---------------------------------------------------------------------------------------------
+
+
+@query("laps_at_maximum", ("laps",), "SELECT session_key, driver_number, lap_number FROM laps l WHERE lap_number = (SELECT max(lap_number) FROM laps m WHERE m.session_key = l.session_key)")
+def _p17(t: Tables) -> DataFrame:
+    return rows.rows_at_maximum(t.laps.select(*L), "lap_number", ["session_key"])
+
+
+@query("first_stint_by_driver", ("stints",), "SELECT session_key, driver_number, stint_number, compound FROM stints QUALIFY row_number() OVER (PARTITION BY session_key, driver_number ORDER BY stint_number) = 1")
+def _p12(t: Tables) -> DataFrame:
+    return rows.first_per_key(t.stints.select(*K, "stint_number", "compound"), K, ["stint_number"])
+
+
+@query("first_sessions_by_year", ("sessions",), "SELECT session_key, year FROM sessions QUALIFY row_number() OVER (PARTITION BY year ORDER BY session_key) <= 2")
+def _o6(t: Tables) -> DataFrame:
+    return rows.first_n_per_group(t.sessions.select("session_key", "year"), ["year"], ["session_key"], 2)
+
+
+@query("busiest_driver_series", ("laps",), "WITH d AS (SELECT driver_number FROM laps GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) SELECT lap_number, round(lap_duration, 6) AS lap_duration, round(avg(lap_duration) OVER (PARTITION BY session_key, driver_number ORDER BY lap_number ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING), 6) AS rolling_avg_lap_5 FROM laps WHERE driver_number IN (SELECT driver_number FROM d)")
+def _q20(t: Tables) -> DataFrame:
+    top = t.laps.groupBy("driver_number").count().orderBy(F.desc("count"), "driver_number").limit(1).select("driver_number")
+    return rolling.rolling_features(t.laps.join(F.broadcast(top), "driver_number", "left_semi")).select("lap_number", "lap_duration", "rolling_avg_lap_5")
+
+
+@query("picker_values", ("sessions",), "SELECT DISTINCT year, session_type FROM sessions ORDER BY year DESC, session_type")
+def _o8(t: Tables) -> DataFrame:
+    return t.sessions.select("year", "session_type").distinct().orderBy(F.desc("year"), "session_type")
+
+
+@query("result_table", _BASE_VIEWS, f"WITH {_BASE} SELECT session_key, full_name, team_name, grid_position, final_position FROM base WHERE year = 2024 AND session_type = 'Race'")
+def _q19(t: Tables) -> DataFrame:
+    return base_of(t).where("year = 2024 and session_type = 'Race'").select("session_key", "full_name", "team_name", "grid_position", "final_position")
+
+
+# Quality and profiling -------------------------------------------------------------------------------------------------
+
+
+@query("duplicate_keys", ("weather",), "SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT session_key FROM weather)) AS n FROM weather")
+def _q2(t: Tables) -> DataFrame:
+    return quality.duplicate_count(t.weather, ["session_key"])
+
+
+@query("null_profile", ("laps",), "WITH r AS (SELECT count(*) AS row_count, count(*) - count(lap_duration) AS a, count(*) - count(i1_speed) AS b FROM laps) SELECT 'lap_duration' AS \"column\", a AS nulls, row_count, round(a / row_count, 6) AS share FROM r UNION ALL SELECT 'i1_speed', b, row_count, round(b / row_count, 6) FROM r UNION ALL SELECT 'lap_number', 0, row_count, 0.0 FROM r")
+def _q4(t: Tables) -> DataFrame:
+    return quality.null_shares(t.laps.select("lap_duration", "i1_speed", "lap_number"))
+
+
+@query("validation_report", ("laps", "sessions"), """WITH s AS (SELECT * FROM sessions WHERE session_key <> 3), r AS (SELECT count(*) AS n, count(*) - count(lap_duration) AS a, count(*) - count(i1_speed) AS b, count(*) FILTER (lap_duration NOT BETWEEN 30 AND 600) AS c FROM laps)
+    SELECT 'laps' AS file, 'warning' AS severity, 'nulls' AS check_name, printf('lap_duration: %d nulls (%.1f%%)', a, 100.0 * a / n) AS message FROM r UNION ALL SELECT 'laps', 'warning', 'nulls', printf('i1_speed: %d nulls (%.1f%%)', b, 100.0 * b / n) FROM r UNION ALL SELECT 'laps', 'warning', 'range_lap_duration', printf('%d values outside 30..600', c) FROM r WHERE c > 0
+    UNION ALL SELECT 'laps', 'error', 'orphan_sessions', printf('%d unknown sessions', count(DISTINCT session_key)) FROM laps WHERE session_key NOT IN (SELECT session_key FROM s)""")
+def _q7(t: Tables) -> DataFrame:
+    return quality.validate({"sessions": t.sessions.where("session_key <> 3"), "laps": t.laps})
+
+
+@query("table_summary", ("laps",), "WITH r AS (SELECT count(*) AS n, count(*) - count(lap_duration) AS a, count(*) - count(i1_speed) AS b FROM laps) SELECT 'laps' AS file, n AS row_count, CAST(7 AS BIGINT) AS col_count, CAST(2 AS BIGINT) AS cols_any_null, CAST(CASE WHEN a / n > 0.2 THEN 1 ELSE 0 END + CASE WHEN b / n > 0.2 THEN 1 ELSE 0 END AS BIGINT) AS drop_candidates, round(100.0 * (a / n + b / n) / 7, 6) AS null_pct FROM r")
+def _q8(t: Tables) -> DataFrame:
+    return quality.table_summary(t.laps, "laps")
+
+
+@query("parse_shares", ("intervals",), "SELECT session_key AS file, CAST(1.0 AS DOUBLE) AS present, round(avg(CAST(try_cast(trim(gap_to_leader) AS DOUBLE) IS NOT NULL AS INT)), 6) AS parsed FROM (SELECT session_key, CASE WHEN gap_to_leader = 'nan' THEN 'x' ELSE gap_to_leader END AS gap_to_leader FROM intervals) GROUP BY 1")
+def _q9(t: Tables) -> DataFrame:
+    return quality.parse_shares(t.intervals.withColumn("gap_to_leader", F.when(F.col("gap_to_leader") == "nan", "x").otherwise(F.col("gap_to_leader"))), F.col("session_key"), "gap_to_leader", "double")
+
+
+@query("describe_laps", ("laps",), "SELECT 'lap_duration' AS \"column\", count(lap_duration) AS n, round(avg(lap_duration), 6) AS mean, round(stddev_samp(lap_duration), 6) AS std, round(min(lap_duration), 6) AS least, round(quantile_cont(lap_duration, 0.25), 6) AS q1, round(quantile_cont(lap_duration, 0.5), 6) AS q2, round(quantile_cont(lap_duration, 0.75), 6) AS q3, round(max(lap_duration), 6) AS most FROM laps")
+def _q10(t: Tables) -> DataFrame:
+    return quality.describe(t.laps, ["lap_duration"])
+
+
+@query("unique_profile", ("sessions",), "SELECT 'year' AS \"column\", count(DISTINCT year) AS n_unique, CAST(0 AS BIGINT) AS nulls, 'category' AS likely, '2024,2025' AS samples FROM sessions UNION ALL SELECT 'session_key', count(DISTINCT session_key), 0, 'key', '0,1,2,3,4' FROM sessions")
+def _q11(t: Tables) -> DataFrame:
+    return quality.unique_profile(t.sessions.select("year", "session_key"))
+
+
+@query("negative_values", ("laps",), "SELECT 'x' AS \"column\", count(*) FILTER (lap_duration - 50 < 0) AS n, round(100.0 * count(*) FILTER (lap_duration - 50 < 0) / count(*), 6) AS pct, round(min(lap_duration - 50), 6) AS least FROM laps")
+def _q12(t: Tables) -> DataFrame:
+    return quality.negatives(t.laps.select((F.col("lap_duration") - 50).alias("x"), "lap_number"))
+
+
+@query("blank_values", ("intervals",), "SELECT 'gap_to_leader' AS \"column\", count(*) FILTER (trim(gap_to_leader) = '') AS n FROM intervals")
+def _q13(t: Tables) -> DataFrame:
+    return quality.blanks(t.intervals.select("gap_to_leader"))
+
+
+@query("low_variance", ("laps",), "SELECT 'z' AS \"column\", 'a' AS \"value\", round(count(*) FILTER (lap_number < 10000) / count(*), 6) AS share FROM laps")
+def _q14(t: Tables) -> DataFrame:
+    return quality.dominant_values(t.laps.select(F.when(F.col("lap_number") < 10000, "a").otherwise("b").alias("z"), "lap_number"))
+
+
+@query("time_columns", ("intervals",), "SELECT 'start_text' AS \"column\", CAST(1.0 AS DOUBLE) AS parsed, true AS convert")
+def _q16(t: Tables) -> DataFrame:
+    return quality.time_columns(t.intervals.select(F.col("date").cast("string").alias("start_text"), "gap_to_leader"))
+
+
+@query("recommendations", ("laps",), "SELECT 'lap_duration' AS \"column\", 'impute' AS action UNION ALL SELECT 'i1_speed', 'impute' UNION ALL SELECT 'session_key', 'duplicates'")
+def _q17(t: Tables) -> DataFrame:
+    return quality.recommendations(t.laps.select("session_key", "lap_duration", "i1_speed", "lap_number"), ["session_key"])
+
+
+# Time grids -------------------------------------------------------------------------------------------------------------
+
+
+@query("resampled", ("samples",), "SELECT session_key, driver_number, epoch_us(time_bucket(INTERVAL 1 DAY, date, TIMESTAMP '1970-01-01')) AS date, round(avg(Speed), 6) AS \"Speed\" FROM samples GROUP BY 1, 2, 3")
+def _t1(t: Tables) -> DataFrame:
+    return resample.resample(t.samples.withColumn("date", F.col("date").cast("timestamp")), K, "date", ["Speed"], "1 day")
+
+
+@query("without_jumps", ("samples",), "SELECT session_key, driver_number, epoch_us(date) AS date, CASE WHEN coalesce(abs(X - lag(X) OVER w) <= 5000, true) THEN round(X, 6) END AS \"X\" FROM samples WINDOW w AS (PARTITION BY session_key, driver_number ORDER BY date)")
+def _w18(t: Tables) -> DataFrame:
+    return resample.remove_jumps(t.samples.select(*K, "date", "X"), K, "date", ["X"])
+
+
+@query("interpolated", ("samples",), None)
+def _w19(t: Tables) -> DataFrame:
+    return resample.interpolate(t.samples.select(*K, "date", "X"), K, "date", ["X"])
+
+
+@query("motion_features", ("samples",), "SELECT session_key, driver_number, epoch_us(date) AS date, round(Throttle - lag(Throttle) OVER w, 6) AS throttle_delta, round(avg(Speed) OVER (w ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 6) AS rolling_mean_speed FROM samples WINDOW w AS (PARTITION BY session_key, driver_number ORDER BY date)")
+def _w20(t: Tables) -> DataFrame:
+    return resample.motion_features(t.samples, K, "date").select(*K, "date", "throttle_delta", "rolling_mean_speed")
+
+
+@query("to_numbers", ("intervals",), "SELECT session_key, driver_number, epoch_us(date) AS date, CASE WHEN trim(gap_to_leader) IN ('nan', '', '+1 LAP') THEN NULL ELSE CAST(trim(gap_to_leader) AS DOUBLE) END AS gap, CAST(coalesce(gap_to_leader = '301', false) AS INT) AS far FROM intervals")
+def _f1(t: Tables) -> DataFrame:
+    return t.intervals.select(*K, "date", coerce.to_number(F.col("gap_to_leader")).alias("gap"), coerce.flag(F.col("gap_to_leader") == "301").alias("far"))
