@@ -1,3 +1,52 @@
 """SQL for the queries opN_<name> that SQL can express."""
 
-ORACLES: dict = {}
+from __future__ import annotations
+
+from gridlap.llm.quality_rules import RULES, STOP_WORDS, SYMBOLS
+from gridlap.llm.queries import SHARDS, URL_RULES
+
+_WORD = r"[^\x20\x09-\x0D]+"
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZÀÁÂÄÇÈÉÊËÍÑÓÔÖÚÜ"
+
+
+def _jump(shards: int) -> str:
+    """Each key's walk through the jumps; CRC-32 is taken byte by byte from a table of 256 remainders."""
+    table = "list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END))"
+    return f"""WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS text, CASE WHEN coalesce(doc_id, 0) < 0 THEN doc_id::HUGEINT + 18446744073709551616 ELSE coalesce(doc_id, 0)::HUGEINT END AS k FROM documents),
+    walk AS (SELECT doc_id, k, 0::HUGEINT AS shard, 0::HUGEINT AS grown, 0::HUGEINT AS j, 0 AS n FROM (SELECT DISTINCT doc_id, k FROM d)
+      UNION ALL SELECT doc_id, (k * 2862933555777941757 + 1) % 18446744073709551616, CASE WHEN j < {shards} THEN j ELSE shard END, j, ((j + 1) * 2147483648) // (((k * 2862933555777941757 + 1) % 18446744073709551616) // 8589934592 + 1), n + 1 FROM walk WHERE j <= {shards}),
+    placed AS (SELECT doc_id, arg_max(shard, n)::INT AS shard, arg_max(grown, n)::INT AS grown_shard FROM walk GROUP BY 1),
+    t AS (SELECT {table} AS t),
+    b AS (SELECT doc_id, text, k, encode(text) AS e, hex(encode(text)) AS h FROM d),
+    c AS (SELECT doc_id, k, octet_length(e) AS bytes, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(regexp_extract_all(h, '..'), lambda x: ('0x' || x)::BIGINT)), lambda a, x: xor(a // 256, t[xor(a % 256, x) + 1]))) AS crc FROM b, t)
+    SELECT doc_id, (bytes + 16)::BIGINT AS size, crc::BIGINT AS text_crc32, 'key' AS law, shard,
+      row_number() OVER (PARTITION BY shard ORDER BY ((((k * 2862933555777941757 + 1) % 18446744073709551616) // 8589934592) % 256)::INT, doc_id, crc, bytes) - 1 AS slot, grown_shard
+    FROM c JOIN placed USING (doc_id)"""
+
+
+def _rules() -> str:
+    within = [f"{name} >= {low}" for name, low, _ in RULES if low is not None] + [f"{name} <= {high}" for name, _, high in RULES if high is not None]
+    stop = ", ".join(f"'{w}'" for w in STOP_WORDS)
+    return rf"""WITH a AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+    w AS (SELECT *, regexp_extract_all(text, '{_WORD}') AS w FROM a),
+    tri AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) > 2)),
+    twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM tri) WHERE n > 1),
+    rep AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY 1),
+    lines AS (SELECT *, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS lines FROM w),
+    m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, (length(text) - length(translate(text, '{SYMBOLS}', '')))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
+      length(text) - length(translate(text, '{_LETTERS}', '')) AS n_upper, len(list_filter(w, lambda x: lower(x) IN ({stop}))) AS n_stop, len(string_split(text, chr(10))) AS n_lines FROM lines LEFT JOIN rep USING (r)),
+    s AS (SELECT *, CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END AS mean_word_chars, CASE WHEN word_chars > 0 THEN n_symbols / word_chars ELSE 0 END AS symbol_ratio, CASE WHEN word_chars > 0 THEN n_upper / word_chars ELSE 0 END AS upper_ratio, CASE WHEN n_words > 0 THEN n_stop / n_words ELSE 0 END AS stop_word_ratio, n_dup_lines / n_lines AS dup_line_ratio,
+      n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {' AND '.join(within)} AS kept FROM s"""
+
+
+def _urls() -> str:
+    listed = ", ".join(f"('{r}', '{v}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}')" for r, v in URL_RULES)
+    return rf"""WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+    p AS (SELECT page_id, row_number() OVER () AS n, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host, coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM u),
+    r(rule, verdict, h, q) AS (VALUES {listed}),
+    best AS (SELECT n, arg_max(rule, length(rule) * 1000 + length(h)) AS rule FROM p JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, q) GROUP BY 1)
+    SELECT page_id, host, path, b.rule AS rule, coalesce(r.verdict, 'allow') AS verdict FROM p LEFT JOIN best b USING (n) LEFT JOIN r ON r.rule = b.rule"""
+
+
+ORACLES = {"op1_sharding": _jump(SHARDS), "op3_quality_rules": _rules(), "op8_url_filter": _urls()}
