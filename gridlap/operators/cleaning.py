@@ -51,7 +51,7 @@ def _first(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def clean_sessions(df: DataFrame) -> DataFrame:
     df = _keep(rows.drop_empty_rows(df), "session_type", lambda c: c.isin(*SESSION_TYPES))
     df = _each(_each(df, ("date_start", "date_end"), coerce.to_utc), ("year", "session_key", "circuit_key"), coerce.to_integer)
-    df = rows.drop_empty_columns(df, [c for c in df.columns if c != INGEST_ORDER])
+    df = rows.drop_empty_columns(df, [c for c in df.columns if c not in (INGEST_ORDER, "session_key")])
     df = df.fillna("Unknown", rows.present(df, ("circuit_short_name", "location", "country_name", "gmt_offset")))
     return _first(df, ["session_key"])
 
@@ -110,8 +110,9 @@ def clean_weather(df: DataFrame) -> DataFrame:
     for c, (low, high) in WEATHER_BOUNDS.items():
         df = _each(df, (c,), lambda x, low=low, high=high: coerce.null_outside(x, low, high))
     found = rows.present(df, tuple(WEATHER_BOUNDS))
-    medians = df.agg(*(F.median(c).alias(f"_m_{c}") for c in found))
-    df = df.crossJoin(F.broadcast(medians)).withColumns({c: F.coalesce(c, f"_m_{c}") for c in found}).drop(*(f"_m_{c}" for c in found))
+    if found:
+        medians = df.agg(*(F.median(c).alias(f"_m_{c}") for c in found))
+        df = df.crossJoin(F.broadcast(medians)).withColumns({c: F.coalesce(c, f"_m_{c}") for c in found}).drop(*(f"_m_{c}" for c in found))
     return rows.drop_null_keys(df, ("session_key",))
 
 
@@ -173,7 +174,7 @@ def clean_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 def derive_from_position(position: DataFrame, last: bool) -> DataFrame:
     """Each driver's last (or first) known value of every column by date; the columns may come from different rows."""
     pick = F.max_by if last else F.min_by
-    values = [c for c in position.columns if c not in KEYS]
+    values = [c for c in position.columns if c not in (*KEYS, INGEST_ORDER)]
     made = [pick(c, F.when(F.col(c).isNotNull(), F.struct("date", *rows.present(position, [INGEST_ORDER])))).alias(c) for c in values]
     return position.groupBy(*KEYS).agg(*made)
 

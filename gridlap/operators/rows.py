@@ -23,12 +23,12 @@ def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def drop_empty_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Without those of the columns that have no value at all; one pass over the named columns."""
+    """Without those of the columns that have no value at all; one pass over the named columns. An empty table keeps them."""
     found = present(df, names)
     if not found:
         return df
-    counts = df.agg(*(F.count(c).alias(c) for c in found)).first()
-    return df.drop(*(c for c in found if counts[c] == 0))
+    counts = df.agg(F.count("*").alias("_rows"), *(F.count(c).alias(c) for c in found)).first()
+    return df.drop(*(c for c in found if counts[c] == 0)) if counts["_rows"] else df
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
