@@ -162,6 +162,14 @@ class Vocabulary:
 #: The split rule of the vocabulary file, fixed.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 WHITE = regex.compile(r"\s+")
+#: Code points that are letters or numbers in newer Unicode tables than the library's (16.0), in hexadecimal.
+NEWER_LETTERS = (
+    "558 58b-58c 88f c5c cdc 208f 209d-209f a7ce-a7cf a7d2 a7d4 a7dd a7e2 a7f1 ab6c-ab6d 107bb-107bf 10940-10959 10ec5-10ec7 10ed9-10eee 11b0a 11db0-11ddb 11df1 16ea0-16eb8 16ebb-16ed3 16ff2-16ff3 187f8-187ff 18cd6-18cda "
+    "18d09-18d20 18d80-18df2 18e00-19191 191a0-191d2 1b123-1b128 1b168 1d6a6 1df1f-1df24 1df2b-1df81 1df90-1df96 1dfcd-1dfff 1e6c0-1e6de 1e6e0-1e6e2 1e6e4-1e6e5 1e6e7-1e6ed 1e6f0-1e6f4 1e6fe-1e6ff 2b73a-2b73f 2b81e 2cea2-2cead 323b0-33479 3d000-3fc3f"
+)
+NEWER = regex.compile("[" + "".join("-".join(chr(int(x, 16)) for x in part.split("-")) for part in NEWER_LETTERS.split()) + "]")
+#: Lower-case forms that the library has and Python's older tables lack.
+LOWER_NEWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B} | {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
 #: White space for str.split, but not for the split rule.
 ODD = regex.compile("[\x1c-\x1f]")
 
@@ -180,8 +188,9 @@ class Encoder:
         v, out = self.vocabulary, []
         if run.isascii() and run.isalpha():  # one piece, and its bytes are their own symbols
             return v.encode_word(run[:-1] + chr(ord(run[-1]) + FINAL))
-        for piece in PIECES.findall(run):
-            s = "".join([v.alphabet[b] for b in piece.encode()])
+        shape = run if run.isascii() else NEWER.sub("\uffff", run)
+        for piece in PIECES.finditer(shape):
+            s = "".join([v.alphabet[b] for b in run[piece.start() : piece.end()].encode()])
             out += v.encode_word(s[:-1] + chr(ord(s[-1]) + FINAL))
         return out
 
@@ -217,7 +226,7 @@ class Encoder:
 def normalized(run: str) -> str:
     """Composed and in lower case, a character at a time: a final sigma isn't told apart."""
     if not run.isascii():
-        run = unicodedata.normalize("NFC", run).replace("Σ", "σ")
+        return unicodedata.normalize("NFC", run).replace("Σ", "σ").lower().translate(LOWER_NEWER)
     return run.lower()
 
 

@@ -54,6 +54,14 @@ def test_encoding_equals_the_library(library):
         assert coder.vocabulary.decode(want).decode() == library.decode(want, skip_special_tokens=False)
 
 
+def test_code_points_are_split_and_lowered_alike(library):
+    coder = bpe.Encoder(PATH)
+    for c in [*range(0x3000), *range(0x3000, 0x34000, 37), 0x558, 0xA7CB, 0xA7DC, 0x10D50, 0x16EA0, 0x323B0, 0x3D000]:
+        if not 0xD800 <= c < 0xE000:
+            text = f"a{chr(c)}b {chr(c)}"
+            assert coder.encode(text) == library.encode(text, add_special_tokens=False).ids, hex(c)
+
+
 def test_every_token_encodes_to_itself():
     v = bpe.Vocabulary(PATH)
     assert all(v.encode_word(s) == [i] for i, s in v.symbols.items())
