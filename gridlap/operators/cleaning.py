@@ -51,7 +51,7 @@ def _first(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def clean_sessions(df: DataFrame) -> DataFrame:
     df = _keep(rows.drop_empty_rows(df), "session_type", lambda c: c.isin(*SESSION_TYPES))
     df = _each(_each(df, ("date_start", "date_end"), coerce.to_utc), ("year", "session_key", "circuit_key"), coerce.to_integer)
-    df = rows.drop_empty_columns(df, [c for c in df.columns if c not in (INGEST_ORDER, "session_key")])
+    df = rows.drop_empty_columns(df, ["circuit_short_name"])
     df = df.fillna("Unknown", rows.present(df, ("circuit_short_name", "location", "country_name", "gmt_offset")))
     return _first(df, ["session_key"])
 

@@ -48,16 +48,21 @@ def learn_cliffs(laps: DataFrame, stints: DataFrame, least_laps: int = 50, least
 
 
 def stint_features(laps: DataFrame, stints: DataFrame, cliffs: DataFrame) -> DataFrame:
-    """Each lap's first covering stint, its tyre age, and the laps until the compound's cliff.
+    """Each lap's first known value of every column of its covering stints, its tyre age, and the laps until the compound's cliff.
 
     cliffs has a row a compound, a handful at most.
     """
-    tyre = rows.first_per_key(tyre_laps(laps, stints), LAP, ["stint_number"])
-    age = coerce.clip(F.col("tyre_age"), low=0)
-    out = tyre.withColumn("current_tyre_age", age).join(F.broadcast(cliffs.withColumnRenamed("cliff", "_cliff")), "compound", "left")
+    covered = tyre_laps(laps, stints).drop("tyre_age")
+    whole = Window.partitionBy(*LAP).orderBy("stint_number").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    own = ("compound", "lap_start", "lap_end", "tyre_age_at_start")
+    tyre = rows.first_per_key(covered.withColumns({c: F.first(c, ignorenulls=True).over(whole) for c in own}), LAP, ["stint_number"])
+    age = F.col("lap_number") - F.col("lap_start") + F.coalesce("tyre_age_at_start", F.lit(0))
+    named = F.upper(F.coalesce("compound", F.lit("UNKNOWN")))
+    out = tyre.withColumns({"current_tyre_age": coerce.clip(age, low=0), "_named": named})
+    out = out.join(F.broadcast(cliffs.select(F.col("compound").alias("_named"), F.col("cliff").alias("_cliff"))), "_named", "left")
     out = out.withColumn("compound_cliff", F.coalesce("_cliff", F.lit(CLIFF_DEFAULTS["UNKNOWN"])))
     out = out.withColumn("laps_until_cliff", coerce.clip(F.col("compound_cliff") - F.col("current_tyre_age"), low=0))
-    return out.withColumn("is_past_cliff", coerce.flag(F.col("current_tyre_age") > F.col("compound_cliff"))).drop("_cliff", "lap_start", "lap_end", "tyre_age_at_start", "tyre_age")
+    return out.withColumn("is_past_cliff", coerce.flag(F.col("current_tyre_age") > F.col("compound_cliff"))).drop("_cliff", "_named", "lap_start", "lap_end", "tyre_age_at_start")
 
 
 def weather_features(laps: DataFrame, weather: DataFrame) -> DataFrame:
@@ -83,7 +88,7 @@ def targets(df: DataFrame, results: DataFrame) -> DataFrame:
     return df.join(final, list(KEYS), "left").withColumns({"target_win": coerce.flag(p == 1), "target_podium": coerce.flag(p.between(1, 3)), "target_top10": coerce.flag(p.between(1, 10))})
 
 
-EXEMPT = ("session_key", "driver_number", "lap_number", "year", "circuit_key", "stint_number")
+EXEMPT = ("session_key", "driver_number", "lap_number", "circuit_key", "year", "stint_number", "compound_cliff")
 EXEMPT_PREFIXES = ("target_", "is_", "rolling_", "laps_")
 
 

@@ -1,4 +1,4 @@
-"""Data-quality checks as issue rows: file, severity, check_name, message."""
+"""Data-quality checks as issue rows: file, severity, check, message."""
 
 from __future__ import annotations
 
@@ -10,20 +10,21 @@ from pyspark.sql import functions as F
 
 from gridlap.operators import joins, rows
 
-SCHEMA = "file string, severity string, check_name string, message string"
-#: Table, key, and ranges that a validation looks at.
-KEYS = {"sessions": ["session_key"], "drivers": ["session_key", "driver_number"], "laps": ["session_key", "driver_number", "lap_number"], "stints": ["session_key", "driver_number", "stint_number"], "weather": ["session_key", "date"]}
+SCHEMA = "file string, severity string, check string, message string"
+#: Required columns and keys of the tables, and ranges, that a validation looks at.
+REQUIRED = {"sessions": ["session_key"], "drivers": ["session_key", "driver_number"], "laps": ["session_key", "driver_number", "lap_number"], "weather": ["session_key"], "stints": ["session_key", "driver_number"], "position": ["session_key", "driver_number"], "session_results": ["session_key", "driver_number"], "starting_grid": ["session_key", "driver_number"]}
+KEYS = REQUIRED | {"stints": ["session_key", "driver_number", "stint_number"], "position": ["session_key", "driver_number", "date"]}
 RANGES = [("laps", "lap_duration", 30, 600), ("position", "position", 1, 25), ("session_results", "position", 1, 25), ("starting_grid", "position", 1, 25)]
 
 
 def _issue(df: DataFrame, file: str, severity: Column | str, check: str, message: Column, condition: Column) -> DataFrame:
     severity = F.lit(severity) if isinstance(severity, str) else severity
-    return df.where(condition).select(F.lit(file).alias("file"), severity.alias("severity"), F.lit(check).alias("check_name"), message.alias("message"))
+    return df.where(condition).select(F.lit(file).alias("file"), severity.alias("severity"), F.lit(check).alias("check"), message.alias("message"))
 
 
 def required_columns(spark: SparkSession, df: DataFrame, file: str, columns: Sequence[str]) -> DataFrame:
-    missing = sorted(set(columns) - set(df.columns))
-    return spark.createDataFrame([(file, "error", "required_columns", f"missing: {', '.join(missing)}")] if missing else [], SCHEMA)
+    missing = [c for c in columns if c not in df.columns]
+    return spark.createDataFrame([(file, "error", "required_columns", f"Missing required columns: {missing}")] if missing else [], SCHEMA)
 
 
 def duplicate_count(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -34,14 +35,14 @@ def duplicate_count(df: DataFrame, key: Sequence[str]) -> DataFrame:
 def duplicate_key(df: DataFrame, file: str, key: Sequence[str]) -> DataFrame | None:
     if set(key) - set(df.columns):
         return None
-    return _issue(duplicate_count(df, key), file, "warning", "duplicate_key", F.format_string("%d duplicate rows", "n"), F.col("n") > 0)
+    return _issue(duplicate_count(df, key), file, "warning", "duplicate_key", F.format_string(f"Found %d duplicate rows for key={list(key)}", "n"), F.col("n") > 0)
 
 
 def out_of_range(df: DataFrame, file: str, column: str, low: float, high: float) -> DataFrame | None:
     if column not in df.columns:
         return None
     n = df.agg(F.count_if(F.col(column).isNotNull() & ~F.col(column).between(low, high)).alias("n"))
-    return _issue(n, file, "warning", f"range_{column}", F.format_string(f"%d values outside {low:g}..{high:g}", "n"), F.col("n") > 0)
+    return _issue(n, file, "warning", "range", F.format_string(f"Column {column} has %d values outside [{low}, {high}]", "n"), F.col("n") > 0)
 
 
 def null_shares(df: DataFrame) -> DataFrame:
@@ -52,26 +53,26 @@ def null_shares(df: DataFrame) -> DataFrame:
 
 
 def null_issues(df: DataFrame, file: str) -> DataFrame:
-    said = F.concat(F.col("column"), F.lit(": "), F.format_string("%d nulls (%.1f%%)", "nulls", 100 * F.col("share")))
-    return _issue(null_shares(df), file, F.when(F.col("share") > 0.5, "error").otherwise("warning"), "nulls", said, F.col("nulls") > 0)
+    said = F.format_string("Column %s has %d nulls (%.1f%%)", "column", "nulls", 100 * F.col("share"))
+    return _issue(null_shares(df), file, F.when(F.col("share") > 0.5, "error").otherwise("warning"), "missing_values", said, F.col("nulls") > 0)
 
 
 def empty_table(df: DataFrame, file: str) -> DataFrame:
-    return _issue(df.limit(1).agg(F.count("*").alias("n")), file, "warning", "missing", F.lit("no rows"), F.col("n") == 0)
+    return _issue(df.limit(1).agg(F.count("*").alias("n")), file, "warning", "file_exists", F.lit("File missing"), F.col("n") == 0)
 
 
 def orphan_sessions(df: DataFrame, sessions: DataFrame, file: str) -> DataFrame:
     n = joins.orphans(df.where("session_key is not null"), sessions, ["session_key"]).agg(F.count_distinct("session_key").alias("n"))
-    return _issue(n, file, "error", "orphan_sessions", F.format_string("%d unknown sessions", "n"), F.col("n") > 0)
+    return _issue(n, file, "error", "consistency", F.format_string("Found data for %d session(s) not present in sessions", "n"), F.col("n") > 0)
 
 
 def validate(tables: dict[str, DataFrame], keys: dict[str, list[str]] = KEYS) -> DataFrame:
-    """All issues of the tables, as one lazy union."""
+    """All issues of the tables, as one lazy union. A table without rows counts as missing."""
     found: list[DataFrame | None] = []
     for name, df in tables.items():
         found += [empty_table(df, name), null_issues(df, name)]
         if name in keys:
-            found += [required_columns(df.sparkSession, df, name, keys[name]), duplicate_key(df, name, keys[name])]
+            found += [required_columns(df.sparkSession, df, name, REQUIRED.get(name, keys[name])), duplicate_key(df, name, keys[name])]
         if name in ("drivers", "laps", "weather") and "sessions" in tables:
             found.append(orphan_sessions(df, tables["sessions"], name))
     found += [out_of_range(tables[t], t, c, a, b) for t, c, a, b in RANGES if t in tables]

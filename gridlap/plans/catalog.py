@@ -89,10 +89,10 @@ def _clean_position(t: Tables) -> DataFrame:
     return cleaning.clean_position(t.position.withColumn("position", F.col("position") * 2))
 
 
-@query("clean_sessions", ("sessions",), "SELECT session_key, year, session_type, circuit_key, 'Unknown' AS location FROM sessions WHERE session_type = 'Race'")
+@query("clean_sessions", ("sessions",), "SELECT session_key, year, session_type, circuit_key, 'Unknown' AS location, 'Unknown' AS gmt_offset FROM sessions WHERE session_type = 'Race'")
 def _clean_sessions(t: Tables) -> DataFrame:
     dirty = F.when(F.col("session_type") == "Race", "Race").otherwise("Practice")
-    return cleaning.clean_sessions(t.sessions.withColumns({"session_type": dirty, "location": F.when(F.col("session_key") < 0, "x").when(F.col("session_key") == 0, "Unknown"), "gmt_offset": F.lit(None).cast("string")}))
+    return cleaning.clean_sessions(t.sessions.withColumns({"session_type": dirty, "location": F.when(F.col("session_key") < 0, "x").when(F.col("session_key") == 0, "Unknown"), "gmt_offset": F.lit(None).cast("string"), "circuit_short_name": F.lit(None).cast("string")}))
 
 
 @query("clean_drivers", ("drivers",), f"SELECT session_key, driver_number, CASE WHEN driver_number % 3 = 0 THEN 'Unknown' ELSE full_name END AS full_name, team_name, '{cleaning.DEFAULT_HEADSHOT}' AS headshot_url FROM drivers")
@@ -433,8 +433,9 @@ def _q4(t: Tables) -> DataFrame:
 
 
 @query("validation_report", ("laps", "sessions"), """WITH s AS (SELECT * FROM sessions WHERE session_key <> 3), r AS (SELECT count(*) AS n, count(*) - count(lap_duration) AS a, count(*) - count(i1_speed) AS b, count(*) FILTER (lap_duration NOT BETWEEN 30 AND 600) AS c FROM laps)
-    SELECT 'laps' AS file, 'warning' AS severity, 'nulls' AS check_name, printf('lap_duration: %d nulls (%.1f%%)', a, 100.0 * a / n) AS message FROM r UNION ALL SELECT 'laps', 'warning', 'nulls', printf('i1_speed: %d nulls (%.1f%%)', b, 100.0 * b / n) FROM r UNION ALL SELECT 'laps', 'warning', 'range_lap_duration', printf('%d values outside 30..600', c) FROM r WHERE c > 0
-    UNION ALL SELECT 'laps', 'error', 'orphan_sessions', printf('%d unknown sessions', count(DISTINCT session_key)) FROM laps WHERE session_key NOT IN (SELECT session_key FROM s)""")
+    SELECT 'laps' AS file, 'warning' AS severity, 'missing_values' AS "check", printf('Column lap_duration has %d nulls (%.1f%%)', a, 100.0 * a / n) AS message FROM r UNION ALL SELECT 'laps', 'warning', 'missing_values', printf('Column i1_speed has %d nulls (%.1f%%)', b, 100.0 * b / n) FROM r
+    UNION ALL SELECT 'laps', 'warning', 'range', printf('Column lap_duration has %d values outside [30, 600]', c) FROM r WHERE c > 0
+    UNION ALL SELECT 'laps', 'error', 'consistency', printf('Found data for %d session(s) not present in sessions', count(DISTINCT session_key)) FROM laps WHERE session_key NOT IN (SELECT session_key FROM s)""")
 def _q7(t: Tables) -> DataFrame:
     return quality.validate({"sessions": t.sessions.where("session_key <> 3"), "laps": t.laps})
 
