@@ -223,5 +223,17 @@ def _searcher(shared):
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """docs without the texts in which a test item was found; rows with a null doc_id stay."""
-    return docs.join(contaminated(docs, items).select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """docs without the rows in whose text a test item is found. Rows are judged where they lie: nothing is shuffled."""
+    for index in build([(r.item, r.text) for r in cut(numbered(items)).select("item", "text").toLocalIterator()]):
+        docs = docs.mapInArrow(_sieve(docs.sparkSession.sparkContext.broadcast(index)), docs.schema)
+    return docs
+
+
+def _sieve(shared):
+    def run(batches):
+        for whole in batches:
+            for start in range(0, whole.num_rows, 1024):
+                batch = whole.slice(start, 1024)
+                yield batch.filter(pa.array([not shared.value.search(t) for t in batch.column("text").to_pylist()], pa.bool_()))
+
+    return run
