@@ -31,6 +31,8 @@ from gridlap.llm.common import map_batches
 
 #: Words whose tokens a task remembers at once.
 CACHE_WORDS = 400_000
+#: Longer words aren't remembered.
+CACHE_LETTERS = 64
 #: A final symbol is held as the symbol this much further on.
 FINAL = 0x1000
 
@@ -215,7 +217,9 @@ class Encoder:
             for word in WHITE.split(run) if ODD.search(run) else run.split():
                 if word:
                     if (ready := known.get(word)) is None:
-                        ready = known[word] = self._word(word)
+                        ready = self._word(word)
+                        if len(word) <= CACHE_LETTERS:
+                            known[word] = ready
                     out.append(ready)
         return out
 

@@ -37,6 +37,7 @@ TRAIN_ROWS, MODEL_TOKENS = 20_000, 50_000
 LEAST_Z, PRIOR, DRIFT, K = 3.0, 0.05, 0.25, 0.1
 BEGINNINGS = (6, 5, 4)
 CACHE_WORDS = 400_000
+CACHE_LETTERS = 64
 OUTER = string.punctuation
 
 
@@ -128,7 +129,9 @@ class Scanner:
         for i, word in enumerate(words):
             score = known.get(word)
             if score is None:
-                score = known[word] = model.word(word)
+                score = model.word(word)
+                if len(word) <= CACHE_LETTERS:
+                    known[word] = score
             if score > 0:
                 hits.append((i, score))
         if not hits:
