@@ -54,7 +54,9 @@ def as_of(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str,
     w = Window.partitionBy(*by).orderBy("_t", "_side", "_tie")
     rows = rows.withColumn("_back", F.last("_r", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     if direction == "nearest":
-        rows = rows.withColumn("_next", F.first("_r", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+        # Backward through the reversed order: a frame that runs to the end is computed anew at each row.
+        back = Window.partitionBy(*by).orderBy(F.desc("_t"), F.desc("_side"), F.desc("_tie"))
+        rows = rows.withColumn("_next", F.last("_r", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, 0)))
     rows = rows.where("_side = 1")
     away = lambda c: F.abs(_seconds(F.col(f"{c}._at")) - _seconds(F.col("_t")))
     found = F.col("_back")

@@ -25,13 +25,13 @@ def remove_jumps(df: DataFrame, keys: Sequence[str], time: str, values: Sequence
 
 def interpolate(df: DataFrame, keys: Sequence[str], time: str, values: Sequence[str]) -> DataFrame:
     """Nulls between known values become linear in time; at the ends the nearest known value goes on."""
-    w = Window.partitionBy(*keys).orderBy(time)
+    w, back = (Window.partitionBy(*keys).orderBy(o).rowsBetween(Window.unboundedPreceding, 0) for o in (F.asc(time), F.desc(time)))
     at = F.unix_micros(F.col(time).cast("timestamp")).cast("double")
     made = {}
     for c in values:
         point = F.when(F.col(c).isNotNull(), F.struct(at.alias("t"), F.col(c).cast("double").alias("v")))
-        a = F.last(point, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-        b = F.first(point, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+        a = F.last(point, ignorenulls=True).over(w)
+        b = F.last(point, ignorenulls=True).over(back)
         between = a["v"] + (b["v"] - a["v"]) * (at - a["t"]) / F.nullif(b["t"] - a["t"], F.lit(0.0))
         made[c] = F.coalesce(F.col(c).cast("double"), between, a["v"], b["v"])
     return df.withColumns(made)
