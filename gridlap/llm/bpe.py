@@ -33,6 +33,8 @@ from gridlap.llm.common import map_batches
 CACHE_WORDS = 400_000
 #: Longer words aren't remembered.
 CACHE_LETTERS = 64
+#: Pairs of tokens that a task remembers at once.
+CACHE_PAIRS = 1_000_000
 #: A final symbol is held as the symbol this much further on.
 FINAL = 0x1000
 
@@ -89,6 +91,8 @@ class Vocabulary:
         """
         key = left, right
         if (found := self.together.get(key)) is None:
+            if len(self.together) > CACHE_PAIRS:
+                self.together.clear()
             found = self.together[key] = self._compatible(left, right)
         return found
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,10 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; one of our own only where the cluster names none (tests)."""
+    """The folder that all executors share; one of our own only in local mode, where there is one machine."""
     key = "spark.checkpoint.dir"
     found = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError(f"set {key} to a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='gridlap-shared-')}"
         spark.conf.set(key, found)
     return found.rstrip("/")
@@ -64,10 +69,27 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dic
     return df.mapInArrow(run, schema)
 
 
+def share(spark: SparkSession, value) -> Callable[[], object]:
+    """A function for tasks that gives the value. It is broadcast as bytes that hold its classes too, so executors
+    need no copy of this package (a plain broadcast would name the classes only)."""
+    shared = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(shared.value)
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, so that names made beside it can't clash with the table's own."""
+    return F.struct(*[df[f"`{c}`"] for c in df.columns])
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A 64-bit hash of all columns but maps, which have no hash."""
+    return F.xxhash64(*[df[f"`{f.name}`"] for f in df.schema if "map<" not in f.dataType.simpleString()])
+
+
 def keep(df: DataFrame, condition: Column) -> DataFrame:
     """The rows where the condition holds.
 
     A plain filter would be moved below the projection that made its inputs, and these computed anew at each use in
     it; an explode isn't.
     """
-    return df.withColumn("_keep", F.explode(F.when(condition, F.array(F.lit(True))))).drop("_keep")
+    return df.select(whole_row(df).alias("row"), F.explode(F.when(condition, F.array(F.lit(True))))).select("row.*")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlap.llm.common import arrow_schema, cut
+from gridlap.llm.common import arrow_schema, cut, share
 
 K1, B, THRESHOLD, OVERLAP, SHINGLE, BLOCK, COMMON = 1.2, 0.75, 0.5, 0.8, 5, 8, 0.6
 POSTINGS_AT_ONCE, LEAST_PASSAGE = 2_000_000, 64
@@ -200,7 +200,7 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     listed = cut(numbered(items))
     found = None
     for index in build([(r.item, r.text) for r in listed.select("item", "text").toLocalIterator()]):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+        shared = share(docs.sparkSession, index)
         part = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_searcher(shared), _OUT)
         found = part if found is None else found.unionByName(part)
     if found is None:
@@ -212,10 +212,11 @@ def _searcher(shared):
     schema = arrow_schema(_OUT)
 
     def run(batches):
+        index = shared()
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                rows += [(doc_id, item, number, score, *overlaps) for item, number, score, overlaps in shared.value.search(text)]
+                rows += [(doc_id, item, number, score, *overlaps) for item, number, score, overlaps in index.search(text)]
             cols = list(zip(*rows, strict=True)) or [[]] * len(schema)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
@@ -225,15 +226,16 @@ def _searcher(shared):
 def remove_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """docs without the rows in whose text a test item is found. Rows are judged where they lie: nothing is shuffled."""
     for index in build([(r.item, r.text) for r in cut(numbered(items)).select("item", "text").toLocalIterator()]):
-        docs = docs.mapInArrow(_sieve(docs.sparkSession.sparkContext.broadcast(index)), docs.schema)
+        docs = docs.mapInArrow(_sieve(share(docs.sparkSession, index)), docs.schema)
     return docs
 
 
 def _sieve(shared):
     def run(batches):
+        index = shared()
         for whole in batches:
             for start in range(0, whole.num_rows, 1024):
                 batch = whole.slice(start, 1024)
-                yield batch.filter(pa.array([not shared.value.search(t) for t in batch.column("text").to_pylist()], pa.bool_()))
+                yield batch.filter(pa.array([not index.search(t) for t in batch.column("text").to_pylist()], pa.bool_()))
 
     return run
