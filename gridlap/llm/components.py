@@ -2,34 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlap.llm.common import cut
 
 
+#: A node with at least 1 in HUBS of all edge ends is a hub, so there are at most HUBS of them; nor is one with fewer ends than LEAST_ENDS.
+HUBS, LEAST_ENDS = 1024, 256
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """node, root: root is the smallest node that edges (a, b) connect with the node.
 
-    Large-star and small-star rounds, each a minimum per node and a join, until the edges no longer change. No
-    group is gathered in one place: a hub's neighbours only meet its minimum, and Spark may split that join. Each
-    round is written to the shared folder. Null ends and loops are ignored; nodes without an edge don't appear.
+    Large-star and small-star rounds, each a minimum per node and a join, until the edges no longer change. A minimum
+    is summed before its shuffle, and a hub's edges meet its minimum where they lie, so no node's neighbours are
+    gathered in one task. Each round is written to the shared folder. Null ends and loops are ignored; nodes without
+    an edge don't appear.
     """
     known = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     known = cut(known)
     before = None
     while (now := _signature(known)) != before:
         before = now
+        ends = max(LEAST_ENDS, -(-2 * now[0] // HUBS))
         both = known.unionByName(known.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("least"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b")).where("a <> b")
-        low = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(low, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        known = cut(small.unionByName(low.select("a", F.col("low").alias("b"))).distinct())
+        large = _with_least(both, F.least(F.col("a"), F.min("b")), ends).where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b")).where("a <> b")
+        large = cut(large.distinct())
+        small = _with_least(large, F.min("b"), ends).where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
+        known = cut(small.unionByName(large.groupBy("a").agg(F.min("b").alias("b"))).distinct())
     roots = known.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return known.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
 
 
+def _with_least(edges: DataFrame, least: Column, ends: int) -> DataFrame:
+    """a, b and the least of a's edges; the hubs' go to the edges by a broadcast of at most HUBS rows."""
+    of = edges.groupBy("a").agg(least.alias("least"), F.count("*").alias("ends"))
+    hubs = F.broadcast(of.where(F.col("ends") >= ends).select("a", "least"))
+    rest = edges.join(hubs, "a", "left_anti").join(of.where(F.col("ends") < ends).select("a", "least"), "a")
+    return edges.join(hubs, "a").unionByName(rest)
+
+
 def _signature(edges: DataFrame) -> tuple:
     """Two equal edge sets have the same; it takes one small row to the driver."""
     h = F.xxhash64("a", "b")

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlap.llm.common import cut, map_batches, utf8
+from gridlap.llm.common import cut, map_batches, row_hash, utf8, whole_row
 from gridlap.llm.components import connected_components
 
 SEED, RADIUS, SHINGLE = 42, 3, 3
@@ -151,22 +151,48 @@ def _runs(met: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, fp, component_id: the smallest doc_id that chains of links reach."""
-    prints = cut(fingerprints(docs, shingle))
-    points = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = connected_components(links(points))
-    rooted = points.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    return component_ids(cut(fingerprints(docs, shingle)), "fp", links)
+
+
+def component_ids(prints: DataFrame, key: str, links) -> DataFrame:
+    """doc_id, key, component_id for each row of prints (doc_id, key)."""
+    firsts = prints.groupBy(key).agg(F.min("doc_id").alias("first"))
+    rooted = cut(components_of(prints.select(key).distinct(), key, links).join(firsts, key))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return prints.join(rooted.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return prints.join(rooted.join(least, "root").select(key, "component_id"), key).select("doc_id", key, "component_id")
 
 
 def deduplicate(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """docs without the near-duplicates of a class but the row with its smallest doc_id.
+    """docs with one row of each class: that with the smallest doc_id, null last; of rows with one doc_id the first by
+    fingerprint, then by a hash of all columns. Rows that are equal in all columns are one."""
+    own = docs.select(F.col("doc_id").cast("long"), "text", row_hash(docs).alias("row"))
+
+    def make():
+        return lambda batch: {"doc_id": batch.column("doc_id"), "fp": [_signed(fingerprint(x, shingle)) for x in utf8(batch.column("text"))], "row": batch.column("row")}
+
+    prints = cut(map_batches(own, make, "doc_id long, fp long, row long"))
+    return first_of_classes(docs, prints, "fp", links)
+
+
+def first_of_classes(docs: DataFrame, prints: DataFrame, key: str, links) -> DataFrame:
+    """docs with the first row of each class of keys; prints: doc_id, key, row (its row_hash) for each row of docs.
 
-    Rows with a null doc_id can't be told apart and stay. Of repeated rows with one doc_id one stays (the first by text).
+    What tells the rows to keep from others is small: (doc_id, row) pairs. They meet the rows in one shuffle, which
+    also brings equal rows together.
     """
-    keep = classes(docs, shingle).where("doc_id = component_id").select("doc_id").distinct()
-    once = docs.where("doc_id is not null").join(keep, "doc_id", "left_semi")
-    return once.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    of_row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", key, "row")
+    rooted = components_of(prints.select(key).distinct(), key, links)
+    firsts = prints.groupBy(key).agg(F.min(of_row).alias("first"))
+    kept = firsts.join(rooted, key).groupBy("root").agg(F.min("first").alias("first")).select(F.coalesce("first.doc_id", F.lit(0)).alias("id"), F.col("first.row").alias("row"))
+    placed = docs.select(whole_row(docs).alias("whole"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), row_hash(docs).alias("row"))
+    return placed.join(kept, ["id", "row"], "left_semi").dropDuplicates(["id", "row"]).select("whole.*")
+
+
+def components_of(points: DataFrame, key: str, links) -> DataFrame:
+    """key, root of each of the distinct points; links makes the edges (a, b) between them."""
+    points = cut(points)
+    roots = connected_components(links(points)).withColumnRenamed("node", key)
+    return points.join(roots, key, "left").select(key, F.coalesce("root", key).alias("root"))
 
 
 def as_hex(fp: Column) -> Column:
