@@ -22,7 +22,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlap.llm.common import SPACES, cut
+from gridlap.llm.common import SPACES, cut, keep, whole_row
 from gridlap.llm.quality_rules import STOP_WORDS, SYMBOLS, without, words
 
 TRAIN_ROWS, TREES, DEPTH, LASSO = 20_000, 12, 3, 2e-3
@@ -33,27 +33,27 @@ UPPER_CASE = "ABCDEFGHIJKLMNOPQRSTUVWXYZÀÁÂÄÇÈÉÊËÍÑÓÔÖÚÜ"
 Rule = tuple[tuple[str, bool, float], ...]
 
 
-def statistics(docs: DataFrame, *keep: str) -> DataFrame:
-    """The columns named in keep, and FEATURES of each text."""
+def statistics(docs: DataFrame) -> DataFrame:
+    """row (a struct of all columns of docs, so that no name of theirs can clash), and FEATURES of each text."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = docs.select(*keep, text.alias("_t"), words(text).alias("_w"), F.length(without(text, SPACES)).alias("_c"))
+    base = docs.select(whole_row(docs).alias("row"), text.alias("t"), words(text).alias("w"), F.length(without(text, SPACES)).alias("c"))
     share = lambda part, whole: F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
-    removed = lambda chars: F.length("_t") - F.length(without(F.col("_t"), chars))
-    n = F.size("_w")
-    lines = F.split("_t", "\n")
+    removed = lambda chars: F.length("t") - F.length(without(F.col("t"), chars))
+    n = F.size("w")
+    lines = F.split("t", "\n")
     # Pairs of words, unlike words, don't recur more in a long text than in a short one.
-    pairs = F.transform(F.sequence(F.lit(0), n - 2), lambda i: F.xxhash64(F.col("_w")[i], F.col("_w")[i + 1]))
+    pairs = F.transform(F.sequence(F.lit(0), n - 2), lambda i: F.xxhash64(F.col("w")[i], F.col("w")[i + 1]))
     return base.select(
-        *keep,
+        "row",
         F.log1p(n).alias("log_words"),
-        share(F.col("_c"), n).alias("mean_word_chars"),
-        share(removed(SYMBOLS), F.col("_c")).alias("symbol_share"),
-        share(removed(UPPER_CASE), F.col("_c")).alias("upper_share"),
-        share(removed(".,;:!?"), F.col("_c")).alias("mark_share"),
-        share(removed("0123456789"), F.col("_c")).alias("digit_share"),
-        share(F.size(F.filter("_w", lambda x: x.isin(STOP_WORDS))), n).alias("stop_share"),
+        share(F.col("c"), n).alias("mean_word_chars"),
+        share(removed(SYMBOLS), F.col("c")).alias("symbol_share"),
+        share(removed(UPPER_CASE), F.col("c")).alias("upper_share"),
+        share(removed(".,;:!?"), F.col("c")).alias("mark_share"),
+        share(removed("0123456789"), F.col("c")).alias("digit_share"),
+        share(F.size(F.filter("w", lambda x: x.isin(STOP_WORDS))), n).alias("stop_share"),
         F.when(n < 2, F.lit(1.0)).otherwise(F.size(F.array_distinct(pairs)) / (n - 1)).alias("distinct_pair_share"),
-        share(F.size(F.filter("_w", lambda x, i: x == F.get(F.col("_w"), i - 1))), n).alias("echo_share"),
+        share(F.size(F.filter("w", lambda x, i: x == F.get(F.col("w"), i - 1))), n).alias("echo_share"),
         share(F.size(F.array_distinct(lines)), F.size(lines)).alias("distinct_line_share"),
         share(n, F.size(lines)).alias("words_a_line"),
     )
@@ -86,8 +86,11 @@ class RuleEnsemble:
 
 
 def fit(train: DataFrame, seed: int = 7) -> RuleEnsemble:
-    """train: doc_id, text, label (0 or 1), bounded by the caller."""
-    rows = cut(statistics(train.where("label in (0, 1)"), "label").withColumn("label", F.col("label").cast("double")))
+    """train: doc_id, text, label (0 or 1), bounded by the caller. The rows are put in order before trees are grown, so
+    the model doesn't depend on how the input lies in partitions."""
+    known = train.where("label in (0, 1)").select("doc_id", "text", "label")
+    found = cut(statistics(known).select("row.doc_id", F.xxhash64("row.text").alias("of"), F.col("row.label").cast("double").alias("label"), *FEATURES))
+    rows = cut(found.coalesce(1).sortWithinPartitions("doc_id", "of").select("label", *FEATURES))
     n, ones = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if ones in (0, n):
         share = (ones + 1) / (n + 2)
@@ -104,4 +107,10 @@ def fit(train: DataFrame, seed: int = 7) -> RuleEnsemble:
 
 def score(docs: DataFrame, model: RuleEnsemble) -> DataFrame:
     """doc_id, score for each row of docs."""
-    return statistics(docs, "doc_id").select("doc_id", model.column().alias("score"))
+    return statistics(docs.select("doc_id", "text")).select("row.doc_id", model.column().alias("score"))
+
+
+def keep_good(docs: DataFrame, model: RuleEnsemble) -> DataFrame:
+    """The rows of docs with a score of 0.5 or more, with all their columns."""
+    scored = statistics(docs).select("row", model.column().alias("score"))
+    return keep(scored, F.col("score") >= 0.5).select("row.*")

@@ -1,13 +1,14 @@
 """Secret scans with multipart credential linking.
 
 Base patterns (assignments, access identifiers, long hexadecimal runs) are reported as they stand. Other parts of
-a credential are weak by themselves: account names, unlabelled random-looking strings, endpoints. Their intervals,
-widened by `REACH` code points and kept inside a scope (text between blank lines), are joined with each other: a
-random string counts if an access identifier or account is in reach, an account if a secret is, an endpoint if
-both are. Weak candidates without their counterparts aren't reported.
+a credential are weak by themselves: account names, unlabelled random-looking strings, endpoints. A scope is the
+interval of text between two blank lines; parts are joined to the scopes that hold them, in one sweep over both in
+order of place, and a weak part is reported if its scope has the complementary ones: a random string needs an access
+identifier or account, an account needs a secret (an assignment, hexadecimal run or random string), an endpoint needs
+both. No part crosses a blank line, so each has one scope, however far apart in it the parts lie.
 
-Spans are in code points, end exclusive. Parts of a role don't overlap, so the nearest neighbours on either side
-decide the join: n log n in a text's candidates, whatever their number.
+Spans are in code points, end exclusive. A weak part that overlaps a stronger one (base, then endpoint and account,
+then random) isn't a candidate.
 
 Defined cases: a null text counts as empty; repeated rows each give a row; an empty table gives an empty result.
 Only doc_id and text are read; `redact` keeps all columns.
@@ -17,14 +18,13 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlap.llm.common import map_batches
 
-REACH = 200
 #: In the order in which spans with one start are listed.
 KINDS = ("assign", "access", "hex", "account", "random", "endpoint")
 ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -71,22 +71,8 @@ class _Cover:
         return at == 0 or self.ends[at - 1] <= start
 
 
-class _Role:
-    """Parts of one role by place; says whether one is in reach of a span."""
-
-    def __init__(self, parts: list[tuple[int, int, int]]) -> None:
-        self.parts = sorted(parts)  # scope, start, end
-
-    def near(self, scope: int, start: int, end: int) -> bool:
-        at = bisect_left(self.parts, (scope, start, end))
-        for s, a, b in self.parts[max(0, at - 1) : at + 2]:
-            if s == scope and (a, b) != (start, end) and a - end <= REACH and start - b <= REACH:
-                return True
-        return False
-
-
 def linked_spans(text: str, base: list[Span]) -> list[Span]:
-    """Weak candidates whose counterparts are in reach."""
+    """Weak candidates whose counterparts are in their scope."""
     accounts = [("account", *m.span()) for m in ACCOUNT.finditer(text)] if ":" in text or "=" in text else []
     if not base and not accounts:
         return []
@@ -97,17 +83,22 @@ def linked_spans(text: str, base: list[Span]) -> list[Span]:
     randoms = [("random", *m.span()) for m in LONG.finditer(text) if _random(m[0]) and taken.free(*m.span())]
     if not (randoms or accounts or endpoints):
         return []
-    breaks = [m.start() for m in SCOPE.finditer(text)]
-    placed = lambda spans: [(bisect_left(breaks, s), s, e) for _, s, e in spans]
-    identifiers = _Role(placed([x for x in base if x[0] == "access"]) + placed(accounts))
-    secrets = _Role(placed([x for x in base if x[0] != "access"]) + placed(randoms))
-    out = []
-    for span in [*accounts, *randoms, *endpoints]:
-        where = bisect_left(breaks, span[1]), span[1], span[2]
-        needs = {"account": (secrets,), "random": (identifiers,), "endpoint": (identifiers, secrets)}[span[0]]
-        if all(role.near(*where) for role in needs):
-            out.append(span)
-    return out
+    out: list[Span] = []
+    breaks, at, scope = [*(m.start() for m in SCOPE.finditer(text)), len(text)], 0, []
+    for span in sorted([*base, *accounts, *randoms, *endpoints], key=lambda x: x[1]):
+        if span[1] >= breaks[at]:
+            out += _complete(scope)
+            at, scope = bisect_right(breaks, span[1], at), []
+        scope.append(span)
+    return out + _complete(scope)
+
+
+def _complete(scope: list[Span]) -> list[Span]:
+    """The weak parts of one scope that have their counterparts in it."""
+    there = {k for k, _, _ in scope}
+    identifier, secret = bool(there & {"access", "account"}), bool(there & {"assign", "hex", "random"})
+    met = {"account": secret, "random": identifier, "endpoint": identifier and secret}
+    return [x for x in scope if met.get(x[0])]
 
 
 def all_spans(text: str) -> tuple[list[Span], list[Span]]:
