@@ -1,113 +1,150 @@
 """Language-model scores: a word unigram base, and context-tree weighting over binary-decomposed bytes.
 
-Text is read as tokens: its words with A-Z lowered, then one end. For the tree a word is its bytes and a closing
-space, the end is a line feed; a byte's context is the token's bytes before it, with the opening space, up to
-`DEPTH` of them. Each byte is eight binary decisions; each decision has a node in every context of its path, with a
-Krichevsky-Trofimov estimate of its counts. A node's weighted probability is half its own block estimate plus half
-the product of its children's; the weights that follow mix the estimates of all depths when a text is scored.
-
-Counts come from all training texts: words are counted once over the corpus, and byte contexts are counted from
-the word table. A context keeps a node of its own if it has at least 1 in 2^15 of all training bytes; what rarer
-children hold together is one pooled child. The same share holds at every corpus size, and it bounds the model:
-at most 2^15 contexts of each depth, times 256 symbols.
-
-Every distinct word is scored once. Words with at least 1 in 2^20 of all tokens (so at most 2^20 of them) go to
-the tasks in one broadcast; a text's other words meet the word table in a join, so no vocabulary has to fit in
-memory. Word counts inside a text are summed before the shuffle.
+Text is read as tokens: its words with A-Z lowered, then one end. For the tree it is the stream of the words' bytes,
+each word closed by a space, and a line feed as the end. A byte's context is the `DEPTH` bytes before it, over the
+borders of words; before the text there are line feeds. Each byte is eight binary decisions, each with a node in the
+contexts of depth 0 to `DEPTH`. A node's estimate is that of Krichevsky and Trofimov from the training counts (one
+half where it has seen nothing); its weighted probability is half its own block estimate plus half the product of its
+children's, and at the greatest depth its own. A decision's probability mixes the estimates of all depths by the
+weights that follow. The code length of a text is what all its bytes take.
+
+All contexts are kept, however rare: what is gathered grows with the corpus. A gram is a context of full depth and the
+byte after it; the distinct grams of all texts are one table, dealt out by the three nearest bytes of the context.
+Depths 3 to `DEPTH` are weighed inside these groups, depths 1 and 2 inside groups of the nearest byte (at most 2^16
+contexts each), and of depth 1 there are at most 256 contexts of 255 nodes, so the root is weighed on the driver.
+Mixtures go back down the same way, and each gram gets its log probability.
+
+Grams with at least 1 in 2^23 of all bytes (so at most 2^23 of them, 100 MB) and words with at least 1 in 2^20 of all
+tokens (at most 2^20) go to the tasks in broadcasts; a text's other grams and words, counted inside the text, meet
+their tables in joins, so neither table has to fit in memory.
 
 Defined cases: a null or empty text has the one token end; a null doc_id counts as an empty text for the fold;
-repeated rows are each counted and each scored. With no training text at all, N is 0, V is 0 and every byte has
-probability 1/256. An empty table gives an empty result. Only doc_id and text are read.
+repeated rows are each counted and each scored; a very long text is read in pieces with their contexts. With no
+training text at all, N is 0, V is 0 and every byte has probability 1/256. An empty table gives an empty result. Only
+doc_id and text are read.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlap.llm.common import arrow_schema, cut, utf8
+from gridlap.llm.common import arrow_schema, cut, share, utf8
 
-DEPTH, CONTEXT_SHARE, WORD_SHARE = 5, 1 << 15, 1 << 20
-#: Words that a task counts before it hands counts on.
-FLUSH = 400_000
-END = b""
+DEPTH, GRAM_SHARE, WORD_SHARE = 5, 1 << 23, 1 << 20
+#: Words, and grams, that a task counts before it hands counts on; bytes, and rows of the tree, that it holds at once.
+FLUSH_WORDS, FLUSH_GRAMS, PIECE, ROWS_AT_ONCE = 400_000, 4_000_000, 1 << 22, 400_000
+END, BEFORE, GRAM_BITS = b"", b"\n" * DEPTH, 8 * (DEPTH + 1)
 
 
 def fold(doc_id: str = "doc_id") -> F.Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """word (bytes; empty for the end), train, rest: how often each occurs in training texts and in the others."""
+def stream(words: list[bytes]) -> bytes:
+    return b" ".join(words) + b" \n" if words else b"\n"
+
+
+def grams(streams: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The grams of the streams in order, in bounded pieces: their numbers; the indices of the streams; where each begins."""
+    at = 0
+    while at < len(streams):
+        parts, own, size = [], [], 0
+        while at < len(streams) and size < PIECE:
+            if len(streams[at]) > 2 * PIECE:
+                if parts:
+                    break
+                for start in range(0, len(streams[at]), PIECE):
+                    body = streams[at][max(0, start - DEPTH) : start + PIECE]
+                    yield _grams([body if start else BEFORE + body]), np.array([at]), np.array([0])
+            else:
+                parts.append(BEFORE + streams[at])
+                own.append(at)
+                size += len(parts[-1])
+            at += 1
+        if parts:
+            yield _grams(parts), np.array(own), np.cumsum([0, *(len(p) - DEPTH for p in parts[:-1])])
+
+
+def _grams(parts: list[bytes]) -> np.ndarray:
+    """Of each part its bytes from the place DEPTH on, after their contexts: symbol in the lowest byte, then the context, its nearest byte highest."""
+    joined = np.frombuffer(b"".join(parts), dtype=np.uint8)
+    n = len(joined) - DEPTH
+    out = np.zeros((n, 8), dtype=np.uint8)
+    out[:, 0] = joined[DEPTH:]
+    for d in range(DEPTH):
+        out[:, d + 1] = joined[d : d + n]
+    found = out.view("<i8").ravel()
+    if len(parts) > 1:
+        inner = np.cumsum([len(p) for p in parts[:-1]])
+        mask = np.ones(n, dtype=bool)
+        mask[(inner[:, None] - DEPTH + np.arange(DEPTH)).ravel()] = False
+        found = found[mask]
+    return found
+
+
+def _merged(counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    if len(counts) == 1:
+        return counts[0]
+    keys = np.concatenate([k for k, _ in counts])
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[first], np.add.reduceat(np.concatenate([n for _, n in counts])[order], first)
+
+
+_COUNTS = "word binary, gram long, train long, rest long"
+
+
+def corpus_counts(docs: DataFrame) -> DataFrame:
+    """word (bytes; empty for the end) or gram, train, rest: how often each occurs in training texts and in the others."""
+    schema = arrow_schema(_COUNTS)
 
     def run(batches):
-        counts: tuple[Counter, Counter] = Counter(), Counter()
+        words: tuple[Counter, Counter] = Counter(), Counter()
+        found: tuple[list, list] = [], []
 
-        def rows():
-            words = list(dict.fromkeys([*counts[0], *counts[1]])) if counts[1] else list(counts[0])
-            cols = [pa.array(words, pa.binary()), *(pa.array([c.get(w, 0) for w in words], pa.int64()) for c in counts)]
-            for c in counts:
+        def word_rows():
+            names = list(dict.fromkeys([*words[0], *words[1]]))
+            cols = [pa.array(names, pa.binary()), pa.nulls(len(names), pa.int64()), *(pa.array([c.get(w, 0) for w in names], pa.int64()) for c in words)]
+            for c in words:
                 c.clear()
-            return pa.RecordBatch.from_arrays(cols, names=["word", "train", "rest"])
-
-        for batch in batches:
-            for held, text in zip(batch.column("held_out").to_pylist(), utf8(batch.column("text")), strict=True):
-                own = counts[held]
-                own.update((text or b"").lower().split())
-                own[END] += 1
-                if len(own) > FLUSH:
-                    yield rows()
-        yield rows()
-
-    return docs.select("held_out", "text").mapInArrow(run, "word binary, train long, rest long").groupBy("word").agg(F.sum("train").alias("train"), F.sum("rest").alias("rest"))
-
-
-def _positions(words: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
-    """All bytes of the words' tokens: symbols; for each depth the context as a number; depth of each; word of each."""
-    tokens = [b" " + w + b" " if w else b" \n" for w in words]
-    sizes = np.array([len(t) for t in tokens], dtype=np.int64)
-    joined = np.frombuffer(b"".join(tokens), dtype=np.uint8).astype(np.int64)
-    word = np.repeat(np.arange(len(words)), sizes)
-    inside = np.arange(len(joined)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    at = np.flatnonzero(inside > 0)
-    codes = [np.zeros(len(at), dtype=np.int64)]
-    for d in range(1, DEPTH + 1):
-        before = np.where(inside[at] >= d, joined[np.maximum(at - d, 0)], 0)
-        codes.append(codes[-1] | before << (8 * (d - 1)))
-    return joined[at], codes, np.minimum(inside[at], DEPTH), word[at]
-
-
-def context_counts(words: DataFrame) -> DataFrame:
-    """depth, context, symbol, n: how often training text has the symbol after each context of each depth."""
-
-    def run(batches):
-        for batch in batches:
-            symbols, codes, depth, word = _positions(batch.column("word").to_pylist())
-            n = batch.column("train").to_numpy(zero_copy_only=False)[word]
-            # Only the deepest context of each place; the others follow from it.
-            key = (codes[DEPTH] << 8 | symbols) << 3 | depth
-            key, where = np.unique(key, return_inverse=True)
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.bincount(where, weights=n, minlength=len(key)).astype(np.int64))], names=["key", "n"])
-
-    deep = words.where("train > 0").select("word", "train").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    deep = deep.select((F.col("key").bitwiseAND(7)).cast("int").alias("most"), F.shiftright("key", 3).bitwiseAND(255).cast("int").alias("symbol"), F.shiftright("key", 11).alias("context"), "n")
-    every = deep.select(F.explode(F.sequence(F.lit(0), "most")).alias("depth"), "context", "symbol", "n")
-    masks = F.array(*[F.lit((1 << 8 * d) - 1) for d in range(DEPTH + 1)])
-    own = F.col("context").bitwiseAND(masks[F.col("depth")])
-    return every.groupBy("depth", own.alias("context"), "symbol").agg(F.sum("n").alias("n"))
+            return pa.RecordBatch.from_arrays(cols, schema=schema)
 
+        def gram_rows(held):
+            keys, n = _merged(found[held])
+            found[held].clear()
+            none = np.zeros(len(n), dtype=np.int64)
+            return pa.RecordBatch.from_arrays([pa.nulls(len(n), pa.binary()), pa.array(keys), *map(pa.array, (none, n) if held else (n, none))], schema=schema)
 
-def frequent_contexts(counts: DataFrame) -> DataFrame:
-    """The counts of contexts with at least 1 in CONTEXT_SHARE of all training bytes: at most so many of each depth."""
-    counts = cut(counts)
-    sizes = counts.groupBy("depth", "context").agg(F.sum("n").alias("size"))
-    total = counts.where("depth = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    return counts.join(sizes.where(F.col("size") * CONTEXT_SHARE >= total), ["depth", "context"]).select("depth", "context", "symbol", "n")
+        for whole in batches:
+            for start in range(0, whole.num_rows, 1024):
+                batch, streams = whole.slice(start, 1024), ([], [])
+                for held, text in zip(batch.column("held_out").to_pylist(), utf8(batch.column("text")), strict=True):
+                    own, split = words[held], (text or b"").lower().split()
+                    own.update(split)
+                    own[END] += 1
+                    streams[held].append(stream(split))
+                    if len(own) > FLUSH_WORDS:
+                        yield word_rows()
+                for held in (0, 1):
+                    for codes, _, _ in grams(streams[held]):
+                        found[held].append(np.unique(codes, return_counts=True))
+                    if sum(len(k) for k, _ in found[held]) > FLUSH_GRAMS:
+                        found[held][:] = [_merged(found[held])]
+                        if len(found[held][0][0]) > FLUSH_GRAMS // 2:
+                            yield gram_rows(held)
+        yield word_rows()
+        for held in (0, 1):
+            if found[held]:
+                yield gram_rows(held)
+
+    return docs.select("held_out", "text").mapInArrow(run, _COUNTS).groupBy("word", "gram").agg(F.sum("train").alias("train"), F.sum("rest").alias("rest"))
 
 
 def _lgamma(x: np.ndarray) -> np.ndarray:
@@ -119,168 +156,226 @@ def _lgamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - shift
 
 
-def _block(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+def block(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Log of the Krichevsky-Trofimov probability of so many zeros and ones."""
     return _lgamma(zeros + 0.5) + _lgamma(ones + 0.5) - np.log(np.pi) - _lgamma(zeros + ones + 1.0)
 
 
-def _bits(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Zeros and ones at the nodes 1 to 255 of each row's binary tree over 256 symbols."""
-    total = np.zeros((len(counts), 512))
-    total[:, 256:] = counts
-    for node in range(255, 0, -1):
-        total[:, node] = total[:, 2 * node] + total[:, 2 * node + 1]
-    nodes = np.arange(256)
-    zeros, ones = total[:, 2 * nodes], total[:, 2 * nodes + 1]
-    zeros[:, 0] = ones[:, 0] = 0
-    return zeros, ones
-
-
-@dataclass
-class Model:
-    """keys: the kept contexts of each depth, in order; first: their first rows; logs: log10 P(symbol | context)."""
-
-    keys: list[np.ndarray]
-    first: list[int]
-    logs: np.ndarray
-
-    def rows(self, codes: list[np.ndarray], depth: np.ndarray) -> np.ndarray:
-        """The row of the deepest kept context of each place."""
-        found = np.zeros(len(depth), dtype=np.int64)
-        for d in range(1, len(self.keys)):
-            keys = self.keys[d]
-            if len(keys):
-                at = np.minimum(np.searchsorted(keys, codes[d]), len(keys) - 1)
-                found = np.where((depth >= d) & (keys[at] == codes[d]), self.first[d] + at, found)
-        return found
-
-    def words(self, words: list[bytes]) -> np.ndarray:
-        """log10 P of each word's token."""
-        if not words:
-            return np.zeros(0)
-        symbols, codes, depth, word = _positions(words)
-        return np.bincount(word, weights=self.logs[self.rows(codes, depth), symbols], minlength=len(words))
-
-
-def weigh(depth: np.ndarray, context: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> Model:
-    """The weighted tree over kept contexts' counts."""
-    keys, tables = [], []
-    for d in range(DEPTH + 1):
-        here = depth == d
-        ks, row = np.unique(context[here], return_inverse=True)
-        table = np.zeros((max(len(ks), 1 if d == 0 else 0), 256))
-        np.add.at(table, (row, symbol[here]), n[here])
-        keys.append(ks if d else np.zeros(1, dtype=np.int64))
-        tables.append(table)
-    parents = [None] + [np.searchsorted(keys[d - 1], keys[d] & ((1 << 8 * (d - 1)) - 1)) for d in range(1, DEPTH + 1)]
-    bits, weights, rests = [_bits(t) for t in tables], [None] * (DEPTH + 1), [None] * (DEPTH + 1)
-    weighted = None  # log P_w of the nodes one level down
-    for d in range(DEPTH, -1, -1):
-        zeros, ones = bits[d]
-        below, z, o = np.zeros_like(zeros), zeros.copy(), ones.copy()
-        if d < DEPTH and len(keys[d + 1]):
-            np.add.at(below, parents[d + 1], weighted)
-            np.subtract.at(z, parents[d + 1], bits[d + 1][0])
-            np.subtract.at(o, parents[d + 1], bits[d + 1][1])
-        own = _block(zeros, ones)
-        if d == DEPTH:
-            weights[d], weighted = np.ones_like(own), own
-        else:
-            below += _block(z, o)
-            weighted = np.logaddexp(own, below) - np.log(2)
-            weights[d] = np.exp(own - np.log(2) - weighted)
-        rests[d] = (o + 0.5) / (z + o + 1)
-    logs, mixed, left, final = [], None, None, None
-    for d in range(DEPTH + 1):
-        zeros, ones = bits[d]
-        estimate = (ones + 0.5) / (zeros + ones + 1)
-        up_mixed, up_left = (mixed[parents[d]], left[parents[d]]) if d else (0.0, 1.0)
-        mixed_here = up_mixed + up_left * weights[d] * estimate
-        left_here = up_left * (1 - weights[d])
-        final_here = mixed_here + left_here * rests[d]
-        if d:  # a node that a context has never seen is left to the context before it
-            final_here = np.where(zeros + ones == 0, final[parents[d]], final_here)
-        mixed, left, final = mixed_here, left_here, final_here
-        one = np.log10(np.clip(final, 1e-300, 1))
-        zero = np.log10(np.clip(1 - final, 1e-300, 1))
-        table = np.zeros((len(final), 256))
-        for k in range(8):
-            node = 1 << k | np.arange(256) >> (8 - k)
-            table += np.where(np.arange(256) >> (7 - k) & 1, one[:, node], zero[:, node])
-        logs.append(table)
-    first = np.cumsum([0, *map(len, keys)])[:-1].tolist()
-    return Model(keys, first, np.concatenate(logs).astype(np.float32))
-
-
-def fit(words: DataFrame) -> Model:
-    """The model of the counted words; what reaches the driver is bounded by CONTEXT_SHARE."""
-    kept = frequent_contexts(context_counts(words)).toArrow()
-    return weigh(*(kept.column(c).to_numpy() for c in ("depth", "context", "symbol", "n")))
-
-
-def _score_words(words: DataFrame, model: Model) -> DataFrame:
-    """word, train, total, log10_p."""
-    shared = words.sparkSession.sparkContext.broadcast(model)
+class Level:
+    """The nodes of one depth, by key (context and binary node), from rows that each lie under one of them.
 
-    def run(batches):
-        for batch in batches:
-            train, rest = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("train", "rest"))
-            logs = shared.value.words(batch.column("word").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(train), pa.array(train + rest), pa.array(logs)], names=["word", "train", "total", "log10_p"])
+    below: the log of each row's weighted probability, if rows are nodes one level down; without it the nodes are leaves.
+    """
+
+    def __init__(self, keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray | None) -> None:
+        self.keys, self.row = np.unique(keys, return_inverse=True)
+        total = lambda x: np.bincount(self.row, weights=x, minlength=len(self.keys))
+        self.zeros, self.ones = total(zeros), total(ones)
+        own = block(self.zeros, self.ones)
+        self.log = own if below is None else np.logaddexp(own, total(below)) - np.log(2)
+        self.weight = np.ones_like(own) if below is None else np.exp(own - np.log(2) - self.log)
+        self.one = (self.ones + 0.5) / (self.zeros + self.ones + 1)
+
+    def up(self, shift: int) -> np.ndarray:
+        """The keys of the nodes one level up."""
+        return self.keys >> (8 + shift) << 8 | self.keys & 255
+
+
+def _deep(gram: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, list[Level]]]:
+    """For each of a symbol's eight decisions: whether it is a one in each row, and the levels from DEPTH down to 3."""
+    symbol, context = gram & 255, gram >> 8
+    for k in range(8):
+        node, one = 1 << k | symbol >> (8 - k), symbol >> (7 - k) & 1
+        levels = [Level(context << 8 | node, n * (1 - one), n * one, None)]
+        for _ in range(DEPTH - 3):
+            x = levels[-1]
+            levels.append(Level(x.up(8), x.zeros, x.ones, x.log))
+        yield one, levels
 
-    return words.select("word", "train", "rest").mapInArrow(run, "word binary, train long, total long, log10_p double")
 
+def _upper(key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, log: np.ndarray) -> tuple[Level, Level]:
+    """Depths 2 and 1 over nodes of depth 3."""
+    two = Level(key >> 16 << 8 | key & 255, zeros, ones, log)
+    return two, Level(two.up(8), two.zeros, two.ones, two.log)
 
-_PARTS = "rid long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, word binary, n long"
 
+def _by_groups(df: DataFrame, group: str, order: list[str], work: Callable[[pa.Table], pa.RecordBatch], schema: str) -> DataFrame:
+    """work on rows of df in whole groups, some at a time, in order."""
 
-def _part(docs: DataFrame, frequent: dict, one_less: float) -> DataFrame:
-    """For each text what its frequent words give, and a row for each of its other words."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(frequent)
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= ROWS_AT_ONCE:
+                table = pa.Table.from_batches(held)
+                of = table.column("part").to_numpy()
+                last = int(np.searchsorted(of, of[-1]))
+                if last:
+                    yield work(table.slice(0, last))
+                    table = table.slice(last)
+                held, size = table.to_batches(), table.num_rows
+        if size:
+            yield work(pa.Table.from_batches(held))
+
+    return df.withColumn("part", F.expr(group)).repartition("part").sortWithinPartitions("part", *order).mapInArrow(run, schema)
+
+
+def gram_scores(counts: DataFrame) -> DataFrame:
+    """gram, log10_p of each gram in counts (gram, train), by the weighted tree of the training counts."""
+    np_of = lambda t, *names: [t.column(c).to_numpy() for c in names]
+    nodes, upper, mixed, scored = "key long, zeros double, ones double, log double", "node int, zeros double, ones double, log double", "key long, mixed double, remains double", "gram long, log10_p double"
+    schemas = {x: arrow_schema(x) for x in (nodes, upper, mixed, scored)}
+    batch = lambda x, *cols: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schemas[x], strict=True)], schema=schemas[x])
+
+    def weigh_deep(t):
+        found = [levels[-1] for _, levels in _deep(*np_of(t, "gram", "train"))]
+        return batch(nodes, *(np.concatenate([getattr(x, c) for x in found]) for c in ("keys", "zeros", "ones", "log")))
+
+    def weigh_upper(t):
+        one = _upper(*np_of(t, "key", "zeros", "ones", "log"))[1]
+        return batch(upper, one.keys & 255, one.zeros, one.ones, one.log)
+
+    three = cut(_by_groups(counts.select("gram", "train"), "shiftright(gram, 24)", ["gram"], weigh_deep, nodes))
+    tops = _by_groups(three, "shiftright(key, 24)", ["key"], weigh_upper, upper).groupBy("node").agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "log"))).toArrow()  # at most 255 rows
+    root = Level(*np_of(tops, "node", "zeros", "ones", "log"))
+    top_mixed, top_remains = np.zeros(256), np.ones(256)
+    top_mixed[root.keys], top_remains[root.keys] = root.weight * root.one, 1 - root.weight
+
+    def mix_upper(t):
+        key, zeros, ones, log = np_of(t, "key", "zeros", "ones", "log")
+        two, one = _upper(key, zeros, ones, log)
+        p, left = top_mixed[one.keys & 255], top_remains[one.keys & 255]
+        p, left = p + left * one.weight * one.one, left * (1 - one.weight)
+        p, left = p[one.row], left[one.row]
+        p, left = p + left * two.weight * two.one, left * (1 - two.weight)
+        return batch(mixed, key, p[two.row], left[two.row])
+
+    def mix_deep(t):
+        down = t.column("mixed").is_valid().to_numpy()
+        key, p_up, left_up = (x[down] for x in np_of(t, "gram", "mixed", "remains"))
+        gram, n = (x[~down] for x in np_of(t, "gram", "train"))
+        order = np.argsort(key)
+        key, p_up, left_up = key[order], p_up[order], left_up[order]
+        total = np.zeros(len(gram))
+        for one, levels in _deep(gram, n.astype(float)):
+            at = np.searchsorted(key, levels[-1].keys)
+            p, left = p_up[at], left_up[at]
+            for d in range(len(levels) - 1, -1, -1):
+                x = levels[d]
+                p, left = (p + left * x.weight * x.one)[x.row], (left * (1 - x.weight))[x.row]
+            total += np.log10(np.clip(np.where(one == 1, p, 1 - p), 1e-300, 1))
+        return batch(scored, gram, total)
+
+    back = _by_groups(three, "shiftright(key, 24)", ["key"], mix_upper, mixed)
+    both = counts.select("gram", "train", F.lit(None).cast("double").alias("mixed"), F.lit(None).cast("double").alias("remains"), (F.shiftright("gram", 24)).alias("of"))
+    both = both.unionByName(back.select(F.col("key").alias("gram"), F.lit(0).cast("long").alias("train"), "mixed", "remains", F.shiftright("key", 8).alias("of")))
+    return _by_groups(both, "of", ["gram"], mix_deep, scored)
+
+
+class Lookup:
+    """A hash table of gram numbers and their values, for whole arrays at once."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        self.shift = np.uint64(64 - max(4, int(4 * len(keys)).bit_length()))
+        self.last = (1 << 64 - int(self.shift)) - 1
+        self.keys, self.values = np.full(self.last + 1, -1, dtype=np.int64), np.zeros(self.last + 1, dtype=np.float32)
+        left, at = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            empty = self.keys[at] < 0
+            self.keys[at[empty]] = keys[left[empty]]
+            won = self.keys[at] == keys[left]
+            self.values[at[won]] = values[left[won]]
+            left, at = left[~won], at[~won] + 1 & self.last
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).view(np.int64)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values (0 for keys not held), and the places of keys not held."""
+        at = self._slot(keys)
+        held = self.keys[at]
+        out = np.where(held == keys, self.values[at], 0)
+        missing, todo = [np.flatnonzero(held < 0)], np.flatnonzero((held != keys) & (held >= 0))
+        at = at[todo]
+        while len(todo):
+            at = at + 1 & self.last
+            held = self.keys[at]
+            hit, none = held == keys[todo], held < 0
+            out[todo[hit]] = self.values[at[hit]]
+            missing.append(todo[none])
+            on = ~(hit | none)
+            todo, at = todo[on], at[on]
+        return out, np.concatenate(missing)
+
+
+_PARTS = "rid long, doc_id long, held_out boolean, n_tokens long, n_bytes long, n_known long, base double, score double, word binary, gram long, n long"
+
+
+def _part(docs: DataFrame, words: dict[bytes, float], often: tuple[np.ndarray, np.ndarray], one_less: float) -> DataFrame:
+    """For each text what its frequent words and grams give, and a row for each of its other words and grams."""
+    shared = share(docs.sparkSession, (words, often))
     schema = arrow_schema(_PARTS)
 
     def run(batches):
-        known = shared.value
+        known, table = shared()
+        table = Lookup(*table)
+        none = lambda n, i: pa.nulls(n, schema.field(i).type)
+
+        def rare_rows(rid, word, gram, n):
+            return pa.RecordBatch.from_arrays([pa.array(rid, pa.int64()), *(none(len(rid), i) for i in range(1, 8)), none(len(rid), 8) if word is None else pa.array(word, pa.binary()), none(len(rid), 9) if gram is None else pa.array(gram), pa.array(n, pa.int64())], schema=schema)
+
         for whole in batches:
-            for start in range(0, whole.num_rows, 256):
-                batch = whole.slice(start, 256)
-                sums, rare = [], ([], [], [])
-                for rid, text in zip(batch.column("rid").to_pylist(), utf8(batch.column("text")), strict=True):
+            for start in range(0, whole.num_rows, 512):
+                batch = whole.slice(start, 512)
+                rids, streams, sums, rare = batch.column("rid").to_numpy(), [], [], ([], [], [])
+                for rid, text in zip(rids.tolist(), utf8(batch.column("text")), strict=True):
                     words = (text or b"").lower().split()
-                    n_known, base, score = 0, 0.0, 0.0
+                    streams.append(stream(words))
+                    n_known, base = 0, 0.0
                     words.append(END)
                     for word, n in Counter(words).items():
-                        if (row := known.get(word)) is not None:
-                            if row[0]:
+                        if (log := known.get(word)) is not None:
+                            if log:
                                 n_known += n
-                            base += n * row[1]
-                            score += n * row[2]
+                                base += n * log
                         else:
                             rare[0].append(rid)
                             rare[1].append(word)
                             rare[2].append(n)
-                    sums.append((len(words), n_known, base - len(words) * one_less, score))
-                n_rows, n_rare = batch.num_rows, len(rare[0])
-                none = lambda n, kind: pa.nulls(n, kind)
-                first = [batch.column("rid"), batch.column("doc_id"), batch.column("held_out"), *(pa.array(c, schema.field(i).type) for i, c in zip((3, 4, 5, 6), zip(*sums, strict=True), strict=True)), none(n_rows, pa.binary()), none(n_rows, pa.int64())]
-                yield pa.RecordBatch.from_arrays(first, schema=schema)
-                yield pa.RecordBatch.from_arrays([pa.array(rare[0], pa.int64()), *(none(n_rare, schema.field(i).type) for i in range(1, 7)), pa.array(rare[1], pa.binary()), pa.array(rare[2], pa.int64())], schema=schema)
+                    sums.append((len(words), len(streams[-1]), n_known, base - len(words) * one_less))
+                score = np.zeros(len(streams))
+                for codes, own, first in grams(streams):
+                    logs, missing = table.find(codes)
+                    score[own] += np.add.reduceat(logs, first, dtype=float)
+                    if len(missing):
+                        of = own[np.searchsorted(first, missing, side="right") - 1]
+                        pair, n = np.unique(of << GRAM_BITS | codes[missing], return_counts=True)
+                        yield rare_rows(rids[pair >> GRAM_BITS], None, pair & (1 << GRAM_BITS) - 1, n)
+                cols = [*zip(*sums, strict=True), score]
+                yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("doc_id"), batch.column("held_out"), *(pa.array(c, schema.field(i).type) for i, c in enumerate(cols, 3)), *(none(len(sums), i) for i in (8, 9, 10))], schema=schema)
+                yield rare_rows(rare[0], rare[1], None, rare[2])
 
     return docs.select("rid", "doc_id", "held_out", "text").mapInArrow(run, _PARTS)
 
 
-def score(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of docs."""
+def score(docs: DataFrame, folds: int = 7, held: int = 2, gram_share: int = GRAM_SHARE, word_share: int = WORD_SHARE) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte for each row of docs."""
     docs = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long"), (fold() % folds == held).alias("held_out"), "text")
-    counts = cut(word_counts(docs))
-    n_train, distinct, total = counts.agg(F.coalesce(F.sum("train"), F.lit(0)), F.count_if(F.col("train") > 0), F.coalesce(F.sum(F.col("train") + F.col("rest")), F.lit(0))).first()
-    words = cut(_score_words(counts, fit(counts)))
-    top = words.where(F.col("total") * WORD_SHARE >= total).toArrow()  # at most WORD_SHARE rows
-    frequent = dict(zip(top.column("word").to_pylist(), zip(top.column("train").to_pylist(), np.log10(top.column("train").to_numpy() + 1.0).tolist(), top.column("log10_p").to_pylist(), strict=True), strict=True))
-    parts = cut(_part(docs, frequent, float(np.log10(n_train + distinct + 1))))
-    rare = parts.where("word is not null").select("rid", "word", "n").join(words.select("word", "train", "log10_p"), "word")
-    rare = rare.select("rid", F.when(F.col("train") > 0, F.col("n")).otherwise(0).alias("n_known"), (F.col("n") * F.log10(F.col("train") + 1.0)).alias("base"), (F.col("n") * F.col("log10_p")).alias("score"))
-    sums = rare.groupBy("rid").agg(*(F.sum(c).alias(f"rare_{c}") for c in ("n_known", "base", "score")))
-    added = lambda c: F.col(c) + F.coalesce(F.col(f"rare_{c}"), F.lit(0))
-    return parts.where("word is null").select("rid", "doc_id", "held_out", "n_tokens", "n_known", "base", "score").join(sums, "rid", "left").select("doc_id", "held_out", "n_tokens", added("n_known").alias("n_known"), F.lit(n_train).cast("long").alias("train_tokens"), added("base").alias("base_score"), added("score").alias("score"))
+    counts = cut(corpus_counts(docs))
+    words, every = counts.where("word is not null").select("word", "train", "rest"), counts.where("gram is not null").select("gram", "train", "rest")
+    sizes = lambda df: df.agg(F.coalesce(F.sum("train"), F.lit(0)), F.count_if(F.col("train") > 0), F.coalesce(F.sum(F.col("train") + F.col("rest")), F.lit(0))).first()
+    (n_train, distinct, n_tokens), (_, _, n_bytes) = sizes(words), sizes(every)
+    values = cut(gram_scores(every))
+    top = words.where((F.col("train") + F.col("rest")) * word_share >= n_tokens).select("word", "train").toArrow()  # at most word_share rows
+    known = dict(zip(top.column("word").to_pylist(), np.log10(top.column("train").to_numpy() + 1.0).tolist(), strict=True))
+    often = every.where((F.col("train") + F.col("rest")) * gram_share >= n_bytes).select("gram").join(values, "gram").toArrow()  # at most gram_share rows
+    parts = cut(_part(docs, known, tuple(often.column(c).to_numpy() for c in ("gram", "log10_p")), float(np.log10(n_train + distinct + 1))))
+    rare_words = parts.where("word is not null").select("rid", "word", "n").join(words.select("word", "train"), "word")
+    rare_words = rare_words.select("rid", F.when(F.col("train") > 0, F.col("n")).otherwise(0).alias("n_known"), (F.col("n") * F.log10(F.col("train") + 1.0)).alias("base"), F.lit(0.0).alias("score"))
+    rare_grams = parts.where("gram is not null").select("rid", "gram", "n").join(values, "gram")
+    rare_grams = rare_grams.select("rid", F.lit(0).cast("long").alias("n_known"), F.lit(0.0).alias("base"), (F.col("n") * F.col("log10_p")).alias("score"))
+    texts = parts.where("word is null and gram is null").select("rid", "doc_id", "held_out", "n_tokens", "n_bytes", "n_known", "base", "score")
+    rare = [r.select("rid", *(F.lit(None).cast(texts.schema[c].dataType).alias(c) for c in ("doc_id", "held_out", "n_tokens", "n_bytes")), "n_known", "base", "score") for r in (rare_words, rare_grams)]
+    whole = texts.unionByName(rare[0]).unionByName(rare[1]).groupBy("rid").agg(*(F.max(c).alias(c) for c in ("doc_id", "held_out", "n_tokens", "n_bytes")), *(F.sum(c).alias(c) for c in ("n_known", "base", "score")))
+    return whole.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score", (-F.col("score") / F.col("n_bytes") * F.log2(F.lit(10.0))).alias("bits_per_byte"))
