@@ -83,7 +83,3 @@ def null_outside(c: Column, low: float | None = None, high: float | None = None)
 def right_closed_bin(c: Column, width: int, top: int) -> Column:
     """The left edge of the bin (a, a + width] in (0, top]; null outside."""
     return F.when((c > 0) & (c <= top), ((F.ceil(c / width) - 1) * width).cast("long"))
-
-
-def percent_text(part: Column, whole: Column) -> Column:
-    return F.format_string("%d nulls (%.1f%%)", part, 100 * part / whole)

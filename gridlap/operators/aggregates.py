@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlap.operators import rows
+from gridlap.operators import order, rows
 from gridlap.operators.rolling import KEYS
 
 
@@ -69,17 +69,11 @@ def pivot_median(df: DataFrame, row: str, bin_of: str, edges: Sequence[float], v
 
 
 def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """a, b, correlation of ranks for every pair of columns, over rows without nulls; ties share their mean rank.
-
-    Ranks come from each column's distinct values with their counts, so what is ordered in one window is no larger
-    than the values are varied.
-    """
+    """a, b, correlation of ranks for every pair of columns, over rows without nulls; ties share their mean rank."""
     whole = df.select(*columns).dropna("any")
     ranked = whole
     for c in columns:
-        counts = whole.groupBy(c).agg(F.count("*").alias("_n"))
-        upto = F.sum("_n").over(Window.orderBy(c))
-        ranked = ranked.join(counts.select(c, (upto - (F.col("_n") - 1) / 2).alias(f"_r_{c}")), c)
+        ranked = ranked.join(order.mean_ranks(whole, c).withColumnRenamed("rank", f"_r_{c}"), c)
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     row = ranked.agg(*(F.corr(f"_r_{a}", f"_r_{b}").alias(f"{a}|{b}") for a, b in pairs))
     return _tall(row, pairs, "correlation")
@@ -116,6 +110,11 @@ def coverage(df: DataFrame, columns: Sequence[str], least: float = 0.3) -> DataF
     return tall.withColumn("status", F.when(F.col("share") < least, "warning").otherwise("ok"))
 
 
+def missing_share(df: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
+    """by, row_count, missing: how many rows each group has, and the share of them without a value."""
+    return df.groupBy(*by).agg(F.count("*").alias("row_count"), F.avg(F.col(column).isNull().cast("int")).alias("missing"))
+
+
 def win_rate(df: DataFrame, position: str = "position") -> DataFrame:
     rate = F.count_if(F.col(position) == 1) / F.count(position)
     return df.agg(F.count_if(F.col(position) == 1).alias("wins"), F.count(position).alias("total"), rate.alias("win_rate"), (1 / F.nullif(rate, F.lit(0.0))).alias("class_weight"))

@@ -4,24 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlap.functions import coerce
-from gridlap.operators import rows
+from gridlap.operators import order, rows
 from gridlap.operators.rolling import KEYS, outlier_flag
 
+# Fixed values of the data.
 SESSION_TYPES = ("Race", "Sprint", "Qualifying", "Sprint Shootout", "Sprint Qualifying")
 COMPOUNDS = ("SOFT", "MEDIUM", "HARD", "INTERMEDIATE", "WET")
-# Fixed value of the data.
 DEFAULT_HEADSHOT = "https://media.formula1.com/d_driver_fallback_image.png"
 SPEEDS = ("i1_speed", "i2_speed", "st_speed")
 SECTORS = ("duration_sector_1", "duration_sector_2", "duration_sector_3")
 SEGMENTS = ("segments_sector_1", "segments_sector_2", "segments_sector_3")
 # Fixed values of the data.
 WEATHER_BOUNDS = {"air_temperature": (-30, 60), "track_temperature": (-10, 80), "humidity": (0, 100), "pressure": (800, 1100), "wind_speed": (0, 200), "wind_direction": (0, 360), "rainfall": (0, 1)}
-#: The order in which "the first" of rows with one key is meant, where a table has no better one.
-INGEST_ORDER = "_ingest_order"
 
 
 def _each(df: DataFrame, names: Sequence[str], rule: Callable[[Column], Column]) -> DataFrame:
@@ -43,49 +41,46 @@ def _keep(df: DataFrame, name: str, rule: Callable[[Column], Column]) -> DataFra
     return df.where(rule(F.col(name))) if name in df.columns else df
 
 
-def _first(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    order = rows.present(df, [INGEST_ORDER]) or sorted(df.columns)
-    return rows.first_per_key(df, keys, order).drop(INGEST_ORDER)
-
-
 def clean_sessions(df: DataFrame) -> DataFrame:
     df = _keep(rows.drop_empty_rows(df), "session_type", lambda c: c.isin(*SESSION_TYPES))
     df = _each(_each(df, ("date_start", "date_end"), coerce.to_utc), ("year", "session_key", "circuit_key"), coerce.to_integer)
     df = rows.drop_empty_columns(df, ["circuit_short_name"])
     df = df.fillna("Unknown", rows.present(df, ("circuit_short_name", "location", "country_name", "gmt_offset")))
-    return _first(df, ["session_key"])
+    return rows.first_come(df, ["session_key"])
 
 
 def clean_drivers(df: DataFrame) -> DataFrame:
     df = _each(rows.drop_empty_rows(df), KEYS, coerce.to_integer)
     df = _each(df, ("full_name", "name_acronym", "team_name", "country_code"), coerce.clean_text)
     df = _each(df, ("headshot_url",), lambda c: F.when(c.isNull() | (c == ""), F.lit(DEFAULT_HEADSHOT)).otherwise(c))
-    return _first(df, KEYS)
+    return rows.first_come(df, KEYS)
 
 
 def clean_session_results(df: DataFrame) -> DataFrame:
     df = _each(rows.drop_empty_rows(df), (*KEYS, "position"), coerce.to_integer)
     df = _each(_keep(df, "position", lambda c: coerce.in_range_or_null(c, 1, 25)), ("status",), coerce.clean_text)
-    return _first(rows.drop_null_keys(df, KEYS), KEYS)
+    return rows.first_come(rows.drop_null_keys(df, KEYS), KEYS)
 
 
 def clean_starting_grid(df: DataFrame) -> DataFrame:
     df = _each(_each(rows.drop_empty_rows(df), (*KEYS, "position"), coerce.to_integer), ("lap_duration",), coerce.to_number)
-    return _first(rows.drop_null_keys(_keep(df, "position", lambda c: coerce.in_range_or_null(c, 1, 25)), KEYS), KEYS)
+    return rows.first_come(rows.drop_null_keys(_keep(df, "position", lambda c: coerce.in_range_or_null(c, 1, 25)), KEYS), KEYS)
 
 
 def impute(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = KEYS, scope: Sequence[str] = ("session_key",)) -> DataFrame:
     """A null becomes its group's median, else the scope's, else stays. An empty scope means the whole table.
 
-    Group medians come from one aggregate per grain, joined back; the whole table's is one row.
+    Group medians come from one aggregate per grain, joined back; the whole table's are found in passes over it.
     """
     found = rows.present(df, columns)
     if not found:
         return df
     for i, by in enumerate((list(keys), list(scope))):
         names = {c: f"_m{i}_{c}" for c in found}
-        medians = df.groupBy(*by).agg(*(F.median(c).alias(m) for c, m in names.items()))
-        df = df.join(medians, by, "left") if by else df.crossJoin(F.broadcast(medians))
+        if by:
+            df = df.join(df.groupBy(*by).agg(*(F.median(c).alias(m) for c, m in names.items())), by, "left")
+        else:
+            df = df.withColumns({names[c]: F.lit(m).cast("double") for c, (m,) in order.exact_quantiles(df, found, (0.5,)).items()})
     return df.withColumns({c: F.coalesce(c, f"_m0_{c}", f"_m1_{c}") for c in found}).drop(*(f"_m{i}_{c}" for i in (0, 1) for c in found))
 
 
@@ -109,10 +104,8 @@ def clean_weather(df: DataFrame) -> DataFrame:
     df = _each(df, ("session_key",), lambda c: c.cast("long")).where("date is not null")
     for c, (low, high) in WEATHER_BOUNDS.items():
         df = _each(df, (c,), lambda x, low=low, high=high: coerce.null_outside(x, low, high))
-    found = rows.present(df, tuple(WEATHER_BOUNDS))
-    if found:
-        medians = df.agg(*(F.median(c).alias(f"_m_{c}") for c in found))
-        df = df.crossJoin(F.broadcast(medians)).withColumns({c: F.coalesce(c, f"_m_{c}") for c in found}).drop(*(f"_m_{c}" for c in found))
+    medians = order.exact_quantiles(df, rows.present(df, tuple(WEATHER_BOUNDS)), (0.5,))
+    df = df.withColumns({c: F.coalesce(c, F.lit(m).cast("double")) for c, (m,) in medians.items()})
     return rows.drop_null_keys(df, ("session_key",))
 
 
@@ -122,7 +115,7 @@ def clean_stints(df: DataFrame) -> DataFrame:
         df = df.where("lap_end >= lap_start")
     df = _each(df, ("compound",), lambda c: coerce.one_of(c, COMPOUNDS))
     keys = (*KEYS, "stint_number")
-    return _first(rows.drop_null_keys(df, keys), keys)
+    return rows.first_come(rows.drop_null_keys(df, keys), keys)
 
 
 def clean_intervals(df: DataFrame) -> DataFrame:
@@ -174,8 +167,8 @@ def clean_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 def derive_from_position(position: DataFrame, last: bool) -> DataFrame:
     """Each driver's last (or first) known value of every column by date; the columns may come from different rows."""
     pick = F.max_by if last else F.min_by
-    values = [c for c in position.columns if c not in (*KEYS, INGEST_ORDER)]
-    made = [pick(c, F.when(F.col(c).isNotNull(), F.struct("date", *rows.present(position, [INGEST_ORDER])))).alias(c) for c in values]
+    values = [c for c in position.columns if c not in (*KEYS, rows.INGEST_ORDER)]
+    made = [pick(c, F.when(F.col(c).isNotNull(), F.struct("date", *rows.present(position, [rows.INGEST_ORDER])))).alias(c) for c in values]
     return position.groupBy(*KEYS).agg(*made)
 
 
@@ -188,9 +181,3 @@ def cleaning_summary(raw: dict[str, DataFrame], clean: dict[str, DataFrame]) ->
         both = counts.crossJoin(done)
         frames.append(both.select(F.lit(name).alias("file"), "raw_rows", F.coalesce("clean_rows", F.lit(0)).alias("clean_rows"), (F.col("raw_rows") - F.coalesce("clean_rows", F.lit(0))).alias("dropped"), F.when(F.col("clean_rows").isNull(), "skipped").otherwise("ok").alias("status")))
     return rows.union_by_name(frames)
-
-
-def outliers_against_group(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
-    """df with its group's mean, sample deviation and the outlier flag."""
-    w = Window.partitionBy(*keys)
-    return df.withColumns({"group_mean": F.avg(value).over(w), "group_std": F.stddev_samp(value).over(w), "is_outlier": outlier_flag(value, keys)})

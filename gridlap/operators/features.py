@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlap.functions import coerce
-from gridlap.operators import aggregates, joins, rows
+from gridlap.operators import aggregates, joins, order, rows, store
 from gridlap.operators.rolling import KEYS, lagged, rolling_features
 
 LAP = (*KEYS, "lap_number")
@@ -83,7 +83,7 @@ def position_features(laps: DataFrame, position: DataFrame) -> DataFrame:
 
 
 def targets(df: DataFrame, results: DataFrame) -> DataFrame:
-    final = results.dropDuplicates(list(KEYS)).select(*KEYS, F.col("position").alias("final_position"), *rows.present(results, ["status"]))
+    final = rows.first_come(results, KEYS).select(*KEYS, F.col("position").alias("final_position"), *rows.present(results, ["status"]))
     p = F.col("final_position")
     return df.join(final, list(KEYS), "left").withColumns({"target_win": coerce.flag(p == 1), "target_podium": coerce.flag(p.between(1, 3)), "target_top10": coerce.flag(p.between(1, 10))})
 
@@ -93,15 +93,23 @@ EXEMPT_PREFIXES = ("target_", "is_", "rolling_", "laps_")
 
 
 def winsorize(df: DataFrame, low: float = 0.01, high: float = 0.99, exempt: Sequence[str] = EXEMPT, approximate: bool = False) -> DataFrame:
-    """Numeric columns within their quantiles; one pass finds all of them, and one row of bounds is joined back."""
+    """Numeric columns within their quantiles.
+
+    df is written once to the shared folder, as its quantiles are found in passes over it (see order.exact_quantiles).
+    approximate takes one pass, with a rank error of 1 in 10,000.
+    """
     numeric = ("tinyint", "smallint", "int", "bigint", "float", "double")
     names = [c for c, t in df.dtypes if (t in numeric or t.startswith("decimal")) and c not in exempt and not c.startswith(EXEMPT_PREFIXES)]
     if not names:
         return df
-    quantiles = F.percentile_approx if approximate else F.percentile
-    bounds = df.agg(*(quantiles(c, F.array(F.lit(low), F.lit(high))).alias(f"_q_{c}") for c in names))
-    joined = df.crossJoin(F.broadcast(bounds))
-    return joined.withColumns({c: coerce.clip(F.col(c), F.col(f"_q_{c}")[0], F.col(f"_q_{c}")[1]) for c in names}).drop(*(f"_q_{c}" for c in names))
+    df = store.cut(df)
+    if approximate:
+        row = df.agg(*(F.percentile_approx(F.col(c).cast("double"), [low, high], order.ACCURACY).alias(c) for c in names)).first()
+        bounds = {c: row[c] for c in names}
+    else:
+        bounds = order.exact_quantiles(df, names, (low, high))
+    double = {c: F.col(c).cast("double") for c in names}
+    return df.withColumns({c: coerce.clip(double[c], *bounds[c]) if bounds[c] and bounds[c][0] is not None else double[c] for c in names})
 
 
 def lap_master(laps: DataFrame, sessions: DataFrame, drivers: DataFrame, stints: DataFrame, weather: DataFrame, position: DataFrame, results: DataFrame, car_data: DataFrame | None = None) -> DataFrame:
@@ -124,7 +132,7 @@ def lagged_telemetry(car_data: DataFrame) -> DataFrame:
 def base_table(drivers: DataFrame, sessions: DataFrame, grid: DataFrame, results: DataFrame, weather: DataFrame, laps: DataFrame, stints: DataFrame) -> DataFrame:
     """The driver-session table: drivers with session, grid, result and the weather, lap and stint summaries."""
     df = joins.look_up(drivers, sessions, ["session_key"])
-    df = df.join(grid.dropDuplicates(list(KEYS)).select(*KEYS, F.col("position").alias("grid_position")), list(KEYS), "left")
+    df = df.join(rows.first_come(grid, KEYS).select(*KEYS, F.col("position").alias("grid_position")), list(KEYS), "left")
     df = targets(df, results)
     df = df.join(aggregates.weather_by_session(weather), "session_key", "left")
     df = df.join(aggregates.laps_by_driver(laps), list(KEYS), "left").join(aggregates.stints_by_driver(stints), list(KEYS), "left")

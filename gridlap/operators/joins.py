@@ -7,15 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridlap.operators import rows
+
 
 def look_up(facts: DataFrame, dimension: DataFrame, on: Sequence[str], suffix: str = "_sess") -> DataFrame:
-    """Left join facts to one row a key of the dimension; clashing names of the dimension get the suffix.
+    """Left join facts to the first row a key of the dimension; clashing names of the dimension get the suffix.
 
     No broadcast is forced: Spark picks one if the dimension is small enough.
     """
     clash = set(facts.columns) - set(on)
-    unique = dimension.dropDuplicates(list(on))
-    return facts.join(unique.withColumnsRenamed({c: c + suffix for c in dimension.columns if c in clash}), list(on), "left")
+    unique = rows.first_come(dimension, on)
+    return facts.join(unique.withColumnsRenamed({c: c + suffix for c in unique.columns if c in clash}), list(on), "left")
 
 
 def orphans(facts: DataFrame, dimension: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -49,23 +51,23 @@ def as_of(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str,
     taken = F.struct(F.col(right_time).alias("_at"), *values)
     order = F.struct(*tie) if tie else F.lit(0)
     kind = right.select(taken.alias("r")).schema["r"].dataType
-    rows = right.where(F.col(right_time).isNotNull()).select(*by, F.col(right_time).alias("_t"), F.lit(0).alias("_side"), order.alias("_tie"), taken.alias("_r"))
-    rows = rows.unionByName(left.select(*by, F.col(left_time).alias("_t"), F.lit(1).alias("_side"), own.alias("_l")), allowMissingColumns=True)
+    both = right.where(F.col(right_time).isNotNull()).select(*by, F.col(right_time).alias("_t"), F.lit(0).alias("_side"), order.alias("_tie"), taken.alias("_r"))
+    both = both.unionByName(left.select(*by, F.col(left_time).alias("_t"), F.lit(1).alias("_side"), own.alias("_l")), allowMissingColumns=True)
     w = Window.partitionBy(*by).orderBy("_t", "_side", "_tie")
-    rows = rows.withColumn("_back", F.last("_r", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    both = both.withColumn("_back", F.last("_r", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     if direction == "nearest":
         # Backward through the reversed order: a frame that runs to the end is computed anew at each row.
         back = Window.partitionBy(*by).orderBy(F.desc("_t"), F.desc("_side"), F.desc("_tie"))
-        rows = rows.withColumn("_next", F.last("_r", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, 0)))
-    rows = rows.where("_side = 1")
+        both = both.withColumn("_next", F.last("_r", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, 0)))
+    both = both.where("_side = 1")
     away = lambda c: F.abs(_seconds(F.col(f"{c}._at")) - _seconds(F.col("_t")))
     found = F.col("_back")
     if direction == "nearest":
         found = F.when(F.col("_back").isNull() | (away("_next") < away("_back")), F.col("_next")).otherwise(F.col("_back"))
-    rows = rows.withColumn("_found", F.when(F.col("_t").isNotNull(), found).cast(kind))
+    both = both.withColumn("_found", F.when(F.col("_t").isNotNull(), found).cast(kind))
     if tolerance is not None:
-        rows = rows.withColumn("_found", F.when(away("_found") <= tolerance, F.col("_found")))
-    return rows.select("_l.*", *(F.col(f"_found.{v}").alias(v) for v in values))
+        both = both.withColumn("_found", F.when(away("_found") <= tolerance, F.col("_found")))
+    return both.select("_l.*", *(F.col(f"_found.{v}").alias(v) for v in values))
 
 
 def _seconds(c: Column) -> Column:

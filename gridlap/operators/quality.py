@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from gridlap.operators import joins, rows
 
 SCHEMA = "file string, severity string, check string, message string"
-#: Required columns and keys of the tables, and ranges, that a validation looks at.
+# Fixed values of the data: required columns and keys of the tables, and ranges, that a validation looks at.
 REQUIRED = {"sessions": ["session_key"], "drivers": ["session_key", "driver_number"], "laps": ["session_key", "driver_number", "lap_number"], "weather": ["session_key"], "stints": ["session_key", "driver_number"], "position": ["session_key", "driver_number"], "session_results": ["session_key", "driver_number"], "starting_grid": ["session_key", "driver_number"]}
 KEYS = REQUIRED | {"stints": ["session_key", "driver_number", "stint_number"], "position": ["session_key", "driver_number", "date"]}
 RANGES = [("laps", "lap_duration", 30, 600), ("position", "position", 1, 25), ("session_results", "position", 1, 25), ("starting_grid", "position", 1, 25)]
@@ -38,27 +38,36 @@ def duplicate_key(df: DataFrame, file: str, key: Sequence[str]) -> DataFrame | N
     return _issue(duplicate_count(df, key), file, "warning", "duplicate_key", F.format_string(f"Found %d duplicate rows for key={list(key)}", "n"), F.col("n") > 0)
 
 
-def out_of_range(df: DataFrame, file: str, column: str, low: float, high: float) -> DataFrame | None:
-    if column not in df.columns:
-        return None
-    n = df.agg(F.count_if(F.col(column).isNotNull() & ~F.col(column).between(low, high)).alias("n"))
-    return _issue(n, file, "warning", "range", F.format_string(f"Column {column} has %d values outside [{low}, {high}]", "n"), F.col("n") > 0)
+def table_counts(df: DataFrame, ranges: Sequence[tuple[str, float, float]] = ()) -> DataFrame:
+    """column, span, n, row_count: one pass gives each column's nulls (no span) and its values out of a span; a null column has the row count alone."""
+    looks = [(c, None, F.col(f"`{c}`").isNull()) for c in df.columns] + [(c, f"[{a}, {b}]", ~F.col(c).between(a, b)) for c, a, b in ranges if c in df.columns]
+    row = df.agg(F.count("*").alias("all"), *(F.count_if(bad).alias(f"n{i}") for i, (_, _, bad) in enumerate(looks)))
+    cell = lambda c, span, n: F.struct(F.lit(c).cast("string").alias("column"), F.lit(span).cast("string").alias("span"), n.alias("n"), F.col("all").alias("row_count"))
+    cells = [cell(c, span, F.col(f"n{i}")) for i, (c, span, _) in enumerate(looks)]
+    return row.select(F.inline(F.array(*cells, cell(None, None, F.lit(0).cast("long")))))
 
 
 def null_shares(df: DataFrame) -> DataFrame:
     """column, nulls, row_count, share: one pass over all columns."""
-    row = df.agg(F.count("*").alias("_rows"), *(F.count_if(F.col(c).isNull()).alias(c) for c in df.columns))
-    tall = row.unpivot(["_rows"], df.columns, "column", "nulls")
-    return tall.select("column", "nulls", F.col("_rows").alias("row_count"), F.when(F.col("_rows") > 0, F.col("nulls") / F.col("_rows")).otherwise(0.0).alias("share"))
+    share = F.when(F.col("row_count") > 0, F.col("n") / F.col("row_count")).otherwise(0.0)
+    return table_counts(df).where("column is not null").select("column", F.col("n").alias("nulls"), "row_count", share.alias("share"))
 
 
-def null_issues(df: DataFrame, file: str) -> DataFrame:
-    said = F.format_string("Column %s has %d nulls (%.1f%%)", "column", "nulls", 100 * F.col("share"))
-    return _issue(null_shares(df), file, F.when(F.col("share") > 0.5, "error").otherwise("warning"), "missing_values", said, F.col("nulls") > 0)
+def most_missing(df: DataFrame, n: int = 20) -> DataFrame:
+    """column, pct, status: the n columns with the greatest shares of nulls."""
+    top = null_shares(df).select("column", (100 * F.col("share")).alias("pct")).orderBy(F.desc("pct"), "column").limit(n)
+    return top.withColumn("status", F.when(F.col("pct") > 20, "drop").when(F.col("pct") > 5, "watch").otherwise("ok"))
 
 
-def empty_table(df: DataFrame, file: str) -> DataFrame:
-    return _issue(df.limit(1).agg(F.count("*").alias("n")), file, "warning", "file_exists", F.lit("File missing"), F.col("n") == 0)
+def counted_issues(df: DataFrame, file: str, ranges: Sequence[tuple[str, float, float]] = ()) -> DataFrame:
+    """No rows at all, nulls and values out of range, from one aggregate. A table without rows counts as missing."""
+    nulls = F.col("column").isNotNull() & F.col("span").isNull() & (F.col("n") > 0)
+    empty = F.col("column").isNull() & (F.col("row_count") == 0)
+    beyond = F.col("span").isNotNull() & (F.col("n") > 0)
+    share = F.col("n") / F.nullif(F.col("row_count"), F.lit(0))
+    message = F.when(empty, "File missing").when(nulls, F.format_string("Column %s has %d nulls (%.1f%%)", "column", "n", 100 * share)).otherwise(F.format_string("Column %s has %d values outside %s", "column", "n", "span"))
+    check = F.when(empty, "file_exists").when(nulls, "missing_values").otherwise("range")
+    return table_counts(df, ranges).where(empty | nulls | beyond).select(F.lit(file).alias("file"), F.when(nulls & (share > 0.5), "error").otherwise("warning").alias("severity"), check.alias("check"), message.alias("message"))
 
 
 def orphan_sessions(df: DataFrame, sessions: DataFrame, file: str) -> DataFrame:
@@ -67,15 +76,14 @@ def orphan_sessions(df: DataFrame, sessions: DataFrame, file: str) -> DataFrame:
 
 
 def validate(tables: dict[str, DataFrame], keys: dict[str, list[str]] = KEYS) -> DataFrame:
-    """All issues of the tables, as one lazy union. A table without rows counts as missing."""
+    """All issues of the tables, as one lazy union: one pass a table, and one more for its key and its sessions."""
     found: list[DataFrame | None] = []
     for name, df in tables.items():
-        found += [empty_table(df, name), null_issues(df, name)]
+        found.append(counted_issues(df, name, [(c, a, b) for t, c, a, b in RANGES if t == name]))
         if name in keys:
             found += [required_columns(df.sparkSession, df, name, REQUIRED.get(name, keys[name])), duplicate_key(df, name, keys[name])]
         if name in ("drivers", "laps", "weather") and "sessions" in tables:
             found.append(orphan_sessions(df, tables["sessions"], name))
-    found += [out_of_range(tables[t], t, c, a, b) for t, c, a, b in RANGES if t in tables]
     return reduce(DataFrame.unionByName, [f for f in found if f is not None])
 
 
@@ -94,6 +102,41 @@ def parse_shares(df: DataFrame, file: Column, column: str, kind: str) -> DataFra
     return df.groupBy(file.alias("file")).agg(F.avg(F.col(column).isNotNull().cast("int")).alias("present"), F.avg(F.col(column).try_cast(kind).isNotNull().cast("int")).alias("parsed"))
 
 
+def schema_alignment(files: dict[str, DataFrame]) -> DataFrame:
+    """file, row_count, column, issue, expected, got: what differs from the first file that has rows: extra and missing columns, and types."""
+    first, out = None, []
+    for name, df in files.items():
+        own = dict(df.dtypes)
+        counted = df.agg(F.count("*").alias("row_count")).where("row_count > 0")
+        if first is None:
+            if df.isEmpty():
+                continue
+            first = own
+            continue
+        found = [(c, "extra", None, own[c]) for c in own if c not in first] + [(c, "missing", first[c], None) for c in first if c not in own] + [(c, "type", first[c], own[c]) for c in own if first.get(c, own[c]) != own[c]]
+        text = lambda x: F.lit(x).cast("string")
+        if found:
+            rows_ = F.array(*(F.struct(text(c).alias("column"), text(i).alias("issue"), text(a).alias("expected"), text(b).alias("got")) for c, i, a, b in found))
+            out.append(counted.select(F.lit(name).alias("file"), "row_count", F.inline(rows_)))
+    if out:
+        return reduce(DataFrame.unionByName, out)
+    return next(iter(files.values())).sparkSession.createDataFrame([], "file string, row_count long, column string, issue string, expected string, got string")
+
+
+def duplicate_report(df: DataFrame, file: str, key: Sequence[str]) -> DataFrame:
+    """file, row_count, full_row_dups, full_dup_pct, key_cols, key_dups: rows beyond the first of equal rows, and of equal keys (null without any key column).
+
+    Rows are counted by row and these counts by key, so equal rows meet as one.
+    """
+    found = rows.present(df, key)
+    per_row = df.groupBy(*(F.col(f"`{c}`") for c in df.columns)).agg(F.count("*").alias("n"))
+    per_key = per_row.groupBy(*found).agg(F.sum("n").alias("n"), F.count("*").alias("kinds"))
+    total = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.coalesce(F.sum("kinds"), F.lit(0)).alias("kinds"), F.count_if(F.col("n") > 0).alias("keys"))
+    dups = F.col("row_count") - F.col("kinds")
+    pct = F.when(F.col("row_count") > 0, F.round(100 * dups / F.col("row_count"), 2)).otherwise(0.0)
+    return total.select(F.lit(file).alias("file"), "row_count", dups.alias("full_row_dups"), pct.alias("full_dup_pct"), F.lit(str(found)).alias("key_cols"), (F.col("row_count") - F.col("keys") if found else F.lit(None).cast("long")).alias("key_dups"))
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     return [c for c, t in df.dtypes if t in ("tinyint", "smallint", "int", "bigint", "float", "double") or t.startswith("decimal")]
 
@@ -101,6 +144,8 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def negatives(df: DataFrame) -> DataFrame:
     """column, n, pct, least of the numeric columns with negative values."""
     names = numeric_columns(df)
+    if not names:
+        return df.sparkSession.createDataFrame([], "column string, n long, pct double, least double")
     row = df.agg(F.count("*").alias("_rows"), *(F.struct(F.count_if(F.col(c) < 0).alias("n"), F.min(F.col(c).cast("double")).alias("least")).alias(c) for c in names))
     cells = F.array(*(F.struct(F.lit(c).alias("column"), F.col(c)["n"].alias("n"), (100 * F.col(c)["n"] / F.col("_rows")).alias("pct"), F.col(c)["least"].alias("least")) for c in names))
     return row.select(F.inline(cells)).where("n > 0")
@@ -108,35 +153,57 @@ def negatives(df: DataFrame) -> DataFrame:
 
 def blanks(df: DataFrame) -> DataFrame:
     names = [c for c, t in df.dtypes if t == "string"]
+    if not names:
+        return df.sparkSession.createDataFrame([], "column string, n long")
     row = df.agg(*(F.count_if(F.trim(c) == "").alias(c) for c in names))
     return row.unpivot([], names, "column", "n").where("n > 0")
 
 
+def _value_counts(df: DataFrame) -> DataFrame:
+    """column, value (as text), n: how often each column has each value; null is one."""
+    cells = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in df.columns]
+    if not cells:
+        return df.sparkSession.createDataFrame([], "column string, value string, n long")
+    return df.select(F.inline(F.array(*cells))).groupBy("column", "value").agg(F.count("*").alias("n"))
+
+
 def dominant_values(df: DataFrame, share: float = 0.99) -> DataFrame:
     """column, value, share of columns of which one value (null counts) fills at least the share. Counted by value."""
-    n = len(df.columns)
-    text = df.select(F.inline(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in df.columns))))
-    counts = text.groupBy("column", "value").agg(F.count("*").alias("n"))
-    top = counts.groupBy("column").agg(F.max_by("value", F.struct("n", F.coalesce("value", F.lit("")))).alias("value"), F.max("n").alias("most"), F.sum("n").alias("all_rows"))
-    assert n
+    top = _value_counts(df).groupBy("column").agg(F.max_by("value", F.struct("n", F.coalesce("value", F.lit("")))).alias("value"), F.max("n").alias("most"), F.sum("n").alias("all_rows"))
     return top.select("column", "value", (F.col("most") / F.col("all_rows")).alias("share")).where(F.col("share") >= share)
 
 
 def unique_profile(df: DataFrame, sample: int = 5) -> DataFrame:
-    """column, n_unique, nulls, samples: a few least values as text, and the likely kind of column."""
-    text = df.select(F.inline(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in df.columns))))
-    per_value = text.groupBy("column", "value").agg(F.count("*").alias("n"))
+    """column, dtype, n_unique, nulls, null_pct, likely_type, and samples: a few least values as text."""
+    per_value = _value_counts(df)
     ranked = rows.first_n_per_group(per_value.where("value is not null"), ["column"], ["value"], sample).groupBy("column").agg(F.array_sort(F.collect_list("value")).alias("samples"))
     counts = per_value.groupBy("column").agg(F.count("value").alias("n_unique"), F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("nulls"), F.sum("n").alias("row_count"))
-    kind = F.when(F.col("n_unique") <= 1, "constant").when(F.col("n_unique") == F.col("row_count"), "key").when(F.col("n_unique") <= 20, "category").otherwise("value")
-    return counts.join(ranked, "column", "left").select("column", "n_unique", "nulls", kind.alias("likely"), F.array_join("samples", ",").alias("samples"))
-
-
-def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """column, n, mean, std, least, q1, q2, q3, most for numeric columns, in one pass."""
-    fs = lambda c: F.struct(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("least"), F.percentile(c, 0.25).alias("q1"), F.percentile(c, 0.5).alias("q2"), F.percentile(c, 0.75).alias("q3"), F.max(c).cast("double").alias("most"))
-    row = df.agg(*(fs(c).alias(c) for c in columns))
-    return row.select(F.inline(F.array(*(F.struct(F.lit(c).alias("column"), *(F.col(c)[k].alias(k) for k in ("n", "mean", "std", "least", "q1", "q2", "q3", "most"))) for c in columns))))
+    types = df.sparkSession.createDataFrame(df.dtypes, "column string, dtype string")
+    kind = F.when(F.col("n_unique") == F.col("row_count"), "ID/Key").when(F.col("n_unique") < 30, "Categorical").when(F.col("dtype") == "string", "High-card text").otherwise("Numeric")
+    return counts.join(types, "column").join(ranked, "column", "left").select("column", "dtype", "n_unique", "nulls", F.round(100 * F.col("nulls") / F.col("row_count"), 2).alias("null_pct"), kind.alias("likely_type"), F.array_join("samples", ",").alias("samples"))
+
+
+def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """column, n, n_unique, top, freq, mean, std, least, q1, q2, q3, most: moments and quartiles of numeric columns in one
+    pass; distinct values, the most frequent one (the least of several) and how often it comes, of the others, counted by value."""
+    columns = list(columns or df.columns)
+    numeric = [c for c in columns if c in numeric_columns(df)]
+    words = [c for c in columns if c not in numeric]
+    names = ("mean", "std", "least", "q1", "q2", "q3", "most")
+    out = []
+    if numeric:
+        x = lambda c: F.col(c).cast("double")
+        fs = lambda c: F.struct(F.count(c).alias("n"), F.avg(c).cast("double").alias("mean"), F.stddev_samp(x(c)).alias("std"), F.min(x(c)).alias("least"), *(F.percentile(c, q).alias(k) for k, q in zip(names[3:6], (0.25, 0.5, 0.75), strict=True)), F.max(x(c)).alias("most"))
+        row = df.agg(*(fs(c).alias(c) for c in numeric))
+        cells = F.array(*(F.struct(F.lit(c).alias("column"), *(F.col(c)[k].alias(k) for k in ("n", *names))) for c in numeric))
+        out.append(row.select(F.inline(cells)).withColumns({"n_unique": F.lit(None).cast("long"), "top": F.lit(None).cast("string"), "freq": F.lit(None).cast("long")}))
+    if words:
+        known = _value_counts(df.select(*words)).where("value is not null")
+        some = known.groupBy("column").agg(F.sum("n").alias("n"), F.count("*").alias("n_unique"), F.max("n").alias("freq"))
+        top = known.join(some.select("column", F.col("freq").alias("n")), ["column", "n"]).groupBy("column").agg(F.min("value").alias("top"))
+        every = df.sparkSession.createDataFrame([(c,) for c in words], "column string")
+        out.append(every.join(some.join(top, "column"), "column", "left").withColumns({"n": F.coalesce("n", F.lit(0)), "n_unique": F.coalesce("n_unique", F.lit(0)), **{k: F.lit(None).cast("double") for k in names}}))
+    return reduce(DataFrame.unionByName, out).select("column", "n", "n_unique", "top", "freq", *names)
 
 
 def time_columns(df: DataFrame, least: float = 0.8) -> DataFrame:
@@ -148,10 +215,10 @@ def time_columns(df: DataFrame, least: float = 0.8) -> DataFrame:
     return row.unpivot([], named, "column", "parsed").withColumn("convert", F.coalesce(F.col("parsed") > least, F.lit(False)))
 
 
-def recommendations(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """column, action: drop or impute by null share, low variance, negative values; and duplicates by key."""
+def recommendations(df: DataFrame) -> DataFrame:
+    """column, action: drop or impute by null share, low variance, negative values; and full-row duplicates (column null)."""
     s = null_shares(df)
     out = s.where("nulls > 0").select("column", F.when(F.col("share") > 0.2, "drop").otherwise("impute").alias("action"))
     out = out.unionByName(dominant_values(df).select("column", F.lit("low variance").alias("action")))
     out = out.unionByName(negatives(df).select("column", F.lit("negative").alias("action")))
-    return out.unionByName(duplicate_count(df, key).where("n > 0").select(F.lit(",".join(key)).alias("column"), F.lit("duplicates").alias("action")))
+    return out.unionByName(duplicate_report(df, "", []).where("full_row_dups > 0").select(F.lit(None).cast("string").alias("column"), F.lit("duplicates").alias("action")))

@@ -38,6 +38,15 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
+#: Where a table has this column, it says in which order rows came.
+INGEST_ORDER = "_ingest_order"
+
+
+def first_come(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row a key: the first that came, or without a known order the first by all columns, so that it is always the same one."""
+    return first_per_key(df, keys, present(df, [INGEST_ORDER]) or sorted(df.columns)).drop(INGEST_ORDER)
+
+
 def lower_names(df: DataFrame) -> DataFrame:
     return df.toDF(*(c.lower() for c in df.columns))
 
@@ -59,6 +68,11 @@ def first_n_per_group(df: DataFrame, by: Sequence[str], order: Sequence[str], n:
     return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= n).drop("_n")
 
 
+def most_frequent(df: DataFrame, by: Sequence[str], n: int = 1) -> DataFrame:
+    """The n groups with most rows, and their row count; equal counts in order of the key."""
+    return df.groupBy(*by).agg(F.count("*").alias("n")).orderBy(F.desc("n"), *by).limit(n)
+
+
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     """All rows; columns that a frame lacks are null."""
     out = frames[0]

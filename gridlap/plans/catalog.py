@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from gridlap.functions import coerce
 from gridlap.operators import aggregates, cleaning, features, joins, quality, rolling, rows
 from gridlap.plans.views import Tables, sql
+from gridlap.sources import files
 from gridlap.streaming import resample
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,6 +122,43 @@ def _clean_location(t: Tables) -> DataFrame:
     return cleaning.clean_location(t.samples.select(*K, F.col("date").alias("Date"), F.col("X").cast("string").alias("X")))
 
 
+@query("clean_raw_laps", ("raw_laps",), """WITH t AS (SELECT CAST(session_key AS BIGINT) AS session_key, CAST(CAST(driver_number AS DOUBLE) AS BIGINT) AS driver_number, CAST(lap_number AS BIGINT) AS lap_number, try_cast(date_start AS TIMESTAMP) AS date_start,
+      try_cast(trim(lap_duration) AS DOUBLE) AS lap_duration, CASE lower(is_pit_out_lap) WHEN 'true' THEN true WHEN '1' THEN true WHEN 'false' THEN false WHEN '0' THEN false END AS is_pit_out_lap, coalesce(segments_sector_1, '') AS segments_sector_1 FROM raw_laps),
+    a AS (SELECT * FROM t WHERE lap_duration BETWEEN 30 AND 600), b AS (SELECT *, coalesce(abs((lap_duration - avg(lap_duration) OVER p) / nullif(stddev_samp(lap_duration) OVER p, 0)) > 3, false) AS is_outlier_lap FROM a WINDOW p AS (PARTITION BY session_key, driver_number))
+    SELECT session_key, driver_number, lap_number, epoch_us(date_start) AS date_start, lap_duration, is_pit_out_lap, segments_sector_1, is_outlier_lap FROM b WHERE date_start IS NOT NULL AND session_key IS NOT NULL""")
+def _clean_raw_laps(t: Tables) -> DataFrame:
+    return cleaning.clean_laps(t.raw_laps)
+
+
+@query("clean_raw_car_data", ("raw_car",), """SELECT driver_number, sample, CASE WHEN sample % 7 = 0 THEN NULL WHEN sample % 2 = 0 THEN (sample % 6) * 60 + 10 + sample % 10 + 0.5 ELSE CAST(3600 + (20 + sample % 6) * 60 + 30 + sample % 10 AS DOUBLE) END AS "Time",
+    CAST("Speed" AS DOUBLE) AS "Speed", epoch_us(try_cast("Date" AS TIMESTAMP)) AS "Date" FROM raw_car WHERE CAST("Speed" AS INT) <= 400 AND driver_number IS NOT NULL""")
+def _clean_raw_car(t: Tables) -> DataFrame:
+    return cleaning.clean_car_data(t.raw_car)
+
+
+@query("empty_rows_and_keys", ("raw_laps",), "SELECT session_key, count(*) AS n FROM raw_laps WHERE session_key IS NOT NULL GROUP BY 1 UNION ALL SELECT 'not empty', count(*) FROM raw_laps WHERE driver_number IS NOT NULL")
+def _p1(t: Tables) -> DataFrame:
+    known = rows.drop_null_keys(rows.drop_empty_rows(t.raw_laps), ["session_key"]).groupBy("session_key").agg(F.count("*").alias("n"))
+    return known.unionByName(rows.drop_empty_rows(t.raw_laps).agg(F.count("*").alias("n")).select(F.lit("not empty").alias("session_key"), "n"))
+
+
+@query("lower_names", ("car_data",), "SELECT session_key, driver_number, lap_number, round(Speed, 6) AS speed, round(Throttle, 6) AS throttle, round(RPM, 6) AS rpm, Brake AS brake, nGear AS ngear FROM car_data")
+def _p15(t: Tables) -> DataFrame:
+    return rows.lower_names(t.car_data)
+
+
+@query("clean_all", ("raw_laps", "weather", "stints", "position", "drivers", "sessions"), """WITH s AS (SELECT 'laps' AS file, (SELECT count(*) FROM raw_laps) AS raw_rows, (SELECT count(*) FROM raw_laps WHERE try_cast(trim(lap_duration) AS DOUBLE) BETWEEN 30 AND 600 AND try_cast(date_start AS TIMESTAMP) IS NOT NULL AND session_key IS NOT NULL) AS clean_rows
+      UNION ALL SELECT 'weather', count(*), count(*) FROM weather UNION ALL SELECT 'stints', count(*), count(*) FILTER (lap_end >= lap_start) FROM stints UNION ALL SELECT 'position', count(*), count(*) FROM position
+      UNION ALL SELECT 'drivers', count(*), count(*) FROM drivers UNION ALL SELECT 'sessions', count(*), count(*) FROM sessions UNION ALL SELECT 'meetings', (SELECT count(*) FROM sessions), NULL)
+    SELECT file, raw_rows, coalesce(clean_rows, 0) AS clean_rows, raw_rows - coalesce(clean_rows, 0) AS dropped, CASE WHEN clean_rows IS NULL THEN 'skipped' ELSE 'ok' END AS status FROM s
+    UNION ALL SELECT unnest(['session_results', 'starting_grid']), 0, (SELECT count(*) FROM (SELECT DISTINCT session_key, driver_number FROM position)), 0, 'derived'""")
+def _c12(t: Tables) -> DataFrame:
+    raw = {"laps": t.raw_laps, "weather": t.weather, "stints": t.stints, "position": t.position, "drivers": t.drivers, "sessions": t.sessions, "meetings": t.sessions}
+    clean = cleaning.clean_all(raw)
+    derived = [df.agg(F.count("*").alias("clean_rows")).select(F.lit(k).alias("file"), F.lit(0).cast("long").alias("raw_rows"), "clean_rows", F.lit(0).cast("long").alias("dropped"), F.lit("derived").alias("status")) for k, df in clean.items() if k not in raw]
+    return rows.union_by_name([cleaning.cleaning_summary(raw, clean), *derived])
+
+
 @query("derived_results", ("position",), "SELECT session_key, driver_number, epoch_us(max(date)) AS date, arg_max(position, date) AS position FROM position GROUP BY ALL")
 def _derived_results(t: Tables) -> DataFrame:
     return cleaning.derive_from_position(t.position, last=True)
@@ -192,6 +230,14 @@ def _stint_features(t: Tables) -> DataFrame:
     return features.stint_features(t.laps, t.stints, features.learn_cliffs(t.laps, t.stints)).select(*L, "stint_number", "compound", "current_tyre_age", "compound_cliff", "laps_until_cliff", "is_past_cliff")
 
 
+@query("stint_features_overlapping", ("laps", "stints", "overlapping"), f"""WITH {_CLIFFS}, j AS (SELECT l.session_key, l.driver_number, l.lap_number, s.stint_number, s.compound, s.lap_start, s.tyre_age_at_start FROM laps l LEFT JOIN overlapping s USING (session_key, driver_number) WHERE l.lap_number >= coalesce(s.lap_start, -1) AND l.lap_number <= coalesce(s.lap_end, 9999)),
+    f AS (SELECT session_key, driver_number, lap_number, min(stint_number) AS stint_number, first(compound ORDER BY stint_number) FILTER (compound IS NOT NULL) AS compound, first(lap_start ORDER BY stint_number) FILTER (lap_start IS NOT NULL) AS lap_start, first(tyre_age_at_start ORDER BY stint_number) FILTER (tyre_age_at_start IS NOT NULL) AS age FROM j GROUP BY 1, 2, 3),
+    g AS (SELECT *, greatest(lap_number - lap_start + coalesce(age, 0), 0) AS a FROM f)
+    SELECT session_key, driver_number, lap_number, stint_number, g.compound, CASE WHEN lap_start IS NOT NULL THEN a END AS current_tyre_age, coalesce(cliff, 30) AS compound_cliff FROM g LEFT JOIN cliffs ON coalesce(g.compound, 'UNKNOWN') = cliffs.compound""")
+def _w15(t: Tables) -> DataFrame:
+    return features.stint_features(t.laps, t.overlapping, features.learn_cliffs(t.laps, t.stints)).select(*L, "stint_number", "compound", "current_tyre_age", "compound_cliff")
+
+
 _NEAR = """b AS (SELECT l.session_key, driver_number, lap_number, date_start, w.date AS bd, w.air_temperature AS ba, w.track_temperature AS bt, w.humidity AS bh, w.rainfall AS br, w.wind_speed AS bw FROM laps l ASOF LEFT JOIN weather w ON l.session_key = w.session_key AND l.date_start >= w.date),
     n AS (SELECT b.*, w.date AS nd, w.air_temperature AS na, w.track_temperature AS nt, w.humidity AS nh, w.rainfall AS nr, w.wind_speed AS nw FROM b ASOF LEFT JOIN weather w ON b.session_key = w.session_key AND b.date_start <= w.date),
     near AS (SELECT *, bd IS NULL OR coalesce(epoch_us(nd) - epoch_us(date_start) < epoch_us(date_start) - epoch_us(bd), false) AS after FROM n),
@@ -227,6 +273,11 @@ def _tagged(t: Tables) -> DataFrame:
     return joins.tag_samples(t.samples.select(*K, "date"), t.laps, K, "date", "date_start", "lap_number")
 
 
+@query("tagged_compounds", ("samples", "laps", "stints"), f"WITH {_TYRE}, own AS (SELECT l.session_key, l.driver_number, l.lap_number, l.date_start, y.compound FROM laps l JOIN tyre y USING (session_key, driver_number, lap_number)) SELECT s.session_key, s.driver_number, epoch_us(s.date) AS date, o.lap_number, o.compound FROM samples s ASOF LEFT JOIN own o ON s.session_key = o.session_key AND s.driver_number = o.driver_number AND s.date >= o.date_start")
+def _tagged_compounds(t: Tables) -> DataFrame:
+    return joins.tag_samples(t.samples.select(*K, "date"), features.tyre_laps(t.laps, t.stints), K, "date", "date_start", "lap_number", ["compound"])
+
+
 @query("merged_telemetry", ("samples", "position"), "SELECT session_key, driver_number, epoch_us(coalesce(s.date, p.date)) AS date, round(Speed, 6) AS \"Speed\", position FROM samples s FULL JOIN position p USING (session_key, driver_number, date)")
 def _merged(t: Tables) -> DataFrame:
     return t.samples.select(*K, "date", "Speed").join(t.position, [*K, "date"], "full")
@@ -292,7 +343,24 @@ def _c21(t: Tables) -> DataFrame:
     return features.winsorize(t.laps.select(*L, "lap_duration", "i1_speed"))
 
 
-@query("lap_master", ("laps", "sessions", "drivers", "stints", "weather", "position", "results"), None)
+_TELE = {"speed_max": "max(Speed)", "speed_min": "min(Speed)", "speed_mean": "avg(Speed)", "speed_std": "stddev_samp(Speed)", "throttle_mean": "avg(Throttle)", "throttle_q90": "quantile_cont(Throttle, 0.9)", "brake_mean": "avg(Brake)", "brake_sum": "sum(Brake)", "rpm_mean": "avg(RPM)", "rpm_std": "stddev_samp(RPM)", "ngear_mean": "avg(nGear)", "ngear_max": "max(nGear)"}
+_CLIPPED = ["lap_duration", "i1_speed", "current_tyre_age", "lap_delta_prev", "race_completion_pct", *features.WEATHER, "track_temp_evolution", "current_position", "position_gain_lap", "final_position", *(f"tele_prev_{n}" for n in _TELE)]
+_MASTER = f"""{_CLIFFS}, {_NEAR}, {_POSITION}, tele AS (SELECT session_key, driver_number, lap_number, {', '.join(f'{x} AS {n}' for n, x in _TELE.items())} FROM car_data GROUP BY 1, 2, 3),
+    prev AS (SELECT session_key, driver_number, lap_number, {', '.join(f'CAST(lag({n}) OVER w AS DOUBLE) AS tele_prev_{n}' for n in _TELE)} FROM tele WINDOW w AS (PARTITION BY session_key, driver_number ORDER BY lap_number)),
+    own AS (SELECT l.session_key, l.driver_number, l.lap_number, l.date_start, l.lap_duration, l.i1_speed, l.is_pit_out_lap, s.year, s.session_type, s.circuit_key, d.full_name, d.team_name, y.stint_number, y.compound,
+      CASE WHEN y.tyre_age IS NOT NULL THEN greatest(y.tyre_age, 0) END AS current_tyre_age, coalesce(cliff, 30) AS compound_cliff, {', '.join(f'wx.{c}' for c in features.WEATHER)}, round(wx.track_temperature - wx.base, 2) AS track_temp_evolution,
+      pos.current_position, r.position AS final_position, {', '.join(f'prev.tele_prev_{n}' for n in _TELE)}
+      FROM tyre y JOIN laps l USING (session_key, driver_number, lap_number) LEFT JOIN sessions s USING (session_key) LEFT JOIN drivers d USING (session_key, driver_number) LEFT JOIN cliffs ON coalesce(y.compound, 'UNKNOWN') = cliffs.compound
+      LEFT JOIN wx USING (session_key, driver_number, lap_number) LEFT JOIN pos USING (session_key, driver_number, lap_number) LEFT JOIN results r USING (session_key, driver_number) LEFT JOIN prev USING (session_key, driver_number, lap_number)),
+    master AS (SELECT *, CASE WHEN current_tyre_age IS NOT NULL THEN greatest(compound_cliff - current_tyre_age, 0) END AS laps_until_cliff, CAST(coalesce(current_tyre_age > compound_cliff, false) AS INT) AS is_past_cliff, {_ROLLING}, lap_duration - lag(lap_duration) OVER w AS lap_delta_prev,
+      greatest(max(lap_number) OVER (PARTITION BY session_key, driver_number) - lap_number, 0) AS laps_to_go, round(lap_number / max(lap_number) OVER (PARTITION BY session_key, driver_number), 4) AS race_completion_pct,
+      CAST(coalesce(current_position = 1, false) AS INT) AS is_leading, CAST(coalesce(current_position <= 3, false) AS INT) AS is_top3, CAST(coalesce(current_position <= 10, false) AS INT) AS is_top10,
+      lag(current_position) OVER (PARTITION BY session_key, driver_number ORDER BY date_start, lap_number) - current_position AS position_gain_lap, {_TARGETS.removeprefix('final_position, ')} FROM own WINDOW w AS (PARTITION BY session_key, driver_number ORDER BY lap_number)),
+    ends AS (SELECT {', '.join(f'quantile_cont(CAST({c} AS DOUBLE), 0.01) AS low_{c}, quantile_cont(CAST({c} AS DOUBLE), 0.99) AS high_{c}' for c in _CLIPPED)} FROM master)"""
+
+
+@query("lap_master", ("laps", "sessions", "drivers", "stints", "weather", "position", "results", "car_data"), f"""WITH {_MASTER} SELECT * EXCLUDE (date_start, {', '.join(_CLIPPED)}, {', '.join(f'low_{c}, high_{c}' for c in _CLIPPED)}), epoch_us(date_start) AS date_start,
+    {', '.join(f'CASE WHEN {c} IS NOT NULL THEN round(least(greatest(CAST({c} AS DOUBLE), low_{c}), high_{c}), 6) END AS {c}' for c in _CLIPPED)} FROM master, ends""")
 def _c23(t: Tables) -> DataFrame:
     return features.lap_master(t.laps, t.sessions, t.drivers, t.stints, t.weather, t.position, t.results, t.car_data)
 
@@ -403,10 +471,14 @@ def _o6(t: Tables) -> DataFrame:
     return rows.first_n_per_group(t.sessions.select("session_key", "year"), ["year"], ["session_key"], 2)
 
 
-@query("busiest_driver_series", ("laps",), "WITH d AS (SELECT driver_number FROM laps GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) SELECT lap_number, round(lap_duration, 6) AS lap_duration, round(avg(lap_duration) OVER (PARTITION BY session_key, driver_number ORDER BY lap_number ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING), 6) AS rolling_avg_lap_5 FROM laps WHERE driver_number IN (SELECT driver_number FROM d)")
+@query("busiest_driver_series", ("laps",), """WITH r AS (SELECT *, avg(lap_duration) OVER (PARTITION BY session_key, driver_number ORDER BY lap_number ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS a FROM laps), x AS (SELECT * FROM r WHERE lap_duration IS NOT NULL AND a IS NOT NULL),
+    d AS (SELECT driver_number FROM x GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1), s AS (SELECT session_key FROM x WHERE driver_number IN (SELECT driver_number FROM d) GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+    SELECT lap_number, round(lap_duration, 6) AS lap_duration, round(a, 6) AS rolling_avg_lap_3 FROM x WHERE driver_number IN (SELECT driver_number FROM d) AND session_key IN (SELECT session_key FROM s)""")
 def _q20(t: Tables) -> DataFrame:
-    top = t.laps.groupBy("driver_number").count().orderBy(F.desc("count"), "driver_number").limit(1).select("driver_number")
-    return rolling.rolling_features(t.laps.join(F.broadcast(top), "driver_number", "left_semi")).select("lap_number", "lap_duration", "rolling_avg_lap_5")
+    known = rolling.rolling_features(t.laps).where("lap_duration is not null and rolling_avg_lap_3 is not null")
+    for by in ("driver_number", "session_key"):
+        known = known.join(F.broadcast(rows.most_frequent(known, [by]).select(by)), by, "left_semi")
+    return known.select("lap_number", "lap_duration", "rolling_avg_lap_3").orderBy("lap_number")
 
 
 @query("picker_values", ("sessions",), "SELECT DISTINCT year, session_type FROM sessions ORDER BY year DESC, session_type")
@@ -414,9 +486,24 @@ def _o8(t: Tables) -> DataFrame:
     return t.sessions.select("year", "session_type").distinct().orderBy(F.desc("year"), "session_type")
 
 
-@query("result_table", _BASE_VIEWS, f"WITH {_BASE} SELECT session_key, full_name, team_name, grid_position, final_position FROM base WHERE year = 2024 AND session_type = 'Race'")
+@query("result_table", _BASE_VIEWS, f"WITH {_BASE} SELECT session_key, full_name, team_name, grid_position, final_position, CASE WHEN final_position <= 10 THEN 'Finished' WHEN final_position > 10 THEN 'Unknown' END AS status FROM base WHERE year = 2024 AND session_type = 'Race'")
 def _q19(t: Tables) -> DataFrame:
-    return base_of(t).where("year = 2024 and session_type = 'Race'").select("session_key", "full_name", "team_name", "grid_position", "final_position")
+    results = cleaning.clean_session_results(t.results.withColumn("status", F.when(F.col("position") <= 10, " Finished").otherwise("nan")))
+    base = features.base_table(t.drivers, t.sessions, t.grid, results.unionByName(t.results.where("position > 25").withColumn("status", F.lit("Unknown"))), t.weather, t.laps, t.stints)
+    return base.where("year = 2024 and session_type = 'Race'").select("session_key", "full_name", "team_name", "grid_position", "final_position", "status")
+
+
+@query("sessions_per_year", ("sessions",), "SELECT year, count(*) AS sessions FROM sessions GROUP BY 1 UNION ALL SELECT NULL, count(*) FROM sessions")
+def _s11(t: Tables) -> DataFrame:
+    return files.ingest_log(t.sessions)
+
+
+@query("run_metadata", ("laps", "results", "stints"), f"""WITH {_CLIFFS}, m AS (SELECT CAST(coalesce(r.position = 1, false) AS INT) AS w FROM laps LEFT JOIN results r USING (session_key, driver_number)), said AS (SELECT string_agg(concat(compound, '=', cliff), ',' ORDER BY compound) AS tyre_cliffs FROM cliffs)
+    SELECT count(*) AS row_count, round(avg(w), 6) AS win_rate, 7 AS col_count, min(tyre_cliffs) AS tyre_cliffs FROM m, said""")
+def _s16(t: Tables) -> DataFrame:
+    out = files.run_metadata(features.targets(t.laps.select(*L), t.results), cliffs=features.learn_cliffs(t.laps, t.stints))
+    said = F.array_join(F.transform(F.map_entries("tyre_cliffs_used"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
+    return out.select("row_count", "win_rate", "col_count", said.alias("tyre_cliffs"))
 
 
 # Quality and profiling -------------------------------------------------------------------------------------------------
@@ -445,19 +532,54 @@ def _q8(t: Tables) -> DataFrame:
     return quality.table_summary(t.laps, "laps")
 
 
-@query("parse_shares", ("intervals",), "SELECT session_key AS file, CAST(1.0 AS DOUBLE) AS present, round(avg(CAST(try_cast(trim(gap_to_leader) AS DOUBLE) IS NOT NULL AS INT)), 6) AS parsed FROM (SELECT session_key, CASE WHEN gap_to_leader = 'nan' THEN 'x' ELSE gap_to_leader END AS gap_to_leader FROM intervals) GROUP BY 1")
+@query("parse_shares", ("intervals",), "SELECT session_key AS file, round(avg(CAST(g IS NOT NULL AS INT)), 6) AS present, round(avg(CAST(try_cast(trim(g) AS DOUBLE) IS NOT NULL AS INT)), 6) AS parsed FROM (SELECT session_key, CASE WHEN gap_to_leader = 'nan' THEN 'x' ELSE nullif(gap_to_leader, '') END AS g FROM intervals) GROUP BY 1")
 def _q9(t: Tables) -> DataFrame:
-    return quality.parse_shares(t.intervals.withColumn("gap_to_leader", F.when(F.col("gap_to_leader") == "nan", "x").otherwise(F.col("gap_to_leader"))), F.col("session_key"), "gap_to_leader", "double")
+    text = F.when(F.col("gap_to_leader") == "nan", "x").otherwise(F.nullif(F.col("gap_to_leader"), F.lit("")))
+    return quality.parse_shares(t.intervals.withColumn("gap_to_leader", text), F.col("session_key"), "gap_to_leader", "double")
 
 
-@query("describe_laps", ("laps",), "SELECT 'lap_duration' AS \"column\", count(lap_duration) AS n, round(avg(lap_duration), 6) AS mean, round(stddev_samp(lap_duration), 6) AS std, round(min(lap_duration), 6) AS least, round(quantile_cont(lap_duration, 0.25), 6) AS q1, round(quantile_cont(lap_duration, 0.5), 6) AS q2, round(quantile_cont(lap_duration, 0.75), 6) AS q3, round(max(lap_duration), 6) AS most FROM laps")
+@query("schema_alignment", ("laps", "raw_laps", "stints"), """WITH found(file, "column", issue, expected, got) AS (VALUES ('raw_laps', 'segments_sector_1', 'extra', NULL, 'string'), ('raw_laps', 'i1_speed', 'missing', 'double', NULL), ('raw_laps', 'session_key', 'type', 'bigint', 'string'), ('raw_laps', 'driver_number', 'type', 'bigint', 'string'), ('raw_laps', 'lap_number', 'type', 'bigint', 'string'),
+      ('raw_laps', 'date_start', 'type', 'timestamp_ntz', 'string'), ('raw_laps', 'lap_duration', 'type', 'double', 'string'), ('raw_laps', 'is_pit_out_lap', 'type', 'boolean', 'string')) SELECT file, (SELECT count(*) FROM raw_laps) AS row_count, "column", issue, expected, got FROM found""")
+def _q9_schema(t: Tables) -> DataFrame:
+    return quality.schema_alignment({"empty": t.stints.where("stint_number < 0"), "laps": t.laps, "raw_laps": t.raw_laps})
+
+
+_DESCRIBED = "count({c}) AS n, CAST(NULL AS BIGINT) AS n_unique, CAST(NULL AS VARCHAR) AS top, CAST(NULL AS BIGINT) AS freq, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, round(CAST(min({c}) AS DOUBLE), 6) AS least, round(quantile_cont({c}, 0.25), 6) AS q1, round(quantile_cont({c}, 0.5), 6) AS q2, round(quantile_cont({c}, 0.75), 6) AS q3, round(CAST(max({c}) AS DOUBLE), 6) AS most"
+
+
+@query("describe_laps", ("laps", "stints"), f"""WITH {_TYRE}, c AS (SELECT compound, count(*) AS n FROM tyre WHERE compound IS NOT NULL GROUP BY 1) SELECT 'lap_duration' AS "column", {_DESCRIBED.format(c='lap_duration')} FROM tyre UNION ALL SELECT 'tyre_age', {_DESCRIBED.format(c='tyre_age')} FROM tyre
+    UNION ALL SELECT 'compound', sum(n), count(*), arg_min(compound, (-n, compound)), max(n), NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM c""")
 def _q10(t: Tables) -> DataFrame:
-    return quality.describe(t.laps, ["lap_duration"])
+    return quality.describe(features.tyre_laps(t.laps, t.stints).select("lap_duration", "tyre_age", "compound"))
+
 
+_PROFILED = """SELECT '{c}' AS "column", '{t}' AS dtype, count(DISTINCT {c}) AS n_unique, count(*) - count({c}) AS nulls, round(100.0 * (count(*) - count({c})) / count(*), 2) AS null_pct,
+    CASE WHEN count(DISTINCT {c}) = count(*) THEN 'ID/Key' WHEN count(DISTINCT {c}) < 30 THEN 'Categorical' WHEN '{t}' = 'string' THEN 'High-card text' ELSE 'Numeric' END AS likely_type, array_to_string(list_slice(list_sort(list(DISTINCT CAST({c} AS VARCHAR)) FILTER ({c} IS NOT NULL)), 1, 5), ',') AS samples FROM laps_of_drivers"""
 
-@query("unique_profile", ("sessions",), "SELECT 'year' AS \"column\", count(DISTINCT year) AS n_unique, CAST(0 AS BIGINT) AS nulls, 'category' AS likely, '2024,2025' AS samples FROM sessions UNION ALL SELECT 'session_key', count(DISTINCT session_key), 0, 'key', '0,1,2,3,4' FROM sessions")
+
+@query("unique_profile", ("laps", "drivers"), "WITH laps_of_drivers AS (SELECT driver_number, lap_number, session_key, full_name, team_name, is_pit_out_lap, CASE WHEN lap_number % 3 = 0 THEN NULL ELSE lap_number END AS gaps, concat(CAST(driver_number AS STRING), '-', CAST(lap_number AS STRING)) AS id FROM laps JOIN drivers USING (session_key, driver_number)) " + " UNION ALL ".join(_PROFILED.format(c=c, t=t) for c, t in (("driver_number", "bigint"), ("lap_number", "bigint"), ("session_key", "bigint"), ("full_name", "string"), ("team_name", "string"), ("is_pit_out_lap", "boolean"), ("gaps", "bigint"), ("id", "string"))))
 def _q11(t: Tables) -> DataFrame:
-    return quality.unique_profile(t.sessions.select("year", "session_key"))
+    both = t.laps.join(t.drivers, K).select("driver_number", "lap_number", "session_key", "full_name", "team_name", "is_pit_out_lap", F.when(F.col("lap_number") % 3 != 0, F.col("lap_number")).alias("gaps"), F.concat_ws("-", "driver_number", "lap_number").alias("id"))
+    return quality.unique_profile(both)
+
+
+_BASE_COLUMNS = ("session_key", "driver_number", "full_name", "team_name", "year", "session_type", "circuit_key", "grid_position", "final_position", *(f"{c}_mean" for c in ("air_temperature", "track_temperature", "humidity", "pressure", "wind_speed")), "rainfall_max", "lap_count", "avg_lap_duration", "best_lap_duration", "median_lap_duration", "lap_duration_std", "stint_count", "max_tyre_age_at_start", "first_compound", "last_compound", "compound_count", "target_win", "target_podium", "target_top10")
+_MISSING = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", 100.0 * (count(*) - count({'1' if c.startswith('target_') else c})) / count(*) AS pct FROM base" for c in _BASE_COLUMNS)
+
+
+@query("most_missing", _BASE_VIEWS, f"""WITH {_BASE}, x AS ({_MISSING}) SELECT "column", round(pct, 6) AS pct, CASE WHEN pct > 20 THEN 'drop' WHEN pct > 5 THEN 'watch' ELSE 'ok' END AS status FROM x ORDER BY x.pct DESC, "column" LIMIT 20""")
+def _o4(t: Tables) -> DataFrame:
+    return quality.most_missing(base_of(t))
+
+
+@query("duplicate_report", ("weather",), "WITH w AS (SELECT session_key, rainfall, CAST(humidity > 50 AS INT) AS wet FROM weather) SELECT 'weather' AS file, count(*) AS row_count, count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM w)) AS full_row_dups, round(100.0 * (count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM w))) / count(*), 2) AS full_dup_pct, '[''session_key'']' AS key_cols, count(*) - (SELECT count(*) FROM (SELECT DISTINCT session_key FROM w)) AS key_dups FROM w")
+def _q15(t: Tables) -> DataFrame:
+    return quality.duplicate_report(t.weather.select("session_key", "rainfall", (F.col("humidity") > 50).cast("int").alias("wet")), "weather", ["session_key", "date"])
+
+
+@query("missing_by_session", ("samples",), "SELECT session_key, count(*) AS row_count, round(avg(CAST(X IS NULL AS INT)), 6) AS missing FROM samples GROUP BY 1")
+def _a24_share(t: Tables) -> DataFrame:
+    return aggregates.missing_share(t.samples, "X", ["session_key"])
 
 
 @query("negative_values", ("laps",), "SELECT 'x' AS \"column\", count(*) FILTER (lap_duration - 50 < 0) AS n, round(100.0 * count(*) FILTER (lap_duration - 50 < 0) / count(*), 6) AS pct, round(min(lap_duration - 50), 6) AS least FROM laps")
@@ -475,14 +597,21 @@ def _q14(t: Tables) -> DataFrame:
     return quality.dominant_values(t.laps.select(F.when(F.col("lap_number") < 10000, "a").otherwise("b").alias("z"), "lap_number"))
 
 
-@query("time_columns", ("intervals",), "SELECT 'start_text' AS \"column\", CAST(1.0 AS DOUBLE) AS parsed, true AS convert")
+@query("time_columns", ("raw_laps",), "SELECT 'date_start' AS \"column\", round(avg(CAST(try_cast(date_start AS TIMESTAMP) IS NOT NULL AS INT)) FILTER (date_start IS NOT NULL), 6) AS parsed, avg(CAST(try_cast(date_start AS TIMESTAMP) IS NOT NULL AS INT)) FILTER (date_start IS NOT NULL) > 0.8 AS convert FROM raw_laps UNION ALL SELECT 'end_text', 0.0, false FROM raw_laps HAVING count(*) > 0")
 def _q16(t: Tables) -> DataFrame:
-    return quality.time_columns(t.intervals.select(F.col("date").cast("string").alias("start_text"), "gap_to_leader"))
+    return quality.time_columns(t.raw_laps.select("date_start", "lap_duration", F.when(F.col("lap_number").isNotNull(), "later").alias("end_text"), F.col("session_key").alias("label")))
 
 
-@query("recommendations", ("laps",), "SELECT 'lap_duration' AS \"column\", 'impute' AS action UNION ALL SELECT 'i1_speed', 'impute' UNION ALL SELECT 'session_key', 'duplicates'")
+_ODD_LAPS = "SELECT session_key, CASE WHEN lap_number % 2 = 0 THEN 1 END AS half, CASE WHEN lap_number % 10 <> 0 THEN 1 END AS most, CASE WHEN lap_number < 10000 THEN 'a' ELSE 'b' END AS same, lap_number % 5 - 2 AS below, lap_number % 7 AS above FROM laps"
+
+
+@query("recommendations", ("laps",), f"WITH x AS ({_ODD_LAPS}), " + " UNION ALL ".join(
+    ["c AS (SELECT 'session_key' AS \"column\", session_key AS v, CAST(session_key AS STRING) AS s FROM x", *(f"SELECT '{c}', {v}, CAST({c} AS STRING) FROM x" for c, v in (("half", "half"), ("most", "most"), ("same", "NULL"), ("below", "below"), ("above", "above")))]
+) + """), k AS (SELECT "column", s, count(*) AS n FROM c GROUP BY 1, 2) SELECT "column", CASE WHEN avg(CAST(s IS NULL AS INT)) > 0.2 THEN 'drop' ELSE 'impute' END AS action FROM c GROUP BY 1 HAVING count(s) < count(*) UNION ALL SELECT "column", 'low variance' FROM k GROUP BY 1 HAVING max(n) >= 0.99 * sum(n)
+    UNION ALL SELECT "column", 'negative' FROM c WHERE v < 0 GROUP BY 1 UNION ALL SELECT NULL, 'duplicates' FROM x HAVING count(*) > (SELECT count(*) FROM (SELECT DISTINCT * FROM x))""")
 def _q17(t: Tables) -> DataFrame:
-    return quality.recommendations(t.laps.select("session_key", "lap_duration", "i1_speed", "lap_number"), ["session_key"])
+    n = F.col("lap_number")
+    return quality.recommendations(t.laps.select("session_key", F.when(n % 2 == 0, 1).alias("half"), F.when(n % 10 != 0, 1).alias("most"), F.when(n < 10000, "a").otherwise("b").alias("same"), (n % 5 - 2).alias("below"), (n % 7).alias("above")))
 
 
 # Time grids -------------------------------------------------------------------------------------------------------------
@@ -498,14 +627,21 @@ def _w18(t: Tables) -> DataFrame:
     return resample.remove_jumps(t.samples.select(*K, "date", "X"), K, "date", ["X"])
 
 
-@query("interpolated", ("samples",), None)
+@query("resampled_seconds", ("samples",), "SELECT session_key, driver_number, epoch_us(time_bucket(INTERVAL 1 SECOND, date, TIMESTAMP '1970-01-01')) AS date, round(avg(Speed), 6) AS \"Speed\", round(avg(Throttle), 6) AS \"Throttle\" FROM samples GROUP BY 1, 2, 3")
+def _t1_seconds(t: Tables) -> DataFrame:
+    return resample.resample(t.samples.withColumn("date", F.col("date").cast("timestamp")), K, "date", ["Speed", "Throttle"])
+
+
+@query("interpolated", ("samples",), """WITH p AS (SELECT session_key, driver_number, CAST(epoch_us(date) AS DOUBLE) AS t, epoch_us(date) AS date, X, last_value(CASE WHEN X IS NOT NULL THEN CAST(epoch_us(date) AS DOUBLE) END IGNORE NULLS) OVER b AS t0, last_value(X IGNORE NULLS) OVER b AS x0, first_value(CASE WHEN X IS NOT NULL THEN CAST(epoch_us(date) AS DOUBLE) END IGNORE NULLS) OVER f AS t1, first_value(X IGNORE NULLS) OVER f AS x1
+      FROM samples WINDOW b AS (PARTITION BY session_key, driver_number ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), f AS (PARTITION BY session_key, driver_number ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+    SELECT session_key, driver_number, date, round(coalesce(X, x0 + (x1 - x0) * (t - t0) / nullif(t1 - t0, 0), x0, x1), 6) AS "X" FROM p""")
 def _w19(t: Tables) -> DataFrame:
     return resample.interpolate(t.samples.select(*K, "date", "X"), K, "date", ["X"])
 
 
-@query("motion_features", ("samples",), "SELECT session_key, driver_number, epoch_us(date) AS date, round(Throttle - lag(Throttle) OVER w, 6) AS throttle_delta, round(avg(Speed) OVER (w ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 6) AS rolling_mean_speed FROM samples WINDOW w AS (PARTITION BY session_key, driver_number ORDER BY date)")
+@query("motion_features", ("samples",), "SELECT session_key, driver_number, epoch_us(date) AS date, round(Throttle - lag(Throttle) OVER w, 6) AS throttle_delta, round(avg(Speed) OVER (w ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 6) AS rolling_mean_speed, round((Speed - lag(Speed) OVER w) / nullif(epoch_us(date) / 1e6 - lag(epoch_us(date) / 1e6) OVER w, 0), 6) AS acceleration FROM samples WINDOW w AS (PARTITION BY session_key, driver_number ORDER BY date)")
 def _w20(t: Tables) -> DataFrame:
-    return resample.motion_features(t.samples, K, "date").select(*K, "date", "throttle_delta", "rolling_mean_speed")
+    return resample.motion_features(t.samples, K, "date").select(*K, "date", "throttle_delta", "rolling_mean_speed", "acceleration")
 
 
 @query("to_numbers", ("intervals",), "SELECT session_key, driver_number, epoch_us(date) AS date, CASE WHEN trim(gap_to_leader) IN ('nan', '', '+1 LAP') THEN NULL ELSE CAST(trim(gap_to_leader) AS DOUBLE) END AS gap, CAST(coalesce(gap_to_leader = '301', false) AS INT) AS far FROM intervals")

@@ -36,6 +36,21 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "car_data": (("lineitem",), """SELECT l_orderkey % 10 AS session_key, l_suppkey AS driver_number, CAST(l_linenumber AS BIGINT) AS lap_number,
         CAST(l_quantity * 9 AS DOUBLE) AS Speed, CAST(l_discount * 1000 AS DOUBLE) AS Throttle, CAST(l_extendedprice / 5 AS DOUBLE) AS RPM,
         CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS Brake, CAST(l_quantity AS INT) % 8 + 1 AS nGear FROM {lineitem}"""),
+    "overlapping": (("stints",), """SELECT session_key, driver_number, stint_number * 2 AS stint_number, lap_start, lap_end,
+        CASE WHEN stint_number % 3 = 0 THEN NULL ELSE compound END AS compound, tyre_age_at_start FROM {stints}
+        UNION ALL SELECT session_key, driver_number, stint_number * 2 + 1, lap_start + 4, lap_end + 4, 'HARD',
+        CASE WHEN stint_number % 2 = 0 THEN 3 END FROM {stints} WHERE driver_number % 2 = 0"""),
+    "raw_laps": (("events",), """SELECT CASE WHEN event_id % 41 = 0 THEN NULL ELSE CAST(user_id % 10 AS STRING) END AS session_key, concat(CAST(user_id AS STRING), '.0') AS driver_number,
+        CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS STRING) AS lap_number,
+        CASE event_id % 17 WHEN 0 THEN 'soon' WHEN 1 THEN '' ELSE CAST(ts AS STRING) END AS date_start,
+        CASE WHEN event_id % 19 = 0 THEN 'abc' WHEN event_id % 29 = 0 THEN 'NaN' ELSE concat(' ', CAST(CAST(event_id % 700 AS BIGINT) AS STRING), '.25') END AS lap_duration,
+        CASE event_id % 6 WHEN 0 THEN 'True' WHEN 1 THEN 'false' WHEN 2 THEN '1' WHEN 3 THEN '0' WHEN 4 THEN '1.0' END AS is_pit_out_lap,
+        CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'a' END AS segments_sector_1
+        FROM {events} UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM {events} WHERE event_id % 50 = 0"""),
+    "raw_car": (("events",), """SELECT CASE WHEN event_id % 13 = 0 THEN NULL ELSE user_id END AS driver_number, event_id AS sample,
+        CASE WHEN event_id % 7 = 0 THEN 'never' WHEN event_id % 2 = 0 THEN concat('0 days 00:0', CAST(event_id % 6 AS STRING), ':1', CAST(event_id % 10 AS STRING), '.5')
+          ELSE concat('01:2', CAST(event_id % 6 AS STRING), ':3', CAST(event_id % 10 AS STRING)) END AS Time,
+        concat(CAST(event_id % 500 AS STRING), '') AS Speed, CASE WHEN event_id % 11 = 0 THEN 'x' ELSE CAST(ts AS STRING) END AS Date FROM {events}"""),
     "samples": (("events",), """SELECT user_id % 10 AS session_key, user_id AS driver_number, ts AS date,
         value * 3 AS Speed, value AS Throttle, CASE WHEN event_id % 6 = 0 THEN NULL ELSE value * 20 END AS X FROM {events}"""),
 }

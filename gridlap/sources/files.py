@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,7 +48,9 @@ def select_sessions(sessions: DataFrame, names: Sequence[str], per_year: int | N
 
 
 def ingest_log(sessions: DataFrame) -> DataFrame:
-    return sessions.groupBy("year").agg(F.count("*").alias("sessions"))
+    """year, sessions: how many came for each year, and a row with a null year for all."""
+    per_year = sessions.where("year is not null").groupBy("year").agg(F.count("*").alias("sessions"))
+    return per_year.unionByName(sessions.agg(F.count("*").alias("sessions")).select(F.lit(None).cast(sessions.schema["year"].dataType).alias("year"), "sessions"))
 
 
 def write_table(df: DataFrame, path: str, kind: str = "parquet", partition_by: Sequence[str] = ()) -> None:
@@ -61,13 +64,23 @@ def write_table(df: DataFrame, path: str, kind: str = "parquet", partition_by: S
 
 
 def write_both(df: DataFrame, path: str) -> DataFrame:
-    """As Parquet, and from that as CSV, so that the table is computed once. Gives the table as written."""
-    write_table(df, f"{path}.parquet")
+    """As Parquet, and from that as CSV, so that the table is computed once; gives the table as written. If Parquet can't
+    be written there is a warning, and CSV is written from df."""
+    try:
+        write_table(df, f"{path}.parquet")
+    except Exception as failed:  # noqa: BLE001  whatever the store says
+        warnings.warn(f"Parquet save failed: {failed}", stacklevel=2)
+        write_table(df, f"{path}.csv", "csv")
+        return df.sparkSession.read.schema(df.schema).option("header", True).csv(f"{path}.csv")
     written = df.sparkSession.read.parquet(f"{path}.parquet")
     write_table(written, f"{path}.csv", "csv")
     return written
 
 
-def run_metadata(df: DataFrame, target: str = "target_win") -> DataFrame:
-    """One row: row and column count and the target's rate, to be written as JSON."""
-    return df.agg(F.count("*").alias("row_count"), F.avg(target).alias("win_rate")).withColumns({"col_count": F.lit(len(df.columns)), "built_at": F.current_timestamp()})
+def run_metadata(df: DataFrame, target: str = "target_win", cliffs: DataFrame | None = None) -> DataFrame:
+    """One row: row and column count, the target's rate, and the cliffs used by compound, to be written as JSON."""
+    out = df.agg(F.count("*").alias("row_count"), F.avg(target).alias("win_rate")).withColumns({"col_count": F.lit(len(df.columns)), "built_at": F.current_timestamp()})
+    if cliffs is None:
+        return out
+    used = cliffs.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("compound", "cliff")))).alias("tyre_cliffs_used"))  # a handful of compounds
+    return out.crossJoin(F.broadcast(used))

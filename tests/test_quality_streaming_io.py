@@ -19,9 +19,24 @@ def test_checks(spark):
     assert issues["range", "warning"] == "Column lap_duration has 2 values outside [30, 600]"
     assert issues["missing_values", "warning"].endswith("has 2 nulls (50.0%)")
     half = spark.createDataFrame([(None,)] * 51 + [(1,)] * 49, "x int")
-    assert quality.null_issues(half, "f").first().severity == "error"
+    assert quality.counted_issues(half, "f").first().severity == "error"
     assert quality.required_columns(spark, df, "laps", ["driver_number"]).count() == 1
-    assert quality.empty_table(df.where("false"), "laps").count() == 1
+    assert [r.check for r in quality.counted_issues(df.where("false"), "laps", [("lap_duration", 30, 600)]).collect()] == ["file_exists"]
+    assert {(r.severity, r.n) for r in quality.by_severity(quality.counted_issues(df, "laps")).collect()} == {("warning", 2)}
+
+
+def test_profiles_of_tables_without_such_columns(spark):
+    no_columns, words = spark.range(3).select(), spark.createDataFrame([("b",), ("a",), (None,)], "w string")
+    assert quality.dominant_values(no_columns).count() == quality.negatives(words).count() == quality.blanks(spark.range(2)).count() == 0
+    assert tuple(quality.describe(words).first())[:5] == ("w", 2, 2, "a", 1)
+    assert quality.describe(words.where("false")).first()[:3] == ("w", 0, 0)
+    twice = spark.createDataFrame([(1, "x"), (1, "x"), (1, None), (None, None), (None, None)], "k int, v string")
+    assert tuple(quality.duplicate_report(twice, "f", ["k", "absent"]).first()) == ("f", 5, 2, 40.0, "['k']", 3)
+    assert tuple(quality.duplicate_report(twice.where("false"), "f", []).first()) == ("f", 0, 0, 0.0, "[]", None)
+    files_ = {"none": twice.where("false"), "a": twice, "b": spark.createDataFrame([(1.0, 2)], "k double, z int"), "c": twice}
+    found = {(r.file, r.column, r.issue, r.expected, r.got) for r in quality.schema_alignment(files_).collect()}
+    assert found == {("b", "k", "type", "int", "double"), ("b", "z", "extra", None, "int"), ("b", "v", "missing", "string", None)}
+    assert quality.schema_alignment({"a": twice}).count() == 0
 
 
 def test_dominant_values_count_nulls(spark):
@@ -82,4 +97,4 @@ def test_sinks(spark, tmp_path):
     listed = df.select(F.lit("laps").alias("endpoint"), "year", "session_key")
     assert files.not_ingested(listed, listed.limit(1)).count() == 1
     sessions = df.select("session_key", "year", F.lit("Race").alias("session_name"), F.lit(1).alias("date_start"))
-    assert files.select_sessions(sessions, ["Race"], 1).count() == 2 and files.ingest_log(sessions).count() == 2
+    assert files.select_sessions(sessions, ["Race"], 1).count() == 2 and files.ingest_log(sessions).count() == 3
