@@ -1,11 +1,8 @@
-"""Reading the input tables, cutting lineage and mapping over Arrow batches."""
+"""Reading the input tables, sharing values with tasks and mapping over Arrow batches."""
 
 from __future__ import annotations
 
 import pickle
-import re
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -13,6 +10,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridlap.operators.store import cut as cut
+
 #: ASCII white space as the word rule has it: space and \x09 to \x0D.
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -22,26 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; one of our own only in local mode, where there is one machine."""
-    key = "spark.checkpoint.dir"
-    found = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
-    if not found:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise ValueError(f"set {key} to a folder that the driver and all executors share")
-        found = f"file://{tempfile.mkdtemp(prefix='gridlap-shared-')}"
-        spark.conf.set(key, found)
-    return found.rstrip("/")
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and read it back: later steps neither recompute it nor carry its lineage."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def utf8(column: pa.Array) -> list[bytes | None]:
     """A batch's strings as bytes, without decoding them."""
     return column.cast(pa.large_binary()).to_pylist()

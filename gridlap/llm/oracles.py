@@ -20,7 +20,7 @@ def _jump(shards: int) -> str:
     b AS (SELECT doc_id, text, k, encode(text) AS e, hex(encode(text)) AS h FROM d),
     c AS (SELECT doc_id, k, octet_length(e) AS bytes, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(regexp_extract_all(h, '..'), lambda x: ('0x' || x)::BIGINT)), lambda a, x: xor(a // 256, t[xor(a % 256, x) + 1]))) AS crc FROM b, t)
     SELECT doc_id, (bytes + 16)::BIGINT AS size, crc::BIGINT AS text_crc32, 'key' AS law, shard,
-      row_number() OVER (PARTITION BY shard ORDER BY ((((k * 2862933555777941757 + 1) % 18446744073709551616) // 8589934592) % 256)::INT, doc_id, crc, bytes) - 1 AS slot, grown_shard
+      row_number() OVER (PARTITION BY shard ORDER BY ((((k * 2862933555777941757 + 1) % 18446744073709551616) // 8589934592 + crc) % 256)::INT, doc_id, crc, bytes) - 1 AS slot, grown_shard
     FROM c JOIN placed USING (doc_id)"""
 
 

@@ -4,7 +4,7 @@ A row's shard follows from its key and the shard count alone: a 64-bit linear co
 the key, gives the jumps; the last jump below the count is the shard. With one more shard a row stays or moves
 into the new one. No ring table is kept.
 
-Defined cases: a null key counts as key 0; a null text has no bytes (size 16, CRC 0); rows with equal keys share
+Defined cases: a null key goes where key 0 goes; a null text has no bytes (size 16, CRC 0); rows with equal keys share
 a shard and get different slots; an empty table gives an empty result. Only the named columns are read, so other
 columns and their names don't matter.
 """
@@ -59,26 +59,28 @@ def jump(key: Column, shards: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(shards + 2)), start, step, lambda acc: F.struct(acc["shard"].cast("int").alias("shard"), acc["grown"].cast("int").alias("grown")))
 
 
-def shard_rows(df: DataFrame, key: str, text: str, shards: int, blocks: int = 256) -> DataFrame:
+def shard_rows(df: DataFrame, key: str, text: str, shards: int, blocks: int = 256, run: int = 1 << 20) -> DataFrame:
     """key, size, text_crc32, law, shard, slot, grown_shard for each row of df.
 
-    Slots count each shard's rows from 0 without gaps. A shard's rows are first dealt into `blocks` by further bits
-    of the key's hash; rows are numbered inside a block and shifted by the counts of the shard's earlier blocks, so
-    no task has to order a whole shard. Only these narrow columns are shuffled, never the text.
+    Slots count each shard's rows from 0 without gaps. Rows that agree in key, CRC and size are counted before the
+    shuffle and are one entry; a shard's entries are dealt into `blocks` by further bits of the key's hash and the CRC, entries are ordered
+    inside a block, and go on from the counts of the shard's earlier blocks. So neither a shard, nor a key that many
+    rows have, is ordered in one task; an entry of more than `run` rows is written by several. Only these narrow
+    columns are shuffled, never the text.
     """
-    at = jump(F.col(key), shards)
-    block = (_top31(_next(_unsigned(F.col(key)))) % blocks).cast("int")
-    placed = df.select(F.col(key).alias("key"), F.coalesce(F.octet_length(text).cast("long"), F.lit(0)).alias("bytes"), F.crc32(F.coalesce(text, F.lit(""))).alias("crc"), at.alias("at"), block.alias("block"))
-    placed = placed.select("key", "bytes", "crc", "at.*", "block")
-    counts = df.select(at.alias("at"), block.alias("block")).select("at.shard", "block").groupBy("shard", "block").count()
-    before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("shard", "block", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
-    inside = F.row_number().over(Window.partitionBy("shard", "block").orderBy("key", "crc", "bytes"))
-    return (
-        placed.withColumn("n", inside)
-        .join(offsets, ["shard", "block"], "left")
-        .select(F.col("key").alias(key), (F.col("bytes") + ROW_BYTES).alias("size"), F.col("crc").alias("text_crc32"), F.lit("key").alias("law"), "shard", (F.col("offset") + F.col("n") - 1).alias("slot"), F.col("grown").alias("grown_shard"))
-    )
+    rows = df.select(F.col(key).alias("key"), F.coalesce(F.octet_length(text).cast("long"), F.lit(0)).alias("bytes"), F.crc32(F.coalesce(text, F.lit(""))).alias("crc"))
+    entries = rows.groupBy("key", "bytes", "crc").agg(F.count("*").alias("n"))
+    placed = entries.select("key", "bytes", "crc", "n", jump(F.col("key"), shards).alias("at"), ((_top31(_next(_unsigned(F.col("key")))) + F.col("crc")) % blocks).cast("int").alias("block"))
+    placed = placed.select("key", "bytes", "crc", "n", "at.*", "block")
+    inside = F.sum("n").over(Window.partitionBy("shard", "block").orderBy("key", "crc", "bytes").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    earlier = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # at most `blocks` rows a shard
+    offsets = placed.groupBy("shard", "block").agg(F.sum("n").alias("rows")).select("shard", "block", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("offset"))
+    counted = placed.withColumn("first", inside - F.col("n")).join(offsets, ["shard", "block"]).withColumn("first", F.col("first") + F.col("offset"))
+    slots = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    some = counted.where(F.col("n") <= run).withColumn("slot", F.explode(slots(F.col("n")))).withColumn("slot", F.col("slot") + F.col("first"))
+    runs = counted.where(F.col("n") > run).withColumn("start", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(run).cast("long"))))
+    many = runs.repartition("key", "crc", "start").withColumn("slot", F.explode(slots(F.least(F.lit(run).cast("long"), F.col("n") - F.col("start"))))).withColumn("slot", F.col("slot") + F.col("first") + F.col("start")).drop("start")
+    return some.unionByName(many).select(F.col("key").alias(key), (F.col("bytes") + ROW_BYTES).alias("size"), F.col("crc").alias("text_crc32"), F.lit("key").alias("law"), "shard", "slot", F.col("grown").alias("grown_shard"))
 
 
 def write_shards(df: DataFrame, key: str, shards: int, path: str, files_per_shard: int = 8) -> None:

@@ -34,6 +34,17 @@ def test_slots_have_no_gaps_with_nulls_ties_and_other_columns(spark):
     assert sharding.shard_rows(df.where("false"), "doc_id", "text", 5).count() == 0
 
 
+def test_a_hot_key_and_repeated_rows_get_each_slot_once(spark):
+    rows = [(None, f"t{i}") for i in range(400)] + [(7, "same")] * 333 + [(7, f"t{i}") for i in range(50)] + [(i, "x") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for run in (10, 1 << 20):
+        got = sharding.shard_rows(df, "doc_id", "text", 6, blocks=16, run=run).collect()
+        assert len(got) == len(rows) and sum(r.doc_id is None for r in got) == 400 and sum(r.doc_id == 7 for r in got) == 384
+        for s in {r.shard for r in got}:
+            slots = sorted(r.slot for r in got if r.shard == s)
+            assert slots == list(range(len(slots)))
+
+
 def test_writing_shards(spark, tmp_path):
     sharding.write_shards(spark.range(100), "id", 4, f"{tmp_path}/s", 2)
     got = spark.read.parquet(f"{tmp_path}/s")
