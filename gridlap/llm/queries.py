@@ -51,7 +51,7 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.fit(toxicity.training_rows(docs, labels, "toxic", fold(5) != 0))
-    return toxicity.score(docs, model).select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return toxicity.score(docs, model).select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "passages")
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

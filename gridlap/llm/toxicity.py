@@ -11,7 +11,8 @@ texts' score distribution a segment of score s in n words is expected K n exp(-l
 and a logistic curve of the evidence, fitted on the training texts, gives the score.
 
 Bounds: labels are learned from at most `TRAIN_ROWS` texts, those with the smallest hash of doc_id; exact copies
-count once. The model keeps the `MODEL_TOKENS` tokens that stand out most.
+count once. All tokens that stand out and occur in `LEAST_TEXTS` toxic texts are kept, so the model's size follows from
+that bound.
 
 Defined cases: null and empty texts have no evidence and get the curve's lowest score; null labels and labels
 without a text are left out; with no training texts of one kind every score is that kind's smoothed share. Labels
@@ -31,27 +32,31 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlap.llm.common import cut, map_batches
+from gridlap.llm.common import cut, map_batches, share
 
-TRAIN_ROWS, MODEL_TOKENS = 20_000, 50_000
-LEAST_Z, PRIOR, DRIFT, K = 3.0, 0.05, 0.25, 0.1
+TRAIN_ROWS = 20_000
+LEAST_Z, LEAST_TEXTS, PRIOR, DRIFT, K = 3.0, 3, 0.05, 0.25, 0.1
 BEGINNINGS = (6, 5, 4)
-CACHE_WORDS = 400_000
-CACHE_LETTERS = 64
-OUTER = string.punctuation
+#: Words that a task remembers at once, and the longest of them.
+CACHE_WORDS, CACHE_LETTERS = 400_000, 64
+OUTER = frozenset(string.punctuation)
 
 
 def tokens(word: str) -> list[str]:
     """The word's forms, longest first; beginnings are marked so that they aren't taken for words."""
-    bare = word.strip(OUTER)
+    bare = word.strip(string.punctuation)
     return [bare, *(bare[:n] + "*" for n in BEGINNINGS if len(bare) > n)] if bare else []
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, in_training: F.Column, rows: int = TRAIN_ROWS) -> DataFrame:
-    """doc_id, text, label of the labelled training texts with the smallest hashes of doc_id."""
+    """doc_id, text, label: a row for each of the at most `rows` labelled training doc_ids with the smallest hashes.
+
+    Of the texts that one doc_id has, the first in order counts.
+    """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("label"))
     chosen = known.where(in_training).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    met = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return met.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
 
 
 def _token_counts(train: DataFrame) -> DataFrame:
@@ -91,59 +96,73 @@ def segments(scores: list[tuple[int, float]], drift: float = DRIFT) -> list[tupl
     """All maximal scoring segments, (start, end, score), of a sequence that is -drift but at the given places.
 
     scores: places and positive scores in order of place. A stack holds disjoint candidates with the running totals
-    before and after each; a new one swallows those that it improves. Each is pushed and popped once.
+    before and after each, and each one's nearest earlier candidate with a lower total before it. A new one goes back
+    over these links and swallows what it improves; where none is lower, all candidates so far are final. So the scan
+    is linear in the scores.
     """
-    stack: list[tuple[int, int, float, float]] = []
+    out: list[tuple[int, int, float]] = []
+    stack: list[tuple[int, int, float, float, int]] = []
     total, last = 0.0, -1
     for place, score in scores:
         total -= drift * (place - last - 1)
         start, before, after = place, total, total + score
         total, last = after, place
-        while stack:
-            # The nearest candidate with a lower total before it; those in between end for good.
+        while True:
             at = len(stack) - 1
             while at >= 0 and stack[at][2] >= before:
-                at -= 1
-            if at < 0 or stack[at][3] >= after:
+                at = stack[at][4]
+            if at < 0:
+                out += [(s, e, y - x) for s, e, x, y, _ in stack]
+                stack.clear()
+                break
+            if stack[at][3] >= after:
                 break
             start, before = stack[at][0], stack[at][2]
             del stack[at:]
-        stack.append((start, place + 1, before, after))
-    return [(s, e, after - before) for s, e, before, after in stack]
+        stack.append((start, place + 1, before, after, at))
+    return out + [(s, e, y - x) for s, e, x, y, _ in stack]
 
 
 class Scanner:
-    """Evidence of texts, with words' scores remembered."""
+    """Segments and evidence of texts.
+
+    A token that scores begins with one of `heads`, the tokens' first four characters, so one look at a word's own
+    beginning rules out most words; the others' scores are looked up.
+    """
 
     def __init__(self, model: Model) -> None:
         self.model = model
+        self.heads = {t[:4] for t in model.scores}
         self.known: dict[str, float] = {}
 
-    def segments(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
-        """The number of words, and the significant segments in words with their -log expected counts."""
-        words = (text or "").lower().split()
-        known, model = self.known, self.model
+    def _hits(self, words: list[str]) -> list[tuple[int, float]]:
+        heads, known = self.heads, self.known
         if len(known) > CACHE_WORDS:
             known.clear()
-        hits = []
-        for i, word in enumerate(words):
-            score = known.get(word)
-            if score is None:
-                score = model.word(word)
-                if len(word) <= CACHE_LETTERS:
-                    known[word] = score
+        out = []
+        # With outer punctuation a word's first four characters aren't its token's.
+        for i, w in [(i, w) for i, w in enumerate(words) if (h := w[:4]) in heads or h[0] in OUTER or h[-1] in OUTER]:
+            if (score := known.get(w)) is None:
+                score = self.model.word(w)
+                if len(w) <= CACHE_LETTERS:
+                    known[w] = score
             if score > 0:
-                hits.append((i, score))
-        if not hits:
+                out.append((i, score))
+        return out
+
+    def segments(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
+        """The number of words, and the significant segments in words with their -log expected counts."""
+        words = (text or "").lower().split()
+        if not (hits := self._hits(words)):
             return len(words), []
         level = math.log(K * len(words))
-        return len(words), [(s, e, v) for s, e, x in segments(hits) if (v := model.rate * x - level) > 0]
+        return len(words), [(s, e, v) for s, e, x in segments(hits) if (v := self.model.rate * x - level) > 0]
 
-    def evidence(self, text: str | None) -> float:
-        return math.log1p(sum(v for _, _, v in self.segments(text)[1]))
+    def evidence(self, found: list[tuple[int, int, float]]) -> float:
+        return math.log1p(sum(v for _, _, v in found))
 
-    def score(self, text: str | None) -> float:
-        return 1 / (1 + math.exp(-max(-500.0, min(500.0, self.model.base + self.model.slope * self.evidence(text)))))
+    def score(self, found: list[tuple[int, int, float]]) -> float:
+        return 1 / (1 + math.exp(-max(-500.0, min(500.0, self.model.base + self.model.slope * self.evidence(found)))))
 
 
 def _rate(scores: np.ndarray, shares: np.ndarray) -> float:
@@ -177,11 +196,11 @@ def fit(train: DataFrame) -> Model:
         share = (n_toxic + 1) / (n_toxic + n_clean + 2)
         return Model({}, 1.0, 0.0, math.log(share / (1 - share)))
     words = counts.where("token is null").select("clean").first()[0]
-    often = counts.where("token <> ''").where(F.col("toxic") * n_clean > F.col("clean") * n_toxic).where("toxic >= 3").toArrow()
+    often = counts.where("token <> ''").where(F.col("toxic") * n_clean > F.col("clean") * n_toxic).where(F.col("toxic") >= LEAST_TEXTS).toArrow().sort_by("token")
     toxic, clean = (often.column(c).to_numpy().astype(float) for c in ("toxic", "clean"))
     ratio, z = log_odds(toxic, clean, n_toxic, n_clean)
     names = often.column("token").to_pylist()
-    keep = [i for i in np.argsort(-z, kind="stable")[:MODEL_TOKENS] if z[i] >= LEAST_Z and ratio[i] > 0]
+    keep = np.flatnonzero((z >= LEAST_Z) & (ratio > 0)).tolist()
     shares = (clean[keep] + 0.5) / max(words, 1)
     rate = _rate(np.append(ratio[keep], -DRIFT), np.append(shares, max(1 - shares.sum(), 0.5))) if keep else 1.0
     model = Model({names[i]: float(ratio[i]) for i in keep}, rate)
@@ -191,11 +210,11 @@ def fit(train: DataFrame) -> Model:
 
 
 def _evidence(train: DataFrame, model: Model) -> DataFrame:
-    shared = train.sparkSession.sparkContext.broadcast(model)
+    shared = share(train.sparkSession, model)
 
     def make():
-        scanner = Scanner(shared.value)
-        return lambda batch: {"label": batch.column("label"), "evidence": [scanner.evidence(t) for t in batch.column("text").to_pylist()]}
+        scanner = Scanner(shared())
+        return lambda batch: {"label": batch.column("label"), "evidence": [scanner.evidence(scanner.segments(t)[1]) for t in batch.column("text").to_pylist()]}
 
     return map_batches(train.select(F.col("label").cast("int"), "text"), make, "label int, evidence double")
 
@@ -215,11 +234,16 @@ def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> tuple[float
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, score for each row of docs."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    """doc_id, score, passages for each row of docs; passages: start-end of the significant segments in words, end exclusive, comma-joined."""
+    shared = share(docs.sparkSession, model)
 
     def make():
-        scanner = Scanner(shared.value)
-        return lambda batch: {"doc_id": batch.column("doc_id"), "score": [scanner.score(t) for t in batch.column("text").to_pylist()]}
+        scanner = Scanner(shared())
+
+        def one(batch):
+            found = [scanner.segments(t)[1] for t in batch.column("text").to_pylist()]
+            return {"doc_id": batch.column("doc_id"), "score": list(map(scanner.score, found)), "passages": [",".join(f"{s}-{e}" for s, e, _ in x) for x in found]}
+
+        return one
 
-    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), make, "doc_id long, score double")
+    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), make, "doc_id long, score double, passages string")
