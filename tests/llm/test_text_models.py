@@ -1,7 +1,10 @@
 """Decontamination, secrets, toxicity, language model and classifier against plain versions and held-out labels."""
 
+import functools
 import math
 import random
+import re
+import time
 import zlib
 from collections import Counter
 
@@ -64,12 +67,51 @@ def test_weak_parts_need_their_counterparts():
     assert kinds(secret) == [] and kinds("https://host/path") == []
     assert kinds(f"{access} {secret}") == ["access", "random"]
     assert kinds(f"{access}\n\n{secret}") == ["access"]
-    assert kinds(f"{access} {'z ' * 150} {secret}") == ["access"]
+    assert kinds(f"{access} {'z ' * 150} {secret}") == ["access", "random"]
+    assert kinds("secret=" + "0123456789abcdef" * 2 + "Z" * 250 + " " * 81 + "user: admin") == ["assign", "hex", "account"]
     assert kinds(f"user: admin {secret} at https://db.host/x") == ["account", "random", "endpoint"]
     assert kinds("user: admin https://db.host/x") == []
     assert secrets.redacted(f"a {access} {secret} b") == "a [SECRET] [SECRET] b" and secrets.redacted(None) is None
 
 
+def all_pairs(text):
+    """Weak parts by comparing every two parts of the text: they go together if no blank line lies between them."""
+    base = {(m.start(), m.end(), "secret") for m in secrets.ASSIGN.finditer(text) if len(m[2]) >= 8}
+    base |= {(m.start(), m.end(), "secret") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32}
+    base |= {(m.start(), m.end(), "identifier") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16}
+    apart = lambda x, others: all(x[1] <= o[0] or o[1] <= x[0] for o in others)
+    account = {(*m.span(), "identifier") for m in secrets.ACCOUNT.finditer(text) if apart(m.span(), base)}
+    endpoint = {(*m.span(), "endpoint") for m in secrets.ENDPOINT.finditer(text)}
+    mixed = lambda s: len(set(s)) >= 10 and re.search("[A-Z]", s) and re.search("[a-z]", s) and re.search("[0-9]", s)
+    strings = {(*m.span(), "secret") for m in secrets.LONG.finditer(text) if mixed(m[0]) and apart(m.span(), base | account | endpoint)}
+    parts = base | account | endpoint | strings
+    met = lambda x, role: any(y[2] == role and not re.search(r"\n[ \t]*\n", text[min(x[0], y[0]) : max(x[1], y[1])]) for y in parts)
+    return {x[:2] for x in account if met(x, "secret")} | {x[:2] for x in strings if met(x, "identifier")} | {x[:2] for x in endpoint if met(x, "identifier") and met(x, "secret")}
+
+
+def test_links_equal_all_pairs():
+    rng, linked = random.Random(8), 0
+    letters = "ABCDEFGHijklmnop0123456789+/"
+    for _ in range(3000):
+        make = [
+            lambda: f"secret={'0123456789abcdef' * rng.randint(1, 3)}{'Z' * rng.choice((0, 5, 300))}",
+            lambda: f"token: {''.join(rng.choices(letters, k=rng.randint(6, 40)))}",
+            lambda: "AKIA" + "".join(rng.choices("ABCDEF0123", k=rng.randint(10, 20))),
+            lambda: "0123456789abcdef" * rng.randint(1, 3),
+            lambda: f"user: admin{rng.randint(0, 9)}",
+            lambda: f"login={'ab0' * rng.choice((1, 12))}",
+            lambda: f"https://host{rng.randint(0, 9)}/x",
+            lambda: "".join(rng.choices(letters, k=rng.randint(15, 60))),
+            lambda: "word " * rng.randint(1, 80),
+        ]
+        text = "".join(rng.choice(make)() + rng.choice((" ", " ", "\n", "\n\n", "\n \t\n", "", ";")) for _ in range(rng.randint(1, 9)))
+        base, every = secrets.all_spans(text)
+        got = {(s, e) for k, s, e in every if k in ("account", "random", "endpoint")}
+        assert got == all_pairs(text), text
+        linked += len(got)
+    assert linked > 1000
+
+
 def test_scan_and_redact_odd_rows(spark):
     docs = spark.createDataFrame(ODD, "doc_id long, text string").withColumn("spans", F.lit(3))
     assert secrets.scan(docs).where("spans = ''").count() == len(ODD) == secrets.redact(docs).count()
@@ -98,6 +140,32 @@ def test_segments_against_their_definition():
         assert [(a, b, round(x, 6)) for a, b, x in got] == [(a, b, round(x, 6)) for a, b, x in best_segments(scores)]
 
 
+def test_first_letters_rule_out_no_scoring_word():
+    rng = random.Random(9)
+    stems = ["vile", "grim", "foo", "ab", "x", "venom", "toxiclongword", "a.b", "e\u0301te", "na\u00efve"]
+    model = toxicity.Model({t: 1.5 for s in stems for t in (s, s[:5] + "*", s[:4] + "*") if len(t) > 1 or s == "x"}, 1.0)
+    scanner = toxicity.Scanner(model)
+    for _ in range(4000):
+        words = [rng.choice(("", "(", "\"'", ".")) + rng.choice(("", *stems))[: rng.randint(1, 12)] + rng.choice(("", "s", "ing", "xyz")) + rng.choice(("", ",", "!?", "...")) for _ in range(5)]
+        words = [w for w in words if w]
+        assert scanner._hits(words) == [(i, model.word(w)) for i, w in enumerate(words) if model.word(w) > 0]
+
+
+def test_passages_mark_the_planted_words(spark):
+    docs = spark.createDataFrame([(1, "plain words here " * 20 + "vile grim vile grim vile grim " + "plain words " * 20), (2, "plain words here")], "doc_id long, text string")
+    model = toxicity.Model({"vile": 4.0, "grim": 4.0}, 1.0, 1.0, -2.0)
+    got = {r.doc_id: (r.passages, r.score) for r in toxicity.score(docs, model).collect()}
+    assert got[1][0] == "60-66" and got[2][0] == "" and got[1][1] > 0.5 > got[2][1]
+
+
+def test_segments_of_long_texts_take_linear_time():
+    rng = random.Random(7)
+    hits = sorted((p, rng.choice((0.1, 0.3, 2.0))) for p in rng.sample(range(4_000_000), 400_000))
+    began = time.process_time()
+    found = toxicity.segments(hits)
+    assert len(found) > 100_000 and time.process_time() - began < 10
+
+
 def test_toxicity_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
@@ -131,68 +199,99 @@ def test_language_model_against_plain_counts(spark, sf_dir):
     assert lm_ctw.score(docs.where("false")).count() == 0
 
 
-def plain_ctw(counts, path, bits):
-    """P(symbol's bits | contexts of the path) by the recursive definition, root first."""
+def plain_ctw(train, texts):
+    """log10 P of each text by the recursive definition of the weighted tree over the training texts' bytes."""
+    of = lambda t: b"".join(w + b" " for w in (t or "").encode().lower().split()) + b"\n"
+    places = lambda t: [((b"\n" * lm_ctw.DEPTH + of(t))[i : i + lm_ctw.DEPTH], f"{c:08b}") for i, c in enumerate(of(t))]
+    counts, children = Counter(), {}
+    for text in train:
+        for deep, bits in places(text):
+            for d in range(lm_ctw.DEPTH + 1):
+                ctx = deep[len(deep) - d :]
+                if d:
+                    children.setdefault(ctx[1:], set()).add(ctx)
+                for k in range(8):
+                    counts[ctx, bits[: k + 1]] += 1
     log_kt = lambda a, b: math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.log(math.pi) - math.lgamma(a + b + 1)
+    seen = lambda ctx, prefix: (counts[ctx, prefix + "0"], counts[ctx, prefix + "1"])
 
-    def of(ctx, prefix):
-        zero = sum(n for (c, s), n in counts.items() if c == ctx and s.startswith(prefix + "0"))
-        return zero, sum(n for (c, s), n in counts.items() if c == ctx and s.startswith(prefix + "1"))
-
-    def children(ctx):
-        return sorted({c for c, _ in counts if len(c) == len(ctx) + 1 and c.endswith(ctx)})
-
+    @functools.cache
     def weighted(ctx, prefix):
-        a, b = of(ctx, prefix)
+        own = log_kt(*seen(ctx, prefix))
+        if len(ctx) == lm_ctw.DEPTH:
+            return own
+        return np.logaddexp(own, sum(weighted(c, prefix) for c in children.get(ctx, ()))) - math.log(2)
+
+    def one(ctx, deep, prefix):
+        zeros, ones = seen(ctx, prefix)
+        own = (ones + 0.5) / (zeros + ones + 1)
         if len(ctx) == lm_ctw.DEPTH:
-            return log_kt(a, b)
-        below, ra, rb = 0.0, a, b
-        for child in children(ctx):
-            ca, cb = of(child, prefix)
-            below, ra, rb = below + weighted(child, prefix), ra - ca, rb - cb
-        below += log_kt(ra, rb)
-        return math.log((math.exp(log_kt(a, b)) + math.exp(below)) / 2)
-
-    total = 0.0
-    for k in range(8):
-        prefix = bits[:k]
-        seen = [c for c in path if sum(of(c, prefix)) > 0] or path[:1]
-        p, left = 0.0, 1.0
-        for ctx in seen:
-            a, b = of(ctx, prefix)
-            w = 1.0 if len(ctx) == lm_ctw.DEPTH else math.exp(log_kt(a, b) - weighted(ctx, prefix)) / 2
-            p += left * w * (b + 0.5) / (a + b + 1)
-            left *= 1 - w
-        ra, rb = of(seen[-1], prefix)
-        if len(seen[-1]) < lm_ctw.DEPTH:
-            for child in children(seen[-1]):
-                ca, cb = of(child, prefix)
-                ra, rb = ra - ca, rb - cb
-        p += left * (rb + 0.5) / (ra + rb + 1)
-        total += math.log10(p if bits[k] == "1" else 1 - p)
-    return total
-
-
-def test_context_tree_against_the_definition():
-    words = {b"aba": 3, b"abb": 2, b"b": 4, b"": 2}
-    counts, rows = Counter(), Counter()
-    for w, n in words.items():
-        token = b" " + w + b" " if w else b" \n"
-        for i in range(1, len(token)):
-            for d in range(min(i, lm_ctw.DEPTH) + 1):
-                ctx = token[i - d : i]
-                counts[ctx, f"{token[i]:08b}"] += n
-                rows[d, sum(c << 8 * j for j, c in enumerate(reversed(ctx))), token[i]] += n
-    cols = [np.array(x) for x in zip(*[(*k, n) for k, n in rows.items()], strict=True)]
-    model = lm_ctw.weigh(*cols)
-    assert np.allclose((10.0 ** model.logs.astype(float)).sum(axis=1), 1, atol=1e-4)
-    for w in (b"ab", b"b", b"zz", b""):
-        token, want = (b" " + w + b" " if w else b" \n"), 0.0
-        for i in range(1, len(token)):
-            path = [token[i - d : i] for d in range(min(i, lm_ctw.DEPTH) + 1)]
-            path = [c for c in path if any(c == k for k, _ in counts)]
-            want += plain_ctw(counts, path, f"{token[i]:08b}")
-        assert model.words([w])[0] == pytest.approx(want, abs=1e-3)
+            return own
+        w = math.exp(log_kt(zeros, ones) - math.log(2) - weighted(ctx, prefix))
+        return w * own + (1 - w) * one(deep[len(deep) - len(ctx) - 1 :], deep, prefix)
+
+    out = []
+    for text in texts:
+        total = 0.0
+        for deep, bits in places(text):
+            for k in range(8):
+                p = one(b"", deep, bits[:k])
+                total += math.log10(p if bits[k] == "1" else 1 - p)
+        out.append((total, -total * math.log2(10) / len(of(text))))
+    return out
+
+
+@pytest.mark.parametrize(("gram_share", "word_share"), [(lm_ctw.GRAM_SHARE, lm_ctw.WORD_SHARE), (50, 10), (1, 1)])
+def test_context_tree_against_the_definition(spark, gram_share, word_share):
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcd\u00e9", k=rng.randint(1, 7))) for _ in range(12)]
+    texts = [(i, " ".join(rng.choices(words, k=rng.randint(0, 12)))) for i in range(30)] + [(40, None), (41, " \n"), (42, "zz Zz \u4e2d"), (3, "a b"), (3, "a b")]
+    held = lambda d: zlib.crc32(str(d).encode()) % 7 == 2
+    want = plain_ctw([t for d, t in texts if not held(d)], [t for _, t in texts])
+    want = sorted((d, round(x, 3), round(y, 3)) for (d, _), (x, y) in zip(texts, want, strict=True))
+    got = lm_ctw.score(spark.createDataFrame(texts, "doc_id long, text string"), gram_share=gram_share, word_share=word_share).collect()
+    assert [(a, pytest.approx(b, abs=2e-3), pytest.approx(c, abs=2e-3)) for a, b, c in want] == sorted((r.doc_id, r.score, r.bits_per_byte) for r in got)
+
+
+def test_long_texts_are_read_in_pieces_with_their_contexts(monkeypatch):
+    rng = random.Random(12)
+    streams = [bytes(rng.choices(b"abc ", k=n)) for n in (0, 1, 7, 300, 1000, 40, 5)]
+    whole = [(b"\n" * lm_ctw.DEPTH + s)[i : i + lm_ctw.DEPTH + 1] for s in streams for i in range(len(s))]
+    number = lambda g: sum(c << 8 * (j + 1) for j, c in enumerate(g[:-1])) | g[-1]
+    for piece in (8, 50, 1 << 22):
+        monkeypatch.setattr(lm_ctw, "PIECE", piece)
+        got, sizes = [], Counter()
+        for codes, own, first in lm_ctw.grams([s for s in streams if s]):
+            got += codes.tolist()
+            for o, n in zip(own.tolist(), np.diff([*first, len(codes)]).tolist(), strict=True):
+                sizes[o] += n
+        assert got == [number(g) for g in whole]
+        assert [sizes[i] for i in range(6)] == [len(s) for s in streams if s]
+
+
+def test_lookup_finds_what_it_holds():
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(0, 1 << 48, 5000))
+    table = lm_ctw.Lookup(keys, np.arange(1, len(keys) + 1, dtype=np.float32))
+    asked = np.concatenate([keys[::3], rng.integers(0, 1 << 48, 4000)])
+    values, missing = table.find(asked)
+    place = {k: i + 1 for i, k in enumerate(keys.tolist())}
+    assert values.tolist() == [place.get(k, 0) for k in asked.tolist()]
+    assert sorted(missing.tolist()) == [i for i, k in enumerate(asked.tolist()) if k not in place]
+    assert lm_ctw.Lookup(keys[:0], np.zeros(0)).find(asked)[1].tolist() == list(range(len(asked)))
+
+
+def test_context_tree_needs_fewer_bits_than_the_base_and_tells_order(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    held = lambda d: zlib.crc32(str(d).encode()) % 7 == 2
+    chosen = next(r for r in docs.where("length(text) between 3000 and 9000").orderBy("doc_id").collect() if held(r.doc_id))
+    words = chosen.text.split()
+    random.Random(1).shuffle(words)
+    mixed = next(-i for i in range(1, 99) if held(-i))
+    got = lm_ctw.score(docs.unionByName(spark.createDataFrame([(mixed, " ".join(words))], "doc_id long, text string"))).where("held_out").collect()
+    assert sum(r.score for r in got) > sum(r.base_score for r in got)
+    scores = {r.doc_id: r.score for r in got}
+    assert scores[mixed] < scores[chosen.doc_id] - 1
 
 
 def test_classifier_on_held_out_labels(spark):
@@ -203,6 +302,56 @@ def test_classifier_on_held_out_labels(spark):
     assert sum(r.predicted for r in good) >= 0.97 * len(good) and sum(r.predicted for r in bad) <= 0.2 * len(bad)
 
 
+def plain_statistics(text):
+    text = text or ""
+    words = [w for w in re.split(r"[ \t-\r]+", text) if w]
+    chars, lines, n = sum(map(len, words)), text.split("\n"), len(words)
+    share = lambda part, whole: part / whole if whole else 0.0
+    count = lambda letters: sum(c in letters for c in text)
+    pairs = list(zip(words, words[1:], strict=False))
+    return {
+        "log_words": math.log1p(n),
+        "mean_word_chars": share(chars, n),
+        "symbol_share": share(count("#*$%&|<>"), chars),
+        "upper_share": share(count(quality_classifier.UPPER_CASE), chars),
+        "mark_share": share(count(".,;:!?"), chars),
+        "digit_share": share(count("0123456789"), chars),
+        "stop_share": share(sum(w in quality_classifier.STOP_WORDS for w in words), n),
+        "distinct_pair_share": share(len(set(pairs)), n - 1) if n > 1 else 1.0,
+        "echo_share": share(sum(a == b for a, b in pairs), n),
+        "distinct_line_share": share(len(set(lines)), len(lines)),
+        "words_a_line": share(n, len(lines)),
+    }
+
+
+def test_classifier_scores_equal_plain_rules(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").unionByName(spark.createDataFrame(ODD, "doc_id long, text string"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality_classifier.fit(toxicity.training_rows(docs, labels, "quality", F.lit(True)))
+    assert model.weights and all(len(rule) <= quality_classifier.DEPTH for rule in model.weights)
+    want = []
+    for r in docs.collect():
+        found = plain_statistics(r.text)
+        total = model.base + sum(w for rule, w in model.weights.items() if all(found[f] <= at if low else found[f] > at for f, low, at in rule))
+        want.append((str(r.doc_id), round(1 / (1 + math.exp(-total)), 9)))
+    assert sorted((str(r.doc_id), round(r.score, 9)) for r in quality_classifier.score(docs, model).collect()) == sorted(want)
+
+
+def test_classifier_does_not_depend_on_the_layout(spark, sf_dir):
+    docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    fits = [quality_classifier.fit(toxicity.training_rows(docs.repartition(n), labels.repartition(m), "quality", F.lit(True))) for n, m in ((1, 1), (7, 3))]
+    assert fits[0].base == pytest.approx(fits[1].base, abs=1e-9) and list(fits[0].weights) == list(fits[1].weights)
+
+
+def test_training_rows_are_bounded_whatever_repeats(spark):
+    docs = spark.createDataFrame([(i % 5, f"text {j}") for i in range(20) for j in range(3)] + [(None, "x"), (9, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(5)] * 2 + [(9, 1), (8, 1), (3, None), (None, 1), (4, 1)], "doc_id long, toxic int")
+    got = {r.doc_id: (r.text, r.label) for r in toxicity.training_rows(docs, labels, "toxic", F.lit(True), 50).collect()}
+    assert got == {0: ("text 0", 0), 1: ("text 0", 1), 2: ("text 0", 0), 3: ("text 0", 1), 4: ("text 0", 1), 9: (None, 1)}
+    assert toxicity.training_rows(docs, labels, "toxic", F.lit(True), 3).count() <= 3
+
+
 def test_classifier_of_odd_rows_and_single_labels(spark):
     docs = spark.createDataFrame(ODD, "doc_id long, text string").withColumn("score", F.lit(1))
     model = quality_classifier.fit(spark.createDataFrame([(1, "a b", 1)], "doc_id long, text string, label int"))
