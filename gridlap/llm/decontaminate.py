@@ -2,15 +2,17 @@
 
 The inverted index holds, for each term, the items' shares of their own greatest BM25 score that the term brings, in
 blocks with their greatest share. A passage asks for all items of which it brings `THRESHOLD` or more; block-max WAND
-passes over items whose bounds can't reach it. What is retrieved is then verified by five-word shingles: of the whole
-item, or of its question and its answer each, at least `OVERLAP` must be in the passage. An item's answer is its last
-third, at least five words where it has ten; an item with fewer than ten words is question and answer at once.
+passes over items whose bounds can't reach it. What is retrieved is then verified. An item's answer is its last third,
+at least five words where it has ten; an item with fewer than ten words is question and answer at once. Two measures
+count: the share of five-word shingles that are in the passage, and the share of words that lie in common runs of
+`RUN` words or more, which edits of single words leave high. An item is found if by either measure `OVERLAP` of the
+whole, or of question and answer each, is there, or if `ALONE` of the question's words are (a leak without its answer).
 
 Passages are windows of a text's words; neighbours overlap by the longest item, so every run of an item's length lies
 whole in one of them. Words are compared in lower case without ASCII punctuation.
 
-Test items are few; their index goes to the tasks in broadcasts of at most `POSTINGS_AT_ONCE` postings, a larger
-test set in several passes, each over all texts.
+Counts over the test items are Spark aggregates. The items come to the driver in slices of about `SLICE_BYTES` of
+text, each made into an index of its own for a pass over all texts; a test set of usual size is one slice.
 
 Defined cases: null and empty texts and items match nothing; equal items are each found; a text given twice gives
 its rows twice; rows with a null item_id or doc_id keep the null. Empty tables give empty results. Only doc_id,
@@ -23,51 +25,51 @@ import math
 import string
 from bisect import bisect_left
 from collections import Counter
-from dataclasses import dataclass
+from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlap.llm.common import arrow_schema, cut, share
 
-K1, B, THRESHOLD, OVERLAP, SHINGLE, BLOCK, COMMON = 1.2, 0.75, 0.5, 0.8, 5, 8, 0.6
-POSTINGS_AT_ONCE, LEAST_PASSAGE = 2_000_000, 64
+K1, B, THRESHOLD, OVERLAP, ALONE, SHINGLE, RUN, BLOCK, COMMON = 1.2, 0.75, 0.5, 0.8, 0.95, 5, 3, 8, 0.6
+SLICE_BYTES, LEAST_PASSAGE = 1 << 26, 64
 _PLAIN = bytes(32 if chr(b) in string.punctuation else b for b in range(256))
 
-_OUT = "doc_id long, item long, passage int, score double, item_overlap double, question_overlap double, answer_overlap double"
-
-
 def terms(text: str | None) -> list[bytes]:
     return (text or "").lower().encode().translate(_PLAIN).split()
 
 
-def shingles(words: list[bytes]) -> set[tuple[bytes, ...]]:
-    """Five-word shingles; fewer words are one shingle."""
-    return {tuple(words[i : i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))} if words else set()
+def shingles(words: list[bytes], size: int = SHINGLE) -> set[tuple[bytes, ...]]:
+    """Shingles of the size; fewer words are one shingle."""
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
 
 
-def parts(words: list[bytes]) -> tuple[list[bytes], list[bytes]]:
-    """Question and answer."""
-    if len(words) < 2 * SHINGLE:
-        return words, words
-    at = len(words) - max(SHINGLE, len(words) // 3)
-    return words[:at], words[at:]
+def border(words: list[bytes]) -> int:
+    """Where the answer begins; 0 if question and answer are the same."""
+    return len(words) - max(SHINGLE, len(words) // 3) if len(words) >= 2 * SHINGLE else 0
 
 
-@dataclass
 class Item:
-    number: int
-    whole: set
-    question: set
-    answer: set
+    def __init__(self, words: list[bytes]) -> None:
+        self.words, self.border = words, border(words)
+        question, answer = (words[: self.border], words[self.border :]) if self.border else (words, words)
+        self.parts = [shingles(words), shingles(question), shingles(answer)]
 
-    def overlaps(self, found: set) -> tuple[float, float, float]:
-        return tuple(len(x & found) / len(x) for x in (self.whole, self.question, self.answer))
+    def overlaps(self, found: set, runs: set) -> tuple[float, ...]:
+        """Of the whole, the question and the answer: the shares of shingles found, and of words in common runs."""
+        n, size = len(self.words), min(RUN, len(self.words))
+        covered = [False] * n
+        for i in range(n - size + 1):
+            if tuple(self.words[i : i + size]) in runs:
+                covered[i : i + size] = [True] * size
+        spans = [covered, covered[: self.border] or covered, covered[self.border :]]
+        return (*(len(x & found) / len(x) for x in self.parts), *(sum(x) / len(x) for x in spans))
 
 
-def verified(whole: float, question: float, answer: float) -> bool:
-    return whole >= OVERLAP or (question >= OVERLAP and answer >= OVERLAP)
+def verified(whole: float, question: float, answer: float, whole_words: float, question_words: float, answer_words: float) -> bool:
+    return max(whole, whole_words) >= OVERLAP or min(max(question, question_words), max(answer, answer_words)) >= OVERLAP or question_words >= ALONE
 
 
 class Index:
@@ -148,7 +150,7 @@ class Index:
     def passages(self, words: list[bytes]) -> list[tuple[int, int, int]]:
         return [(i, s, min(s + self.width, len(words))) for i, s in enumerate(range(0, max(1, len(words) - self.width + self.stride), self.stride))]
 
-    def search(self, text: str | None) -> list[tuple[int, int, float, tuple[float, float, float]]]:
+    def search(self, text: str | None) -> list[tuple[int, int, float, tuple[float, ...]]]:
         """(item, passage, score, overlaps) of the verified items, with each item's best passage."""
         words, blocks = terms(text), self.blocks
         places = [i for i, w in enumerate(words) if w in blocks]
@@ -163,69 +165,95 @@ class Index:
                 continue
             found = None
             for item, score in self.retrieve(set(words[start:end])):
-                found = shingles(words[start:end]) if found is None else found
-                overlaps = self.items[item].overlaps(found)
+                found = found or (shingles(words[start:end]), shingles(words[start:end], RUN))
+                overlaps = self.items[item].overlaps(*found)
                 if verified(*overlaps) and (item not in best or (overlaps, -number) > (best[item][3], -best[item][1])):
                     best[item] = item, number, score, overlaps
         return list(best.values())
 
 
-def numbered(items: DataFrame) -> DataFrame:
-    """item (a number), item_id, text of the items that have words; the test set is small by nature."""
-    return items.where("text is not null").select(F.row_number().over(Window.orderBy("item_id", "text")).cast("long").alias("item"), "item_id", "text")
-
-
-def build(items: list[tuple[int, str]]) -> list[Index]:
-    """The index of (number, text), in parts of at most POSTINGS_AT_ONCE postings."""
+def build(items: list[tuple[int, str]], often: dict[bytes, int] | None = None, count: int = 0, mean: float = 0.0, width: int = 0) -> Index | None:
+    """The index of (number, text). often, count, mean and width are of the whole test set: in how many items each term
+    is, how many items there are, and their mean and greatest length; without them these items are the whole."""
     held = [(n, w) for n, text in items if (w := terms(text))]
     if not held:
-        return []
-    mean, width = sum(len(w) for _, w in held) / len(held), max(len(w) for _, w in held)
-    df = Counter(t for _, w in held for t in set(w))
-    out, rows, own = [], [], {}
+        return None
+    if often is None:
+        often, count = Counter(t for _, w in held for t in set(w)), len(held)
+        mean, width = sum(len(w) for _, w in held) / count, max(len(w) for _, w in held)
+    rows, own = [], {}
     for number, words in held:
-        brought = {t: math.log(1 + (len(held) - df[t] + 0.5) / (df[t] + 0.5)) * n * (K1 + 1) / (n + K1 * (1 - B + B * len(words) / mean)) for t, n in Counter(words).items()}
+        brought = {t: math.log(1 + (count - often[t] + 0.5) / (often[t] + 0.5)) * n * (K1 + 1) / (n + K1 * (1 - B + B * len(words) / mean)) for t, n in Counter(words).items()}
         total = sum(brought.values())
-        question, answer = parts(words)
-        own[number] = Item(number, shingles(words), shingles(question), shingles(answer))
+        own[number] = Item(words)
         rows += [(t, number, x / total) for t, x in brought.items()]
-        if len(rows) > POSTINGS_AT_ONCE:
-            out.append(Index(rows, own, width))
-            rows, own = [], {}
-    return [*out, Index(rows, own, width)] if rows else out
+    return Index(rows, own, width)
+
+
+def _term_rows(items: DataFrame) -> DataFrame:
+    """term, words: a row for each item and term in it, and one with the item's length."""
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for words in map(terms, batch.column("text").to_pylist()):
+                if words:
+                    rows += [(None, len(words)), *((t, None) for t in dict.fromkeys(words))]
+            cols = list(zip(*rows, strict=True)) or [[], []]
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.int64())], names=["term", "words"])
+
+    return items.select("text").mapInArrow(run, "term binary, words long")
+
 
+def indexes(items: DataFrame, slice_bytes: int = SLICE_BYTES) -> Iterator[tuple[Index, list]]:
+    """An index for each slice of the test set, and the item_id of each of its numbers."""
+    items = cut(items.where("text is not null").select("item_id", "text"))
+    rows = cut(_term_rows(items))
+    count, mean, width = rows.agg(F.count("words"), F.avg("words"), F.max("words")).first()
+    if not count:
+        return
+    often = rows.where("term is not null").groupBy("term").agg(F.count("*").alias("n"))
+    slices = max(1, -(-items.agg(F.sum(F.octet_length("text"))).first()[0] // slice_bytes))
+    for i in range(slices):
+        own = items if slices == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == i)
+        here = often if slices == 1 else often.join(_term_rows(own).select("term"), "term", "left_semi")
+        table = own.orderBy("item_id", "text").toArrow()
+        index = build(list(enumerate(table.column("text").to_pylist())), {bytes(r.term): r.n for r in here.collect()}, count, mean, width)
+        if index:
+            yield index, table.column("item_id").to_pylist()
 
-def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+
+_OVERLAPS = ("item_overlap", "question_overlap", "answer_overlap", "item_words", "question_words", "answer_words")
+
+
+def contaminated(docs: DataFrame, items: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """doc_id, item_id, passage, score and the overlaps: a row for each text and test item found in it."""
-    listed = cut(numbered(items))
+    out = f"doc_id long, item_id {items.schema['item_id'].dataType.simpleString()}, passage int, score double, " + ", ".join(f"{c} double" for c in _OVERLAPS)
     found = None
-    for index in build([(r.item, r.text) for r in listed.select("item", "text").toLocalIterator()]):
-        shared = share(docs.sparkSession, index)
-        part = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_searcher(shared), _OUT)
+    for index in indexes(items, slice_bytes):
+        part = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_searcher(share(docs.sparkSession, index), out), out)
         found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = docs.sparkSession.createDataFrame([], _OUT)
-    return found.join(F.broadcast(listed.select("item", "item_id")), "item").drop("item").select("doc_id", "item_id", "passage", "score", "item_overlap", "question_overlap", "answer_overlap")
+    return docs.sparkSession.createDataFrame([], out) if found is None else found
 
 
-def _searcher(shared):
-    schema = arrow_schema(_OUT)
+def _searcher(shared, out: str):
+    schema = arrow_schema(out)
 
     def run(batches):
-        index = shared()
+        index, names = shared()
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                rows += [(doc_id, item, number, score, *overlaps) for item, number, score, overlaps in index.search(text)]
+                rows += [(doc_id, names[item], number, score, *overlaps) for item, number, score, overlaps in index.search(text)]
             cols = list(zip(*rows, strict=True)) or [[]] * len(schema)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
     return run
 
 
-def remove_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+def remove_contaminated(docs: DataFrame, items: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """docs without the rows in whose text a test item is found. Rows are judged where they lie: nothing is shuffled."""
-    for index in build([(r.item, r.text) for r in cut(numbered(items)).select("item", "text").toLocalIterator()]):
+    for index, _ in indexes(items, slice_bytes):
         docs = docs.mapInArrow(_sieve(share(docs.sparkSession, index)), docs.schema)
     return docs
 

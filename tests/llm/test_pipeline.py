@@ -28,19 +28,29 @@ def plain_words(text):
 
 
 def plain_leaks(texts, items):
-    """Ids of the texts that hold 0.8 of an item's five-word shingles, or of both its question's and its answer's, in one stretch of twice the longest item."""
-    fives = lambda w: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
-    rules, longest = [], max(len(plain_words(t)) for t in items)
-    for words in map(plain_words, items):
-        cut_at = len(words) - max(5, len(words) // 3) if len(words) >= 10 else None
-        rules.append([fives(words)] if cut_at is None else [fives(words), fives(words[:cut_at]), fives(words[cut_at:])])
-    found = set()
+    """Ids of the texts in which a stretch of three times the longest item holds 0.8 of an item, of both its question and
+    its answer, or all but a twentieth of its question: by five-word shingles, or by words in common runs of three."""
+    several = lambda w, n: {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))}
+    longest = max(len(plain_words(t)) for t in items)
+
+    def measures(item, here):
+        at = len(item) - max(5, len(item) // 3) if len(item) >= 10 else 0
+        in_runs = {j for i in range(len(item) - 2) if tuple(item[i : i + 3]) in here[1] for j in range(i, i + 3)} if len(item) > 2 else set(range(len(item))) if tuple(item) in here[1] else set()
+        for lo, hi in ((0, len(item)), (0, at or len(item)), (at, len(item))):
+            fives = several(item[lo:hi], 5)
+            yield len(fives & here[0]) / len(fives), sum(lo <= j < hi for j in in_runs) / (hi - lo)
+
+    found, rules = set(), [w for w in map(plain_words, items) if w]
     for i, text in texts.items():
         words = plain_words(text)
         for start in range(0, max(1, len(words)), longest):
-            here = fives(words[start : start + 3 * longest])
-            if any(all(len(x & here) >= 0.8 * len(x) for x in part) for r in rules for part in (r[:1], r[1:]) if part):
-                found.add(i)
+            here = [several(words[start : start + 3 * longest], n) for n in (5, 3)]
+            for item in rules:
+                if not any(tuple(item[j : j + 3]) in here[1] for j in range(0, max(1, len(item) - 2))):
+                    continue
+                whole, question, answer = measures(item, here)
+                if max(whole) >= 0.8 or min(max(question), max(answer)) >= 0.8 or question[1] >= 0.95:
+                    found.add(i)
     return found
 
 
