@@ -37,13 +37,16 @@ def range_join(points: DataFrame, intervals: DataFrame, by: Sequence[str], point
     return inside.unionByName(alone, allowMissingColumns=True)
 
 
-def as_of(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str, right_time: str, values: Sequence[str], direction: str = "backward", tolerance: float | None = None, tie: Sequence[str] = ()) -> DataFrame:
+def as_of(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str, right_time: str, values: Sequence[str], direction: str = "backward", tolerance: float | None = None, tie: Sequence[str] = (), slice_seconds: float | None = None) -> DataFrame:
     """left with `values` of right's row at or before its time (backward), or of the nearest row (nearest).
 
     Both sides are unioned and ordered by time once per group: one shuffle, no pairs. An equal time matches. Of
     several right rows with one time the last in `tie` order is taken backward, the first forward. Of two equally
     near rows the earlier one is taken. A matched row's nulls stay null. tolerance is in seconds.
     Left rows without a time, or without a match, get nulls.
+
+    A group is one window. Where a group may be too large for a task, slice_seconds deals it into slices of time: each is
+    a window of its own, and takes over the nearest right row of the slices around it, of which a table of slices knows.
     """
     if direction not in ("backward", "nearest"):
         raise ValueError(direction)
@@ -53,12 +56,18 @@ def as_of(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str,
     kind = right.select(taken.alias("r")).schema["r"].dataType
     both = right.where(F.col(right_time).isNotNull()).select(*by, F.col(right_time).alias("_t"), F.lit(0).alias("_side"), order.alias("_tie"), taken.alias("_r"))
     both = both.unionByName(left.select(*by, F.col(left_time).alias("_t"), F.lit(1).alias("_side"), own.alias("_l")), allowMissingColumns=True)
-    w = Window.partitionBy(*by).orderBy("_t", "_side", "_tie")
+    within = list(by)
+    if slice_seconds is not None:
+        both = both.withColumn("_slice", F.floor(_seconds(F.col("_t")) / slice_seconds))
+        within = [*by, "_slice"]
+    w = Window.partitionBy(*within).orderBy("_t", "_side", "_tie")
     both = both.withColumn("_back", F.last("_r", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     if direction == "nearest":
         # Backward through the reversed order: a frame that runs to the end is computed anew at each row.
-        back = Window.partitionBy(*by).orderBy(F.desc("_t"), F.desc("_side"), F.desc("_tie"))
+        back = Window.partitionBy(*within).orderBy(F.desc("_t"), F.desc("_side"), F.desc("_tie"))
         both = both.withColumn("_next", F.last("_r", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, 0)))
+    if slice_seconds is not None:
+        both = _carried(both, list(by))
     both = both.where("_side = 1")
     away = lambda c: F.abs(_seconds(F.col(f"{c}._at")) - _seconds(F.col("_t")))
     found = F.col("_back")
@@ -70,6 +79,17 @@ def as_of(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str,
     return both.select("_l.*", *(F.col(f"_found.{v}").alias(v) for v in values))
 
 
+def _carried(both: DataFrame, by: list[str]) -> DataFrame:
+    """both with _back and _next filled from the slices before and after; one row a slice is ordered by group."""
+    right = F.when(F.col("_side") == 0, F.struct("_t", "_tie"))
+    ends = both.where("_slice is not null").groupBy(*by, "_slice").agg(F.max_by("_r", right).alias("_last"), F.min_by("_r", right).alias("_first"))
+    before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*by).orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
+    around = ends.select(*by, "_slice", F.last("_last", ignorenulls=True).over(before).alias("_before"), F.last("_first", ignorenulls=True).over(after).alias("_after"))
+    both = both.join(around, [*by, "_slice"], "left").withColumn("_back", F.coalesce("_back", "_before"))
+    return both.withColumn("_next", F.coalesce("_next", "_after")) if "_next" in both.columns else both
+
+
 def _seconds(c: Column) -> Column:
     return F.unix_micros(c.cast("timestamp")) / 1e6
 

@@ -1,6 +1,7 @@
 """As-of and range joins, rolling frames, cliffs, winsorizing: ties, bounds, nulls and missing groups."""
 
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
@@ -31,6 +32,17 @@ def test_nearest_prefers_the_earlier(spark):
     assert as_of(spark, [0, 14, 90], right, "nearest", tolerance=10) == {0: 1, 1: 1, 2: None, 99: None}
 
 
+def test_slices_of_time_change_nothing(spark):
+    rng = random.Random(3)
+    left = [(rng.randint(1, 3), i, T + dt.timedelta(seconds=rng.randint(0, 400)) if rng.random() < 0.95 else None) for i in range(300)]
+    right = [(rng.randint(1, 2), T + dt.timedelta(seconds=rng.choice((rng.randint(0, 400), rng.randint(150, 160)))), rng.choice((None, i)), i) for i in range(60)]
+    a, b = spark.createDataFrame(left, "k int, i int, t timestamp"), spark.createDataFrame(right, "k int, w timestamp, v int, o int")
+    for direction in ("backward", "nearest"):
+        for tolerance in (None, 20):
+            whole, sliced = (sorted(map(tuple, joins.as_of(a, b, ["k"], "t", "w", ["v", "o"], direction, tolerance, ["o"], s).collect()), key=repr) for s in (None, 7.5))
+            assert whole == sliced and sum(r[-1] is not None for r in whole) > 50
+
+
 def test_range_join_drops_and_keeps(spark):
     laps = spark.createDataFrame([(1, 1), (1, 5), (1, 7), (1, 9), (2, 3)], "k int, lap int")
     stints = spark.createDataFrame([(1, 1, 5, "a"), (1, 5, 6, "b"), (1, 9, None, "c")], "k int, lo int, hi int, s string")
