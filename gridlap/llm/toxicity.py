@@ -1,18 +1,19 @@
 """Toxicity by maximum-scoring segments of token log-odds.
 
 Training compares in how many toxic and other texts each token occurs. Log-odds have a Dirichlet prior in proportion
-to the token's overall count, and tokens whose log-odds stand out by `LEAST_Z` of their standard deviations score
-them; every other word costs `DRIFT`. Tokens are words without outer punctuation and their beginnings of 4 to 6
-characters; a word scores as its longest known form.
+to the token's overall count, and tokens whose log-odds, to either side, stand out by `LEAST_Z` of their standard
+deviations score them; every other word costs `DRIFT`. Tokens are words without outer punctuation and their beginnings
+of 4 to 6 characters; a word scores as its longest known form.
 
 In a text, one linear scan finds all maximal segments: runs that no extension or cut improves. Under the clean
 texts' score distribution a segment of score s in n words is expected K n exp(-lambda s) times by chance
-(extreme-value statistics); a text's evidence is log(1 + the sum of -log of that over its segments expected less than once),
-and a logistic curve of the evidence, fitted on the training texts, gives the score.
+(extreme-value statistics); lambda follows from the clean words' scores, K from how many segments of a high score the
+clean training texts have. A text's evidence is log(1 + the sum of -log of the expectation over its segments expected
+less than once), and a logistic curve of the evidence, fitted on the training texts, gives the score.
 
 Bounds: labels are learned from at most `TRAIN_ROWS` texts, those with the smallest hash of doc_id; exact copies
-count once. All tokens that stand out and occur in `LEAST_TEXTS` toxic texts are kept, so the model's size follows from
-that bound.
+count once. All tokens that stand out and occur in `LEAST_TEXTS` texts are kept, so the model's size follows from that
+bound.
 
 Defined cases: null and empty texts have no evidence and get the curve's lowest score; null labels and labels
 without a text are left out; with no training texts of one kind every score is that kind's smoothed share. Labels
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from gridlap.llm.common import cut, map_batches, share
 
 TRAIN_ROWS = 20_000
-LEAST_Z, LEAST_TEXTS, PRIOR, DRIFT, K = 3.0, 3, 0.05, 0.25, 0.1
+LEAST_Z, LEAST_TEXTS, PRIOR, DRIFT, BY_CHANCE = 3.0, 3, 0.05, 0.25, 200
 BEGINNINGS = (6, 5, 4)
 #: Words that a task remembers at once, and the longest of them.
 CACHE_WORDS, CACHE_LETTERS = 400_000, 64
@@ -81,12 +82,13 @@ def _token_counts(train: DataFrame) -> DataFrame:
 
 @dataclass
 class Model:
-    """scores of the known tokens; rate: lambda of the extreme-value law; slope and base of the logistic curve."""
+    """scores of the known tokens; rate and level: lambda and K of the extreme-value law; slope and base of the logistic curve."""
 
     scores: dict[str, float]
     rate: float
     slope: float = 0.0
     base: float = 0.0
+    level: float = 0.1
 
     def word(self, word: str) -> float:
         return next((self.scores[t] for t in tokens(word) if t in self.scores), -DRIFT)
@@ -95,7 +97,7 @@ class Model:
 def segments(scores: list[tuple[int, float]], drift: float = DRIFT) -> list[tuple[int, int, float]]:
     """All maximal scoring segments, (start, end, score), of a sequence that is -drift but at the given places.
 
-    scores: places and positive scores in order of place. A stack holds disjoint candidates with the running totals
+    scores: places and scores in order of place. A stack holds disjoint candidates with the running totals
     before and after each, and each one's nearest earlier candidate with a lower total before it. A new one goes back
     over these links and swallows what it improves; where none is lower, all candidates so far are final. So the scan
     is linear in the scores.
@@ -107,6 +109,8 @@ def segments(scores: list[tuple[int, float]], drift: float = DRIFT) -> list[tupl
         total -= drift * (place - last - 1)
         start, before, after = place, total, total + score
         total, last = after, place
+        if score <= 0:
+            continue
         while True:
             at = len(stack) - 1
             while at >= 0 and stack[at][2] >= before:
@@ -146,17 +150,17 @@ class Scanner:
                 score = self.model.word(w)
                 if len(w) <= CACHE_LETTERS:
                     known[w] = score
-            if score > 0:
+            if score != -DRIFT:
                 out.append((i, score))
         return out
 
     def segments(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
         """The number of words, and the significant segments in words with their -log expected counts."""
         words = (text or "").lower().split()
-        if not (hits := self._hits(words)):
+        if not (found := segments(self._hits(words))):
             return len(words), []
-        level = math.log(K * len(words))
-        return len(words), [(s, e, v) for s, e, x in segments(hits) if (v := self.model.rate * x - level) > 0]
+        level = math.log(self.model.level * len(words))
+        return len(words), [(s, e, v) for s, e, x in found if (v := self.model.rate * x - level) > 0]
 
     def evidence(self, found: list[tuple[int, int, float]]) -> float:
         return math.log1p(sum(v for _, _, v in found))
@@ -179,10 +183,12 @@ def _rate(scores: np.ndarray, shares: np.ndarray) -> float:
 
 
 def log_odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: float, n_clean: float) -> tuple[np.ndarray, np.ndarray]:
-    """Log-odds of tokens under the prior, and how many standard deviations they are."""
+    """Log-odds of tokens under the prior, and how many standard deviations they are. A token of all texts has 0."""
     prior = PRIOR * (toxic + clean)
     a, b = toxic + prior, clean + prior
-    ratio = np.log(a / (n_toxic * (1 + PRIOR) + PRIOR * n_clean - a + 1)) - np.log(b / (n_clean * (1 + PRIOR) + PRIOR * n_toxic - b + 1))
+    all_a, all_b = n_toxic * (1 + PRIOR) + PRIOR * n_clean, n_clean * (1 + PRIOR) + PRIOR * n_toxic
+    without = lambda part, whole: whole - part + 2 * whole / (all_a + all_b)
+    ratio = np.log(a / without(a, all_a)) - np.log(b / without(b, all_b))
     return ratio, ratio / np.sqrt(1 / a + 1 / b)
 
 
@@ -196,19 +202,32 @@ def fit(train: DataFrame) -> Model:
         share = (n_toxic + 1) / (n_toxic + n_clean + 2)
         return Model({}, 1.0, 0.0, math.log(share / (1 - share)))
     words = counts.where("token is null").select("clean").first()[0]
-    often = counts.where("token <> ''").where(F.col("toxic") * n_clean > F.col("clean") * n_toxic).where(F.col("toxic") >= LEAST_TEXTS).toArrow().sort_by("token")
+    often = counts.where("token <> ''").where(F.col("toxic") + F.col("clean") >= LEAST_TEXTS).toArrow().sort_by("token")
     toxic, clean = (often.column(c).to_numpy().astype(float) for c in ("toxic", "clean"))
     ratio, z = log_odds(toxic, clean, n_toxic, n_clean)
     names = often.column("token").to_pylist()
-    keep = np.flatnonzero((z >= LEAST_Z) & (ratio > 0)).tolist()
+    keep = np.flatnonzero(np.abs(z) >= LEAST_Z).tolist()
     shares = (clean[keep] + 0.5) / max(words, 1)
     rate = _rate(np.append(ratio[keep], -DRIFT), np.append(shares, max(1 - shares.sum(), 0.5))) if keep else 1.0
     model = Model({names[i]: float(ratio[i]) for i in keep}, rate)
+    high = math.log(max(words, 1) / BY_CHANCE) / rate  # BY_CHANCE segments of this score are expected if K is 1
+    model.level = (_count_high(train.where("label = 0"), model, high) + 1) / BY_CHANCE
     seen = _evidence(train, model).toArrow()
     model.slope, model.base = _logistic(seen.column("evidence").to_numpy(), seen.column("label").to_numpy())
     return model
 
 
+def _count_high(texts: DataFrame, model: Model, high: float) -> int:
+    """How many segments of the score or more the texts have."""
+    shared = share(texts.sparkSession, model)
+
+    def make():
+        scanner = Scanner(shared())
+        return lambda batch: {"n": [sum(x >= high for _, _, x in segments(scanner._hits((t or "").lower().split()))) for t in batch.column("text").to_pylist()]}
+
+    return map_batches(texts.select("text"), make, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def _evidence(train: DataFrame, model: Model) -> DataFrame:
     shared = share(train.sparkSession, model)
 
