@@ -154,21 +154,38 @@ def best_segments(scores):
 
 def test_segments_against_their_definition():
     rng = random.Random(6)
-    for _ in range(300):
-        scores = [rng.choice([-0.25, -0.25, -0.25, round(rng.uniform(0.1, 2), 3)]) for _ in range(rng.randint(0, 18))]
-        got = toxicity.segments([(i, x) for i, x in enumerate(scores) if x > 0])
-        assert [(a, b, round(x, 6)) for a, b, x in got] == [(a, b, round(x, 6)) for a, b, x in best_segments(scores)]
+    for _ in range(400):
+        scores = [rng.choice([-0.25, -0.25, -0.25, round(rng.uniform(0.1, 2), 3), round(rng.uniform(-1, -0.1), 3)]) for _ in range(rng.randint(0, 18))]
+        got = toxicity.segments([(i, x) for i, x in enumerate(scores) if x != -0.25])
+        assert sorted((a, b, round(x, 6)) for a, b, x in got) == [(a, b, round(x, 6)) for a, b, x in best_segments(scores)]
 
 
 def test_first_letters_rule_out_no_scoring_word():
     rng = random.Random(9)
     stems = ["vile", "grim", "foo", "ab", "x", "venom", "toxiclongword", "a.b", "e\u0301te", "na\u00efve"]
-    model = toxicity.Model({t: 1.5 for s in stems for t in (s, s[:5] + "*", s[:4] + "*") if len(t) > 1 or s == "x"}, 1.0)
+    model = toxicity.Model({t: rng.choice((1.5, -0.5)) for s in stems for t in (s, s[:5] + "*", s[:4] + "*") if len(t) > 1 or s == "x"}, 1.0)
     scanner = toxicity.Scanner(model)
     for _ in range(4000):
         words = [rng.choice(("", "(", "\"'", ".")) + rng.choice(("", *stems))[: rng.randint(1, 12)] + rng.choice(("", "s", "ing", "xyz")) + rng.choice(("", ",", "!?", "...")) for _ in range(5)]
         words = [w for w in words if w]
-        assert scanner._hits(words) == [(i, model.word(w)) for i, w in enumerate(words) if model.word(w) > 0]
+        assert scanner._hits(words) == [(i, model.word(w)) for i, w in enumerate(words) if model.word(w) != -toxicity.DRIFT]
+
+
+def test_log_odds_rate_and_level_follow_their_formulas(spark):
+    rng = random.Random(10)
+    texts = [(i, " ".join(rng.choices(["plain", "word", "here", "of"], k=30) + (["vile", "grim"] * 3 if i % 4 == 0 else ["kind"] * (i % 3))), int(i % 4 == 0)) for i in range(400)]
+    train = spark.createDataFrame(texts, "doc_id long, text string, label int")
+    model = toxicity.fit(train)
+    assert model.scores["vile"] > 3 and model.scores["kind"] < -1 and "plain" not in model.scores
+    n = {1: len({t for _, t, x in texts if x}), 0: len({t for _, t, x in texts if not x})}
+    seen = {x: len({t for _, t, y in texts if y == x and "vile" in t}) for x in (0, 1)}
+    a, b = (seen[x] + 0.05 * sum(seen.values()) for x in (1, 0))
+    size = {x: n[x] * 1.05 + 0.05 * n[1 - x] for x in n}
+    rest = lambda x, own: size[x] - own + 2 * size[x] / sum(size.values())
+    assert model.scores["vile"] == pytest.approx(math.log(a / rest(1, a)) - math.log(b / rest(0, b)))
+    assert model.level == pytest.approx(1 / toxicity.BY_CHANCE)  # no clean text has a segment of a high score
+    got = {r.doc_id: r.score for r in toxicity.score(train, model).collect()}
+    assert min(got[i] for i, _, x in texts if x) > 0.5 > max(got[i] for i, _, x in texts if not x)
 
 
 def test_passages_mark_the_planted_words(spark):
