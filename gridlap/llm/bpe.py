@@ -56,6 +56,8 @@ class Vocabulary:
         ids, self.end = model["vocab"], model["end_of_word_suffix"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         names = {i: s for s, i in ids.items()} | {i: s for s, i in self.special.items()}
+        #: The rule that splits words into pieces.
+        self.pieces = regex.compile(next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"))
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.base = len(ids) - len(pairs)
         self.symbols: dict[int, str] = {}
@@ -165,8 +167,6 @@ class Vocabulary:
         return b" ".join([table[at[i] : at[i + 1]] for i in ids])
 
 
-#: The split rule of the vocabulary file, fixed.
-PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 WHITE = regex.compile(r"\s+")
 #: Code points that are letters or numbers in newer Unicode tables than the library's (16.0), in hexadecimal.
 NEWER_LETTERS = (
@@ -195,7 +195,7 @@ class Encoder:
         if run.isascii() and run.isalpha():  # one piece, and its bytes are their own symbols
             return v.encode_word(run[:-1] + chr(ord(run[-1]) + FINAL))
         shape = run if run.isascii() else NEWER.sub("\uffff", run)
-        for piece in PIECES.finditer(shape):
+        for piece in v.pieces.finditer(shape):
             s = "".join([v.alphabet[b] for b in run[piece.start() : piece.end()].encode()])
             out += v.encode_word(s[:-1] + chr(ord(s[-1]) + FINAL))
         return out
