@@ -54,6 +54,15 @@ def test_encoding_equals_the_library(library):
         assert coder.vocabulary.decode(want).decode() == library.decode(want, skip_special_tokens=False)
 
 
+def test_what_tasks_remember_changes_nothing(monkeypatch):
+    texts = ["alpha beta gamma delta alpha epsilon " * 3, "zeta eta theta alpha x" + "y" * 80]
+    want = [bpe.Encoder(PATH).encode(t) for t in texts]
+    for name in ("CACHE_WORDS", "CACHE_LETTERS", "CACHE_PAIRS"):
+        monkeypatch.setattr(bpe, name, 1)
+    coder = bpe.Encoder(PATH)
+    assert [coder.encode(t) for t in texts] == want and len(coder.known) <= 2 and len(coder.vocabulary.together) <= 2
+
+
 def test_code_points_are_split_and_lowered_alike(library):
     coder = bpe.Encoder(PATH)
     for c in [*range(0x3000), *range(0x3000, 0x34000, 37), 0x558, 0xA7CB, 0xA7DC, 0x10D50, 0x16EA0, 0x323B0, 0x3D000]:

@@ -94,8 +94,31 @@ def test_components_of_chains_cycles_and_nothing(spark):
     assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_hubs_meet_their_minimum_where_they_lie(spark, monkeypatch):
+    rng = random.Random(5)
+    edges = [(7, i) for i in range(100, 900)] + [(i, i + 1) for i in range(2000, 2040)] + [(880, 2000), (3, 3), (5000, 5001)]
+    edges += [(rng.randint(6000, 6100), rng.randint(6000, 6100)) for _ in range(300)]
+    rng.shuffle(edges)
+    root = {x: x for e in edges if e[0] != e[1] for x in e}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            a, b = sorted((find(a), find(b)))
+            root[b] = a
+    df = spark.createDataFrame(edges, "a long, b long").repartition(5)
+    for least in (4, 1 << 20):
+        monkeypatch.setattr(components, "LEAST_ENDS", least)
+        got = {r.node: r.root for r in components.connected_components(df).collect()}
+        assert got == {x: find(x) for x in root}
+
+
 def test_deduplication_keeps_one_each(spark):
     text = " ".join(f"w{i}" for i in range(60))
     docs = spark.createDataFrame([(5, text, "a"), (2, text, "b"), (9, "other words here", "c"), (None, text, "d"), (2, text, "b")], "doc_id long, text string, source string")
-    assert sorted((r.doc_id or 0, r.source) for r in simhash.deduplicate(docs).collect()) == [(0, "d"), (2, "b"), (9, "c")]
+    assert sorted((r.doc_id, r.source) for r in simhash.deduplicate(docs).collect()) == [(2, "b"), (9, "c")]  # null comes last in its class
     assert simhash.deduplicate(docs.where("false")).count() == 0
