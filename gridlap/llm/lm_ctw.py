@@ -10,9 +10,9 @@ weights that follow. The code length of a text is what all its bytes take.
 
 All contexts are kept, however rare: what is gathered grows with the corpus. A gram is a context of full depth and the
 byte after it; the distinct grams of all texts are one table, dealt out by the three nearest bytes of the context.
-Depths 3 to `DEPTH` are weighed inside these groups, depths 1 and 2 inside groups of the nearest byte (at most 2^16
-contexts each), and of depth 1 there are at most 256 contexts of 255 nodes, so the root is weighed on the driver.
-Mixtures go back down the same way, and each gram gets its log probability.
+Depths 3 to `DEPTH` are weighed inside these groups (at most 2^16 contexts each), depth 2 inside groups of the two
+nearest bytes and depth 1 inside groups of the nearest (at most 256 contexts each); the root's 255 nodes are sums that
+are weighed on the driver. Mixtures go back down the same way, and each gram gets its log probability.
 
 Grams with at least 1 in 2^23 of all bytes (so at most 2^23 of them, 100 MB) and words with at least 1 in 2^20 of all
 tokens (at most 2^20) go to the tasks in broadcasts; a text's other grams and words, counted inside the text, meet
@@ -176,10 +176,6 @@ class Level:
         self.weight = np.ones_like(own) if below is None else np.exp(own - np.log(2) - self.log)
         self.one = (self.ones + 0.5) / (self.zeros + self.ones + 1)
 
-    def up(self, shift: int) -> np.ndarray:
-        """The keys of the nodes one level up."""
-        return self.keys >> (8 + shift) << 8 | self.keys & 255
-
 
 def _deep(gram: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, list[Level]]]:
     """For each of a symbol's eight decisions: whether it is a one in each row, and the levels from DEPTH down to 3."""
@@ -189,14 +185,13 @@ def _deep(gram: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, list[Le
         levels = [Level(context << 8 | node, n * (1 - one), n * one, None)]
         for _ in range(DEPTH - 3):
             x = levels[-1]
-            levels.append(Level(x.up(8), x.zeros, x.ones, x.log))
+            levels.append(Level(_above(x.keys), x.zeros, x.ones, x.log))
         yield one, levels
 
 
-def _upper(key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, log: np.ndarray) -> tuple[Level, Level]:
-    """Depths 2 and 1 over nodes of depth 3."""
-    two = Level(key >> 16 << 8 | key & 255, zeros, ones, log)
-    return two, Level(two.up(8), two.zeros, two.ones, two.log)
+def _above(key: np.ndarray) -> np.ndarray:
+    """The keys of the nodes one level up, in the context without its furthest byte."""
+    return key >> 16 << 8 | key & 255
 
 
 def _by_groups(df: DataFrame, group: str, order: list[str], work: Callable[[pa.Table], pa.RecordBatch], schema: str) -> DataFrame:
@@ -224,32 +219,42 @@ def _by_groups(df: DataFrame, group: str, order: list[str], work: Callable[[pa.T
 def gram_scores(counts: DataFrame) -> DataFrame:
     """gram, log10_p of each gram in counts (gram, train), by the weighted tree of the training counts."""
     np_of = lambda t, *names: [t.column(c).to_numpy() for c in names]
-    nodes, upper, mixed, scored = "key long, zeros double, ones double, log double", "node int, zeros double, ones double, log double", "key long, mixed double, remains double", "gram long, log10_p double"
-    schemas = {x: arrow_schema(x) for x in (nodes, upper, mixed, scored)}
+    nodes, mixed, scored = "key long, zeros double, ones double, log double", "key long, mixed double, remains double", "gram long, log10_p double"
+    schemas = {x: arrow_schema(x) for x in (nodes, mixed, scored)}
     batch = lambda x, *cols: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schemas[x], strict=True)], schema=schemas[x])
 
     def weigh_deep(t):
         found = [levels[-1] for _, levels in _deep(*np_of(t, "gram", "train"))]
         return batch(nodes, *(np.concatenate([getattr(x, c) for x in found]) for c in ("keys", "zeros", "ones", "log")))
 
-    def weigh_upper(t):
-        one = _upper(*np_of(t, "key", "zeros", "ones", "log"))[1]
-        return batch(upper, one.keys & 255, one.zeros, one.ones, one.log)
+    def weigh_up(t):
+        key, *sums = np_of(t, "key", "zeros", "ones", "log")
+        up = Level(_above(key), *sums)
+        return batch(nodes, up.keys, up.zeros, up.ones, up.log)
 
+    above = "shiftright(key, 16)"
     three = cut(_by_groups(counts.select("gram", "train"), "shiftright(gram, 24)", ["gram"], weigh_deep, nodes))
-    tops = _by_groups(three, "shiftright(key, 24)", ["key"], weigh_upper, upper).groupBy("node").agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "log"))).toArrow()  # at most 255 rows
+    two = cut(_by_groups(three, above, ["key"], weigh_up, nodes))
+    one = _by_groups(two, above, ["key"], weigh_up, nodes)
+    tops = one.groupBy(F.col("key").bitwiseAND(255).alias("node")).agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "log"))).toArrow()  # at most 255 rows
     root = Level(*np_of(tops, "node", "zeros", "ones", "log"))
     top_mixed, top_remains = np.zeros(256), np.ones(256)
     top_mixed[root.keys], top_remains[root.keys] = root.weight * root.one, 1 - root.weight
 
-    def mix_upper(t):
-        key, zeros, ones, log = np_of(t, "key", "zeros", "ones", "log")
-        two, one = _upper(key, zeros, ones, log)
-        p, left = top_mixed[one.keys & 255], top_remains[one.keys & 255]
-        p, left = p + left * one.weight * one.one, left * (1 - one.weight)
-        p, left = p[one.row], left[one.row]
-        p, left = p + left * two.weight * two.one, left * (1 - two.weight)
-        return batch(mixed, key, p[two.row], left[two.row])
+    def mix_one(t):
+        key, *sums = np_of(t, "key", "zeros", "ones", "log")
+        up = Level(_above(key), *sums)
+        p, left = top_mixed[up.keys & 255], top_remains[up.keys & 255]
+        return batch(mixed, key, (p + left * up.weight * up.one)[up.row], (left * (1 - up.weight))[up.row])
+
+    def mix_two(t):
+        down = t.column("mixed").is_valid().to_numpy()
+        at, p_up, left_up = (x[down] for x in np_of(t, "key", "mixed", "remains"))
+        key, *sums = (x[~down] for x in np_of(t, "key", "zeros", "ones", "log"))
+        up = Level(_above(key), *sums)
+        at = np.argsort(at)[np.searchsorted(np.sort(at), up.keys)]
+        p, left = p_up[at], left_up[at]
+        return batch(mixed, key, (p + left * up.weight * up.one)[up.row], (left * (1 - up.weight))[up.row])
 
     def mix_deep(t):
         down = t.column("mixed").is_valid().to_numpy()
@@ -267,7 +272,9 @@ def gram_scores(counts: DataFrame) -> DataFrame:
             total += np.log10(np.clip(np.where(one == 1, p, 1 - p), 1e-300, 1))
         return batch(scored, gram, total)
 
-    back = _by_groups(three, "shiftright(key, 24)", ["key"], mix_upper, mixed)
+    back = _by_groups(two, above, ["key"], mix_one, mixed).select(F.shiftright("key", 8).alias("of"), "key", "mixed", "remains")
+    back = three.select(F.shiftright("key", 16).alias("of"), "*").unionByName(back, allowMissingColumns=True)
+    back = _by_groups(back, "of", ["key"], mix_two, mixed)
     both = counts.select("gram", "train", F.lit(None).cast("double").alias("mixed"), F.lit(None).cast("double").alias("remains"), (F.shiftright("gram", 24)).alias("of"))
     both = both.unionByName(back.select(F.col("key").alias("gram"), F.lit(0).cast("long").alias("train"), "mixed", "remains", F.shiftright("key", 8).alias("of")))
     return _by_groups(both, "of", ["gram"], mix_deep, scored)
