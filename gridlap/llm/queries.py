@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlap.llm import bpe, decontaminate, lm_ctw, quality_classifier, quality_rules, secrets, sharding, simhash, toxicity, url_filter
+from gridlap.llm import bpe, collocations, decontaminate, lm_ctw, periodic_runs, quality_classifier, quality_rules, secrets, sharding, simhash, toxicity, url_filter
 from gridlap.llm.common import table
 
 SHARDS = 40
@@ -68,4 +68,34 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(docs, model).select("doc_id", (fold(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op2_simhash": op2_simhash, "op3_quality_rules": op3_quality_rules, "op4_bpe": op4_bpe, "op5_decontaminate": op5_decontaminate, "op6_secrets": op6_secrets, "op7_toxicity": op7_toxicity, "op8_url_filter": op8_url_filter, "op9_ctw": op9_ctw, "op10_quality_classifier": op10_quality_classifier}
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id and text: the words of every tenth document (by crc32 of doc_id, h) become periodic from a place on; a null doc_id stays as it is.
+
+    With n words and g = floor(h / 10), each word i >= a becomes word a + (i - a) % p, where a = g % n and p = 1 + floor((n - a) / (3 + g % 8)).
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    chosen = docs.select("doc_id", "text", h.alias("h")).withColumn("w", F.when(F.col("h") % 10 == 0, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != "")))
+    n, g = F.size("w"), F.floor(F.col("h") / 10)
+    a = F.when(n > 0, (g % n).cast("int"))
+    p = F.when(n > 0, (1 + F.floor((n - F.col("a")) / (3 + g % 8))).cast("int"))
+    chosen = chosen.withColumn("a", a).withColumn("p", p)
+    tail = n - F.col("a")
+    period = F.slice("w", F.col("a") + 1, F.col("p"))
+    repeated = F.slice(F.flatten(F.array_repeat(period, F.ceil(tail / F.col("p")).cast("int"))), F.lit(1), tail)
+    made = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), repeated), " ")
+    return chosen.select("doc_id", F.when(F.col("a").isNotNull(), made).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(planted_repeats(table(spark, sf_dir, "documents")))
+    best = periodic_runs.strongest(F.col("runs"))
+    lines = F.array_join(F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"])), "")
+    found = found.select("row.doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return found.select("doc_id", "n_runs", "best.start", "best.length", "best.period", F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents")).drop("at")
+
+
+QUERIES = {"op1_sharding": op1_sharding, "op2_simhash": op2_simhash, "op3_quality_rules": op3_quality_rules, "op4_bpe": op4_bpe, "op5_decontaminate": op5_decontaminate, "op6_secrets": op6_secrets, "op7_toxicity": op7_toxicity, "op8_url_filter": op8_url_filter, "op9_ctw": op9_ctw, "op10_quality_classifier": op10_quality_classifier, "op11_periodic_runs": op11_periodic_runs, "op12_collocations": op12_collocations}
