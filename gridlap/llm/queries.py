@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlap.llm import bpe, collocations, decontaminate, lm_ctw, periodic_runs, quality_classifier, quality_rules, secrets, sharding, simhash, toxicity, url_filter
+from gridlap.llm import bpe, collocations, decontaminate, language_id, lm_ctw, periodic_runs, quality_classifier, quality_rules, secrets, sharding, simhash, toxicity, url_filter
 from gridlap.llm.common import table
 
 SHARDS = 40
@@ -98,4 +98,10 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents")).drop("at")
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op2_simhash": op2_simhash, "op3_quality_rules": op3_quality_rules, "op4_bpe": op4_bpe, "op5_decontaminate": op5_decontaminate, "op6_secrets": op6_secrets, "op7_toxicity": op7_toxicity, "op8_url_filter": op8_url_filter, "op9_ctw": op9_ctw, "op10_quality_classifier": op10_quality_classifier, "op11_periodic_runs": op11_periodic_runs, "op12_collocations": op12_collocations}
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(fold(4) != 2))
+    return language_id.classify(docs.select("doc_id", "text"), model).select("row.doc_id", "lang_pred", "score", "rejected").withColumn("held_out", fold(4) == 2)
+
+
+QUERIES = {"op1_sharding": op1_sharding, "op2_simhash": op2_simhash, "op3_quality_rules": op3_quality_rules, "op4_bpe": op4_bpe, "op5_decontaminate": op5_decontaminate, "op6_secrets": op6_secrets, "op7_toxicity": op7_toxicity, "op8_url_filter": op8_url_filter, "op9_ctw": op9_ctw, "op10_quality_classifier": op10_quality_classifier, "op11_periodic_runs": op11_periodic_runs, "op12_collocations": op12_collocations, "op13_language_id": op13_language_id}
