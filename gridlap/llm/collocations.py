@@ -9,15 +9,15 @@ before aren't counted: what passed is a bit filter of bounded size with two bits
 through but loses none. The shuffle sums fingerprints that tasks have summed for some millions of n-grams. In the last
 pass a block's n-grams that pass are grouped by fingerprint, each with a pointer to its first occurrence; the words
 behind every other occurrence are compared with those at the pointer, so fingerprints that collide fall apart, and
-only then is the phrase materialised, once a block. Counts and pointers are then summed by the phrase itself, so no
-hash decides about a result.
+only then is the phrase materialised, once a block. Counts are then summed by the phrase itself, along with the pointer
+to the first document that has it, so no hash decides about a result.
 
 A phrase's score is floor(2000000 a / (l + r)) for the cut that makes it least, with a, l and r the counts of phrase, left
 and right part. A phrase that lies in a longer one with `COVERED` of a hundred of its occurrences is dropped.
 
 Defined cases: null texts are empty, null languages are `und`; texts without words count nothing; a text given twice
 counts twice; very long texts are worked on in blocks, cut at separators; a word of any length is a word; a null doc_id
-stays null in the pointer; further columns aren't read; empty tables give no rows.
+points nowhere; further columns aren't read; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -34,8 +34,8 @@ from gridlap.llm.common import arrow_schema, cut, share, utf8
 
 SEPARATORS = ".,;:!?\n\x0b\x0c\r"
 LEAST, LONGEST, COVERED, TOP = 30, 4, 80, 2000
-#: Bytes of a block, n-grams that a task sums before it hands them on, and the filter's bits a fingerprint and at most.
-BLOCK, HELD, BITS, MOST_BITS = 1 << 20, 1 << 21, 16, 1 << 27
+#: Bytes of a block when counting and when materialising, n-grams that a task sums before it hands them on, and the filter's bits a fingerprint and at most.
+BLOCK, SHOWN, HELD, BITS, MOST_BITS = 1 << 20, 1 << 22, 1 << 22, 16, 1 << 27
 #: The polynomials' base, odd so that it has an inverse mod 2^64.
 BASE = 0x9E3779B97F4A7C15
 _BREAK = 0xFF  # no byte of UTF-8
@@ -110,6 +110,22 @@ class Block:
     def phrase(self, at: int, n: int) -> bytes:
         return b" ".join(self.data[self.starts[at + k] : self.ends[at + k]] for k in range(n))
 
+    def phrases(self, at: np.ndarray, n: int) -> pa.Array:
+        """The n words at each place, joined by spaces."""
+        starts, ends = self.starts[at], self.ends[at + n - 1]
+        size = ends - starts
+        # as it stands in the text, if single spaces part the words
+        plain = size == n - 1 + sum((self.ends[at + k] - self.starts[at + k] for k in range(n)), np.zeros(len(at), np.int64))
+        for k in range(n - 1):
+            plain &= self.bytes[self.ends[at + k]] == 32
+        if not plain.all():
+            odd = np.flatnonzero(~plain)
+            both = pa.concat_arrays([self.phrases(at[plain], n), pa.array([self.phrase(i, n).decode() for i in at[odd].tolist()], pa.string())])
+            return both.take(pa.array(np.argsort(np.concatenate((np.flatnonzero(plain), odd)))))
+        ends = np.cumsum(size)
+        data = self.bytes[np.repeat(starts - ends + size, size) + np.arange(size.sum())]
+        return pa.StringArray.from_buffers(len(at), pa.py_buffer(np.concatenate(([0], ends)).astype(np.int32)), pa.py_buffer(data))
+
     def ids(self) -> np.ndarray:
         """A number for each word, the same for equal words and for no others; hashes that collide fall apart."""
         _, first, back = np.unique(self.words, return_index=True, return_inverse=True)
@@ -119,35 +135,31 @@ class Block:
         return np.array([known.setdefault(self.phrase(i, 1), len(known)) for i in range(len(back))], np.int64)
 
 
-def blocks(batches: Iterator[pa.RecordBatch], size: int = BLOCK) -> Iterator[tuple[Block, list, list[int], list]]:
-    """Blocks of about `size` bytes of (text, lang, doc_id), with each part's doc_id, the words of its text before it, and its language."""
+def blocks(batches: Iterator[pa.RecordBatch], size: int = BLOCK) -> Iterator[tuple[Block, list, list]]:
+    """Blocks of about `size` bytes of (text, lang, doc_id), with each part's doc_id and language."""
     upper = bytes(range(65, 91))
     table = bytes.maketrans(upper + SEPARATORS.encode(), upper.lower() + bytes([_BREAK]) * len(SEPARATORS))
     sums = Polynomials()
-    parts, langs, ids, offsets, names, held = [], [], [], [], [], 0
+    parts, langs, ids, names, held = [], [], [], [], 0
 
     def made():
-        return Block(parts, np.array(langs, np.uint64), sums), ids, offsets, names
+        return Block(parts, np.array(langs, np.uint64), sums), ids, names
 
     for batch in batches:
         for text, lang, doc in zip(utf8(batch.column(0)), utf8(batch.column(1)), batch.column(2), strict=True):
             text, lang = (text or b"").translate(table), b"und" if lang is None else lang
-            code, begin, offset = xxhash.xxh3_64_intdigest(lang) & ~0xFFFF, 0, 0
+            code, begin = xxhash.xxh3_64_intdigest(lang) & ~0xFFFF, 0
             while begin < len(text):
                 end = text.find(_BREAK, begin + size) + 1 or len(text)
-                part = text[begin:end]
-                parts.append(part)
+                parts.append(text[begin:end])
                 langs.append(code)
                 ids.append(doc.as_py())
-                offsets.append(offset)
                 names.append(lang)
-                held += len(part) + 1
+                held += end - begin + 1
                 begin = end
                 if held >= size:
                     yield made()
-                    parts, langs, ids, offsets, names, held = [], [], [], [], [], 0
-                if begin < len(text):
-                    offset += len(part.replace(bytes([_BREAK]), b" ").split())
+                    parts, langs, ids, names, held = [], [], [], [], 0
     if parts:
         yield made()
 
@@ -204,7 +216,7 @@ def _counted(docs: DataFrame, lengths: list[int], passed: dict[int, Passed], lea
             for i in range(0, len(prints), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(prints[i : i + (1 << 16)].view(np.int64)), pa.array(counts[i : i + (1 << 16)].astype(np.int64))], schema=out)
 
-        for block, _, _, _ in blocks(batches):
+        for block, _, _ in blocks(batches):
             prints: dict[int, np.ndarray] = {}
             for k in lengths:
                 found = block.prints(k)[_candidates(block, k, filters, prints)]
@@ -220,20 +232,22 @@ def _counted(docs: DataFrame, lengths: list[int], passed: dict[int, Passed], lea
 
 
 def _materialised(docs: DataFrame, longest: int, passed: dict[int, Passed]) -> DataFrame:
-    """lang, words, phrase, n, at (doc_id, word): n-grams that pass, once a block; words 0 with an empty phrase counts all words."""
+    """lang, words, phrase, n, doc_id: n-grams that pass, and the smallest doc_id that has them; words 0 with an empty phrase counts all words."""
     given = share(docs.sparkSession, passed)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"lang string, words int, phrase string, n long, doc_id {kind}, word long"
+    schema = f"lang string, words int, phrase string, n long, doc_id {kind}"
     out = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = given()
-        for block, ids, offsets, names in blocks(batches):
+        for block, ids, names in blocks(batches, SHOWN):
             own = block.ids()
             firsts = np.searchsorted(block.part, np.arange(len(ids)), "left")
             numbers: dict[bytes, int] = {}
             lang = np.array([numbers.setdefault(x, len(numbers)) for x in names], np.int64)[block.part]
-            rows: list[tuple] = [(x, 0, b"", int(np.count_nonzero(lang == i)), None, None) for x, i in numbers.items()]
+            langs, docs_of = pa.array([x.decode() for x in names]), pa.array(ids, out.field("doc_id").type)
+            every = [int(np.count_nonzero(lang == i)) for i in numbers.values()]
+            yield pa.RecordBatch.from_arrays([pa.array([x.decode() for x in numbers]), pa.array([0] * len(numbers), pa.int32()), pa.array([""] * len(numbers)), pa.array(every, pa.int64()), pa.nulls(len(numbers), docs_of.type)], schema=out)
             prints: dict[int, np.ndarray] = {}
             for n in range(1, longest + 1):
                 prints[n] = block.prints(n)
@@ -247,27 +261,23 @@ def _materialised(docs: DataFrame, longest: int, passed: dict[int, Passed]) -> D
                 equal = lang[at] == lang[pointer]
                 for k in range(n):
                     equal &= own[at + k] == own[pointer + k]
+                shown = at[first]
                 if not equal.all():  # fingerprints that collide: these occurrences by their words
                     many = many - np.bincount(back[~equal], minlength=len(first))
-                apart: dict[tuple[int, bytes], list[int]] = {}
-                for i in at[~equal].tolist():
-                    apart.setdefault((int(lang[i]), block.phrase(i, n)), []).append(i)
-                shown = list(zip(at[first].tolist(), many.tolist(), strict=True)) + [(x[0], len(x)) for x in apart.values()]
-                for i, c in shown:
-                    j = int(block.part[i])
-                    rows.append((names[j], n, block.phrase(i, n), c, ids[j], offsets[j] + i - int(firsts[j])))
-            for i in range(0, len(rows), 1 << 14):
-                cols = list(zip(*rows[i : i + (1 << 14)], strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array([v.decode() for v in col] if f.name in ("lang", "phrase") else col, f.type) for col, f in zip(cols, out, strict=True)], schema=out)
-
-    made = docs.mapInArrow(run, schema)
-    pointer = F.when(F.col("words") > 0, F.struct("doc_id", "word"))
-    return made.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"), F.min(pointer).alias("at"))
+                    apart: dict[tuple[int, bytes], list[int]] = {}
+                    for i in at[~equal].tolist():
+                        apart.setdefault((int(lang[i]), block.phrase(i, n)), []).append(i)
+                    shown = np.concatenate((shown, [x[0] for x in apart.values()]))
+                    many = np.concatenate((many, [len(x) for x in apart.values()]))
+                part = pa.array(block.part[shown])
+                yield pa.RecordBatch.from_arrays([langs.take(part), pa.array(np.full(len(shown), n, np.int32)), block.phrases(shown, n), pa.array(many.astype(np.int64)), docs_of.take(part)], schema=out)
+
+    return docs.mapInArrow(run, schema).groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"), F.min("doc_id").alias("doc_id"))
 
 
 def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> DataFrame:
-    """lang, words, phrase, n, at: every phrase of one to `longest` words that comes `least` times or more in its language, how
-    often, and one place where it does (doc_id, number of its first word); and a row of no words with all words of the language.
+    """lang, words, phrase, n, doc_id: every phrase of one to `longest` words that comes `least` times or more in its language, how
+    often, and the smallest doc_id where it does; and a row of no words with all words of the language.
 
     The table is read once for the words, for pairs, for longer phrases and for the texts; between them only filters
     of at most MOST_BITS bits go to the tasks. The result is written to the shared folder.
@@ -283,23 +293,23 @@ def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> Data
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, covered: int = COVERED, top: int = TOP) -> DataFrame:
-    """lang, rank, phrase, a, l, r, n, score, at: each language's best phrases."""
+    """lang, rank, phrase, a, l, r, n, score, doc_id: each language's best phrases."""
     found = phrases(docs, least, longest)
     known = found.where("words > 0").select("lang", "phrase", F.col("n").alias("f"))
-    own = found.where("words > 1").select("lang", "phrase", "words", F.col("n").alias("a"), "at")
+    own = found.where("words > 1").select("lang", "phrase", "words", F.col("n").alias("a"), "doc_id")
     part = lambda w, i, k: F.array_join(F.slice(w, i, k), " ")
     split = F.split("phrase", " ")
     cuts = own.withColumn("_w", split).withColumn("k", F.explode(F.sequence(F.lit(1), F.col("words") - 1)))
-    cuts = cuts.select("lang", "phrase", "words", "a", "at", "k", part(F.col("_w"), 1, F.col("k")).alias("_left"), part(F.col("_w"), F.col("k") + 1, F.col("words") - F.col("k")).alias("_right"))
+    cuts = cuts.select("lang", "phrase", "words", "a", "doc_id", "k", part(F.col("_w"), 1, F.col("k")).alias("_left"), part(F.col("_w"), F.col("k") + 1, F.col("words") - F.col("k")).alias("_right"))
     cuts = cuts.join(known.select("lang", F.col("phrase").alias("_left"), F.col("f").alias("l")), ["lang", "_left"])
     cuts = cuts.join(known.select("lang", F.col("phrase").alias("_right"), F.col("f").alias("r")), ["lang", "_right"])
     score = F.expr("cast(2000000 as decimal(18, 0)) * cast(a as decimal(20, 0)) div (cast(l as decimal(20, 0)) + cast(r as decimal(20, 0)))")
-    scored = cuts.withColumn("score", score).groupBy("lang", "phrase", "words", "a", "at").agg(F.min(F.struct("score", "k", "l", "r")).alias("_c"))
+    scored = cuts.withColumn("score", score).groupBy("lang", "phrase", "words", "a", "doc_id").agg(F.min(F.struct("score", "k", "l", "r")).alias("_c"))
     # the greatest count of a longer phrase that a phrase lies in
     inside = own.where("words > 2").withColumn("_w", split).withColumn("_m", F.explode(F.sequence(F.lit(2), F.col("words") - 1))).withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("words") - F.col("_m") + 1)))
     inside = inside.groupBy("lang", part(F.col("_w"), F.col("_i"), F.col("_m")).alias("phrase")).agg(F.max("a").alias("_longer"))
     kept = scored.join(inside, ["lang", "phrase"], "left").where(f"_longer is null or cast(_longer as decimal(20, 0)) * 100 < cast(a as decimal(20, 0)) * {int(covered)}")
     w = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.select("lang", "phrase", "a", F.col("_c.l").alias("l"), F.col("_c.r").alias("r"), F.col("_c.score").alias("score"), "at").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
+    ranked = kept.select("lang", "phrase", "a", F.col("_c.l").alias("l"), F.col("_c.r").alias("r"), F.col("_c.score").alias("score"), "doc_id").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
     every = found.where("words = 0").select("lang", F.col("n"))
-    return ranked.join(every, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score", "at")
+    return ranked.join(every, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score", "doc_id")

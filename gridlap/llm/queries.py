@@ -95,7 +95,7 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return collocations.collocations(table(spark, sf_dir, "documents")).drop("at")
+    return collocations.collocations(table(spark, sf_dir, "documents")).drop("doc_id")
 
 
 def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
