@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridlap.functions import coerce
-from gridlap.operators import order, rows
+from gridlap.operators import order, rows, store
 from gridlap.operators.rolling import KEYS, outlier_flag
 
 # Fixed values of the data.
@@ -75,6 +75,8 @@ def impute(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = KEYS, sc
     found = rows.present(df, columns)
     if not found:
         return df
+    if not scope:
+        df = store.cut(df)
     for i, by in enumerate((list(keys), list(scope))):
         names = {c: f"_m{i}_{c}" for c in found}
         if by:
@@ -104,6 +106,7 @@ def clean_weather(df: DataFrame) -> DataFrame:
     df = _each(df, ("session_key",), lambda c: c.cast("long")).where("date is not null")
     for c, (low, high) in WEATHER_BOUNDS.items():
         df = _each(df, (c,), lambda x, low=low, high=high: coerce.null_outside(x, low, high))
+    df = store.cut(df)  # the medians take passes over it
     medians = order.exact_quantiles(df, rows.present(df, tuple(WEATHER_BOUNDS)), (0.5,))
     df = df.withColumns({c: F.coalesce(c, F.lit(m).cast("double")) for c, (m,) in medians.items()})
     return rows.drop_null_keys(df, ("session_key",))
@@ -154,24 +157,50 @@ CLEANERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 ALIASES = {"session_result": "session_results"}
 
 
-def clean_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All cleaners, and results and grid derived from position where they are missing."""
+def clean_all(tables: dict[str, DataFrame], derive: bool = True) -> dict[str, DataFrame]:
+    """All cleaners, and results and grid derived from position where they are missing. Readers' columns go."""
     named = {ALIASES.get(k, k): v for k, v in tables.items()}
     out = {k: CLEANERS[k](v) for k, v in named.items() if k in CLEANERS}
-    if "position" in out:
+    if derive and "position" in out:
         out.setdefault("session_results", derive_from_position(out["position"], last=True))
         out.setdefault("starting_grid", derive_from_position(out["position"], last=False))
-    return out
+    return {k: df.drop(*rows.META) for k, df in out.items()}
 
 
 def derive_from_position(position: DataFrame, last: bool) -> DataFrame:
     """Each driver's last (or first) known value of every column by date; the columns may come from different rows."""
     pick = F.max_by if last else F.min_by
-    values = [c for c in position.columns if c not in (*KEYS, rows.INGEST_ORDER)]
+    values = [c for c in position.columns if c not in (*KEYS, *rows.META)]
     made = [pick(c, F.when(F.col(c).isNotNull(), F.struct("date", *rows.present(position, [rows.INGEST_ORDER])))).alias(c) for c in values]
     return position.groupBy(*KEYS).agg(*made)
 
 
+def clean_to(tables: dict[str, DataFrame], path: str, derive: bool = True) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Clean all tables (see clean_all) and write them below path; the tables as written, and their summary.
+
+    Rows are counted while they are written: a table is landed in the shared folder, from which its cleaner takes as many
+    passes as it needs, so its source is read once. A table without a cleaner is landed and skipped.
+    """
+    came, landed = {}, {}
+    for name, df in tables.items():
+        came[name] = Observation(f"raw {name}")
+        landed[name] = store.cut(df.observe(came[name], F.count(F.lit(1)).alias("n")))
+    written, stays = {}, {}
+    for name, df in clean_all(landed, derive).items():
+        stays[name] = Observation(f"clean {name}")
+        df.observe(stays[name], F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{path}/{name}")
+        written[name] = df.sparkSession.read.schema(df.schema).parquet(f"{path}/{name}")
+    known = {ALIASES.get(k, k): k for k in tables}
+    rows_ = []
+    for name in [*known, *(k for k in written if k not in known)]:
+        raw = came[known[name]].get["n"] if name in known else 0
+        clean = stays[name].get["n"] if name in written else 0
+        status = "skipped" if name not in written else "ok" if name in known else "derived"
+        rows_.append((name, raw, clean, raw - clean if name in known else 0, status))
+    spark = next(iter(tables.values())).sparkSession
+    return written, spark.createDataFrame(rows_, "file string, raw_rows long, clean_rows long, dropped long, status string")
+
+
 def cleaning_summary(raw: dict[str, DataFrame], clean: dict[str, DataFrame]) -> DataFrame:
     """file, raw_rows, clean_rows, dropped, status for each table: one count each, unioned."""
     frames = []

@@ -13,8 +13,15 @@ def present(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [n for n in names if n in df.columns]
 
 
+#: Where a table has this column, it says in which order rows came.
+INGEST_ORDER = "_ingest_order"
+#: Columns that the readers add; they are no values of a row.
+META = ("_source_endpoint", "_source_file", INGEST_ORDER)
+
+
 def drop_empty_rows(df: DataFrame) -> DataFrame:
-    return df.dropna("all")
+    values = [c for c in df.columns if c not in META]
+    return df.dropna("all", subset=values) if values else df
 
 
 def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -38,13 +45,16 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
-#: Where a table has this column, it says in which order rows came.
-INGEST_ORDER = "_ingest_order"
+def first_come(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row a key: the first that came, or without a known order (the readers of sources.endpoints make one) the first by
+    all columns that have an order, so that it is always the same one."""
+    return first_per_key(df, keys, present(df, [INGEST_ORDER]) or _ordered(df)).drop(*META)
 
 
-def first_come(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row a key: the first that came, or without a known order the first by all columns, so that it is always the same one."""
-    return first_per_key(df, keys, present(df, [INGEST_ORDER]) or sorted(df.columns)).drop(INGEST_ORDER)
+def _ordered(df: DataFrame) -> list[Column]:
+    """All columns by name, maps as their sorted entries."""
+    entries = lambda c: F.array_sort(F.map_entries(F.col(f"`{c}`")))
+    return [entries(f.name) if f.dataType.typeName() == "map" else F.col(f"`{f.name}`") for f in sorted(df.schema, key=lambda f: f.name)]
 
 
 def lower_names(df: DataFrame) -> DataFrame:

@@ -5,15 +5,16 @@ Doubles are rounded to six digits on both sides; instants are given as microseco
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlap.functions import coerce
-from gridlap.operators import aggregates, cleaning, features, joins, quality, rolling, rows
+from gridlap.operators import aggregates, cleaning, features, joins, quality, rolling, rows, store
 from gridlap.plans.views import Tables, sql
-from gridlap.sources import files
+from gridlap.sources import endpoints, files, folder
 from gridlap.streaming import resample
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,8 +173,30 @@ def _derived_grid(t: Tables) -> DataFrame:
 @query("cleaning_summary", ("laps", "position"), """WITH s AS (SELECT 'laps' AS file, (SELECT count(*) FROM laps) AS raw_rows, (SELECT count(*) FROM laps WHERE lap_duration BETWEEN 30 AND 600) AS clean_rows UNION ALL SELECT 'position', (SELECT count(*) FROM position), (SELECT count(*) FROM position))
     SELECT file, raw_rows, clean_rows, raw_rows - clean_rows AS dropped, 'ok' AS status FROM s""")
 def _summary(t: Tables) -> DataFrame:
-    raw = {"laps": t.laps, "position": t.position}
-    return cleaning.cleaning_summary(raw, {k: cleaning.CLEANERS[k](v) for k, v in raw.items()})
+    return cleaning.clean_to({"laps": t.laps, "position": t.position}, f"{store.shared_dir(t.spark)}/clean-{uuid.uuid4().hex}", derive=False)[1]
+
+
+# Folders of files --------------------------------------------------------------------------------------------------------
+
+
+def _put(df: DataFrame, path: str, columns: list[str] | None = None) -> None:
+    """df as CSV files with its columns in the given order; instants as text, as the writer has milliseconds only."""
+    files.write_table(df.select(*(F.col(c).cast("string").alias(c) for c in columns or df.columns)), path, "csv")
+
+
+def _halves(t: Tables) -> str:
+    """A folder in which the laps lie in two sets of files, whose columns come in different orders and aren't the same."""
+    root = f"{store.shared_dir(t.spark)}/raw-{uuid.uuid4().hex}"
+    early, late = t.laps.where("lap_number <= 20"), t.laps.where("lap_number > 20")
+    _put(early.where("i1_speed is null"), f"{root}/laps/2024/1.csv", ["lap_number", "is_pit_out_lap", "session_key", "date_start", "driver_number", "lap_duration"])
+    _put(early.where("i1_speed is not null"), f"{root}/laps/2024/2.csv", ["i1_speed", "lap_duration", "date_start", "driver_number", "is_pit_out_lap", "lap_number", "session_key"])
+    files.write_table(late, f"{root}/laps/2025/3.parquet")
+    return root
+
+
+@query("laps_from_files", ("laps",), "SELECT session_key, driver_number, lap_number, round(lap_duration, 6) AS lap_duration, round(i1_speed, 6) AS i1_speed, CAST(is_pit_out_lap AS VARCHAR) AS is_pit_out_lap, epoch_us(date_start) AS date_start FROM laps")
+def _s1(t: Tables) -> DataFrame:
+    return endpoints.scan(t.spark, _halves(t), "laps", folder.schema("laps")).rows.drop(*rows.META)
 
 
 # Joins ---------------------------------------------------------------------------------------------------------------
@@ -328,6 +351,20 @@ def _c24(t: Tables) -> DataFrame:
     return base_of(t)
 
 
+_CLEAN_BASE = _BASE.replace("FROM laps GROUP BY", "FROM laps WHERE lap_duration BETWEEN 30 AND 600 GROUP BY").replace("FROM stints GROUP BY", "FROM stints WHERE lap_end >= lap_start GROUP BY").replace("LEFT JOIN grid g", "LEFT JOIN (SELECT * FROM grid WHERE position <= 25) g").replace("LEFT JOIN results r", "LEFT JOIN (SELECT * FROM results WHERE position <= 25) r")
+
+
+@query("base_from_files", _BASE_VIEWS, f"WITH {_CLEAN_BASE} SELECT * EXCLUDE (final_position), {_TARGETS} FROM base")
+def _c24_files(t: Tables) -> DataFrame:
+    """Files of all endpoints, read, cleaned and built; a driver who comes again in a later file keeps the first name."""
+    root = _halves(t)
+    for name, df in {"sessions": t.sessions, "weather": t.weather, "stints": t.stints, "starting_grid": t.grid, "session_results": t.results}.items():
+        _put(df, f"{root}/{name}/2024/1.csv", sorted(df.columns))
+    _put(t.drivers, f"{root}/drivers/2024/1.csv")
+    _put(t.drivers.withColumn("full_name", F.lit("A later name")), f"{root}/drivers/2024/2.csv", ["team_name", "full_name", "session_key", "driver_number"])
+    return folder.build_base(t.spark, root, f"{root}-clean")
+
+
 @query("telemetry_by_lap", ("car_data",), "SELECT session_key, driver_number, lap_number, round(max(Speed), 6) AS speed_max, round(min(Speed), 6) AS speed_min, round(avg(Speed), 6) AS speed_mean, round(stddev_samp(Speed), 6) AS speed_std, round(avg(Throttle), 6) AS throttle_mean, round(quantile_cont(Throttle, 0.9), 6) AS throttle_q90, round(avg(Brake), 6) AS brake_mean, CAST(sum(Brake) AS DOUBLE) AS brake_sum, round(avg(RPM), 6) AS rpm_mean, round(stddev_samp(RPM), 6) AS rpm_std, round(avg(nGear), 6) AS ngear_mean, CAST(max(nGear) AS DOUBLE) AS ngear_max FROM car_data GROUP BY ALL")
 def _a5(t: Tables) -> DataFrame:
     return aggregates.telemetry_by_lap(t.car_data)

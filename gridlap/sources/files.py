@@ -10,31 +10,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from gridlap.operators import rows
+from gridlap.sources import endpoints
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Through Hadoop's file system, so any store that Spark reads."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
-def read_endpoint(spark: SparkSession, root: str, endpoint: str, schema: StructType, kind: str = "csv", legacy: Sequence[str] = ()) -> DataFrame:
-    """All files below root/endpoint, and legacy files where they exist, with _source_endpoint and _source_file.
-
-    Unreadable files are skipped, unreadable values are null. An endpoint without files is an empty table.
-    """
-    paths = [p for p in [f"{root}/{endpoint}", *legacy] if exists(spark, p)]
-    if not paths:
-        return spark.createDataFrame([], schema).withColumns({"_source_endpoint": F.lit(endpoint), "_source_file": F.lit(None).cast("string")})
-    reader = spark.read.schema(schema).option("recursiveFileLookup", True).option("ignoreCorruptFiles", True)
-    if kind == "csv":
-        reader = reader.option("header", True).option("mode", "PERMISSIVE")
-    return reader.format(kind).load(paths).withColumns({"_source_endpoint": F.lit(endpoint), "_source_file": F.col("_metadata.file_path")})
+def read_endpoint(spark: SparkSession, root: str, endpoint: str, schema: StructType, kind: str | None = None, legacy: Sequence[str] = ()) -> DataFrame:
+    """All rows of the files below root/endpoint, and of legacy files where they exist, by column name (see endpoints.scan, which also tells what couldn't be read)."""
+    return endpoints.scan(spark, root, endpoint, schema, (kind,) if kind else ("csv", "parquet"), legacy).rows
 
 
 def read_differing(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """CSV files of differing columns, unioned by name; every value is text."""
-    return rows.union_by_name([spark.read.option("header", True).csv(p) for p in paths])
+    """CSV files of differing columns, unioned by name, one scan a distinct header; every value is text."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        groups.setdefault(endpoints.csv_header(spark, path), []).append(path)
+    return rows.union_by_name([spark.read.schema(", ".join(f"`{n}` string" for n in names)).option("header", True).csv(own) for names, own in groups.items()])
 
 
 def not_ingested(listed: DataFrame, manifest: DataFrame, keys: Sequence[str] = ("endpoint", "year", "session_key")) -> DataFrame:
@@ -63,6 +52,11 @@ def write_table(df: DataFrame, path: str, kind: str = "parquet", partition_by: S
         writer.format(kind).save(path)
 
 
+def rewrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Replace those partitions of the table at path that df has rows of; the others stay. Writing the same rows again changes nothing."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*by).parquet(path)
+
+
 def write_both(df: DataFrame, path: str) -> DataFrame:
     """As Parquet, and from that as CSV, so that the table is computed once; gives the table as written. If Parquet can't
     be written there is a warning, and CSV is written from df."""

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+
+from gridlap.streaming.ingest import ingest as ingest
 
 
 def resample(df: DataFrame, keys: Sequence[str], time: str, values: Sequence[str], every: str = "1 second", late: str | None = None) -> DataFrame:
@@ -42,10 +42,3 @@ def motion_features(df: DataFrame, keys: Sequence[str], time: str, speed: str =
     w = Window.partitionBy(*keys).orderBy(time)
     s = F.unix_micros(F.col(time).cast("timestamp")) / 1e6
     return df.withColumns({"throttle_delta": F.col(throttle) - F.lag(throttle).over(w), "rolling_mean_speed": F.avg(speed).over(w.rowsBetween(1 - rows, 0)), "acceleration": (F.col(speed) - F.lag(speed).over(w)) / F.nullif(s - F.lag(s).over(w), F.lit(0.0))})
-
-
-def ingest(spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str, kind: str = "csv") -> StreamingQuery:
-    """Read files that have come since the last run, append them to a Parquet table, and end. The checkpoint remembers them."""
-    reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
-    rows = (reader.option("header", True).csv(source) if kind == "csv" else reader.format(kind).load(source)).withColumn("_source_file", F.input_file_name())
-    return rows.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
