@@ -51,7 +51,7 @@ def histogram(df: DataFrame, value: str, bins: int, high: float | None = None) -
 
 def box_plot(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     """Quartiles, whiskers at the last values within 1.5 quartile distances, and the number of values beyond."""
-    q = df.where(F.col(value).isNotNull()).groupBy(*by).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
+    q = order.exact_quantiles_by(df.where(F.col(value).isNotNull()), by, [value], [0.25, 0.5, 0.75]).withColumnRenamed(value, "q")
     q = q.select(*by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("q2"), F.col("q")[2].alias("q3"))
     x, reach = F.col(value), 1.5 * (F.col("q3") - F.col("q1"))
     inside = x.between(F.col("q1") - reach, F.col("q3") + reach)
@@ -65,7 +65,13 @@ def pivot_median(df: DataFrame, row: str, bin_of: str, edges: Sequence[float], v
     for a, b in zip(edges, edges[1:], strict=False):
         names.append(f"bin_{a:g}_{b:g}")
         label = F.when((F.col(bin_of) > a) & (F.col(bin_of) <= b), names[-1]).otherwise(label)
-    return df.withColumn("_bin", label).where("_bin is not null").groupBy(row).pivot("_bin", names).agg(F.median(value))
+    medians = order.exact_quantiles_by(df.withColumn("_bin", label).where("_bin is not null"), [row, "_bin"], [value], [0.5])
+    return medians.groupBy(row).pivot("_bin", names).agg(F.max(F.col(value)[0]))  # one row a cell
+
+
+def medians(df: DataFrame, value: str, by: Sequence[str], name: str = "median") -> DataFrame:
+    """by, and the exact median; groups of any size."""
+    return order.exact_quantiles_by(df, by, [value], [0.5]).select(*by, F.col(value)[0].alias(name))
 
 
 def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:

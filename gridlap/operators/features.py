@@ -28,7 +28,7 @@ def tyre_laps(laps: DataFrame, stints: DataFrame) -> DataFrame:
 def pace_by_age(tyre: DataFrame, width: int = 2, top: int = 60) -> DataFrame:
     """compound, bin, median_lap, change: median lap by tyre age, and its change from the previous bin that has laps."""
     binned = tyre.withColumn("bin", coerce.right_closed_bin(F.col("tyre_age"), width, top)).where("bin is not null and compound is not null")
-    medians = binned.groupBy("compound", "bin").agg(F.median("lap_duration").alias("median_lap")).where("median_lap is not null")
+    medians = order.exact_quantiles_by(binned, ["compound", "bin"], ["lap_duration"], [0.5]).select("compound", "bin", F.col("lap_duration")[0].alias("median_lap")).where("median_lap is not null")
     return medians.withColumn("change", F.col("median_lap") / F.lag("median_lap").over(Window.partitionBy("compound").orderBy("bin")) - 1)
 
 
@@ -65,18 +65,18 @@ def stint_features(laps: DataFrame, stints: DataFrame, cliffs: DataFrame) -> Dat
     return out.withColumn("is_past_cliff", coerce.flag(F.col("current_tyre_age") > F.col("compound_cliff"))).drop("_cliff", "_named", "lap_start", "lap_end", "tyre_age_at_start")
 
 
-def weather_features(laps: DataFrame, weather: DataFrame) -> DataFrame:
+def weather_features(laps: DataFrame, weather: DataFrame, group_rows: int | None = joins.GROUP_ROWS) -> DataFrame:
     """The weather nearest to a lap's start, and the track's change since the session's first reading."""
     found = rows.present(weather, WEATHER)
     base = weather.groupBy("session_key").agg(F.min_by("track_temperature", "date").alias("_base"))
-    near = joins.as_of(laps, weather, ["session_key"], "date_start", "date", found, "nearest", tie=found)
+    near = joins.as_of(laps, weather, ["session_key"], "date_start", "date", found, "nearest", tie=found, group_rows=group_rows)
     return near.join(base, "session_key", "left").withColumn("track_temp_evolution", F.round(F.col("track_temperature") - F.col("_base"), 2)).drop("_base")
 
 
-def position_features(laps: DataFrame, position: DataFrame) -> DataFrame:
+def position_features(laps: DataFrame, position: DataFrame, group_rows: int | None = joins.GROUP_ROWS) -> DataFrame:
     """The last known position at a lap's start, its flags, and the places won since the lap before."""
     known = position.select(*KEYS, "date", F.col("position").alias("current_position"))
-    out = joins.as_of(laps, known, KEYS, "date_start", "date", ["current_position"], "backward", tie=["current_position"])
+    out = joins.as_of(laps, known, KEYS, "date_start", "date", ["current_position"], "backward", tie=["current_position"], group_rows=group_rows)
     p = F.col("current_position")
     w = Window.partitionBy(*KEYS).orderBy("date_start", "lap_number")
     return out.withColumns({"is_leading": coerce.flag(p == 1), "is_top3": coerce.flag(p <= 3), "is_top10": coerce.flag(p <= 10), "position_gain_lap": F.lag(p).over(w) - p})

@@ -1,4 +1,4 @@
-"""Exact quantiles and ranks of whole columns, without ordering a column in one task or holding its values in one place."""
+"""Exact quantiles and ranks of columns and groups, without ordering them in one task or holding their values in one place."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from math import ceil, floor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridlap.operators import store
+
 #: Rank error of a sketch is 1 in ACCURACY; a bracket with up to MOST values is read out.
 ACCURACY, MOST, SLICES = 10_000, 10_000, 256
 
@@ -88,3 +90,72 @@ def mean_ranks(df: DataFrame, column: str, slices: int = SLICES) -> DataFrame:
     upto = F.sum("_n").over(Window.partitionBy("_slice").orderBy(column))
     placed = sliced.withColumn("_upto", upto).join(F.broadcast(before), "_slice")
     return placed.select(column, (F.col("_before") + F.col("_upto") - (F.col("_n") - 1) / 2).alias("rank"))
+
+
+#: Points of a group's sketch.
+GRID = 1000
+
+
+def exact_quantiles_by(df: DataFrame, by: Sequence[str], columns: Sequence[str], shares: Sequence[float], most: int = MOST, grid: int = GRID) -> DataFrame:
+    """by, and for each column the array of its quantiles in the group by linear interpolation; null keys are a group, nulls and NaN don't
+    count, and a group without values has null.
+
+    Groups of up to `most` rows are one aggregate. For the larger ones, all at once, each rank is bracketed by a sketch of
+    its group, rows below, on and between the bracket's ends are counted, and so on within it until it holds up to `most`
+    values, which are then read out: no task holds more of a group than a sketch or `most` values. Each pass is over a table
+    of these columns that is written once to the shared folder; without larger groups there is one pass.
+    """
+    by, columns, shares = list(by), list(columns), list(shares)
+    if not by:
+        found = exact_quantiles(df, columns, shares, most)
+        return df.sparkSession.range(1).select(*(F.array(*(F.lit(v).cast("double") for v in found[c])).alias(c) if found[c][0] is not None else F.lit(None).cast("array<double>").alias(c) for c in columns))
+    key = F.struct(*(F.col(f"`{b}`") for b in by)).alias("_k")  # as a struct, keys with nulls are equal
+    number = lambda c: F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`").cast("double"))
+    rows = store.cut(df.select(key, *(number(c).alias(f"_x{i}") for i, c in enumerate(columns))))
+    named = lambda f: f.select("_k.*", *(F.col(f"_x{i}").alias(c) for i, c in enumerate(columns)))
+    exact = [F.percentile(f"_x{i}", F.array(*map(F.lit, shares))).alias(f"_x{i}") for i in range(len(columns))]
+    large = store.cut(rows.groupBy("_k").agg(F.count("*").alias("_n"), *(F.count(f"_x{i}").alias(f"_n{i}") for i in range(len(columns)))).where(F.col("_n") > most))
+    if large.isEmpty():
+        return named(rows.groupBy("_k").agg(*exact))
+    small = rows.join(large.select("_k"), "_k", "left_anti").groupBy("_k").agg(*exact)
+    places = large.select("_k", F.inline(F.array(*(F.struct(F.lit(i).alias("c"), F.col(f"_n{i}").alias("n")) for i in range(len(columns)))))).where("n > 0")
+    places = store.cut(places.select("_k", "c", F.posexplode(F.array(*((F.lit(s) * (F.col("n") - 1)) for s in map(float, shares)))).alias("share", "at"), "n"))
+    tall = rows.join(large.select("_k"), "_k").select("_k", F.inline(F.array(*(F.struct(F.lit(i).alias("c"), F.col(f"_x{i}").alias("x")) for i in range(len(columns)))))).where("x is not null")
+    values = _values_by(tall, places, most, grid)
+    for name, r in (("low", F.floor("at")), ("high", F.ceil("at"))):
+        places = places.withColumn(f"_{name}", r.cast("long")).join(values.select("_k", "c", F.col("r").alias(f"_{name}"), F.col("x").alias(name)), ["_k", "c", f"_{name}"])
+    between = F.col("low") + (F.col("high") - F.col("low")) * (F.col("at") - F.floor("at"))
+    made = places.groupBy("_k", "c").agg(F.transform(F.array_sort(F.collect_list(F.struct("share", between.alias("v")))), lambda q: q["v"]).alias("q"))
+    wide = large.select("_k").join(made, "_k", "left").groupBy("_k").agg(*(F.max(F.when(F.col("c") == i, F.col("q"))).alias(f"_x{i}") for i in range(len(columns))))
+    return named(small.unionByName(wide))
+
+
+def _values_by(tall: DataFrame, places: DataFrame, most: int, grid: int) -> DataFrame:
+    """_k, c, r, x: the values at the ranks below and above each place; tall has _k, c, x."""
+    state = ["_k", "c", "r", "low", "high", "upto", "n"]
+    ranks = places.select("_k", "c", "n", F.explode(F.array(F.floor("at"), F.ceil("at")).cast("array<bigint>")).alias("r")).distinct()
+    open_ = store.cut(ranks.select("_k", "c", "r", F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high"), F.lit(0).cast("long").alias("upto"), F.col("n").cast("long").alias("n")))
+    inside = lambda frame: tall.join(frame, ["_k", "c"]).where("(low is null or x > low) and (high is null or x < high)")
+    found = []
+    while True:
+        few, many = open_.where(F.col("n") <= most), open_.where(F.col("n") > most)
+        found.append(inside(few).groupBy(*state).agg(F.array_sort(F.collect_list("x")).alias("xs")).select("_k", "c", "r", F.element_at("xs", (F.col("r") - F.col("upto") + 1).cast("int")).alias("x")))
+        if many.isEmpty():
+            break
+        sketch = inside(many).groupBy(*state).agg(F.percentile_approx("x", [i / grid for i in range(grid + 1)], 10 * grid).alias("g"))
+        place = F.floor((F.col("r") - F.col("upto")) / F.col("n") * grid).cast("int")
+        ends = sketch.select(*state, F.element_at("g", F.greatest(F.lit(1), place)).alias("a"), F.element_at("g", F.least(F.lit(grid + 1), place + 3)).alias("b"))
+        x = F.col("x")
+        counted = inside(ends).groupBy(*state, "a", "b").agg(F.count_if(x < F.col("a")).alias("below"), F.count_if(x == F.col("a")).alias("on_a"), F.count_if((x > F.col("a")) & (x < F.col("b"))).alias("mid"), F.count_if((x == F.col("b")) & (F.col("b") > F.col("a"))).alias("on_b"))
+        counted = store.cut(counted.withColumn("p", F.col("r") - F.col("upto")))
+        to_a, to_mid, to_b = F.col("below") + F.col("on_a"), F.col("below") + F.col("on_a") + F.col("mid"), F.col("below") + F.col("on_a") + F.col("mid") + F.col("on_b")
+        p = F.col("p")
+        found.append(counted.where((p >= F.col("below")) & (p < to_a)).select("_k", "c", "r", F.col("a").alias("x")))
+        found.append(counted.where((p >= to_mid) & (p < to_b)).select("_k", "c", "r", F.col("b").alias("x")))
+        part = lambda where, low, high, gone, n: counted.where(where).select("_k", "c", "r", F.col(low).alias("low"), F.col(high).alias("high"), (F.col("upto") + gone).alias("upto"), n.alias("n"))
+        parts = [part(p < F.col("below"), "low", "a", F.lit(0), F.col("below")), part((p >= to_a) & (p < to_mid), "a", "b", to_a, F.col("mid")), part(p >= to_b, "b", "high", to_b, F.col("n") - to_b)]
+        open_ = store.cut(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out

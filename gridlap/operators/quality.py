@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlap.operators import joins, rows
+from gridlap.operators import joins, order, rows, store
 
 SCHEMA = "file string, severity string, check string, message string"
 # Fixed values of the data: required columns and keys of the tables, and ranges, that a validation looks at.
@@ -75,9 +75,11 @@ def orphan_sessions(df: DataFrame, sessions: DataFrame, file: str) -> DataFrame:
     return _issue(n, file, "error", "consistency", F.format_string("Found data for %d session(s) not present in sessions", "n"), F.col("n") > 0)
 
 
-def validate(tables: dict[str, DataFrame], keys: dict[str, list[str]] = KEYS) -> DataFrame:
-    """All issues of the tables, as one lazy union: one pass a table, and one more for its key and its sessions."""
-    found: list[DataFrame | None] = []
+def validate(tables: dict[str, DataFrame], keys: dict[str, list[str]] = KEYS, expected: Sequence[str] = ()) -> DataFrame:
+    """All issues of the tables, as one lazy union: one pass a table, and one more for its key and its sessions. Tables that
+    are expected and aren't among them are missing files."""
+    spark = next(iter(tables.values())).sparkSession
+    found: list[DataFrame | None] = [spark.createDataFrame([(name, "warning", "file_exists", "File missing") for name in expected if name not in tables], SCHEMA)]
     for name, df in tables.items():
         found.append(counted_issues(df, name, [(c, a, b) for t, c, a, b in RANGES if t == name]))
         if name in keys:
@@ -167,10 +169,29 @@ def _value_counts(df: DataFrame) -> DataFrame:
     return df.select(F.inline(F.array(*cells))).groupBy("column", "value").agg(F.count("*").alias("n"))
 
 
+def frequent_values(df: DataFrame, share: float) -> DataFrame:
+    """column, value (as text), n, row_count: the values, null among them, that fill at least the share of a column.
+
+    A sketch of frequent items a column, of bounded size and merged over all tasks in one pass, names every value that may fill it
+    (1 / share of them at most); these are then counted exactly. No value but these leaves its task.
+    """
+    text = df.select(*(F.col(f"`{c}`").cast("string").alias(f"_{i}") for i, c in enumerate(df.columns)))
+    schema = "column string, value string, n long, row_count long"
+    if not df.columns:
+        return df.sparkSession.createDataFrame([], schema)
+    named = text.freqItems(text.columns, support=max(1e-4, min(1.0, share * 0.5))).first()
+    looks = [(c, v, F.col(f"_{i}").eqNullSafe(F.lit(v).cast("string"))) for i, c in enumerate(df.columns) for v in sorted(set(named[i]), key=lambda v: (v is not None, v))]
+    if not looks:
+        return df.sparkSession.createDataFrame([], schema)
+    row = text.agg(F.count(F.lit(1)).alias("all"), *(F.count_if(same).alias(f"n{k}") for k, (_, _, same) in enumerate(looks)))
+    cells = F.array(*(F.struct(F.lit(c).alias("column"), F.lit(v).cast("string").alias("value"), F.col(f"n{k}").alias("n"), F.col("all").alias("row_count")) for k, (c, v, _) in enumerate(looks)))
+    return row.select(F.inline(cells)).where((F.col("n") > 0) & (F.col("n") >= share * F.col("row_count")))
+
+
 def dominant_values(df: DataFrame, share: float = 0.99) -> DataFrame:
-    """column, value, share of columns of which one value (null counts) fills at least the share. Counted by value."""
-    top = _value_counts(df).groupBy("column").agg(F.max_by("value", F.struct("n", F.coalesce("value", F.lit("")))).alias("value"), F.max("n").alias("most"), F.sum("n").alias("all_rows"))
-    return top.select("column", "value", (F.col("most") / F.col("all_rows")).alias("share")).where(F.col("share") >= share)
+    """column, value, share of columns of which one value (null counts) fills at least the share; of two that fill as much the greater one."""
+    top = frequent_values(df, share).groupBy("column").agg(F.max_by("value", F.struct("n", F.coalesce("value", F.lit("")))).alias("value"), F.max("n").alias("most"), F.max("row_count").alias("all_rows"))
+    return top.select("column", "value", (F.col("most") / F.col("all_rows")).alias("share"))
 
 
 def unique_profile(df: DataFrame, sample: int = 5) -> DataFrame:
@@ -184,8 +205,8 @@ def unique_profile(df: DataFrame, sample: int = 5) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """column, n, n_unique, top, freq, mean, std, least, q1, q2, q3, most: moments and quartiles of numeric columns in one
-    pass; distinct values, the most frequent one (the least of several) and how often it comes, of the others, counted by value."""
+    """column, n, n_unique, top, freq, mean, std, least, q1, q2, q3, most: moments of numeric columns in one
+    pass and their exact quartiles in a few; distinct values, the most frequent one (the least of several) and how often it comes, of the others, counted by value."""
     columns = list(columns or df.columns)
     numeric = [c for c in columns if c in numeric_columns(df)]
     words = [c for c in columns if c not in numeric]
@@ -193,7 +214,9 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     out = []
     if numeric:
         x = lambda c: F.col(c).cast("double")
-        fs = lambda c: F.struct(F.count(c).alias("n"), F.avg(c).cast("double").alias("mean"), F.stddev_samp(x(c)).alias("std"), F.min(x(c)).alias("least"), *(F.percentile(c, q).alias(k) for k, q in zip(names[3:6], (0.25, 0.5, 0.75), strict=True)), F.max(x(c)).alias("most"))
+        df = store.cut(df.select(*(f"`{c}`" for c in columns)))  # the quartiles take passes over it
+        quartiles = order.exact_quantiles(df, numeric, (0.25, 0.5, 0.75))
+        fs = lambda c: F.struct(F.count(c).alias("n"), F.avg(c).cast("double").alias("mean"), F.stddev_samp(x(c)).alias("std"), F.min(x(c)).alias("least"), *(F.lit(v).cast("double").alias(k) for k, v in zip(names[3:6], quartiles[c], strict=True)), F.max(x(c)).alias("most"))
         row = df.agg(*(fs(c).alias(c) for c in numeric))
         cells = F.array(*(F.struct(F.lit(c).alias("column"), *(F.col(c)[k].alias(k) for k in ("n", *names))) for c in numeric))
         out.append(row.select(F.inline(cells)).withColumns({"n_unique": F.lit(None).cast("long"), "top": F.lit(None).cast("string"), "freq": F.lit(None).cast("long")}))

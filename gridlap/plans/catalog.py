@@ -441,7 +441,7 @@ def _a15(t: Tables) -> DataFrame:
 def _a16(t: Tables) -> DataFrame:
     aged = features.tyre_laps(t.laps, t.stints).where("compound is not null and lap_duration is not null").withColumn("age", F.greatest("tyre_age", F.lit(0))).where("age <= 55")
     big = aged.groupBy("compound").agg(F.count("*").alias("n")).where("n >= 20").select("compound")
-    return aged.join(big, "compound", "left_semi").groupBy("compound", "age").agg(F.median("lap_duration").alias("median_lap"))
+    return aggregates.medians(aged.join(big, "compound", "left_semi"), "lap_duration", ["compound", "age"], "median_lap")
 
 
 @query("pace_by_temperature", ("laps", "stints", "weather"), f"WITH {_TYRE}, m AS (SELECT session_key, avg(track_temperature) AS temp FROM weather GROUP BY 1), j AS (SELECT compound, lap_duration, temp FROM tyre JOIN m USING (session_key) WHERE temp > 20 AND temp <= 60) SELECT compound, round(median(CASE WHEN temp <= 30 THEN lap_duration END), 6) AS bin_20_30, round(median(CASE WHEN temp > 30 AND temp <= 40 THEN lap_duration END), 6) AS bin_30_40, round(median(CASE WHEN temp > 40 AND temp <= 50 THEN lap_duration END), 6) AS bin_40_50, round(median(CASE WHEN temp > 50 THEN lap_duration END), 6) AS bin_50_60 FROM j GROUP BY 1")
@@ -470,6 +470,33 @@ def _a21(t: Tables) -> DataFrame:
     return aggregates.vif(t.weather, ["air_temperature", "humidity"])
 
 
+SIGNALS = ["lap_duration", "i1_speed", "i2_speed", "st_speed", "duration_sector_1", "duration_sector_2", "duration_sector_3"]
+_PAIRS = [(a, b) for i, a in enumerate(SIGNALS) for b in SIGNALS[i:]]
+_WHOLE = f"x AS (SELECT * FROM signals WHERE {' AND '.join(f'{c} IS NOT NULL' for c in SIGNALS)})"
+_SIGNAL_RANKS = ", ".join(f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2 AS {c}" for c in SIGNALS)
+
+
+@query("signal_spearman", ("signals",), f"WITH {_WHOLE}, r AS (SELECT {_SIGNAL_RANKS} FROM x) " + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS correlation FROM r" for a, b in _PAIRS))
+def _a20_all(t: Tables) -> DataFrame:
+    return aggregates.spearman(t.signals, SIGNALS)
+
+
+def _swept() -> str:
+    """SQL that inverts the matrix of the signals' products by pivoting on one column after another."""
+    n = len(SIGNALS)
+    steps = ["g0 AS (SELECT " + ", ".join(f"sum({a} * {b}) AS m{i}{j}" for i, a in enumerate(SIGNALS) for j, b in enumerate(SIGNALS)) + " FROM x)"]
+    for k in range(n):
+        entry = lambda i, j, k=k: f"1 / m{k}{k}" if i == j == k else f"m{k}{j} / m{k}{k}" if i == k else f"-m{i}{k} / m{k}{k}" if j == k else f"m{i}{j} - m{i}{k} * m{k}{j} / m{k}{k}"
+        steps.append(f"g{k + 1} AS (SELECT " + ", ".join(f"{entry(i, j)} AS m{i}{j}" for i in range(n) for j in range(n)) + f" FROM g{k})")
+    each = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", g0.m{i}{i} * g{n}.m{i}{i} AS v FROM g0, g{n}" for i, c in enumerate(SIGNALS))
+    return f"WITH {_WHOLE}, {', '.join(steps)}, v AS ({each}) SELECT \"column\", round(v, 6) AS vif, CASE WHEN v > 10 THEN 'HIGH' WHEN v > 5 THEN 'MEDIUM' ELSE 'OK' END AS risk FROM v"
+
+
+@query("signal_vif", ("signals",), _swept())
+def _a21_all(t: Tables) -> DataFrame:
+    return aggregates.vif(t.signals, SIGNALS)
+
+
 @query("grid_trend_by_team", _BASE_VIEWS, f"WITH {_BASE} SELECT team_name, round(regr_slope(final_position, grid_position), 6) AS slope, round(regr_intercept(final_position, grid_position), 6) AS intercept, round(regr_r2(final_position, grid_position), 6) AS r2 FROM base GROUP BY 1")
 def _a22(t: Tables) -> DataFrame:
     return aggregates.trend_lines(base_of(t), "final_position", "grid_position", ["team_name"])
@@ -487,7 +514,8 @@ def _a24(t: Tables) -> DataFrame:
 
 @query("median_lap_by_outlier", ("laps",), f"{_CLEAN_LAPS} SELECT is_outlier_lap, count(*) AS n, round(median(lap_duration), 6) AS median_lap FROM clean GROUP BY 1")
 def _a25(t: Tables) -> DataFrame:
-    return cleaning.clean_laps(t.laps).groupBy("is_outlier_lap").agg(F.count("*").alias("n"), F.median("lap_duration").alias("median_lap"))
+    laps = store.cut(cleaning.clean_laps(t.laps).select("is_outlier_lap", "lap_duration"))
+    return laps.groupBy("is_outlier_lap").agg(F.count("*").alias("n")).join(aggregates.medians(laps, "lap_duration", ["is_outlier_lap"], "median_lap"), "is_outlier_lap")
 
 
 # Filters, limits, windows ---------------------------------------------------------------------------------------------
@@ -559,9 +587,10 @@ def _q4(t: Tables) -> DataFrame:
 @query("validation_report", ("laps", "sessions"), """WITH s AS (SELECT * FROM sessions WHERE session_key <> 3), r AS (SELECT count(*) AS n, count(*) - count(lap_duration) AS a, count(*) - count(i1_speed) AS b, count(*) FILTER (lap_duration NOT BETWEEN 30 AND 600) AS c FROM laps)
     SELECT 'laps' AS file, 'warning' AS severity, 'missing_values' AS "check", printf('Column lap_duration has %d nulls (%.1f%%)', a, 100.0 * a / n) AS message FROM r UNION ALL SELECT 'laps', 'warning', 'missing_values', printf('Column i1_speed has %d nulls (%.1f%%)', b, 100.0 * b / n) FROM r
     UNION ALL SELECT 'laps', 'warning', 'range', printf('Column lap_duration has %d values outside [30, 600]', c) FROM r WHERE c > 0
-    UNION ALL SELECT 'laps', 'error', 'consistency', printf('Found data for %d session(s) not present in sessions', count(DISTINCT session_key)) FROM laps WHERE session_key NOT IN (SELECT session_key FROM s)""")
+    UNION ALL SELECT 'laps', 'error', 'consistency', printf('Found data for %d session(s) not present in sessions', count(DISTINCT session_key)) FROM laps WHERE session_key NOT IN (SELECT session_key FROM s)
+    UNION ALL SELECT 'starting_grid', 'warning', 'file_exists', 'File missing'""")
 def _q7(t: Tables) -> DataFrame:
-    return quality.validate({"sessions": t.sessions.where("session_key <> 3"), "laps": t.laps})
+    return quality.validate({"sessions": t.sessions.where("session_key <> 3"), "laps": t.laps}, expected=["sessions", "laps", "starting_grid"])
 
 
 @query("table_summary", ("laps",), "WITH r AS (SELECT count(*) AS n, count(*) - count(lap_duration) AS a, count(*) - count(i1_speed) AS b FROM laps) SELECT 'laps' AS file, n AS row_count, CAST(7 AS BIGINT) AS col_count, CAST(2 AS BIGINT) AS cols_any_null, CAST(CASE WHEN a / n > 0.2 THEN 1 ELSE 0 END + CASE WHEN b / n > 0.2 THEN 1 ELSE 0 END AS BIGINT) AS drop_candidates, round(100.0 * (a / n + b / n) / 7, 6) AS null_pct FROM r")
@@ -575,8 +604,19 @@ def _q9(t: Tables) -> DataFrame:
     return quality.parse_shares(t.intervals.withColumn("gap_to_leader", text), F.col("session_key"), "gap_to_leader", "double")
 
 
-@query("schema_alignment", ("laps", "raw_laps", "stints"), """WITH found(file, "column", issue, expected, got) AS (VALUES ('raw_laps', 'segments_sector_1', 'extra', NULL, 'string'), ('raw_laps', 'i1_speed', 'missing', 'double', NULL), ('raw_laps', 'session_key', 'type', 'bigint', 'string'), ('raw_laps', 'driver_number', 'type', 'bigint', 'string'), ('raw_laps', 'lap_number', 'type', 'bigint', 'string'),
-      ('raw_laps', 'date_start', 'type', 'timestamp_ntz', 'string'), ('raw_laps', 'lap_duration', 'type', 'double', 'string'), ('raw_laps', 'is_pit_out_lap', 'type', 'boolean', 'string')) SELECT file, (SELECT count(*) FROM raw_laps) AS row_count, "column", issue, expected, got FROM found""")
+#: What SQL calls a type, and what Spark does.
+_TYPES = "{'BIGINT': 'bigint', 'DOUBLE': 'double', 'BOOLEAN': 'boolean', 'VARCHAR': 'string', 'TIMESTAMP': 'timestamp_ntz', 'INTEGER': 'int'}"
+
+
+def _typed(view: str, columns: list[str]) -> str:
+    """SQL for name, type and place of a view's columns, as the engine finds them in its rows."""
+    return f"SELECT unnest([{', '.join(f'{chr(39)}{c}{chr(39)}' for c in columns)}]) AS c, unnest([{', '.join(f'typeof({c})' for c in columns)}]) AS t FROM (SELECT * FROM {view} LIMIT 1)"
+
+
+@query("schema_alignment", ("laps", "raw_laps", "stints"), f"""WITH a AS ({_typed('laps', ['session_key', 'driver_number', 'lap_number', 'date_start', 'lap_duration', 'i1_speed', 'is_pit_out_lap'])}),
+    b AS ({_typed('raw_laps', ['session_key', 'driver_number', 'lap_number', 'date_start', 'lap_duration', 'is_pit_out_lap', 'segments_sector_1'])}),
+    j AS (SELECT coalesce(a.c, b.c) AS "column", a.t AS was, b.t AS got FROM a FULL JOIN b ON a.c = b.c), n AS (SELECT MAP {_TYPES} AS names)
+    SELECT 'raw_laps' AS file, (SELECT count(*) FROM raw_laps) AS row_count, "column", CASE WHEN was IS NULL THEN 'extra' WHEN got IS NULL THEN 'missing' ELSE 'type' END AS issue, names[was] AS expected, names[got] AS got FROM j, n WHERE was IS DISTINCT FROM got""")
 def _q9_schema(t: Tables) -> DataFrame:
     return quality.schema_alignment({"empty": t.stints.where("stint_number < 0"), "laps": t.laps, "raw_laps": t.raw_laps})
 

@@ -36,6 +36,10 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "car_data": (("lineitem",), """SELECT l_orderkey % 10 AS session_key, l_suppkey AS driver_number, CAST(l_linenumber AS BIGINT) AS lap_number,
         CAST(l_quantity * 9 AS DOUBLE) AS Speed, CAST(l_discount * 1000 AS DOUBLE) AS Throttle, CAST(l_extendedprice / 5 AS DOUBLE) AS RPM,
         CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS Brake, CAST(l_quantity AS INT) % 8 + 1 AS nGear FROM {lineitem}"""),
+    "signals": (("lineitem",), """SELECT CASE WHEN l_orderkey % 37 = 0 THEN NULL ELSE CAST(l_extendedprice AS DOUBLE) / 100 END AS lap_duration, CAST(l_quantity AS DOUBLE) * 5 + l_linenumber AS i1_speed,
+        CAST(l_extendedprice AS DOUBLE) / CAST(l_quantity AS DOUBLE) AS i2_speed, CASE WHEN l_partkey % 41 = 0 THEN NULL ELSE CAST(l_discount AS DOUBLE) * 1000 + CAST(l_tax AS DOUBLE) * 100 END AS st_speed,
+        20 + CAST(l_quantity AS DOUBLE) / 3 + l_suppkey % 5 AS duration_sector_1, 25 + CAST(l_tax AS DOUBLE) * 90 + l_orderkey % 3 AS duration_sector_2, 30 + CAST(l_extendedprice AS DOUBLE) / 4000 + l_partkey % 7 AS duration_sector_3
+        FROM {lineitem}"""),
     "overlapping": (("stints",), """SELECT session_key, driver_number, stint_number * 2 AS stint_number, lap_start, lap_end,
         CASE WHEN stint_number % 3 = 0 THEN NULL ELSE compound END AS compound, tyre_age_at_start FROM {stints}
         UNION ALL SELECT session_key, driver_number, stint_number * 2 + 1, lap_start + 4, lap_end + 4, 'HARD',

@@ -31,6 +31,24 @@ def test_quantiles_equal_numpy(spark, most, accuracy):
     assert order.exact_quantiles(df.where("false"), ["spread"], (0.5,)) == {"spread": [None]} and order.exact_quantiles(df, [], (0.5,)) == {}
 
 
+@pytest.mark.parametrize(("most", "grid"), [(10_000, 1000), (60, 8), (3, 4)])
+def test_group_quantiles_equal_numpy(spark, most, grid):
+    rng = random.Random(3)
+    rows_ = [(k, rng.gauss(0, 9), rng.choice((1.0, 2.0, None, float("nan"), 5.5)), None) for k, n in ((1, 900), (None, 500), (2, 40), (3, 1)) for _ in range(n)]
+    rows_ += [(4, 7.0, 7.0, None)] * 300 + [(5, None, None, None)] * 200
+    df = spark.createDataFrame(rows_, "k int, x double, y double, none double").repartition(4)
+    shares = [0.0, 0.01, 0.5, 0.9, 1.0]
+    got = {r.k: r for r in order.exact_quantiles_by(df, ["k"], ["x", "y", "none"], shares, most, grid).collect()}
+    assert set(got) == {r[0] for r in rows_}
+    for k, r in got.items():
+        for i, c in enumerate(("x", "y", "none"), 1):
+            known = [v[i] for v in rows_ if v[0] == k and v[i] is not None and v[i] == v[i]]
+            assert r[c] == (pytest.approx(np.quantile(known, shares).tolist()) if known else None), (k, c)
+    whole = order.exact_quantiles_by(df, [], ["x", "none"], [0.5], most).first()
+    assert whole.x == pytest.approx([np.median([v[1] for v in rows_ if v[1] is not None])]) and whole.none is None
+    assert order.exact_quantiles_by(df.where("false"), ["k"], ["x"], [0.5]).count() == 0
+
+
 @pytest.mark.parametrize("slices", [1, 7, 256])
 def test_ranks_equal_their_definition(spark, slices):
     rng = random.Random(4)
