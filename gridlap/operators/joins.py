@@ -132,8 +132,13 @@ def _sliced(both: DataFrame, by: list[str], group_rows: int) -> DataFrame | None
     slices = min(SLICES, -(-most // group_rows) * 2)
     times = both.join(large, by).groupBy(*by).agg(F.percentile_approx(_seconds(F.col("_t")), [i / slices for i in range(1, slices)], 10 * slices).alias("_ends"))
     ends = store.cut(times.withColumn("_ends", F.array_distinct("_ends")))
-    at = F.when(F.col("_ends").isNull() | F.col("_t").isNull(), F.lit(0)).otherwise(F.size(F.filter("_ends", lambda e: e < _seconds(F.col("_t")))))
-    return both.join(ends, by, "left").withColumn("_slice", at).drop("_ends")
+    # how many ends lie before a time: first by every 64th of them, then by those between two of these
+    t, step = _seconds(F.col("_t")), 64
+    coarse = F.transform(F.sequence(F.lit(1), F.size("_ends"), F.lit(step)), lambda i: F.element_at("_ends", i))
+    ends = ends.where(F.size("_ends") > 0).withColumn("_coarse", coarse)
+    block = F.greatest(F.lit(0), F.size(F.filter("_coarse", lambda e: e < t)) - 1) * step
+    at = F.when(F.col("_ends").isNull() | t.isNull(), F.lit(0)).otherwise(block + F.size(F.filter(F.slice("_ends", block + 1, F.lit(step)), lambda e: e < t)))
+    return both.join(ends, by, "left").withColumn("_slice", at).drop("_ends", "_coarse")
 
 
 def _carried(both: DataFrame, by: list[str]) -> DataFrame:

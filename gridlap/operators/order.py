@@ -3,115 +3,53 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil, floor
+from math import isfinite
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlap.operators import store
 
-#: Rank error of a sketch is 1 in ACCURACY; a bracket with up to MOST values is read out.
-ACCURACY, MOST, SLICES = 10_000, 10_000, 256
+#: Rank error of a sketch is 1 in ACCURACY; groups and brackets of up to MOST values are read out; points of a sketch.
+ACCURACY, MOST, SLICES, GRID = 10_000, 1 << 16, 256, 1000
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float], most: int = MOST, accuracy: int = ACCURACY) -> dict[str, list[float | None]]:
-    """For each column its quantiles by linear interpolation; nulls and NaN don't count, none at all gives None."""
+def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float], most: int = MOST, grid: int = GRID) -> dict[str, list[float | None]]:
+    """For each column its quantiles by linear interpolation; nulls and NaN don't count, none at all gives None.
+
+    The columns are groups of exact_quantiles_by, so a task's work is narrow however many they are. df is read in a few passes.
+    """
     columns = list(columns)
     if not columns:
         return {}
-    x = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in columns}
-    counts = dict(zip(columns, df.agg(*(F.count(v) for v in x.values())).first(), strict=True))
-    places = {(c, share): share * (counts[c] - 1) for c in columns for share in shares}
-    wanted = {(c, r) for (c, share), at in places.items() if counts[c] for r in (floor(at), ceil(at))}
-    found = _values_at(df, x, counts, wanted, most, accuracy)
-    between = lambda c, at: found[c, floor(at)] + (found[c, ceil(at)] - found[c, floor(at)]) * (at - floor(at))
-    return {c: [between(c, places[c, share]) if counts[c] else None for share in shares] for c in columns}
-
-
-def _values_at(df: DataFrame, x: dict[str, Column], counts: dict[str, int], wanted: set[tuple[str, int]], most: int, accuracy: int) -> dict[tuple[str, int], float]:
-    """The values at the wanted ranks (from 0) of the columns.
-
-    Each rank lies in an open interval, at first the whole line. A pass brackets it by a sketch of bounded size and
-    counts what lies below, on and between the bracket's ends: either the rank falls on an end, or its interval shrinks
-    to some 4 in `accuracy` of its values. Intervals with up to `most` values are read out in order.
-    """
-    found: dict[tuple[str, int], float] = {}
-    # low and high end, rows up to low, rows inside
-    within: dict[tuple[str, int], tuple[float | None, float | None, int, int]] = {k: (None, None, 0, counts[k[0]]) for k in wanted}
-
-    def inside(k: tuple[str, int]) -> Column:
-        low, high, _, _ = within[k]
-        v = x[k[0]]
-        return F.when((F.lit(True) if low is None else v > low) & (F.lit(True) if high is None else v < high), v)
-
-    while within:
-        few, many = ([k for k in sorted(within) if (within[k][3] <= most) == small] for small in (True, False))
-        if few:
-            row = df.agg(*(F.element_at(F.array_sort(F.collect_list(inside(k))), k[1] - within[k][2] + 1) for k in few)).first()
-            found |= dict(zip(few, row, strict=True))
-        if not many:
-            return found
-        share = lambda k, d: min(1.0, max(0.0, (k[1] - within[k][2]) / within[k][3] + d))
-        ends = df.agg(*(F.percentile_approx(inside(k), [share(k, -2 / accuracy), share(k, 2 / accuracy)], accuracy) for k in many)).first()
-        tests = [(k, inside(k), a, b) for k, (a, b) in zip(many, ends, strict=True)]
-        sums = df.agg(*(F.struct(*(F.count_if(c) for c in (v < a, v == a, (v > a) & (v < b), v == b))) for _, v, a, b in tests)).first()
-        for (k, _, a, b), (below, on_a, mid, on_b) in zip(tests, sums, strict=True):
-            low, high, upto, n = within.pop(k)
-            r = k[1] - upto
-            if r < below:
-                within[k] = low, a, upto, below
-            elif r < below + on_a:
-                found[k] = a
-            elif r < below + on_a + mid:
-                within[k] = a, b, upto + below + on_a, mid
-            elif r < below + on_a + mid + (on_b if b > a else 0):
-                found[k] = b
-            else:
-                gone = below + on_a + mid + (on_b if b > a else 0)
-                within[k] = b, high, upto + gone, n - gone
-        for k in few:
-            within.pop(k)
-    return found
-
-
-def mean_ranks(df: DataFrame, column: str, slices: int = SLICES) -> DataFrame:
-    """column, rank: the mean rank, from 1, of each distinct value that isn't null.
-
-    Values are dealt into slices of their order by approximate quantiles; a slice numbers its own distinct values and
-    goes on from the rows of the slices before it, of which there are at most `slices`.
-    """
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
-    ends = df.agg(F.percentile_approx(column, [i / slices for i in range(1, slices)], ACCURACY)).first()[0] or []
-    ends = sorted(set(ends))
-    slice_ = F.size(F.filter(F.array(*map(F.lit, ends)), lambda e: e < F.col(column))) if ends else F.lit(0)
-    sliced = counts.withColumn("_slice", slice_)
-    sums = sliced.groupBy("_slice").agg(F.sum("_n").alias("_rows"))
-    before = sums.select("_slice", F.coalesce(F.sum("_rows").over(Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # at most `slices` rows
-    upto = F.sum("_n").over(Window.partitionBy("_slice").orderBy(column))
-    placed = sliced.withColumn("_upto", upto).join(F.broadcast(before), "_slice")
-    return placed.select(column, (F.col("_before") + F.col("_upto") - (F.col("_n") - 1) / 2).alias("rank"))
+    cells = F.array(*(F.struct(F.lit(i).alias("c"), _number(c).alias("x")) for i, c in enumerate(columns)))
+    found = {r.c: r.x for r in exact_quantiles_by(df.select(F.inline(cells)), ["c"], ["x"], shares, most, grid, written=True).collect()}
+    return {c: list(found.get(i) or [None] * len(shares)) for i, c in enumerate(columns)}
 
 
-#: Points of a group's sketch.
-GRID = 1000
+def _number(c: str) -> Column:
+    """The column as double, null for NaN."""
+    return F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`").cast("double"))
 
 
-def exact_quantiles_by(df: DataFrame, by: Sequence[str], columns: Sequence[str], shares: Sequence[float], most: int = MOST, grid: int = GRID) -> DataFrame:
+def exact_quantiles_by(df: DataFrame, by: Sequence[str], columns: Sequence[str], shares: Sequence[float], most: int = MOST, grid: int = GRID, written: bool = False) -> DataFrame:
     """by, and for each column the array of its quantiles in the group by linear interpolation; null keys are a group, nulls and NaN don't
     count, and a group without values has null.
 
     Groups of up to `most` rows are one aggregate. For the larger ones, all at once, each rank is bracketed by a sketch of
     its group, rows below, on and between the bracket's ends are counted, and so on within it until it holds up to `most`
     values, which are then read out: no task holds more of a group than a sketch or `most` values. Each pass is over a table
-    of these columns that is written once to the shared folder; without larger groups there is one pass.
+    of these columns that is written once to the shared folder (or over df, if it is `written` already); without larger
+    groups there are two.
     """
     by, columns, shares = list(by), list(columns), list(shares)
     if not by:
-        found = exact_quantiles(df, columns, shares, most)
+        found = exact_quantiles(df if written else store.cut(df.select(*(f"`{c}`" for c in columns))), columns, shares, most, grid)
         return df.sparkSession.range(1).select(*(F.array(*(F.lit(v).cast("double") for v in found[c])).alias(c) if found[c][0] is not None else F.lit(None).cast("array<double>").alias(c) for c in columns))
     key = F.struct(*(F.col(f"`{b}`") for b in by)).alias("_k")  # as a struct, keys with nulls are equal
-    number = lambda c: F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`").cast("double"))
-    rows = store.cut(df.select(key, *(number(c).alias(f"_x{i}") for i, c in enumerate(columns))))
+    rows = df.select(key, *(_number(c).alias(f"_x{i}") for i, c in enumerate(columns)))
+    rows = rows if written else store.cut(rows)
     named = lambda f: f.select("_k.*", *(F.col(f"_x{i}").alias(c) for i, c in enumerate(columns)))
     exact = [F.percentile(f"_x{i}", F.array(*map(F.lit, shares))).alias(f"_x{i}") for i in range(len(columns))]
     large = store.cut(rows.groupBy("_k").agg(F.count("*").alias("_n"), *(F.count(f"_x{i}").alias(f"_n{i}") for i in range(len(columns)))).where(F.col("_n") > most))
@@ -131,31 +69,55 @@ def exact_quantiles_by(df: DataFrame, by: Sequence[str], columns: Sequence[str],
 
 
 def _values_by(tall: DataFrame, places: DataFrame, most: int, grid: int) -> DataFrame:
-    """_k, c, r, x: the values at the ranks below and above each place; tall has _k, c, x."""
-    state = ["_k", "c", "r", "low", "high", "upto", "n"]
-    ranks = places.select("_k", "c", "n", F.explode(F.array(F.floor("at"), F.ceil("at")).cast("array<bigint>")).alias("r")).distinct()
-    open_ = store.cut(ranks.select("_k", "c", "r", F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high"), F.lit(0).cast("long").alias("upto"), F.col("n").cast("long").alias("n")))
-    inside = lambda frame: tall.join(frame, ["_k", "c"]).where("(low is null or x > low) and (high is null or x < high)")
+    """_k, c, r, x: the values at the ranks below and above each place; tall has _k, c, x.
+
+    A rank lies in an open interval `iv` of values (low and high end, rows up to low, rows inside), at first the whole
+    line. Ranks of one interval share its sketch, ranks of one bracket its counts.
+    """
+    interval = lambda low, high, upto, n: F.struct(low.cast("double").alias("low"), high.cast("double").alias("high"), upto.cast("long").alias("upto"), n.cast("long").alias("n")).alias("iv")
+    ranks = places.select("_k", "c", interval(F.lit(None), F.lit(None), F.lit(0), F.col("n")), F.explode(F.array(F.floor("at"), F.ceil("at")).cast("array<bigint>")).alias("r")).distinct()
+    inside = lambda frame: tall.join(frame, ["_k", "c"]).where("(iv.low is null or x > iv.low) and (iv.high is null or x < iv.high)")
+    own, x = ["_k", "c", "iv"], F.col("x")
     found = []
     while True:
-        few, many = open_.where(F.col("n") <= most), open_.where(F.col("n") > most)
-        found.append(inside(few).groupBy(*state).agg(F.array_sort(F.collect_list("x")).alias("xs")).select("_k", "c", "r", F.element_at("xs", (F.col("r") - F.col("upto") + 1).cast("int")).alias("x")))
+        ranks = store.cut(ranks)
+        few, many = ranks.where(F.col("iv.n") <= most), ranks.where(F.col("iv.n") > most)
+        read = inside(few.select(*own).distinct()).groupBy(*own).agg(F.array_sort(F.collect_list("x")).alias("xs"))
+        found.append(few.join(read, own).select("_k", "c", "r", F.element_at("xs", (F.col("r") - F.col("iv.upto") + 1).cast("int")).alias("x")))
         if many.isEmpty():
             break
-        sketch = inside(many).groupBy(*state).agg(F.percentile_approx("x", [i / grid for i in range(grid + 1)], 10 * grid).alias("g"))
-        place = F.floor((F.col("r") - F.col("upto")) / F.col("n") * grid).cast("int")
-        ends = sketch.select(*state, F.element_at("g", F.greatest(F.lit(1), place)).alias("a"), F.element_at("g", F.least(F.lit(grid + 1), place + 3)).alias("b"))
-        x = F.col("x")
-        counted = inside(ends).groupBy(*state, "a", "b").agg(F.count_if(x < F.col("a")).alias("below"), F.count_if(x == F.col("a")).alias("on_a"), F.count_if((x > F.col("a")) & (x < F.col("b"))).alias("mid"), F.count_if((x == F.col("b")) & (F.col("b") > F.col("a"))).alias("on_b"))
-        counted = store.cut(counted.withColumn("p", F.col("r") - F.col("upto")))
-        to_a, to_mid, to_b = F.col("below") + F.col("on_a"), F.col("below") + F.col("on_a") + F.col("mid"), F.col("below") + F.col("on_a") + F.col("mid") + F.col("on_b")
-        p = F.col("p")
-        found.append(counted.where((p >= F.col("below")) & (p < to_a)).select("_k", "c", "r", F.col("a").alias("x")))
-        found.append(counted.where((p >= to_mid) & (p < to_b)).select("_k", "c", "r", F.col("b").alias("x")))
-        part = lambda where, low, high, gone, n: counted.where(where).select("_k", "c", "r", F.col(low).alias("low"), F.col(high).alias("high"), (F.col("upto") + gone).alias("upto"), n.alias("n"))
-        parts = [part(p < F.col("below"), "low", "a", F.lit(0), F.col("below")), part((p >= to_a) & (p < to_mid), "a", "b", to_a, F.col("mid")), part(p >= to_b, "b", "high", to_b, F.col("n") - to_b)]
-        open_ = store.cut(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+        sketch = inside(many.select(*own).distinct()).groupBy(*own).agg(F.percentile_approx("x", [i / grid for i in range(grid + 1)], 10 * grid).alias("g"))
+        place = F.floor((F.col("r") - F.col("iv.upto")) / F.col("iv.n") * grid).cast("int")
+        bracket = F.struct(F.element_at("g", F.greatest(F.lit(1), place)).alias("a"), F.element_at("g", F.least(F.lit(grid + 1), place + 3)).alias("b"))
+        met = store.cut(many.join(sketch, own).select(*own, "r", bracket.alias("t")))
+        a, b = F.col("t.a"), F.col("t.b")
+        counts = inside(met.select(*own, "t").distinct()).groupBy(*own, "t").agg(F.count_if(x < a).alias("below"), F.count_if(x <= a).alias("to_a"), F.count_if(x < b).alias("to_mid"), F.count_if(x <= b).alias("to_b"))
+        counted = store.cut(met.join(counts, [*own, "t"]).withColumn("p", F.col("r") - F.col("iv.upto")))
+        p, low, high, upto, n = F.col("p"), F.col("iv.low"), F.col("iv.high"), F.col("iv.upto"), F.col("iv.n")
+        on_a, on_b = (p >= F.col("below")) & (p < F.col("to_a")), (p >= F.greatest("to_mid", "to_a")) & (p < F.col("to_b"))
+        found.append(counted.where(on_a | on_b).select("_k", "c", "r", F.when(on_a, a).otherwise(b).alias("x")))
+        before, after = p < F.col("below"), p >= F.greatest("to_a", "to_b")
+        next_ = F.when(before, interval(low, a, upto, F.col("below"))).when(after, interval(b, high, upto + F.col("to_b"), n - F.col("to_b"))).otherwise(interval(a, b, upto + F.col("to_a"), F.col("to_mid") - F.col("to_a")))
+        ranks = counted.where(~(on_a | on_b)).select("_k", "c", next_.alias("iv"), "r")
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
     return out
+
+
+def mean_ranks(df: DataFrame, column: str, slices: int = SLICES) -> DataFrame:
+    """column, rank: the mean rank, from 1, of each distinct value that isn't null.
+
+    Values are dealt into slices of their order by approximate quantiles; a slice numbers its own distinct values and
+    goes on from the rows of the slices before it, of which there are at most `slices`.
+    """
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
+    ends = df.agg(F.percentile_approx(column, [i / slices for i in range(1, slices)], ACCURACY)).first()[0] or []
+    ends = sorted({e for e in map(float, ends) if isfinite(e)})
+    bins = Bucketizer(splits=[float("-inf"), *ends, float("inf")], inputCol="_x", outputCol="_slice", handleInvalid="keep")
+    sliced = bins.transform(counts.withColumn("_x", F.col(column).cast("double"))).drop("_x") if ends else counts.withColumn("_slice", F.lit(0.0))
+    sums = sliced.groupBy("_slice").agg(F.sum("_n").alias("_rows"))
+    before = sums.select("_slice", F.coalesce(F.sum("_rows").over(Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # at most `slices` rows
+    upto = F.sum("_n").over(Window.partitionBy("_slice").orderBy(column))
+    placed = sliced.withColumn("_upto", upto).join(F.broadcast(before), "_slice")
+    return placed.select(column, (F.col("_before") + F.col("_upto") - (F.col("_n") - 1) / 2).alias("rank"))
