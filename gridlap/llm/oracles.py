@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from gridlap.llm.collocations import COVERED, LEAST, TOP
 from gridlap.llm.quality_rules import RULES, STOP_WORDS, SYMBOLS
 from gridlap.llm.queries import SHARDS, URL_RULES
 
@@ -49,4 +50,33 @@ def _urls() -> str:
     SELECT page_id, host, path, b.rule AS rule, coalesce(r.verdict, 'allow') AS verdict FROM p LEFT JOIN best b USING (n) LEFT JOIN r ON r.rule = b.rule"""
 
 
-ORACLES = {"op1_sharding": _jump(SHARDS), "op3_quality_rules": _rules(), "op8_url_filter": _urls()}
+def _runs() -> str:
+    """Words that are equal at a distance, grouped into stretches; a stretch is a run if no shorter period has one over it."""
+    table = "list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END))"
+    return rf"""WITH t AS (SELECT {table} AS t), d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+    h AS (SELECT r, doc_id, w, len(w) AS n, CASE WHEN doc_id IS NOT NULL THEN xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), lambda a, x: xor(a // 256, t[xor(a % 256, x) + 1]))) END AS h FROM d, t),
+    a AS (SELECT *, h % 10 = 0 AND n > 0 AS planted, CASE WHEN n > 0 THEN (h // 10) % n END AS a, CASE WHEN n > 0 THEN 1 + (n - (h // 10) % n) // (3 + (h // 10) % 8) END AS p FROM h),
+    i AS (SELECT r, n, w, planted, a, p, unnest(range(n)) AS i FROM a), words AS (SELECT r, n, i, w[(CASE WHEN planted AND i >= a THEN a + (i - a) % p ELSE i END) + 1] AS x FROM i),
+    pairs AS (SELECT a.r, a.i, b.i - a.i AS q FROM words a JOIN words b ON a.r = b.r AND a.x = b.x AND b.i > a.i AND b.i <= a.i + a.n // 4),
+    islands AS (SELECT r, q, min(i) AS s, count(*) + q AS size FROM (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS g FROM pairs) GROUP BY r, q, g HAVING count(*) + q >= greatest(6, 4 * q)),
+    runs AS (SELECT * FROM islands x WHERE NOT EXISTS (SELECT 1 FROM islands y WHERE y.r = x.r AND y.q < x.q AND y.s <= x.s AND y.s + y.size >= x.s + x.size)),
+    best AS (SELECT r, count(*) AS n_runs, first(s ORDER BY size / q DESC, s, q) AS s, first(size ORDER BY size / q DESC, s, q) AS size, first(q ORDER BY size / q DESC, s, q) AS q, string_agg(concat(s, ',', size, ',', q, chr(10)), '' ORDER BY s, q) AS said FROM runs GROUP BY r),
+    gone AS (SELECT DISTINCT r, unnest(range(s + q, s + size)) AS i FROM runs), left_ AS (SELECT r, string_agg(x, ' ' ORDER BY i) AS kept FROM words ANTI JOIN gone USING (r, i) GROUP BY r)
+    SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, s::BIGINT AS start, size::BIGINT AS length, q::BIGINT AS period, (1000 * size // q)::BIGINT AS exponent_milli, sha256(coalesce(said, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256 FROM d LEFT JOIN best USING (r) LEFT JOIN left_ USING (r)"""
+
+
+def _collocations() -> str:
+    """Every n-gram of a piece is counted as it stands; parts of a phrase are as frequent as it is."""
+    return rf"""WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?
+-]')) AS piece FROM d)), every AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY 1),
+    i AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k),
+    f AS (SELECT lang, k, phrase, count(*) AS f FROM (SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase FROM i) GROUP BY ALL HAVING count(*) >= {LEAST}),
+    c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1), cuts AS (SELECT lang, phrase, k, a, w, unnest(range(1, k)) AS j FROM c),
+    scored AS (SELECT c.lang, c.phrase, c.a, l.f AS l, r.f AS r, j, (2000000::HUGEINT * c.a // (l.f + r.f))::BIGINT AS score FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(w[1 : j], ' ') JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(w[j + 1 : c.k], ' ')),
+    lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+    inside AS (SELECT lang, phrase, max(a) AS longer FROM (SELECT lang, a, array_to_string(w[i : i + m - 1], ' ') AS phrase FROM (SELECT lang, a, k, w, m, unnest(range(1, k - m + 2)) AS i FROM c, (SELECT unnest([2, 3]) AS m) WHERE m < k)) GROUP BY 1, 2)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM lowest LEFT JOIN inside USING (lang, phrase) JOIN every USING (lang) WHERE longer IS NULL OR 100::HUGEINT * longer < {COVERED}::HUGEINT * a QUALIFY rank <= {TOP}"""
+
+
+ORACLES = {"op1_sharding": _jump(SHARDS), "op3_quality_rules": _rules(), "op8_url_filter": _urls(), "op11_periodic_runs": _runs(), "op12_collocations": _collocations()}
