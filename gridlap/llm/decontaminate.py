@@ -1,8 +1,10 @@
 """Benchmark decontamination: every training passage queries a BM25 index of the test items.
 
-The inverted index holds, for each term, the items' shares of their own greatest BM25 score that the term brings, in
-blocks with their greatest share. A passage asks for all items of which it brings `THRESHOLD` or more; block-max WAND
-passes over items whose bounds can't reach it. What is retrieved is then verified. An item's answer is its last third,
+A passage's score for an item is the share of the item's own greatest BM25 score that the passage's terms bring. Each item has
+a threshold of its own, the least share that any text can have that verification would accept (see least_share), so
+retrieval loses nothing. The inverted index holds, for each term, its shares in units of the items' thresholds, in
+blocks with their greatest one; a passage asks for all items of which it brings 1 or more, and block-max WAND passes
+over items whose bounds can't reach it. What is retrieved is then verified. An item's answer is its last third,
 at least five words where it has ten; an item with fewer than ten words is question and answer at once. Two measures
 count: the share of five-word shingles that are in the passage, and the share of words that lie in common runs of
 `RUN` words or more, which edits of single words leave high. An item is found if by either measure `OVERLAP` of the
@@ -12,7 +14,7 @@ Passages are windows of a text's words; neighbours overlap by the longest item,
 whole in one of them. Words are compared in lower case without ASCII punctuation.
 
 Counts over the test items are Spark aggregates. The items come to the driver in slices of about `SLICE_BYTES` of
-text, each made into an index of its own for a pass over all texts; a test set of usual size is one slice.
+text, each made into an index of its own for a pass over all texts; most test sets are one slice.
 
 Defined cases: null and empty texts and items match nothing; equal items are each found; a text given twice gives
 its rows twice; rows with a null item_id or doc_id keep the null. Empty tables give empty results. Only doc_id,
@@ -33,8 +35,11 @@ from pyspark.sql import functions as F
 
 from gridlap.llm.common import arrow_schema, cut, share
 
-K1, B, THRESHOLD, OVERLAP, ALONE, SHINGLE, RUN, BLOCK, COMMON = 1.2, 0.75, 0.5, 0.8, 0.95, 5, 3, 8, 0.6
-SLICE_BYTES, LEAST_PASSAGE = 1 << 26, 64
+K1, B, OVERLAP, ALONE, SHINGLE, RUN, BLOCK, COMMON = 1.2, 0.75, 0.8, 0.95, 5, 3, 8, 0.6
+#: In units of an item's own threshold, less what sums of floats may lose.
+THRESHOLD = 1 - 1e-9
+#: Text of a slice: its index takes some fifty times as much memory. Items whose shingles a task keeps at hand.
+SLICE_BYTES, LEAST_PASSAGE, KEPT = 1 << 21, 64, 1024
 _PLAIN = bytes(32 if chr(b) in string.punctuation else b for b in range(256))
 
 def terms(text: str | None) -> list[bytes]:
@@ -52,12 +57,21 @@ def border(words: list[bytes]) -> int:
 
 
 class Item:
-    def __init__(self, words: list[bytes]) -> None:
-        self.words, self.border = words, border(words)
-        question, answer = (words[: self.border], words[self.border :]) if self.border else (words, words)
-        self.parts = [shingles(words), shingles(question), shingles(answer)]
+    """An item's words; its shingles are made when it is looked at."""
 
-    def overlaps(self, found: set, runs: set) -> tuple[float, ...]:
+    __slots__ = ("border", "threshold", "words")
+
+    def __init__(self, words: list[bytes], threshold: float = 1.0) -> None:
+        self.words, self.border, self.threshold = words, border(words), threshold
+
+    def sides(self) -> tuple[list[bytes], list[bytes]]:
+        """Question and answer."""
+        return (self.words[: self.border], self.words[self.border :]) if self.border else (self.words, self.words)
+
+    def parts(self) -> list[set[tuple[bytes, ...]]]:
+        return [shingles(self.words), *map(shingles, self.sides())]
+
+    def overlaps(self, parts: list[set], found: set, runs: set) -> tuple[float, ...]:
         """Of the whole, the question and the answer: the shares of shingles found, and of words in common runs."""
         n, size = len(self.words), min(RUN, len(self.words))
         covered = [False] * n
@@ -65,7 +79,42 @@ class Item:
             if tuple(self.words[i : i + size]) in runs:
                 covered[i : i + size] = [True] * size
         spans = [covered, covered[: self.border] or covered, covered[self.border :]]
-        return (*(len(x & found) / len(x) for x in self.parts), *(sum(x) / len(x) for x in spans))
+        return (*(len(x & found) / len(x) for x in parts), *(sum(x) / len(x) for x in spans))
+
+
+def _most_lost(shares: dict[bytes, float], costs: Counter, most: float) -> float:
+    """The greatest share that terms can have whose costs sum up to `most` or less, if terms could be split: none can have more."""
+    lost = 0.0
+    for t, cost in sorted(costs.items(), key=lambda x: (-shares[x[0]] / x[1], x[0])):
+        take = min(1.0, most / cost)
+        lost += take * shares[t]
+        most -= take * cost
+        if most <= 0:
+            break
+    return lost
+
+
+def least_share(item: Item, shares: dict[bytes, float]) -> float:
+    """A lower bound of the share of the item's weight in any passage that `verified` accepts.
+
+    A term that isn't in the passage takes all its places from the covered words, and all shingles with it from the
+    found ones, of which each has SHINGLE terms at most. So what can be missing at an overlap of `least` is bounded
+    for either measure; of question and answer each loses its own, and beside a question alone all other terms may be missing.
+    """
+
+    def lost(words: list[bytes], least: float, shingled: bool = True) -> float:
+        # how many may be missing, with room for the rounding of the shares compared
+        by_words = _most_lost(shares, Counter(words), (1 - least) * len(words) + 1e-9) if len(words) >= RUN else 0.0
+        if not shingled or len(words) < SHINGLE:
+            return by_words
+        every = shingles(words)
+        held = Counter(t for s in every for t in set(s))
+        return max(by_words, _most_lost(shares, held, SHINGLE * ((1 - least) * len(every) + 1e-9)))
+
+    question, answer = item.sides()
+    beside = sum(x for t, x in shares.items() if t not in set(question))
+    losses = [lost(item.words, OVERLAP), lost(question, OVERLAP) + lost(answer, OVERLAP) if item.border else 0.0, beside + lost(question, ALONE, False)]
+    return max(0.0, 1 - max(losses))
 
 
 def verified(whole: float, question: float, answer: float, whole_words: float, question_words: float, answer_words: float) -> bool:
@@ -74,7 +123,7 @@ def verified(whole: float, question: float, answer: float, whole_words: float, q
 
 class Index:
     """Items in blocks of `BLOCK` consecutive numbers. blocks: for each term its blocks with its greatest share in each;
-    postings: for each block and term the items in order with their shares.
+    postings: for each block and term the items in order with their shares, in units of their thresholds.
 
     The most frequent terms are held apart, as many as together bring no item more than `COMMON` of the threshold:
     no item is reached by these alone, so they need no cursor, only a block's joint bound and a look at an item's shares.
@@ -82,6 +131,7 @@ class Index:
 
     def __init__(self, rows: list[tuple[bytes, int, float]], items: dict[int, Item], width: int) -> None:
         self.items, self.stride = items, max(LEAST_PASSAGE, width)
+        self.parts: dict[int, list[set]] = {}
         self.width = self.stride + width
         block = {item: i // BLOCK for i, item in enumerate(sorted(items))}
         shares: dict[bytes, dict[int, float]] = {}
@@ -166,9 +216,14 @@ class Index:
             found = None
             for item, score in self.retrieve(set(words[start:end])):
                 found = found or (shingles(words[start:end]), shingles(words[start:end], RUN))
-                overlaps = self.items[item].overlaps(*found)
+                own = self.items[item]
+                if item not in self.parts:
+                    if len(self.parts) >= KEPT:
+                        self.parts.clear()
+                    self.parts[item] = own.parts()
+                overlaps = own.overlaps(self.parts[item], *found)
                 if verified(*overlaps) and (item not in best or (overlaps, -number) > (best[item][3], -best[item][1])):
-                    best[item] = item, number, score, overlaps
+                    best[item] = item, number, score * own.threshold, overlaps
         return list(best.values())
 
 
@@ -185,8 +240,11 @@ def build(items: list[tuple[int, str]], often: dict[bytes, int] | None = None, c
     for number, words in held:
         brought = {t: math.log(1 + (count - often[t] + 0.5) / (often[t] + 0.5)) * n * (K1 + 1) / (n + K1 * (1 - B + B * len(words) / mean)) for t, n in Counter(words).items()}
         total = sum(brought.values())
-        own[number] = Item(words)
-        rows += [(t, number, x / total) for t, x in brought.items()]
+        shares = {t: x / total for t, x in brought.items()}
+        item = own[number] = Item(words)
+        # every accepted passage has some term of the item, so the least term's share is a bound as well
+        item.threshold = max(least_share(item, shares), min(shares.values()))
+        rows += [(t, number, x / item.threshold) for t, x in shares.items()]
     return Index(rows, own, width)
 
 

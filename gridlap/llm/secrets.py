@@ -33,8 +33,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 LONG = re.compile(r"[A-Za-z0-9+/=_-]{20,}")
 ACCOUNT = re.compile(r"""(?ai:user(?:name)?|login|account|client_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}""")
-ENDPOINT = re.compile(r"""[a-z][a-z0-9+]*://[^\s"'<>]+""")
-SCOPE = re.compile(r"\n[ \t]*\n")
+#: The scheme (group 1) begins at a border of its letters and gives none back, so a long run of letters is read once.
+ENDPOINT = re.compile(r"""(?<![a-z0-9+])[0-9+]*+([a-z][a-z0-9+]*+://[^\s"'<>]+)""")
+#: A blank line, after a line end of either kind.
+SCOPE = re.compile(r"\n[ \t\r]*\n")
 
 Span = tuple[str, int, int]
 
@@ -76,7 +78,7 @@ def linked_spans(text: str, base: list[Span]) -> list[Span]:
     accounts = [("account", *m.span()) for m in ACCOUNT.finditer(text)] if ":" in text or "=" in text else []
     if not base and not accounts:
         return []
-    endpoints = [("endpoint", *m.span()) for m in ENDPOINT.finditer(text)] if "://" in text else []
+    endpoints = [("endpoint", *m.span(1)) for m in ENDPOINT.finditer(text)] if "://" in text else []
     strong = _Cover(base)
     accounts = [x for x in accounts if strong.free(x[1], x[2])]
     taken = _Cover([*base, *endpoints, *accounts])
