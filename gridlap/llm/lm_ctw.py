@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from gridlap.llm.common import arrow_schema, cut, share, utf8
 
-DEPTH, GRAM_SHARE, WORD_SHARE = 5, 1 << 23, 1 << 20
+DEPTH, GRAM_SHARE, WORD_SHARE = 5, 1 << 22, 1 << 20
 #: Words, and grams, that a task counts before it hands counts on; bytes, and rows of the tree, that it holds at once.
 FLUSH_WORDS, FLUSH_GRAMS, PIECE, ROWS_AT_ONCE = 400_000, 4_000_000, 1 << 22, 400_000
 END, BEFORE, GRAM_BITS = b"", b"\n" * DEPTH, 8 * (DEPTH + 1)
@@ -281,12 +281,12 @@ def gram_scores(counts: DataFrame) -> DataFrame:
 
 
 class Lookup:
-    """A hash table of gram numbers and their values, for whole arrays at once."""
+    """A hash table of gram numbers and their values, for whole arrays at once; at most half full, 16 bytes a slot."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
-        self.shift = np.uint64(64 - max(4, int(4 * len(keys)).bit_length()))
+        self.shift = np.uint64(64 - max(4, int(2 * len(keys) - 1).bit_length() if len(keys) else 0))
         self.last = (1 << 64 - int(self.shift)) - 1
-        self.keys, self.values = np.full(self.last + 1, -1, dtype=np.int64), np.zeros(self.last + 1, dtype=np.float32)
+        self.keys, self.values = np.full(self.last + 1, -1, dtype=np.int64), np.zeros(self.last + 1)
         left, at = np.arange(len(keys)), self._slot(keys)
         while len(left):
             empty = self.keys[at] < 0
