@@ -9,6 +9,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_CUT = "cut-"
+_made: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; one of our own only in local mode, where there is one machine."""
     key = "spark.checkpoint.dir"
@@ -22,7 +26,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df as written to the shared folder."""
-    path = f"{shared_dir(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    """df as written to the shared folder; the copy goes when the driver ends, or with clear()."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{_CUT}{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    _made.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove what cut() has written in this driver: once no result that stands on it is to be read any more."""
+    while _made:
+        place = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -79,3 +79,12 @@ def test_first_row_in_order_of_arrival(spark):
 def test_tables_are_written_to_the_shared_folder(spark):
     cut = store.cut(spark.range(5))
     assert store.shared_dir(spark).removeprefix("file://") in cut.inputFiles()[0] and cut.count() == 5
+
+
+def test_copies_are_removed_at_the_end(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store, "_made", [])
+    monkeypatch.setattr(store, "shared_dir", lambda _: f"file://{tmp_path}")
+    store.cut(spark.range(3))
+    assert list(tmp_path.glob("cut-*"))
+    store.clear(spark)
+    assert not list(tmp_path.glob("cut-*")) and not store._made
