@@ -70,17 +70,17 @@ def clean_starting_grid(df: DataFrame) -> DataFrame:
 def impute(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = KEYS, scope: Sequence[str] = ("session_key",)) -> DataFrame:
     """A null becomes its group's median, else the scope's, else stays. An empty scope means the whole table.
 
-    Group medians come from one aggregate per grain, joined back; the whole table's are found in passes over it.
+    df is written once to the shared folder; medians of groups and of the whole are found from there, however large a group is.
     """
     found = rows.present(df, columns)
     if not found:
         return df
-    if not scope:
-        df = store.cut(df)
+    df = store.cut(df)
     for i, by in enumerate((list(keys), list(scope))):
         names = {c: f"_m{i}_{c}" for c in found}
         if by:
-            df = df.join(df.groupBy(*by).agg(*(F.median(c).alias(m) for c, m in names.items())), by, "left")
+            medians = order.exact_quantiles_by(df, by, found, [0.5], written=True)
+            df = df.join(medians.select(*by, *(F.col(c)[0].alias(m) for c, m in names.items())), by, "left")
         else:
             df = df.withColumns({names[c]: F.lit(m).cast("double") for c, (m,) in order.exact_quantiles(df, found, (0.5,)).items()})
     return df.withColumns({c: F.coalesce(c, f"_m0_{c}", f"_m1_{c}") for c in found}).drop(*(f"_m{i}_{c}" for i in (0, 1) for c in found))

@@ -32,12 +32,13 @@ def pace_by_age(tyre: DataFrame, width: int = 2, top: int = 60) -> DataFrame:
     return medians.withColumn("change", F.col("median_lap") / F.lag("median_lap").over(Window.partitionBy("compound").orderBy("bin")) - 1)
 
 
-def learn_cliffs(laps: DataFrame, stints: DataFrame, least_laps: int = 50, least_bins: int = 5, rise: float = 0.01) -> DataFrame:
+def learn_cliffs(laps: DataFrame, stints: DataFrame, least_laps: int = 50, least_bins: int = 5, rise: float = 0.01, tyre: DataFrame | None = None) -> DataFrame:
     """compound, cliff: the first age bin whose pace rises by more than 1 %, blended 60:40 with the default, at least 5.
 
     Compounds with too few laps or bins, or without such a rise, keep the default; 0.6 and 0.4 are taken as written.
+    tyre: what tyre_laps gives, where it is there already.
     """
-    tyre = tyre_laps(laps, stints).where("lap_duration is not null and compound is not null")
+    tyre = (tyre_laps(laps, stints) if tyre is None else tyre).where("lap_duration is not null and compound is not null")
     enough = tyre.groupBy("compound").agg(F.count("*").alias("n")).where(F.col("n") >= least_laps).select("compound")
     pace = pace_by_age(tyre)
     found = pace.groupBy("compound").agg(F.count("*").alias("bins"), F.min(F.when(F.col("change") > rise, F.col("bin"))).alias("learned")).where(F.col("bins") >= least_bins).join(enough, "compound")
@@ -47,12 +48,12 @@ def learn_cliffs(laps: DataFrame, stints: DataFrame, least_laps: int = 50, least
     return both.select("compound", F.when(F.col("learned").isNotNull(), blend).otherwise(F.col("domain")).cast("long").alias("cliff"))
 
 
-def stint_features(laps: DataFrame, stints: DataFrame, cliffs: DataFrame) -> DataFrame:
+def stint_features(laps: DataFrame, stints: DataFrame, cliffs: DataFrame, tyre: DataFrame | None = None) -> DataFrame:
     """Each lap's first known value of every column of its covering stints, its tyre age, and the laps until the compound's cliff.
 
-    cliffs has a row a compound, a handful at most.
+    cliffs has a row a compound, a handful at most. tyre: what tyre_laps gives, where it is there already.
     """
-    covered = tyre_laps(laps, stints).drop("tyre_age")
+    covered = (tyre_laps(laps, stints) if tyre is None else tyre).drop("tyre_age")
     whole = Window.partitionBy(*LAP).orderBy("stint_number").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     own = ("compound", "lap_start", "lap_end", "tyre_age_at_start")
     tyre = rows.first_per_key(covered.withColumns({c: F.first(c, ignorenulls=True).over(whole) for c in own}), LAP, ["stint_number"])
@@ -116,7 +117,8 @@ def lap_master(laps: DataFrame, sessions: DataFrame, drivers: DataFrame, stints:
     """The lap table: look-ups, stints, rolling, weather, position, targets, lagged telemetry, winsorized, one row a lap."""
     df = joins.look_up(laps, sessions.select("session_key", *rows.present(sessions, SESSION_META)), ["session_key"])
     df = joins.look_up(df, drivers.select(*KEYS, *rows.present(drivers, ("full_name", "name_acronym", "team_name"))), KEYS)
-    df = stint_features(df, stints, learn_cliffs(laps, stints))
+    tyre = store.cut(tyre_laps(df, stints))  # learned from, and built on
+    df = stint_features(df, stints, learn_cliffs(laps, stints, tyre=tyre), tyre)
     df = position_features(weather_features(rolling_features(df), weather), position)
     df = targets(df, results)
     if car_data is not None:

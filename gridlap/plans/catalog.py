@@ -16,6 +16,7 @@ from gridlap.operators import aggregates, cleaning, features, joins, quality, ro
 from gridlap.plans.views import Tables, sql
 from gridlap.sources import endpoints, files, folder
 from gridlap.streaming import resample
+from gridlap.streaming.ingest import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -199,6 +200,95 @@ def _s1(t: Tables) -> DataFrame:
     return endpoints.scan(t.spark, _halves(t), "laps", folder.schema("laps")).rows.drop(*rows.META)
 
 
+def _put_lines(df: DataFrame, header: str, path: str) -> None:
+    """The column `line` as the lines of CSV files with that header, whatever their fields are: no separator that a line has is one for the writer."""
+    df.select(F.col("line").alias(header)).write.option("header", True).option("sep", "\x01").option("quote", "").option("escapeQuotes", False).csv(path)
+
+
+def _text_of(*columns: str) -> F.Column:
+    return F.concat_ws(",", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns))
+
+
+@query("unreadable_laps", ("laps",), """SELECT problem, count(*) AS n, count(DISTINCT detail) AS details FROM (
+      SELECT CASE WHEN lap_number % 9 = 0 THEN 'bad row' ELSE 'bad value' END AS problem, CASE WHEN lap_number % 9 = 0 THEN concat(session_key, ',', driver_number, ',', lap_number, ',', 1, ',', 2) ELSE concat('lap_duration=x', lap_number % 3) END AS detail FROM laps WHERE lap_number % 9 = 0 OR lap_number % 5 = 0) x GROUP BY 1
+    UNION ALL SELECT 'good row', count(*), count(lap_number) FROM laps WHERE lap_number % 9 <> 0""")
+def _s6(t: Tables) -> DataFrame:
+    """Lines with a field too many and values that are no numbers are told, the others read."""
+    root, n = f"{store.shared_dir(t.spark)}/raw-{uuid.uuid4().hex}", F.col("lap_number")
+    line = F.when(n % 9 == 0, F.concat(_text_of("session_key", "driver_number", "lap_number"), F.lit(",1,2"))).when(n % 5 == 0, F.concat(_text_of("session_key", "driver_number", "lap_number"), F.lit(",x"), (n % 3).cast("string"))).otherwise(_text_of("session_key", "driver_number", "lap_number", "lap_duration"))
+    _put_lines(t.laps.withColumn("line", line), "session_key,driver_number,lap_number,lap_duration", f"{root}/laps/2024/1.csv")
+    read = endpoints.scan(t.spark, root, "laps", folder.schema("laps"))
+    told = read.problems.groupBy("problem").agg(F.count("*").alias("n"), F.count_distinct("detail").alias("details"))
+    return told.unionByName(read.rows.agg(F.count("*").alias("n"), F.count("lap_number").alias("details")).select(F.lit("good row").alias("problem"), "n", "details"))
+
+
+@query("flat_and_absent_files", ("laps", "stints"), "SELECT 'laps' AS endpoint, count(*) AS n, sum(lap_number)::BIGINT AS laps FROM laps UNION ALL SELECT 'stints', count(*), sum(lap_start)::BIGINT FROM stints UNION ALL SELECT 'absent', 0, NULL")
+def _s3(t: Tables) -> DataFrame:
+    """A folder with a flat file of earlier days beside it, a flat file alone, and an endpoint without any file."""
+    root = f"{store.shared_dir(t.spark)}/raw-{uuid.uuid4().hex}"
+    _put(t.laps.where("driver_number % 2 = 0"), f"{root}/laps/2024/1.csv")
+    _put(t.laps.where("driver_number % 2 = 1").drop("i1_speed"), f"{root}/laps.csv", ["lap_number", "session_key", "driver_number"])
+    files.write_table(t.stints, f"{root}/stints.parquet")
+    out = None
+    for name, schema, value in (("laps", "laps", "lap_number"), ("stints", "stints", "lap_start"), ("absent", "laps", "lap_number")):
+        read = files.read_endpoint(t.spark, root, name, folder.schema(schema), legacy=[f"{root}/{name}.csv", f"{root}/{name}.parquet"])
+        one = read.agg(F.coalesce(F.max("_source_endpoint"), F.lit(name)).alias("endpoint"), F.count("*").alias("n"), F.sum(value).alias("laps"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("laps_from_records", ("laps",), "SELECT session_key, driver_number, lap_number, round(lap_duration, 6) AS lap_duration, is_pit_out_lap FROM laps")
+def _s8(t: Tables) -> DataFrame:
+    path = f"{store.shared_dir(t.spark)}/records-{uuid.uuid4().hex}"
+    files.write_table(t.laps, path, "json")
+    return endpoints.read_records(t.spark, path, t.laps.select(*L, "lap_duration", "is_pit_out_lap").schema).rows.drop(*rows.META)
+
+
+@query("sessions_taken_once", ("laps",), "SELECT session_key, count(*) AS n, round(sum(lap_duration), 6) AS total FROM laps GROUP BY 1")
+def _s9(t: Tables) -> DataFrame:
+    """Files of some sessions are taken, then those of all, among them the first ones again under another name."""
+    root = f"{store.shared_dir(t.spark)}/raw-{uuid.uuid4().hex}"
+    early = t.laps.where("session_key < 4")
+    for which, kind in ((early, "csv"), (t.laps, "parquet")):
+        files.write_sessions(which.withColumns({"year": F.lit(2024), "date_start": F.col("date_start").cast("string")}), f"{root}/laps", kind)
+        ingest(t.spark, f"{root}/laps", folder.schema("laps"), f"{root}-table", f"{root}-checkpoint").awaitTermination()
+    return t.spark.read.parquet(f"{root}-table").groupBy("session_key").agg(F.count("*").alias("n"), F.sum("lap_duration").alias("total"))
+
+
+@query("chosen_sessions", ("sessions",), "SELECT session_key, year, session_type FROM sessions WHERE session_type = 'Race' QUALIFY row_number() OVER (PARTITION BY year ORDER BY circuit_key, session_key) <= 3")
+def _s10(t: Tables) -> DataFrame:
+    named = t.sessions.withColumns({"session_name": F.col("session_type"), "date_start": F.col("circuit_key")})
+    return files.select_sessions(named, ["Race"], 3).select("session_key", "year", "session_type")
+
+
+@query("sinks_read_back", ("laps",), """SELECT unnest(['csv', 'parquet', 'partitioned']) AS sink, count(*) AS n, round(sum(lap_duration), 6) AS total, count(i1_speed) AS speeds FROM laps
+    UNION ALL SELECT 'rewritten', count(*), round(sum(CASE WHEN session_key = 3 THEN 1 ELSE lap_duration END), 6), count(i1_speed) FROM laps WHERE session_key <> 3 OR lap_number <= 2""")
+def _s13(t: Tables) -> DataFrame:
+    """Both sinks of a table, and a table by session of which one session is written anew."""
+    path = f"{store.shared_dir(t.spark)}/sinks-{uuid.uuid4().hex}"
+    own = t.laps.select(*L, "lap_duration", "i1_speed")
+    both = files.write_both(own, f"{path}/laps")
+    files.write_table(own, f"{path}/by", partition_by=["session_key"])
+    files.write_table(own, f"{path}/again", partition_by=["session_key"])
+    files.rewrite_partitions(own.where("session_key = 3 and lap_number <= 2").withColumn("lap_duration", F.lit(1.0)), f"{path}/again", ["session_key"])
+    read = {"csv": t.spark.read.schema(own.schema).option("header", True).csv(f"{path}/laps.csv"), "parquet": both, "partitioned": t.spark.read.parquet(f"{path}/by"), "rewritten": t.spark.read.parquet(f"{path}/again")}
+    return rows.union_by_name([df.agg(F.count("*").alias("n"), F.sum("lap_duration").alias("total"), F.count("i1_speed").alias("speeds")).select(F.lit(k).alias("sink"), "*") for k, df in read.items()])
+
+
+@query("sampled_laps", ("laps",), "SELECT least(count(*), 500) AS n, least(count(*), 500) AS of_laps, least(count(*), 500) AS again FROM laps")
+def _p19(t: Tables) -> DataFrame:
+    """A sample has that many rows, all of the table, and is the same one however the table is dealt."""
+    one = rows.stable_sample(t.laps.select(*L), 500, L)
+    other = rows.stable_sample(t.laps.select(*L).repartition(7), 500, L)
+    return one.join(t.laps.select(*L).withColumn("here", F.lit(1)), L, "left").join(other.withColumn("too", F.lit(1)), L, "left").agg(F.count("*").alias("n"), F.count("here").alias("of_laps"), F.count("too").alias("again"))
+
+
+@query("required_columns", ("weather",), """SELECT 'weather' AS file, 'error' AS severity, 'required_columns' AS "check", 'Missing required columns: [''session_key'']' AS message FROM weather HAVING count(*) > 0
+    UNION ALL SELECT 'weather', 'warning', 'missing_values', printf('Column humidity has %d nulls (%.1f%%)', count(*) FILTER (rainfall = 1), 100.0 * count(*) FILTER (rainfall = 1) / count(*)) FROM weather""")
+def _q1(t: Tables) -> DataFrame:
+    return quality.validate({"weather": t.weather.select(F.when(F.col("rainfall") < 1, F.col("humidity")).alias("humidity"), "rainfall")})
+
+
 # Joins ---------------------------------------------------------------------------------------------------------------
 
 

@@ -153,7 +153,7 @@ def scan(spark: SparkSession, root: str, endpoint: str, schema: StructType, kind
     rows than its footer says. A CSV row with too many or too few fields is left out and is one problem; a value that doesn't
     read as its type becomes null and is one problem.
     """
-    listed = [*((list_files(spark, f"{root}/{endpoint}", k), k) for k in kinds), *(([p], p.rpartition(".")[2]) for p in legacy if exists(spark, p))]
+    listed = [*((list_files(spark, f"{root}/{endpoint}", k), k) for k in kinds), *((list_files(spark, p, kind), kind) for p in legacy for kind in [p.rpartition(".")[2]])]
     return scan_files(spark, listed, endpoint, schema, missing)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 import warnings
 from collections.abc import Sequence
 
@@ -57,6 +59,22 @@ def rewrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*by).parquet(path)
 
 
+def write_sessions(df: DataFrame, path: str, kind: str = "csv") -> None:
+    """A file for each year and session, <path>/<year>/<session_key>.<kind>, as raw files come; the file of a session that is there already is replaced."""
+    spark, staged = df.sparkSession, f"{path}.staged-{uuid.uuid4().hex}"
+    dealt = df.withColumns({"_year": F.col("year"), "_session": F.col("session_key")}).repartition("year", "session_key")
+    write_table(dealt, staged, kind, ["_year", "_session"])
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in fs.globStatus(hadoop.Path(f"{staged}/_year=*/_session=*/part-*")):
+        year, session = re.search(r"_year=([^/]+)/_session=([^/]+)/", found.getPath().toString()).groups()
+        place = hadoop.Path(f"{path}/{year}/{session}.{kind}")
+        fs.mkdirs(place.getParent())
+        fs.delete(place, False)
+        fs.rename(found.getPath(), place)
+    fs.delete(hadoop.Path(staged), True)
+
+
 def write_both(df: DataFrame, path: str) -> DataFrame:
     """As Parquet, and from that as CSV, so that the table is computed once; gives the table as written. If Parquet can't
     be written there is a warning, and CSV is written from df."""
