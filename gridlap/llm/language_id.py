@@ -5,8 +5,9 @@ for itself; the sizes of all blocks count. Texts are lower-cased and ASCII chara
 Equal sizes go to the language with more training texts, then to the first in order. A text is rejected if the next
 language's size is less than `MARGIN` more; the score is 1 / sum of 2^-(size - smallest) over the languages, in bytes.
 
-Bound: a dictionary comes from at most about `ROWS` texts a language, those with the smallest hashes, of which the
-pieces with the smallest hashes fill `DICTIONARY` bytes. Only dictionaries come to the driver, one a language.
+Bound: a dictionary comes from about `ROWS` texts a language (all, if there are fewer), a share chosen by a hash of the
+text, of which the pieces with the smallest hashes fill `DICTIONARY` bytes. Only dictionaries and the languages' counts
+come to the driver; of a language only the pieces of its sample meet in one task.
 
 Defined cases: null texts and texts without a letter are `und`, rejected, with score 0; null languages and texts
 without a letter teach nothing; without any language every text is `und`; very long texts are compressed whole, block
@@ -57,10 +58,12 @@ class Model:
 
 def fit(train: DataFrame, rows: int = ROWS, size: int = DICTIONARY) -> Model:
     """Dictionaries from the columns text and lang."""
-    known = train.where("lang is not null and text is not null").select("text", "lang", F.xxhash64("lang", "text").alias("h"))
-    ranked = known.select("lang", "h").withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("n") <= rows)
-    ends = ranked.groupBy("lang").agg(F.max("h").alias("end"))  # one row a language
-    chosen = known.join(ends, "lang").where("h <= end").select("lang", "text")
+    known = train.where("lang is not null and text is not null").select("text", "lang")
+    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
+    if not counts:
+        return Model({})
+    ends = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, rows / n) * (1 << 32))))
+    chosen = known.where(F.pmod(F.xxhash64("lang", "text"), F.lit(1 << 32)) < ends[F.col("lang")]).select("lang", "text")
 
     def make():
         def one(batch: pa.RecordBatch) -> dict:
@@ -82,9 +85,8 @@ def fit(train: DataFrame, rows: int = ROWS, size: int = DICTIONARY) -> Model:
     pieces = map_batches(chosen, make, "lang string, piece string").distinct()
     before = F.sum(F.octet_length("piece")).over(Window.partitionBy("lang").orderBy(F.xxhash64("piece"), "piece").rowsBetween(Window.unboundedPreceding, -1))
     picked = pieces.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < size).groupBy("lang").agg(F.array_join(F.array_sort(F.collect_list("piece")), " ").alias("data"))
-    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
-    found = picked.join(counts, "lang").orderBy(F.desc("n"), "lang").select("lang", "data").collect()
-    return Model({r.lang: r.data.encode()[: 2 * size] for r in found})
+    found = {r.lang: r.data.encode()[: 2 * size] for r in picked.collect()}
+    return Model({lang: found[lang] for lang in sorted(found, key=lambda x: (-counts[x], x))})
 
 
 def classify(docs: DataFrame, model: Model, text: str = "text", margin: float = MARGIN) -> DataFrame:
