@@ -88,3 +88,8 @@ def test_copies_are_removed_at_the_end(spark, tmp_path, monkeypatch):
     assert list(tmp_path.glob("cut-*"))
     store.clear(spark)
     assert not list(tmp_path.glob("cut-*")) and not store._made
+
+
+def test_first_row_of_tables_with_maps(spark):
+    df = spark.createDataFrame([(1, {"b": 2}), (1, {"a": 1}), (2, None)], "k int, m map<string, int>")
+    assert sorted((r.k, r.m) for r in rows.first_come(df, ["k"]).collect()) == [(1, {"a": 1}), (2, None)]
