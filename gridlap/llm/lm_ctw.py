@@ -38,7 +38,7 @@ from gridlap.llm.common import arrow_schema, cut, share, utf8
 
 DEPTH, GRAM_SHARE, WORD_SHARE = 5, 1 << 22, 1 << 20
 #: Words, and grams, that a task counts before it hands counts on; bytes, and rows of the tree, that it holds at once.
-FLUSH_WORDS, FLUSH_GRAMS, PIECE, ROWS_AT_ONCE = 400_000, 4_000_000, 1 << 22, 400_000
+FLUSH_WORDS, FLUSH_GRAMS, PIECE, ROWS_AT_ONCE = 400_000, 2_000_000, 1 << 21, 400_000
 END, BEFORE, GRAM_BITS = b"", b"\n" * DEPTH, 8 * (DEPTH + 1)
 
 
