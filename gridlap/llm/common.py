@@ -55,6 +55,26 @@ def share(spark: SparkSession, value) -> Callable[[], object]:
     return lambda: pickle.loads(shared.value)
 
 
+#: A key with at least 1 in HOT of all rows is hot, so there are at most HOT of them; nor is one with fewer rows than LEAST_HOT.
+HOT, LEAST_HOT = 1024, 256
+
+
+def hot_from(rows: int) -> int:
+    """The number of rows from which a key of a table with so many rows is hot."""
+    return max(LEAST_HOT, -(-rows // HOT))
+
+
+def look_up(rows: DataFrame, of: DataFrame, on: str, n: str, least: int) -> DataFrame:
+    """rows with the further columns of `of`, which has one row for a key and in n the number of the key's rows (or more).
+
+    A key's rows meet its row of `of` where they lie if it has `least` rows or more, by a broadcast; with `least` from
+    hot_from, that is of at most HOT rows. So no task gathers the rows of a hot key. Rows whose key isn't in `of`, or null, go.
+    """
+    hot = F.broadcast(of.where(F.col(n) >= least).drop(n))
+    rest = rows.join(hot.select(on), on, "left_anti").join(of.where(F.col(n) < least).drop(n), on)
+    return rows.join(hot, on).unionByName(rest)
+
+
 def whole_row(df: DataFrame) -> Column:
     """All columns as one struct, so that names made beside it can't clash with the table's own."""
     return F.struct(*[df[f"`{c}`"] for c in df.columns])

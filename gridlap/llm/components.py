@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlap.llm.common import cut
+from gridlap.llm.common import HOT, cut, look_up
 
 
-#: A node with at least 1 in HUBS of all edge ends is a hub, so there are at most HUBS of them; nor is one with fewer ends than LEAST_ENDS.
-HUBS, LEAST_ENDS = 1024, 256
+#: A node with at least 1 in HOT of all edge ends is a hub, so there are at most HOT of them; nor is one with fewer ends than LEAST_ENDS.
+LEAST_ENDS = 256
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -25,7 +25,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     before = None
     while (now := _signature(known)) != before:
         before = now
-        ends = max(LEAST_ENDS, -(-2 * now[0] // HUBS))
+        ends = max(LEAST_ENDS, -(-2 * now[0] // HOT))
         both = known.unionByName(known.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = _with_least(both, F.least(F.col("a"), F.min("b")), ends).where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b")).where("a <> b")
         large = cut(large.distinct())
@@ -36,11 +36,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 
 def _with_least(edges: DataFrame, least: Column, ends: int) -> DataFrame:
-    """a, b and the least of a's edges; the hubs' go to the edges by a broadcast of at most HUBS rows."""
-    of = edges.groupBy("a").agg(least.alias("least"), F.count("*").alias("ends"))
-    hubs = F.broadcast(of.where(F.col("ends") >= ends).select("a", "least"))
-    rest = edges.join(hubs, "a", "left_anti").join(of.where(F.col("ends") < ends).select("a", "least"), "a")
-    return edges.join(hubs, "a").unionByName(rest)
+    """a, b and the least of a's edges."""
+    return look_up(edges, edges.groupBy("a").agg(least.alias("least"), F.count("*").alias("ends")), "a", "ends", ends)
 
 
 def _signature(edges: DataFrame) -> tuple:

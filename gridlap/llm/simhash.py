@@ -12,6 +12,8 @@ differing bits.
 Equal fingerprints are joined beforehand, so a group of exact copies is one point of the grid. A cell gives star
 edges of its linked groups, not all its pairs: as many rows as it has points. A cell with more than `cell_rows`
 points is dealt into blocks; every two blocks meet in a task of their own, so no cell is cut short or held whole.
+Rows of a crowded cell, a frequent fingerprint or a large class learn its blocks or its class where they lie, from a
+broadcast of at most 1,024 rows; only other keys' rows are shuffled by key.
 
 Defined cases: a null or empty text, or one without words, has fingerprint zero and is linked like any other; a
 text of fewer words than a shingle is one shingle. Rows with a null doc_id get their class's smallest known
@@ -27,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlap.llm.common import cut, map_batches, row_hash, utf8, whole_row
+from gridlap.llm.common import cut, hot_from, look_up, map_batches, row_hash, utf8, whole_row
 from gridlap.llm.components import connected_components
 
 SEED, RADIUS, SHINGLE = 42, 3, 3
@@ -74,10 +76,10 @@ def _counts(fp: Column) -> Column:
 
 
 def cells(points: DataFrame) -> DataFrame:
-    """fp, grid, cell: the 20 grids' cells of each fingerprint."""
+    """fp, cell: each fingerprint's cells in the 20 grids, as hashes; should two cells have one hash, they are tested as one."""
     masks = [_signed(sum(((1 << n) - 1) << at for at, n in keep)) for keep in combinations(GROUPS, 3)]
-    own = F.array(*[F.struct(F.lit(i).alias("grid"), F.col("counts").bitwiseAND(F.lit(m)).alias("cell")) for i, m in enumerate(masks)])
-    return points.select("fp", _counts(F.col("fp")).alias("counts")).select("fp", F.explode(own).alias("at")).select("fp", "at.grid", "at.cell")
+    own = F.array(*[F.xxhash64(F.lit(i), F.col("counts").bitwiseAND(F.lit(m))) for i, m in enumerate(masks)])
+    return points.select("fp", _counts(F.col("fp")).alias("counts")).select("fp", F.explode(own).alias("cell"))
 
 
 def _unary(fps: np.ndarray) -> np.ndarray:
@@ -108,13 +110,13 @@ def _stars(fps: np.ndarray) -> list[tuple[int, int]]:
 def links(points: DataFrame, cell_rows: int = 4096) -> DataFrame:
     """a, b: edges that connect all fingerprints of points (distinct, column fp) within the radius."""
     at = cut(cells(points))
-    crowded = at.groupBy("grid", "cell").count().where(F.col("count") > 1)
-    crowded = crowded.select("grid", "cell", F.ceil(F.col("count") / cell_rows).cast("int").alias("blocks"))
+    crowded = at.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
+    crowded = crowded.select("cell", "n", F.ceil(F.col("n") / cell_rows).cast("int").alias("blocks"))
     # A cell in n blocks is dealt out as pairs of blocks; the usual cell is the one pair (0, 0).
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    met = at.join(crowded, ["grid", "cell"]).select("fp", "grid", "cell", own.alias("own"), other.alias("other"))
-    met = met.select("fp", F.xxhash64("grid", "cell", F.least("own", "other"), F.greatest("own", "other")).alias("task"))
+    met = look_up(at, crowded, "cell", "n", hot_from(at.count())).select("fp", "cell", own.alias("own"), other.alias("other"))
+    met = met.select("fp", F.xxhash64("cell", F.least("own", "other"), F.greatest("own", "other")).alias("task"))
     met = met.repartition("task").sortWithinPartitions("task", "fp")
     return _runs(met).distinct()
 
@@ -155,11 +157,12 @@ def classes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 
 def component_ids(prints: DataFrame, key: str, links) -> DataFrame:
-    """doc_id, key, component_id for each row of prints (doc_id, key)."""
-    firsts = prints.groupBy(key).agg(F.min("doc_id").alias("first"))
+    """doc_id, key, component_id for each row of prints (doc_id, key), which is a written table."""
+    firsts = prints.groupBy(key).agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     rooted = cut(components_of(prints.select(key).distinct(), key, links).join(firsts, key))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return prints.join(rooted.join(least, "root").select(key, "component_id"), key).select("doc_id", key, "component_id")
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("points"))
+    known = cut(look_up(rooted, least, "root", "points", hot_from(rooted.count())).select(key, "component_id", "n"))
+    return look_up(prints, known, key, "n", hot_from(prints.count())).select("doc_id", key, "component_id")
 
 
 def deduplicate(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:

@@ -1,9 +1,10 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 
-from gridlap.llm import components, simhash
+from gridlap.llm import common, components, simhash
 
 
 def plain(text, k=3):
@@ -44,7 +45,9 @@ def check(spark, rows):
     assert sorted((r.doc_id if r.doc_id is not None else -1, r.fp & ((1 << 64) - 1), r.component_id) for r in got) == want
 
 
-def test_against_brute_force(spark):
+@pytest.mark.parametrize("least_hot", [2, 256])
+def test_against_brute_force(spark, monkeypatch, least_hot):
+    monkeypatch.setattr(common, "LEAST_HOT", least_hot)  # 2: all that occur twice are hot
     rng = random.Random(3)
     words = [f"w{i}" for i in range(300)]
     rows = []
@@ -64,7 +67,9 @@ def test_fingerprint_goes_over_blocks(monkeypatch):
     assert simhash.fingerprint(text.encode()) == plain(text)
 
 
-def test_links_keep_every_neighbour_in_crowded_cells(spark):
+@pytest.mark.parametrize("least_hot", [20, 256])
+def test_links_keep_every_neighbour_in_crowded_cells(spark, monkeypatch, least_hot):
+    monkeypatch.setattr(common, "LEAST_HOT", least_hot)
     rng = random.Random(5)
     center = rng.getrandbits(64)
     fps = {center ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 6))) for _ in range(400)} | {rng.getrandbits(64) for _ in range(200)}
@@ -122,3 +127,13 @@ def test_deduplication_keeps_one_each(spark):
     docs = spark.createDataFrame([(5, text, "a"), (2, text, "b"), (9, "other words here", "c"), (None, text, "d"), (2, text, "b")], "doc_id long, text string, source string")
     assert sorted((r.doc_id, r.source) for r in simhash.deduplicate(docs).collect()) == [(2, "b"), (9, "c")]  # null comes last in its class
     assert simhash.deduplicate(docs.where("false")).count() == 0
+
+
+def test_rows_of_hot_keys_meet_what_is_known_of_them_where_they_lie(spark):
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate([1] * 50 + [2] * 30 + [3, 4, None])], "key long, i int")
+    of = rows.groupBy("key").agg(common.F.count("*").alias("n"), common.F.max("i").alias("last")).where("key is null or key <> 4")
+    want = sorted((k, i, last) for k, n, last in ((1, 50, 49), (2, 30, 79), (3, 1, 80)) for i in range(last - n + 1, last + 1))
+    for least in (1, 40, 100):
+        got = common.look_up(rows, of, "key", "n", least)
+        assert got.columns == ["key", "i", "last"] and sorted(map(tuple, got.collect())) == want
+    assert common.hot_from(10) == 256 and common.hot_from(1 << 20) == 1024
