@@ -10,8 +10,8 @@ The vocabulary file is that of the `tokenizers` library: byte-level symbols, a m
 order of rank. Its path is a parameter.
 
 Defined cases: a null text counts as empty and has no tokens; special tokens' strings in a text become their ids,
-as the library has it. A text that isn't split at white space alone is treated whole. Words are cached up to a
-fixed number in each task. Empty tables give empty results; only doc_id and text are read.
+as the library has it. A text that isn't split at white space alone is treated whole. Words, and
+the pieces they are made of, are cached up to a fixed number in each task. Empty tables give empty results; only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import re
 import unicodedata
 from itertools import accumulate
 
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 
 from gridlap.llm.common import map_batches
 
-#: Words whose tokens a task remembers at once.
+#: Words, and pieces of words, whose tokens a task remembers at once.
 CACHE_WORDS = 400_000
 #: Longer words aren't remembered.
 CACHE_LETTERS = 64
@@ -76,6 +77,7 @@ class Vocabulary:
         for s, i in known.items():
             self.matcher.add_word(s, (len(s), i))
         self.matcher.make_automaton()
+        self.sizes = {i: len(s) for s, i in known.items()}
         #: For each token its longest proper prefix that is a token, or -1.
         self.shorter = {i: next((known[s[:n]] for n in range(len(s) - 1, 0, -1) if s[:n] in known), -1) for s, i in known.items()}
         self.together: dict[tuple[int, int], bool] = {}
@@ -116,47 +118,50 @@ class Vocabulary:
 
     def encode_word(self, symbols: str) -> list[int]:
         """The tokens of one word, given as symbols with the final one marked."""
-        n = len(symbols)
-        longest = [(0, -1)] * n
-        for last, match in self.matcher.iter(symbols):
-            if match[0] > longest[last - match[0] + 1][0]:
-                longest[last - match[0] + 1] = match
-        # Mostly the longest tokens, one after the other, already go together.
+        # Mostly the longest tokens, one after the other, already go together; any tokens that do so are the result.
         found, at, before, together = [], 0, -1, self.together
-        while at < n:
-            size, token = longest[at]
+        for last, (size, token) in self.matcher.iter_long(symbols):
+            if last + 1 - size != at:
+                break
             if before >= 0:
                 fits = together.get((before, token))
                 if not (self.compatible(before, token) if fits is None else fits):
                     break
-            elif size == 0:
-                break
             found.append(token)
             before = token
             at += size
-        else:
-            return found
-        return self._backtrack(n, longest, found, at)
-
-    def _backtrack(self, n: int, longest: list[tuple[int, int]], found: list[int], at: int) -> list[int]:
-        sizes = [len(self.symbols[t]) for t in found]
-        dead = [False] * (n + 1)
-        token = longest[at][1]
+        return found if at == len(symbols) else self._backtrack(symbols, found, at)
+
+    def _longest(self, symbols: str, at: int) -> int:
+        """The longest token that begins at a position, or -1."""
+        last, (size, token) = next(self.matcher.iter_long(symbols, at), (-1, (0, -1)))
+        return token if last + 1 - size == at else -1
+
+    def _backtrack(self, symbols: str, found: list[int], at: int) -> list[int]:
+        n, sizes, shorter, together = len(symbols), self.sizes, self.shorter, self.together
+        dead = bytearray(n + 1)
+        token = self._longest(symbols, at)
         while at < n:
+            before = found[-1] if found else -1
             while token >= 0:
-                end = at + len(self.symbols[token])
-                if not dead[end] and (not found or self.compatible(found[-1], token)):
-                    break
-                token = self.shorter[token]
+                end = at + sizes[token]
+                if not dead[end]:
+                    if before < 0:
+                        break
+                    fits = together.get((before, token))
+                    if self.compatible(before, token) if fits is None else fits:
+                        break
+                token = shorter[token]
             if token >= 0:
                 found.append(token)
-                sizes.append(end - at)
                 at = end
-                token = longest[at][1] if at < n else -1
+                if at < n:
+                    token = self._longest(symbols, at)
             elif found:
-                dead[at] = True
-                at -= sizes.pop()
-                token = self.shorter[found.pop()]
+                dead[at] = 1
+                token = found.pop()
+                at -= sizes[token]
+                token = shorter[token]
             else:
                 raise ValueError("the vocabulary has no token for a symbol")
         return found
@@ -173,38 +178,62 @@ NEWER_LETTERS = (
     "558 58b-58c 88f c5c cdc 208f 209d-209f a7ce-a7cf a7d2 a7d4 a7dd a7e2 a7f1 ab6c-ab6d 107bb-107bf 10940-10959 10ec5-10ec7 10ed9-10eee 11b0a 11db0-11ddb 11df1 16ea0-16eb8 16ebb-16ed3 16ff2-16ff3 187f8-187ff 18cd6-18cda "
     "18d09-18d20 18d80-18df2 18e00-19191 191a0-191d2 1b123-1b128 1b168 1d6a6 1df1f-1df24 1df2b-1df81 1df90-1df96 1dfcd-1dfff 1e6c0-1e6de 1e6e0-1e6e2 1e6e4-1e6e5 1e6e7-1e6ed 1e6f0-1e6f4 1e6fe-1e6ff 2b73a-2b73f 2b81e 2cea2-2cead 323b0-33479 3d000-3fc3f"
 )
+#: Whether a run is letters of Latin-1 and its extensions only, which the library's tables have as letters too.
+LATIN = re.compile("[a-zß-öø-ÿĀ-ƿǄ-ʯ]+").fullmatch
 NEWER = regex.compile("[" + "".join("-".join(chr(int(x, 16)) for x in part.split("-")) for part in NEWER_LETTERS.split()) + "]")
 #: Lower-case forms that the library has and Python's older tables lack.
 LOWER_NEWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B} | {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
+#: The characters of LOWER_NEWER.
+TO_LOWER = re.compile("[" + "".join(map(chr, sorted(LOWER_NEWER))) + "]")
 #: White space for str.split, but not for the split rule.
 ODD = regex.compile("[\x1c-\x1f]")
 
 
+class Known(dict):
+    """Words, or pieces, as ready text, made where they are missing; at most CACHE_WORDS, none of more than CACHE_LETTERS."""
+
+    def __init__(self, make) -> None:
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, word: str) -> tuple[bytes, int, bytes]:
+        ready = self.make(word)
+        if len(word) <= CACHE_LETTERS:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[word] = ready
+        return ready
+
+
 class Encoder:
-    """Texts to tokens, with words remembered as ready text."""
+    """Texts to tokens, with words and their pieces remembered as ready text."""
 
     def __init__(self, path: str) -> None:
         self.vocabulary = Vocabulary(path)
-        self.known: dict[str, tuple[bytes, int, bytes]] = {}
+        self.known = Known(self._word)
+        self.pieces = Known(self._piece)
+        #: For each byte's code point its symbol, as str.translate takes it.
+        self.shown = "".join(self.vocabulary.alphabet)
         marks = sorted(self.vocabulary.special, key=len, reverse=True)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, marks)) + ")") if marks else None
 
-    def ids_of(self, run: str) -> list[int]:
-        """Token ids of a normalized run of text."""
-        v, out = self.vocabulary, []
-        if run.isascii() and run.isalpha():  # one piece, and its bytes are their own symbols
-            return v.encode_word(run[:-1] + chr(ord(run[-1]) + FINAL))
-        shape = run if run.isascii() else NEWER.sub("\uffff", run)
-        for piece in v.pieces.finditer(shape):
-            s = "".join([v.alphabet[b] for b in run[piece.start() : piece.end()].encode()])
-            out += v.encode_word(s[:-1] + chr(ord(s[-1]) + FINAL))
-        return out
-
     def _word(self, word: str) -> tuple[bytes, int, bytes]:
-        return self._ready(self.ids_of(word))
+        if LATIN(word):  # one piece
+            return self.pieces[word]
+        shape = word if word.isascii() else NEWER.sub("\uffff", word)
+        found = [self.pieces[word[p.start() : p.end()]] for p in self.vocabulary.pieces.finditer(shape)]
+        if len(found) == 1:
+            return found[0]
+        ids, sizes, said = zip(*found, strict=True) if found else ((), (), ())
+        return b" ".join(ids), sum(sizes), b" ".join(said)
+
+    def _piece(self, piece: str) -> tuple[bytes, int, bytes]:
+        # an ASCII letter's byte is its own symbol
+        s = piece if piece.isascii() and piece.isalpha() else piece.encode().decode("latin-1").translate(self.shown)
+        return self._ready(self.vocabulary.encode_word(s[:-1] + chr(ord(s[-1]) + FINAL)))
 
     def _ready(self, ids: list[int]) -> tuple[bytes, int, bytes]:
-        return b" ".join([b"%d" % i for i in ids]), len(ids), self.vocabulary.decode(ids)
+        return " ".join(map(str, ids)).encode(), len(ids), self.vocabulary.decode(ids)
 
     def parts(self, text: str) -> list[tuple[bytes, int, bytes]]:
         """For each run of the text that has tokens: its ids as text, their number, and what they decode to."""
@@ -215,16 +244,8 @@ class Encoder:
                 out.append(self._ready([mark]))
                 continue
             run = normalized(run)
-            known = self.known
-            if len(known) > CACHE_WORDS:
-                known.clear()
-            for word in WHITE.split(run) if ODD.search(run) else run.split():
-                if word:
-                    if (ready := known.get(word)) is None:
-                        ready = self._word(word)
-                        if len(word) <= CACHE_LETTERS:
-                            known[word] = ready
-                    out.append(ready)
+            words = list(filter(None, WHITE.split(run))) if ODD.search(run) else run.split()
+            out += map(self.known.__getitem__, words)
         return out
 
     def encode(self, text: str | None) -> list[int]:
@@ -234,7 +255,8 @@ class Encoder:
 def normalized(run: str) -> str:
     """Composed and in lower case, a character at a time: a final sigma isn't told apart."""
     if not run.isascii():
-        return unicodedata.normalize("NFC", run).replace("Σ", "σ").lower().translate(LOWER_NEWER)
+        run = unicodedata.normalize("NFC", run).replace("Σ", "σ").lower()
+        return run.translate(LOWER_NEWER) if TO_LOWER.search(run) else run
     return run.lower()
 
 
@@ -251,10 +273,11 @@ def _digested(docs: DataFrame, path: str, with_ids: bool) -> DataFrame:
             out = {"doc_id": batch.column("doc_id"), "n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": []}
             for text in batch.column("text").to_pylist():
                 found = coder.parts(text or "")
-                ids = b" ".join([ids for ids, _, _ in found])
-                out["n_tokens"].append(sum([n for _, n, _ in found]))
+                ids, sizes, said = zip(*found, strict=True) if found else ((), (), ())
+                ids = b" ".join(ids)
+                out["n_tokens"].append(sum(sizes))
                 out["ids_sha256"].append(hashlib.sha256(ids).hexdigest())
-                out["decoded_sha256"].append(hashlib.sha256(b" ".join([said for _, _, said in found])).hexdigest())
+                out["decoded_sha256"].append(hashlib.sha256(b" ".join(said)).hexdigest())
                 if with_ids:
                     out["ids"].append(np.array(ids.split(), dtype=np.int32))
             return out

@@ -63,6 +63,15 @@ def test_what_tasks_remember_changes_nothing(monkeypatch):
     assert [coder.encode(t) for t in texts] == want and len(coder.known) <= 2 and len(coder.vocabulary.together) <= 2
 
 
+def test_a_piece_is_encoded_once_whatever_words_it_is_in(library, monkeypatch):
+    coder, seen = bpe.Encoder(PATH), []
+    encode = coder.vocabulary.encode_word
+    monkeypatch.setattr(coder.vocabulary, "encode_word", lambda s: seen.append(s) or encode(s))
+    text = "éelleç éelleç, (éelleç) éelleç's, éelleç. abc abc, (abc)"
+    assert coder.encode(text) == library.encode(text, add_special_tokens=False).ids
+    assert len(seen) == len(set(seen))
+
+
 def test_code_points_are_split_and_lowered_alike(library):
     coder = bpe.Encoder(PATH)
     for c in [*range(0x3000), *range(0x3000, 0x34000, 37), 0x558, 0xA7CB, 0xA7DC, 0x10D50, 0x16EA0, 0x323B0, 0x3D000]:
