@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlap.operators import order, rows
+from gridlap.operators import order, rows, store
 from gridlap.operators.rolling import KEYS
 
 
@@ -75,14 +75,21 @@ def medians(df: DataFrame, value: str, by: Sequence[str], name: str = "median")
 
 
 def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """a, b, correlation of ranks for every pair of columns, over rows without nulls; ties share their mean rank."""
-    whole = df.select(*columns).dropna("any")
+    """a, b, correlation of ranks for every pair of columns, over rows without nulls; ties share their mean rank.
+
+    The rows and each column's ranks are written once, so that Spark knows the ranks' size: where they are few, the rows meet
+    them without a shuffle.
+    """
+    whole = store.cut(df.select(*columns).dropna("any"))
     ranked = whole
     for c in columns:
-        ranked = ranked.join(order.mean_ranks(whole, c).withColumnRenamed("rank", f"_r_{c}"), c)
+        ranked = ranked.join(store.cut(order.mean_ranks(whole, c).withColumnRenamed("rank", f"_r_{c}")), c)
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    row = ranked.agg(*(F.corr(f"_r_{a}", f"_r_{b}").alias(f"{a}|{b}") for a, b in pairs))
-    return _tall(row, pairs, "correlation")
+    # Every column's mean rank is known, so a pair takes one plain sum; so many corr() at once are too much for compiled code.
+    mean = (whole.count() + 1) / 2
+    sums = ranked.select(*((F.col(f"_r_{c}") - mean).alias(c) for c in columns)).agg(*(F.sum(F.col(a) * F.col(b)).alias(f"{a}|{b}") for a, b in pairs))
+    scale = lambda a, b: F.sqrt(F.col(f"`{a}|{a}`")) * F.sqrt(F.col(f"`{b}|{b}`"))
+    return _tall(sums.select(*(F.try_divide(F.col(f"`{a}|{b}`"), scale(a, b)).alias(f"{a}|{b}") for a, b in pairs)), pairs, "correlation")
 
 
 def _tall(row: DataFrame, pairs: Sequence[tuple[str, str]], name: str) -> DataFrame:

@@ -108,11 +108,12 @@ def _values_by(tall: DataFrame, places: DataFrame, most: int, grid: int) -> Data
 def mean_ranks(df: DataFrame, column: str, slices: int = SLICES) -> DataFrame:
     """column, rank: the mean rank, from 1, of each distinct value that isn't null.
 
-    Values are dealt into slices of their order by approximate quantiles; a slice numbers its own distinct values and
-    goes on from the rows of the slices before it, of which there are at most `slices`.
+    df is read once, for a table of its distinct values, which is written. These are dealt into slices of their order by
+    approximate quantiles; a slice numbers its own distinct values and goes on from the rows of the slices before it, of
+    which there are at most `slices`.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
-    ends = df.agg(F.percentile_approx(column, [i / slices for i in range(1, slices)], ACCURACY)).first()[0] or []
+    counts = store.cut(df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n")))
+    ends = counts.agg(F.percentile_approx(column, [i / slices for i in range(1, slices)], ACCURACY)).first()[0] or []
     ends = sorted({e for e in map(float, ends) if isfinite(e)})
     bins = Bucketizer(splits=[float("-inf"), *ends, float("inf")], inputCol="_x", outputCol="_slice", handleInvalid="keep")
     sliced = bins.transform(counts.withColumn("_x", F.col(column).cast("double"))).drop("_x") if ends else counts.withColumn("_slice", F.lit(0.0))

@@ -93,3 +93,21 @@ def test_copies_are_removed_at_the_end(spark, tmp_path, monkeypatch):
 def test_first_row_of_tables_with_maps(spark):
     df = spark.createDataFrame([(1, {"b": 2}), (1, {"a": 1}), (2, None)], "k int, m map<string, int>")
     assert sorted((r.k, r.m) for r in rows.first_come(df, ["k"]).collect()) == [(1, {"a": 1}), (2, None)]
+
+
+def test_spearman_reads_its_table_once(spark):
+    from gridlap.operators import aggregates
+
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = [(float(i % 7), float(-i), i // 5, 3.0) for i in range(60)] + [(None, 1.0, 1, 3.0), (1.0, float("nan"), 1, 3.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c long, d double").mapInArrow(counted, "a double, b double, c long, d double")
+    got = {(r.a, r.b): r.correlation for r in aggregates.spearman(df, ["a", "b", "c", "d"]).collect()}
+    assert read.value == len(rows)
+    assert abs(got["a", "a"] - 1) < 1e-12 and got["a", "d"] is None and got["d", "d"] is None
+    assert abs(got["b", "c"] + 0.9958246) < 1e-3 and got["a", "b"] < 0
