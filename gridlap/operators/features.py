@@ -123,7 +123,7 @@ def lap_master(laps: DataFrame, sessions: DataFrame, drivers: DataFrame, stints:
     df = targets(df, results)
     if car_data is not None:
         df = df.join(lagged_telemetry(car_data), list(LAP), "left")
-    return rows.first_per_key(winsorize(df), LAP, ["stint_number"])
+    return winsorize(df)  # stint_features left one row a lap, and no join since has more than one row a key
 
 
 def lagged_telemetry(car_data: DataFrame) -> DataFrame:
