@@ -1,10 +1,17 @@
 """Near copies for the pipeline: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Candidates come from a grid of cells as in `simhash`, but of minimum hashes: each of 24 bands of four minima is a
-cell, and of two texts with similarity s, all bands differ with a chance of (1 - s^4)^24, 3 in a million at 0.8.
-Inside a cell a Hamming bound on one bit of each of 128 minima goes first (over 32 bits differ at 0.8 with a chance
-of under 1 in a million). The components of what is left are coarse groups, and all candidate pairs lie inside one.
-Each group's texts then meet once, and their shingle sets are compared exactly: only true pairs are linked.
+Candidates come from SimHash fingerprints and the grid join of `simhash`. At 0.8 some 15 % of a whole text's bits differ, too
+many for a grid to meet on, so a text has several fingerprints: its shingles are dealt by their hashes into 32 classes
+(of a long text a share of the shingles: those whose hash begins with as many zeros as leave 5 or fewer a class), and each
+class that isn't empty has a fingerprint. Its segments' bit counts are a projection of the text's vector, and their unit cell
+is a cell of the grid. Two texts meet if one class is the same in both: all classes that aren't empty differ with a chance of
+3 in a million at 0.8 for the least favourable size, less for others. Shares halve from level to level; a text also has
+the cells of the next level if one with 5/4 of its shingles would be there, and no similar text is longer.
+
+Inside a cell whole texts are compared by 256 bits of SimHash: first the Manhattan bound on segments' bit counts, then the Hamming
+distance. More than 80 bits differ with a chance of under 1 in a million at 0.8, whatever the size (a bit differs with 0.19
+at most, between four shingles and five). The components of what is left are coarse groups, and all candidate
+pairs lie inside one. Each group's texts then meet once, and their shingle sets are compared exactly: only true pairs are linked.
 
 Equal texts are one point. A cell with more than `cell_rows` points is dealt into blocks, every two of which meet in a task
 of their own. A group with more than `group_bytes` of text is dealt into blocks as well, of which only what isn't yet
@@ -26,14 +33,20 @@ from pyspark.sql import functions as F
 from gridlap.llm import simhash
 from gridlap.llm.common import SPACES, cut, hot_from, look_up, row_hash, utf8
 from gridlap.llm.components import connected_components
-
-SEED, SHINGLE, BANDS, ROWS, BITS, REACH = 42, 5, 24, 4, 128, 32
+from gridlap.llm.simhash import _unary
+
+SEED, SHINGLE = 42, 5
+#: Classes of a text's shingles, as a power of two, and the most shingles a class has on average.
+CLASS_BITS, CLASS_SIZE = 5, 5
+#: Longs of a whole text's fingerprint, and the differing bits within which texts are candidates.
+WORDS, REACH = 4, 80
+PRINTS = [f"p{i}" for i in range(WORDS)]
 #: Texts of a large group that all its blocks are compared with.
 SHOWN_TO_ALL = 16
 #: The similarity to link, as a fraction: 4 / 5.
 PART, WHOLE = 4, 5
-_ODD = np.random.default_rng(SEED).integers(0, 1 << 63, BITS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+#: What is added to a hash before it is mixed: for each long of the fingerprint, and for the classes.
+_ADDED = np.random.default_rng(SEED).integers(0, 1 << 63, WORDS + 1, dtype=np.uint64)
 
 
 def shingles(text: bytes | None) -> np.ndarray:
@@ -43,22 +56,46 @@ def shingles(text: bytes | None) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in map(b" ".join, zip(*shifted, strict=False))), dtype=np.uint64)
 
 
-def _minima(hashes: np.ndarray) -> np.ndarray:
-    least = np.full(BITS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for start in range(0, len(hashes), 512):
-        np.minimum(least, (_ODD[:, None] * hashes[None, start : start + 512]).min(axis=1), out=least)
-    return least
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _bits(hashes: np.ndarray) -> np.ndarray:
+    """A row of bits for each row of hashes."""
+    return np.unpackbits(np.ascontiguousarray(hashes).view(np.uint8).reshape(len(hashes), -1), axis=1, bitorder="little")
+
+
+def whole_print(hashes: np.ndarray) -> np.ndarray:
+    """The SimHash of a set of shingles in WORDS longs."""
+    ones = np.zeros(64 * WORDS, dtype=np.int64)
+    for start in range(0, len(hashes), 255):  # as many as a byte can count
+        ones += _bits(_mixed(hashes[start : start + 255, None] + _ADDED[None, :WORDS])).sum(axis=0, dtype=np.uint8)
+    return np.packbits((2 * ones > len(hashes)).astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def sketch(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The cells of a text's bands, and two longs of one bit of each minimum."""
-    least = _minima(hashes)
-    mixed = (least ^ (least >> np.uint64(29))) * _MIX
-    mixed ^= mixed >> np.uint64(32)
-    cells = np.arange(BANDS, dtype=np.uint64)
-    for part in mixed[: BANDS * ROWS].reshape(BANDS, ROWS).T:
-        cells = (cells ^ (cells >> np.uint64(31))) * _MIX + part
-    return cells.view(np.int64), np.packbits((mixed & np.uint64(1)).astype(np.uint8)).view(np.int64)
+def _level(n: int) -> int:
+    """How often the shingles are halved so that a class has no more than CLASS_SIZE."""
+    return max(0, (-(-n // (CLASS_SIZE << CLASS_BITS)) - 1).bit_length())
+
+
+def grid_cells(hashes: np.ndarray) -> np.ndarray:
+    """The cells of a set of shingles: for each class, the bit counts of its fingerprint's segments."""
+    n, found, mixed = len(hashes), [], _mixed(hashes + _ADDED[WORDS])
+    for level in sorted({_level(n), _level(n * WHOLE // PART)}):
+        classes = mixed >> np.uint64(64 - CLASS_BITS - level)  # those that begin with `level` zeros are below 32
+        at = np.flatnonzero(classes < 1 << CLASS_BITS)
+        if not len(at):
+            continue
+        at = at[np.argsort(classes[at], kind="stable")]
+        classes = classes[at]
+        starts = np.flatnonzero(np.concatenate([[True], classes[1:] != classes[:-1]]))
+        ones = np.add.reduceat(_bits(hashes[at]), starts, axis=0, dtype=np.int64)
+        size = np.diff(np.append(starts, len(at)))
+        prints = np.packbits((2 * ones > size[:, None]).astype(np.uint8), axis=1, bitorder="little").view(np.uint64).ravel()
+        found.append(_mixed(_unary(prints) + _mixed(np.uint64(level << CLASS_BITS) + classes[starts])))
+    return np.concatenate(found).view(np.int64) if found else np.empty(0, dtype=np.int64)
 
 
 def text_key() -> Column:
@@ -81,18 +118,20 @@ def sparse(docs: DataFrame, prints: DataFrame) -> DataFrame:
 
 
 def cells(texts: DataFrame) -> DataFrame:
-    """key, low, high (the bits), cell: the bands of each text with words; equal keys of a task come once."""
+    """key, p0 to p3 (the fingerprint), cell: the cells of each text with words; equal keys of a task come once."""
     import pyarrow as pa
 
     def run(batches):
         for batch in _once(batches):
-            found = [(k, *sketch(h)) for k, t in zip(batch.column("key").to_pylist(), utf8(batch.column("text")), strict=True) if len(h := shingles(t))]
-            key = np.repeat(np.array([k for k, _, _ in found], dtype=np.int64), BANDS)
-            bits = np.repeat(np.array([b for _, _, b in found], dtype=np.int64).reshape(-1, 2), BANDS, axis=0)
-            cell = np.concatenate([np.empty(0, dtype=np.int64), *[c for _, c, _ in found]])
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(bits[:, 0]), pa.array(bits[:, 1]), pa.array(cell)], names=["key", "low", "high", "cell"])
+            sets = [(k, np.unique(h)) for k, t in zip(batch.column("key").to_pylist(), utf8(batch.column("text")), strict=True) if len(h := shingles(t))]
+            own = [grid_cells(h) for _, h in sets]
+            times = np.array([len(c) for c in own], dtype=np.int64)
+            key = np.repeat(np.array([k for k, _ in sets], dtype=np.int64), times)
+            prints = np.repeat(np.array([whole_print(h) for _, h in sets], dtype=np.int64).reshape(-1, WORDS), times, axis=0)
+            cell = np.concatenate([np.empty(0, dtype=np.int64), *own])
+            yield pa.RecordBatch.from_arrays([pa.array(key), *(pa.array(np.ascontiguousarray(p)) for p in prints.T), pa.array(cell)], names=["key", *PRINTS, "cell"])
 
-    return texts.mapInArrow(run, "key long, low long, high long, cell long")
+    return texts.mapInArrow(run, f"key long, {', '.join(f'{p} long' for p in PRINTS)}, cell long")
 
 
 def _once(batches):
@@ -112,15 +151,21 @@ def _once(batches):
             yield batch.take(pa.array(new, pa.int64()))
 
 
-def _near_bits(keys: np.ndarray, low: np.ndarray, high: np.ndarray) -> list[tuple[int, int]]:
-    """(key, first of its linked group) for all but each group's first, by the bound on bits."""
+def _near_bits(keys: np.ndarray, prints: np.ndarray) -> list[tuple[int, int]]:
+    """(key, first of its linked group) for all but each group's first, by the Manhattan bound and the fingerprints (a row a word)."""
     keys, at = np.unique(keys, return_index=True)
-    low, high, rest, out = low[at].view(np.uint64), high[at].view(np.uint64), np.arange(len(keys)), []
+    prints = np.ascontiguousarray(prints[:, at]).view(np.uint64)
+    counts, rest, out = _unary(prints), np.arange(len(keys)), []
+
+    def within(table, i, of):
+        return sum(np.bitwise_count(word[of] ^ word[i]).astype(np.int16) for word in table) <= REACH
+
     while len(rest):
         first, todo, rest = rest[0], [rest[0]], rest[1:]
         while todo and len(rest):
             i = todo.pop()
-            near = np.bitwise_count(low[rest] ^ low[i]) + np.bitwise_count(high[rest] ^ high[i]) <= REACH
+            near = within(counts, i, rest)
+            near[near] = within(prints, i, rest[near])
             found, rest = rest[near], rest[~near]
             todo.extend(found.tolist())
             out.extend((int(keys[j]), int(keys[first])) for j in found)
@@ -209,7 +254,7 @@ def coarse_groups(texts: DataFrame, cell_rows: int = 4096) -> DataFrame:
     crowded = at.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1").withColumn("blocks", F.ceil(F.col("n") / cell_rows).cast("int"))
 
     def stars(t):
-        return _near_bits(*(t.column(c).to_numpy() for c in ("key", "low", "high")))
+        return _near_bits(t.column("key").to_numpy(), np.stack([t.column(p).to_numpy() for p in PRINTS]))
 
     return connected_components(_runs(_met(at, "cell", crowded), stars)).withColumnRenamed("node", "key")
 

@@ -2,8 +2,9 @@ import random
 from collections import Counter, defaultdict
 
 import corpus_pipeline
+import numpy as np
 import pytest
-from gridlap.llm import common, near_copies
+from gridlap.llm import common, near_copies, simhash
 from gridlap.llm.common import table
 
 
@@ -93,3 +94,41 @@ def test_a_large_group_moves_its_texts_a_few_times(spark, monkeypatch):
     assert {i: want[i] for i in same} == {i: min(j for j in same if want[j] == want[i]) for i in same} and len(set(same.values())) == len({want[i] for i in same})
     size = sum(len(texts[i]) for i in same)
     assert size > 20 * 8000 and sum(moved) < 8 * size  # every two of 21 blocks would be 21 times
+
+
+def plain_bits(hashes):
+    """The SimHash of a list of 64-bit hashes, as simhash.fingerprint takes it."""
+    return sum(1 << b for b in range(64) if 2 * sum(int(h) >> b & 1 for h in hashes) > len(hashes))
+
+
+@pytest.mark.parametrize("size", [1, 4, 20, 143, 144, 160, 161, 300, 700])
+def test_candidates_meet_in_cells_of_simhash_fingerprints(size):
+    """Sets at a similarity of 0.8 share a cell; cells are those of the fingerprints' bit counts, and the bound holds."""
+    rng = np.random.default_rng(size)
+    for _ in range(40):
+        more = size // 4
+        x = rng.integers(0, 1 << 64, size + more, dtype=np.uint64)
+        own = int(rng.integers(0, more + 1))
+        a, b = np.unique(x[: size + own]), np.unique(np.concatenate([x[:size], x[size + own :]]))
+        assert len(np.intersect1d(near_copies.grid_cells(a), near_copies.grid_cells(b)))
+        far = near_copies.whole_print(a) ^ near_copies.whole_print(b)
+        assert np.bitwise_count(far.view(np.uint64)).sum() <= near_copies.REACH
+    mixed = near_copies._mixed(a + near_copies._ADDED[near_copies.WORDS])
+    counts = set()
+    for level in {near_copies._level(len(a)), near_copies._level(len(a) * 5 // 4)}:
+        for c in range(32):
+            if of_class := [h for h, m in zip(a, mixed, strict=True) if int(m) >> (59 - level) == c]:
+                counts.add((level, c, int(simhash._unary(np.array([plain_bits(of_class)], dtype=np.uint64))[0])))
+    assert len(counts) == len(set(near_copies.grid_cells(a).tolist()))
+    for i, added in enumerate(near_copies._ADDED[: near_copies.WORDS]):
+        assert int(near_copies.whole_print(a).view(np.uint64)[i]) == plain_bits(near_copies._mixed(a + added))
+
+
+def test_cells_link_within_the_reach_only():
+    rng = np.random.default_rng(7)
+    prints = rng.integers(0, 1 << 64, (4, 30), dtype=np.uint64)
+    prints[:, 10:20] = prints[:, :10]  # 80 bits of four words: 20 of each
+    prints[:, 10:15] ^= np.uint64((1 << 20) - 1)
+    prints[:, 15:20] ^= np.uint64((1 << 21) - 1)
+    got = near_copies._near_bits(np.arange(30), prints.view(np.int64))
+    assert sorted(got) == [(10 + i, i) for i in range(5)]
