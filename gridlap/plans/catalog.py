@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from gridlap.functions import coerce
 from gridlap.operators import aggregates, cleaning, features, joins, quality, rolling, rows, store
-from gridlap.plans.views import Tables, sql
+from gridlap.plans.views import VIEWS, Tables, sql
 from gridlap.sources import endpoints, files, folder
 from gridlap.streaming import resample
 from gridlap.streaming.ingest import ingest
@@ -185,10 +185,11 @@ def _put(df: DataFrame, path: str, columns: list[str] | None = None) -> None:
     files.write_table(df.select(*(F.col(c).cast("string").alias(c) for c in columns or df.columns)), path, "csv")
 
 
-def _halves(t: Tables) -> str:
-    """A folder in which the laps lie in two sets of files, whose columns come in different orders and aren't the same."""
+def _halves(t: Tables, laps: DataFrame | None = None) -> str:
+    """A folder in which the laps (numbered once, and written) lie in two sets of files, whose columns come in different orders and aren't the same."""
     root = f"{store.shared_dir(t.spark)}/raw-{uuid.uuid4().hex}"
-    early, late = t.laps.where("lap_number <= 20"), t.laps.where("lap_number > 20")
+    laps = store.cut(t.laps) if laps is None else laps
+    early, late = laps.where("lap_number <= 20"), laps.where("lap_number > 20")
     _put(early.where("i1_speed is null"), f"{root}/laps/2024/1.csv", ["lap_number", "is_pit_out_lap", "session_key", "date_start", "driver_number", "lap_duration"])
     _put(early.where("i1_speed is not null"), f"{root}/laps/2024/2.csv", ["i1_speed", "lap_duration", "date_start", "driver_number", "is_pit_out_lap", "lap_number", "session_key"])
     files.write_table(late, f"{root}/laps/2025/3.parquet")
@@ -447,11 +448,13 @@ _CLEAN_BASE = _BASE.replace("FROM laps GROUP BY", "FROM laps WHERE lap_duration
 @query("base_from_files", _BASE_VIEWS, f"WITH {_CLEAN_BASE} SELECT * EXCLUDE (final_position), {_TARGETS} FROM base")
 def _c24_files(t: Tables) -> DataFrame:
     """Files of all endpoints, read, cleaned and built; a driver who comes again in a later file keeps the first name."""
-    root = _halves(t)
-    for name, df in {"sessions": t.sessions, "weather": t.weather, "stints": t.stints, "starting_grid": t.grid, "session_results": t.results}.items():
+    laps, drivers = store.cut(t.laps), store.cut(t.drivers)
+    stints = t.spark.sql(VIEWS["stints"][1], laps=laps)
+    root = _halves(t, laps)
+    for name, df in {"sessions": t.sessions, "weather": t.weather, "stints": stints, "starting_grid": t.grid, "session_results": t.results}.items():
         _put(df, f"{root}/{name}/2024/1.csv", sorted(df.columns))
-    _put(t.drivers, f"{root}/drivers/2024/1.csv")
-    _put(t.drivers.withColumn("full_name", F.lit("A later name")), f"{root}/drivers/2024/2.csv", ["team_name", "full_name", "session_key", "driver_number"])
+    _put(drivers, f"{root}/drivers/2024/1.csv")
+    _put(drivers.withColumn("full_name", F.lit("A later name")), f"{root}/drivers/2024/2.csv", ["team_name", "full_name", "session_key", "driver_number"])
     return folder.build_base(t.spark, root, f"{root}-clean")
 
 

@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from gridlap.plans import catalog
+from gridlap.plans import catalog, views
 from gridlap.plans.views import BASE
 
 
@@ -40,3 +40,10 @@ def test_lap_master_orders_nothing_after_it_is_written(spark, sf_dir):
     df = catalog.QUERIES["lap_master"](spark, sf_dir)
     assert "Window" not in df._jdf.queryExecution().optimizedPlan().toString()
     assert df.count() == df.select("session_key", "driver_number", "lap_number").distinct().count() > 0
+
+
+def test_files_of_the_base_number_laps_and_drivers_once(spark, sf_dir, monkeypatch):
+    made, real = [], views.Tables.__getattr__
+    monkeypatch.setattr(views.Tables, "__getattr__", lambda self, name: made.append(name) or real(self, name))
+    assert catalog.QUERIES["base_from_files"](spark, sf_dir).count() == real(views.Tables(spark, sf_dir), "drivers").count()
+    assert made.count("laps") == 1 and made.count("drivers") == 1
